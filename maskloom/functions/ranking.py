@@ -42,12 +42,12 @@ def rank_in_buckets(
     """
     keys = list(group)
     rows = df.withColumn("_bucket", bucket)
-    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    counts = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    offsets = counts.withColumn("_base", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
     if total:
-        offsets = offsets.withColumn(total, F.sum("_n").over(Window.partitionBy(*keys)))
-    offsets = offsets.drop("_n")
+        offsets = offsets.withColumn(total, F.sum("_cnt").over(Window.partitionBy(*keys)))
+    offsets = offsets.drop("_cnt")
     inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
     ranked = rows.withColumn("_pos", F.row_number().over(inside))
     out = null_safe_join(ranked, offsets, [*keys, "_bucket"])
@@ -155,18 +155,18 @@ def exact_quantiles(
     """
     keys = list(group)
     n = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(n.cast("long").alias("_n"))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(n.cast("long").alias("_cnt"))
     if not keys:
         counts, keys = counts.withColumn("_all", F.lit(0)), ["_all"]
     span = counts.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_cnt").alias("_total")
     )
     place = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)
     binned = null_safe_join(counts, span, keys).withColumn(
         "_bin", F.when(F.col("_hi") > F.col("_lo"), F.least(place, F.lit(bins - 1))).otherwise(F.lit(0))
     )
     before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    hist = binned.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_in"), F.first("_total").alias("_total"))
+    hist = binned.groupBy(*keys, "_bin").agg(F.sum("_cnt").alias("_in"), F.first("_total").alias("_total"))
     hist = hist.withColumn("_base", F.coalesce(F.sum("_in").over(before), F.lit(0)))
     position = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probs.items()}
     touched = F.lit(False)
@@ -176,11 +176,11 @@ def exact_quantiles(
     wanted = hist.where(touched).select(*keys, "_bin", "_base")
     inside = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     rows = null_safe_join(binned, wanted, [*keys, "_bin"]).withColumn(
-        "_end", F.col("_base") + F.sum("_n").over(inside)
+        "_end", F.col("_base") + F.sum("_cnt").over(inside)
     )
 
     def at(rank: Column) -> Column:
-        hit = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_n"))
+        hit = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_cnt"))
         return F.max(F.when(hit, F.col("_v")))
 
     aggs = [F.max("_total").alias("_total")]

@@ -184,6 +184,7 @@ class Tables:
         return self._derive(text)
 
     def _derive(self, text: str) -> DataFrame:
+        text = text.replace("{", "{{").replace("}", "}}")
         names = [n for n in [*GIVEN, *VIEW_SQL] if re.search(rf"(?i)\b(from|join)\s+{n}\b", text)]
         for n in names:
             text = re.sub(rf"(?i)\b(from|join)\s+{n}\b", rf"\1 {{{n}}}", text)
