@@ -99,18 +99,19 @@ def neighbours(
     wanted: Mapping[str, tuple[str, int]],
     chunk: int = 16384,
 ) -> DataFrame:
-    """Values of the previous (-1) and next (+1) frame of a dense integer series.
+    """Values of earlier (negative step) and later (positive step) frames of a dense integer series.
 
     A long series is cut into chunks of ``chunk`` frames; the edge frames are copied into
     the adjacent chunk, so one shuffle serves ``lag`` and ``lead`` for any series length.
     """
-    at = F.floor(F.col(frame) / chunk)
+    back = max([0, *(-step for _, step in wanted.values())])
+    ahead = max([0, *(step for _, step in wanted.values())])
+    at, inside = F.floor(F.col(frame) / chunk), F.pmod(F.col(frame), F.lit(chunk))
     places = [F.struct(at.alias("c"), F.lit(False).alias("copy"))]
-    if any(step < 0 for _, step in wanted.values()):
-        last = F.pmod(F.col(frame), F.lit(chunk)) == chunk - 1
-        places.append(F.when(last, F.struct((at + 1).alias("c"), F.lit(True).alias("copy"))))
-    if any(step > 0 for _, step in wanted.values()):
-        first = (F.pmod(F.col(frame), F.lit(chunk)) == 0) & (F.col(frame) > 0)
+    if back:
+        places.append(F.when(inside >= chunk - back, F.struct((at + 1).alias("c"), F.lit(True).alias("copy"))))
+    if ahead:
+        first = (inside < ahead) & (at > 0)
         places.append(F.when(first, F.struct((at - 1).alias("c"), F.lit(True).alias("copy"))))
     spread = df.withColumn("_at", F.explode(F.array_compact(F.array(*places))))
     spread = spread.select("*", F.col("_at.c").alias("_chunk"), F.col("_at.copy").alias("_copy")).drop("_at")
@@ -121,6 +122,21 @@ def neighbours(
     return spread.where(~F.col("_copy")).drop("_chunk", "_copy")
 
 
+def last_before(
+    df: DataFrame, keys: Sequence[str], frame: str, value: str, out: str, chunk: int = 16384
+) -> DataFrame:
+    """Last non-null ``value`` at an earlier frame, chunk carries first."""
+    rows = df.withColumn("_chunk", F.floor(F.col(frame) / chunk))
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(frame)))
+    carry = rows.groupBy(*keys, "_chunk").agg(last.alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.select(*keys, "_chunk", F.last("_last", ignorenulls=True).over(before).alias("_carry"))
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(frame).rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.withColumn("_local", F.last(value, ignorenulls=True).over(inside))
+    joined = null_safe_join(local, carry, [*keys, "_chunk"])
+    return joined.withColumn(out, F.coalesce("_local", "_carry")).drop("_chunk", "_local", "_carry")
+
+
 def running_sum(
     df: DataFrame, keys: Sequence[str], frame: str, value: str, out: str, chunk: int = 16384
 ) -> DataFrame:

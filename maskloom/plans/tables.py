@@ -30,7 +30,7 @@ VIEW_SQL: dict[str, str] = {
                CAST(mod(l_partkey, 22) AS INT) AS class_id,
                CAST(l_quantity AS BIGINT) AS len,
                CAST(l_suppkey AS INT) AS y, CAST(mod(l_partkey, 512) AS INT) AS x0,
-               CAST(l_discount * 100 AS INT) AS z, CAST(l_tax * 1000 AS INT) AS conf,
+               CAST(round(l_discount * 100) AS INT) AS z, CAST(round(l_tax * 1000) AS INT) AS conf,
                l_orderkey, l_linenumber
         FROM lineitem""",
     # run-length rows of 64 x 64 masks; blocks of 8 keep the runs disjoint
@@ -76,9 +76,10 @@ VIEW_SQL: dict[str, str] = {
         FROM events""",
     "v_frames": """
         SELECT r.clip, r.frame, b.bone, b.k,
-               CAST(mod(CAST(r.px * 100 AS BIGINT) * (b.k + 1), 7) - 3 AS DOUBLE) AS rx,
-               CAST(mod(r.event_id * (b.k + 2), 11) - 5 AS DOUBLE) AS ry,
-               CAST(mod(r.clip + r.frame * (b.k + 1), 5) - 2 AS DOUBLE) AS rz
+               CAST(CASE WHEN b.k = 2 AND mod(r.clip, 3) = 0 THEN mod(CAST(round(r.px * 100) AS BIGINT), 7) - 3 ELSE mod(r.clip, 4) END AS DOUBLE) AS rx,
+               CAST(CASE WHEN mod(r.frame + b.k * 2 + r.clip, 10) < 4 THEN -3 * mod(r.frame + b.k * 2 + r.clip, 10)
+                    ELSE 2 * mod(r.frame + b.k * 2 + r.clip, 10) - 20 END AS DOUBLE) AS ry,
+               CAST(CASE WHEN mod(r.clip, 5) = 4 THEN mod(r.event_id * (b.k + 2), 11) ELSE floor(r.frame / 9) END AS DOUBLE) AS rz
         FROM v_root AS r
         CROSS JOIN (SELECT * FROM (VALUES ('hips', 0), ('spine', 1), ('chest', 2)) AS t(bone, k)) AS b""",
     "v_clip_labels": """
