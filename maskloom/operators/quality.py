@@ -23,8 +23,8 @@ def n(i: int) -> Column:
 
 
 def present(ids: Iterable[int]) -> Column:
-    """At least one of the classes has pixels."""
-    return sum((n(i) for i in ids), F.lit(0)) > 0
+    """At least one of the classes has pixels; ``seen`` has one bit per class."""
+    return F.col("seen").bitwiseAND(F.lit(sum(1 << i for i in ids))) != 0
 
 
 def _sum(cols: Iterable[Column], zero: float = 0.0) -> Column:
@@ -44,10 +44,12 @@ def mask_profile(runs: DataFrame, total_pixels: int | None = None, confidence: s
     if confidence:
         fg_len = F.when(cls > 0, size)
         aggs.append((F.sum(F.col(confidence) * fg_len) / F.sum(fg_len) / 255.0).alias("mean_conf"))
+    bit = F.when(cls > 0, F.expr("shiftleft(1L, class_id)"))
+    aggs.append(F.coalesce(F.sum(F.when(cls > 0, size)), F.lit(0)).cast("long").alias("fg"))
+    aggs.append(F.coalesce(F.bit_or(bit), F.lit(0)).alias("seen"))
+    aggs.append(F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("int").alias("n_regions"))
     df = runs.groupBy(*EXAMPLE).agg(*aggs)
-    df = df.withColumn("fg", _sum((n(i) for i in IDS), 0).cast("long"))
     return df.withColumns({
-        "n_regions": _sum((F.when(n(i) > 0, 1).otherwise(0) for i in IDS), 0).cast("int"),
         "largest": F.greatest(*[n(i) for i in IDS]),
         "fg_ratio": F.when(F.col("total") > 0, F.col("fg") / F.col("total")).otherwise(0.0),
     })
@@ -89,15 +91,16 @@ class MaskRules:
 
 
 def size_outlier(reference: DataFrame, sigma: float) -> Column:
-    """Name of the first class whose share is too far from the reference (at most 21 rows)."""
-    entry = F.struct("class_id", F.struct("mean", "std").alias("ref"))
-    ref = reference.groupBy().agg(F.map_from_entries(F.collect_list(entry)).alias("m")).scalar()
-    hits = []
-    for i in IDS:
-        r = F.try_element_at(ref, F.lit(i))
-        z = F.abs(_share(i) - r["mean"]) / F.nullif(r["std"], F.lit(0.0))
-        hits.append(F.when((n(i) > 0) & (z > sigma), F.lit(dims.CLASS_NAMES[i])))
-    return F.coalesce(*hits)
+    """Name of the first class whose share is too far from the reference.
+
+    The reference has one row per class (at most 21), so it is read as constants.
+    """
+    rows = reference.select("class_id", "mean", "std").where(F.col("class_id").isin(list(IDS)) & (F.col("std") > 0)).collect()
+    hits = [
+        F.when((n(r.class_id) > 0) & (F.abs(_share(r.class_id) - r["mean"]) / r["std"] > sigma), F.lit(dims.CLASS_NAMES[r.class_id]))
+        for r in sorted(rows, key=lambda r: r.class_id)
+    ]
+    return F.coalesce(*hits, F.lit(None).cast("string"))
 
 
 def mask_quality_reasons(
