@@ -151,7 +151,7 @@ def absorb_small_components(runs: DataFrame, width: int, height: int, min_area:
         *comp, "y", F.explode(F.sequence(F.col("x0"), F.col("x0") + F.col("len") - 1)).alias("x")
     )
     steps = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1))])
-    around = cells.withColumn("s", F.explode(steps)).select(*comp, (F.col("y") + F.col("s.dy")).alias("y"), (F.col("x") + F.col("s.dx")).alias("x"))
+    around = cells.withColumn("_step", F.explode(steps)).select(*comp, (F.col("y") + F.col("_step.dy")).alias("y"), (F.col("x") + F.col("_step.dx")).alias("x"))
     around = around.where(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1)).distinct()
     around = around.join(cells, [*comp, "y", "x"], "left_anti")
     seen = labelled.select(*EXAMPLE, "y", F.col("x0").alias("_a"), F.col("len").alias("_l"), F.col("class_id").alias("_class"))

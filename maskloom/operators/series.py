@@ -257,8 +257,8 @@ def anticipation_frames(frames: DataFrame, threshold: float = 2.0, max_run: int
     axes = F.explode(F.array(*[
         F.struct(F.lit(c).alias("axis"), (F.col(f"_{c}n") - F.col(c)).alias("v"), F.col(f"_r{c}").alias("range")) for c in AXES
     ]))
-    long = steps.where(F.col(f"_{AXES[0]}n").isNotNull()).select("clip", "bone", "frame", "n_steps", axes.alias("a"))
-    long = long.select("clip", "bone", "frame", "n_steps", "a.*").where(F.col("range") >= threshold)
+    long = steps.where(F.col(f"_{AXES[0]}n").isNotNull()).select("clip", "bone", "frame", "n_steps", axes.alias("_axis"))
+    long = long.select("clip", "bone", "frame", "n_steps", "_axis.*").where(F.col("range") >= threshold)
     long = long.withColumn("dir", F.when(F.abs("v") >= threshold, F.signum("v")))
     series = ["clip", "bone", "axis"]
     long = last_before(long, series, "frame", "dir", "prev")
