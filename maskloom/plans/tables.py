@@ -152,7 +152,7 @@ VIEW_SQL: dict[str, str] = {
         SELECT CAST(floor(p_partkey / 64) AS BIGINT) AS rig_id, CAST(mod(p_partkey, 64) AS INT) AS bone,
                CASE WHEN mod(p_partkey, 64) > 1 THEN CAST(floor(mod(p_partkey, 64) / 2) AS INT) END AS parent,
                CAST(p_size AS DOUBLE) AS x, CAST(mod(p_size, 7) AS DOUBLE) AS y,
-               CAST(mod(p_size, 8) * 15 AS DOUBLE) AS rotation, 1 + mod(p_size, 3) * 0.125 AS sx, 1 - mod(p_size, 5) * 0.0625 AS sy
+               CAST(mod(p_size, 8) * 15 AS DOUBLE) AS rotation, 1 + mod(p_size, 3) * 125e-3 AS sx, 1 - mod(p_size, 5) * 625e-4 AS sy
         FROM part""",
     "v_vectors": "SELECT vec_id, label, "
     + ", ".join(
