@@ -201,26 +201,38 @@ def boundary_cells(grid: DataFrame, radius: int = 2, exclude: Sequence[int] = ()
     return df.select("example_id", "x", "y", "class_id")
 
 
+def _smear(cells: DataFrame, axis: str, size: int, kernel: Sequence[float]) -> DataFrame:
+    """One pass of a separable blur: every cell adds its weight to its neighbours along ``axis``.
+
+    With reflected edges a cell is also seen as its mirror images behind both edges; their
+    targets lie inside the cell's own reach, so they only add to its weights.
+    """
+    reach = len(kernel) // 2
+    at, to = F.col(axis), F.col("_to")
+    weights = F.array(*[F.lit(k) for k in kernel])
+    other = "y" if axis == "x" else "x"
+    reachable = F.sequence(F.greatest(F.lit(0), at - reach), F.least(F.lit(size - 1), at + reach))
+    spread = cells.select("example_id", other, axis, "class_id", "g", F.explode(reachable).alias("_to"))
+    images = [at, -at - 1, F.lit(2 * size - 1) - at]
+    weight = sum((F.coalesce(F.get(weights, to - i + reach), F.lit(0.0)) for i in images), F.lit(0.0))
+    spread = spread.select("example_id", other, "class_id", to.alias(axis), (F.col("g") * weight).alias("g"))
+    return spread.groupBy("example_id", "x", "y", "class_id").agg(F.sum("g").alias("g"))
+
+
 def soften_labels(grid: DataFrame, width: int, height: int, radius: int = 2, sigma: float = 1.0, exclude: Sequence[int] = ()) -> DataFrame:
     """Gaussian class mix on boundary cells, one-hot elsewhere; edges reflect.
 
-    Only boundary cells meet the kernel, whose size is fixed by sigma.
+    The Gaussian is separable: two passes whose fan-out is the kernel length, each a sum with
+    map-side combine, instead of a join of every cell with the whole kernel.
     """
     reach = int(4.0 * sigma + 0.5)
     raw = [math.exp(-0.5 * (d / sigma) ** 2) for d in range(-reach, reach + 1)]
-    k = [v / sum(raw) for v in raw]
-    kernel = F.array(*[
-        F.struct(F.lit(dx - reach).alias("dx"), F.lit(dy - reach).alias("dy"), F.lit(k[dx] * k[dy]).alias("g"))
-        for dx in range(2 * reach + 1) for dy in range(2 * reach + 1)
-    ])
-    edge = boundary_cells(grid, radius, exclude)
-    reflect = lambda c, n: F.when(c < 0, -c - 1).when(c >= n, 2 * n - 1 - c).otherwise(c)
-    taps = edge.select("example_id", "x", "y", F.explode(kernel).alias("_tap")).select(
-        "example_id", "x", "y", reflect(F.col("x") + F.col("_tap.dx"), width).alias("nx"), reflect(F.col("y") + F.col("_tap.dy"), height).alias("ny"), "_tap.g"
-    )
-    source = grid.where(F.col("class_id").between(0, dims.NUM_CLASSES - 1)).select("example_id", F.col("x").alias("nx"), F.col("y").alias("ny"), "class_id")
-    mix = taps.join(source, ["example_id", "nx", "ny"]).groupBy("example_id", "x", "y", "class_id").agg(F.sum("g").alias("g"))
-    total = mix.groupBy("example_id", "x", "y").agg(F.sum("g").alias("s"))
-    soft = mix.join(total, ["example_id", "x", "y"]).select("example_id", "x", "y", "class_id", (F.col("g") / F.greatest(F.col("s"), F.lit(1e-8))).alias("p"))
-    hard = grid.where(F.col("class_id").between(0, dims.NUM_CLASSES - 1)).join(edge.select("example_id", "x", "y"), ["example_id", "x", "y"], "left_anti")
-    return soft.unionByName(hard.select("example_id", "x", "y", "class_id", F.lit(1.0).alias("p")))
+    kernel = [v / sum(raw) for v in raw]
+    edge = boundary_cells(grid, radius, exclude).select("example_id", "x", "y")
+    known = grid.where(F.col("class_id").between(0, dims.NUM_CLASSES - 1)).select("example_id", "x", "y", "class_id")
+    mix = _smear(_smear(known.withColumn("g", F.lit(1.0)), "x", width, kernel), "y", height, kernel)
+    mix = mix.join(edge, ["example_id", "x", "y"], "left_semi")
+    total = Window.partitionBy("example_id", "x", "y")  # one cell: at most one row per class
+    soft = mix.select("example_id", "x", "y", "class_id", (F.col("g") / F.greatest(F.sum("g").over(total), F.lit(1e-8))).alias("p"))
+    hard = known.join(edge, ["example_id", "x", "y"], "left_anti").withColumn("p", F.lit(1.0))
+    return soft.unionByName(hard)
