@@ -8,7 +8,7 @@ import sys
 import time
 from collections import Counter
 
-import duckdb
+import duckdb  # noqa: E402
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
