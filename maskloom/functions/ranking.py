@@ -156,13 +156,24 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], *stats: Column) -> Data
     return null_safe_join(df, df.groupBy(*keys).agg(*stats), list(keys))
 
 
+def _attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Group statistics beside the rows; without keys they are scalar subqueries.
+
+    ``stats`` has one row per group. The join carries no hint: AQE broadcasts it when its
+    measured size allows and otherwise splits the hot keys of a sort-merge join.
+    """
+    if keys:
+        return null_safe_join(df, stats, keys)
+    return df.withColumns({c: stats.select(c).scalar() for c in stats.columns})
+
+
 def exact_quantiles(
     df: DataFrame,
     group: Sequence[str],
     value: str,
     probs: Mapping[str, float],
     weight: str | None = None,
-    bins: int = 1024,
+    bins: int = 16384,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles for groups of any size.
 
@@ -171,18 +182,17 @@ def exact_quantiles(
     """
     keys = list(group)
     n = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(n.cast("long").alias("_cnt"))
-    if not keys:
-        counts, keys = counts.withColumn("_all", F.lit(0)), ["_all"]
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(n.cast("long").alias("_n"))
     span = counts.groupBy(*keys).agg(
-        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_cnt").alias("_total")
+        F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")
     )
     place = F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)
-    binned = null_safe_join(counts, span, keys).withColumn(
+    binned = _attach(counts, span, keys).withColumn(
         "_bin", F.when(F.col("_hi") > F.col("_lo"), F.least(place, F.lit(bins - 1))).otherwise(F.lit(0))
     )
+    # the histogram has at most `bins` rows per group
     before = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    hist = binned.groupBy(*keys, "_bin").agg(F.sum("_cnt").alias("_in"), F.first("_total").alias("_total"))
+    hist = binned.groupBy(*keys, "_bin").agg(F.sum("_n").alias("_in"), F.first("_total").alias("_total"))
     hist = hist.withColumn("_base", F.coalesce(F.sum("_in").over(before), F.lit(0)))
     position = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probs.items()}
     touched = F.lit(False)
@@ -192,11 +202,11 @@ def exact_quantiles(
     wanted = hist.where(touched).select(*keys, "_bin", "_base")
     inside = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     rows = null_safe_join(binned, wanted, [*keys, "_bin"]).withColumn(
-        "_end", F.col("_base") + F.sum("_cnt").over(inside)
+        "_end", F.col("_base") + F.sum("_n").over(inside)
     )
 
     def at(rank: Column) -> Column:
-        hit = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_cnt"))
+        hit = (rank < F.col("_end")) & (rank >= F.col("_end") - F.col("_n"))
         return F.max(F.when(hit, F.col("_v")))
 
     aggs = [F.max("_total").alias("_total")]
@@ -210,4 +220,4 @@ def exact_quantiles(
         ).alias(name)
         for name, pos in position.items()
     ]
-    return out.select(*[k for k in keys if k != "_all"], *picked)
+    return out.select(*keys, *picked)

@@ -121,9 +121,13 @@ def reprojection_error(measured: DataFrame, projected: DataFrame, keys: Sequence
 
 
 def union_masks(instances: DataFrame, keys: Sequence[str] = ("example_id",)) -> DataFrame:
-    """Foreground runs covering all instances: one pass over each scan line."""
+    """Foreground runs covering all instances: one pass over each scan line.
+
+    The longest run per start comes first, so a line holds at most as many rows as it has pixels.
+    """
     line = [*keys, "y"]
-    w = Window.partitionBy(*line).orderBy("x0", "len")
+    instances = instances.groupBy(*line, "x0").agg(F.max("len").alias("len"))
+    w = Window.partitionBy(*line).orderBy("x0")
     end = F.col("x0") + F.col("len")
     reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     df = instances.withColumn("_new", F.coalesce(F.col("x0") > reach, F.lit(True)).cast("int"))

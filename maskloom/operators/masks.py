@@ -134,7 +134,8 @@ def region_centroid_joints(runs: DataFrame, keys: list[str] | None = None) -> Da
 
 def class_size_reference(runs: DataFrame) -> DataFrame:
     """Per class over the examples holding it: presence, mean, population sigma, quantiles."""
-    per = runs.where("class_id > 0").groupBy(*EXAMPLE, "class_id").agg(F.sum("len").alias("n"))
+    known = F.col("class_id").between(1, dims.NUM_CLASSES - 1)
+    per = runs.where(known).groupBy(*EXAMPLE, "class_id").agg(F.sum("len").alias("n"))
     fg = per.groupBy(*EXAMPLE).agg(F.sum("n").alias("fg"))
     frac = per.join(fg, EXAMPLE).select("class_id", (F.col("n") / F.col("fg")).alias("frac"))
     q = exact_quantiles(frac, ["class_id"], "frac", {"median": 0.5, "p10": 0.1, "p90": 0.9})

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.functions.ranking import last_before, neighbours, running_sum, with_group_stats
+from maskloom.session import cut
 
 AXES = ("rx", "ry", "rz")
 MIN_FRAMES = 4
@@ -288,7 +289,7 @@ DEGRADATIONS = {
 
 def degradation_pairs(frames: DataFrame, types: Sequence[str] = tuple(DEGRADATIONS), **override) -> DataFrame:
     """Degraded frames per type, for clips of at least four frames; the original is the input itself."""
-    usable = long_enough(frames).drop("n_frames")
+    usable = cut(long_enough(frames).drop("n_frames"))  # read by every type
     out = None
     for name in types:
         part = override.get(name, DEGRADATIONS[name])(usable).select("clip", "frame", "bone", *AXES)

@@ -175,6 +175,8 @@ class Tables:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name == "v_root":
             return self._root()
+        if name == "v_frames":
+            return self._frames()
         if name == "v_classes":
             return dims.classes(self.spark)
         if name in VIEW_SQL:
@@ -201,3 +203,11 @@ class Tables:
             F.col("value").alias("px"), (F.col("event_id") % 10).cast("double").alias("py"), F.lit(0.0).alias("pz"),
             F.lit(1.0 / 30).alias("frame_time"), "event_id", "event_type",
         )
+
+    def _frames(self) -> DataFrame:
+        """The frame relation with the three bones unfolded beside each root row."""
+        text = VIEW_SQL["v_frames"]
+        body = text[: text.index("FROM v_root")]
+        bones = F.array(*[F.struct(F.lit(b).alias("bone"), F.lit(k).alias("k")) for b, k in (("hips", 0), ("spine", 1), ("chest", 2))])
+        rows = self.v_root.withColumn("b", F.explode(bones))
+        return self.spark.sql(body + "FROM {rows} AS r", rows=rows)
