@@ -17,6 +17,7 @@ from maskloom.operators.masks import EXAMPLE
 from maskloom.session import cut
 
 TILE = 512
+STRETCH = 16
 
 
 def _label_tile(table: pa.Table) -> pa.Table:
@@ -144,7 +145,7 @@ def absorb_small_components(runs: DataFrame, width: int, height: int, min_area:
     All components are judged on the mask as it comes in; ties go to the lower class; cells
     without a run are background. Only small components are expanded into cells.
     """
-    labelled = label_runs(runs, tile)
+    labelled = cut(label_runs(runs, tile))  # read by every step below
     comp = [*EXAMPLE, "class_id", "root_y", "root_x"]
     small = component_table(labelled).where(F.col("area") < min_area).select(*comp)
     cells = labelled.join(small, comp, "left_semi").select(
@@ -153,14 +154,18 @@ def absorb_small_components(runs: DataFrame, width: int, height: int, min_area:
     steps = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy, dx in ((-1, 0), (1, 0), (0, -1), (0, 1))])
     around = cells.withColumn("_step", F.explode(steps)).select(*comp, (F.col("y") + F.col("_step.dy")).alias("y"), (F.col("x") + F.col("_step.dx")).alias("x"))
     around = around.where(F.col("x").between(0, width - 1) & F.col("y").between(0, height - 1)).distinct()
-    around = around.join(cells, [*comp, "y", "x"], "left_anti")
-    seen = labelled.select(*EXAMPLE, "y", F.col("x0").alias("_a"), F.col("len").alias("_l"), F.col("class_id").alias("_class"))
-    inside = (F.col("x") >= F.col("_a")) & (F.col("x") < F.col("_a") + F.col("_l"))
-    near = around.join(seen, [*EXAMPLE, "y"]).where(inside).groupBy(*comp, "_class").agg(F.count(F.lit(1)).alias("v"))
-    total = around.groupBy(*comp).agg(F.count(F.lit(1)).alias("v"))
-    found = near.groupBy(*comp).agg(F.sum("v").alias("f"))
-    empty = total.join(found, comp, "left").select(*comp, F.lit(0).alias("_class"), (F.col("v") - F.coalesce("f", F.lit(0))).alias("v"))
-    votes = near.unionByName(empty.where("v > 0"))
+    # runs are cut at fixed columns, so a cell meets only the runs of its own stretch of the line
+    first, last = F.floor(F.col("x0") / STRETCH), F.floor((F.col("x0") + F.col("len") - 1) / STRETCH)
+    seen = labelled.select(
+        *[F.col(k).alias(f"_{k}") for k in (*EXAMPLE, "y", "x0", "len", "class_id", "root_y", "root_x")], F.explode(F.sequence(first, last)).alias("_at")
+    )
+    on = (F.floor(F.col("x") / STRETCH) == F.col("_at")) & (F.col("x") >= F.col("_x0")) & (F.col("x") < F.col("_x0") + F.col("_len"))
+    for k in (*EXAMPLE, "y"):
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    near = around.join(seen, on, "left")
+    own = (F.col("_class_id") == F.col("class_id")) & (F.col("_root_y") == F.col("root_y")) & (F.col("_root_x") == F.col("root_x"))
+    near = near.where(~F.coalesce(own, F.lit(False)))
+    votes = near.groupBy(*comp, F.coalesce("_class_id", F.lit(0)).alias("_class")).agg(F.count(F.lit(1)).alias("v"))
     winner = votes.groupBy(*comp).agg(F.max_by("_class", F.struct("v", -F.col("_class"))).alias("_new"))
     out = labelled.join(winner, comp, "left")
     return out.select(*EXAMPLE, "y", "x0", "len", F.coalesce("_new", "class_id").alias("class_id"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from maskloom import dims
 from maskloom.functions.ranking import exact_quantiles
+from maskloom.session import cut
 
 EXAMPLE = ["dataset", "example_id"]
 
@@ -137,9 +138,10 @@ def class_size_reference(runs: DataFrame) -> DataFrame:
     known = F.col("class_id").between(1, dims.NUM_CLASSES - 1)
     per = runs.where(known).groupBy(*EXAMPLE, "class_id").agg(F.sum("len").alias("n"))
     fg = per.groupBy(*EXAMPLE).agg(F.sum("n").alias("fg"))
-    frac = per.join(fg, EXAMPLE).select("class_id", (F.col("n") / F.col("fg")).alias("frac"))
+    frac = per.join(fg, EXAMPLE).select(*EXAMPLE, "class_id", (F.col("n") / F.col("fg")).alias("frac"))
+    frac = cut(frac)  # at most 21 rows per mask, read by every statistic
     q = exact_quantiles(frac, ["class_id"], "frac", {"median": 0.5, "p10": 0.1, "p90": 0.9})
-    n_examples = fg.agg(F.count(F.lit(1)).alias("n")).scalar()
+    n_examples = frac.select(*EXAMPLE).distinct().agg(F.count(F.lit(1)).alias("n")).scalar()
     stats = frac.groupBy("class_id").agg(
         F.count(F.lit(1)).alias("examples"), F.avg("frac").alias("mean"), F.stddev_pop("frac").alias("std")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskloom.functions.ranking import rank_in_buckets
+from maskloom.session import cut
 
 
 def effective_reviews(reviews: DataFrame) -> DataFrame:
@@ -53,7 +54,7 @@ def leaderboard(users: DataFrame, annotations: DataFrame, reviews: DataFrame, si
         F.count(F.lit(1)).alias("annotated"), F.coalesce(F.sum("ok"), F.lit(0)).cast("long").alias("approved"),
         (F.sum(F.coalesce("seconds", F.lit(0))) / F.count(F.lit(1))).alias("_avg"),
     )
-    out = per.join(users.select("user_id", "name"), "user_id")
+    out = cut(per.join(users.select("user_id", "name"), "user_id"))  # one row per annotator
     ranked = rank_in_buckets(out, [F.col("user_id")], -F.col("annotated"))
     return ranked.select("rank", "user_id", "name", "annotated", "approved", F.floor(F.col("_avg") + 0.5).alias("avg_time"))
 

@@ -12,6 +12,7 @@ from maskloom.operators import layers as L
 from maskloom.operators import masks as M
 from maskloom.operators import measurements as X
 from maskloom.plans.catalog import query
+from maskloom.session import cut
 
 _R6 = lambda df, *cols: df.withColumns({c: F.round(c, 6) for c in cols})
 
@@ -161,7 +162,7 @@ ck AS (SELECT 'region_presence' AS "check", m2.char_id, m2.pose, region, min(ang
 
 
 def _checks(t):
-    return X.multiview_checks(_m2(t), _m3(t), min_pixels=5)
+    return X.multiview_checks(cut(_m2(t)), _m3(t), min_pixels=5)
 
 
 @query(f"WITH {_CHECKS} SELECT * FROM ck")

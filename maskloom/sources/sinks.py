@@ -12,6 +12,7 @@ from maskloom.functions.names import hash_split
 from maskloom.functions.ranking import rank_sorted
 from maskloom.operators.components import component_table, label_runs
 from maskloom.operators.masks import EXAMPLE
+from maskloom.session import cut
 
 
 def write_sorted_csv(df: DataFrame, path: str, order: Sequence[str] = ("split", "source", "char_id")) -> None:
@@ -51,7 +52,7 @@ def weight_documents(weights: DataFrame) -> DataFrame:
 def coco_annotations(runs: DataFrame, min_area: int = 4, seed: int = 42) -> DataFrame:
     """Components as detection annotations with dense image and annotation ids per split."""
     comp = component_table(label_runs(runs)).where(F.col("area") >= min_area)
-    comp = comp.withColumn("split", hash_split(F.concat_ws("/", "dataset", F.col("example_id").cast("string")), seed))
+    comp = cut(comp.withColumn("split", hash_split(F.concat_ws("/", "dataset", F.col("example_id").cast("string")), seed)))
     images = rank_sorted(comp.select("split", *EXAMPLE).distinct(), EXAMPLE, ["split"], rank="image_id")
     order = [*EXAMPLE, "class_id", "root_y", "root_x"]
     ranked = rank_sorted(comp, order, ["split"], rank="id").join(images, ["split", *EXAMPLE])
