@@ -365,7 +365,7 @@ def even_sample(df: DataFrame, key: str, n: int) -> DataFrame:
     """n evenly spaced rows in key order, all rows if there are fewer."""
     ranked = rank_sorted(df, [key], total="_total")
     r, last = F.col("rank") - 1, F.col("_total") - 1
-    i = F.ceil(r * (n - 1) / last)
+    i = F.ceil(r * (n - 1) / F.nullif(last, F.lit(0)))
     hit = (F.col("_total") <= n) | (F.floor(i * last / (n - 1)) == r) if n > 1 else (r == 0)
     return ranked.where(hit).drop("rank", "_total")
 

@@ -236,6 +236,9 @@ def mirror_mask(runs: DataFrame, width: int) -> DataFrame:
 
 def colour_to_class(pixels: DataFrame, labelmap: DataFrame | None = None) -> DataFrame:
     """Exact RGB match, unmatched colours become background."""
-    colours = labelmap if labelmap is not None else dims.classes(pixels.sparkSession).select("class_id", "r", "g", "b")
-    out = pixels.join(F.broadcast(colours), ["r", "g", "b"], "left")
+    if labelmap is not None:
+        colours = labelmap.groupBy("r", "g", "b").agg(F.max("class_id").alias("class_id"))
+    else:
+        colours = F.broadcast(dims.classes(pixels.sparkSession).select("class_id", "r", "g", "b"))
+    out = pixels.join(colours, ["r", "g", "b"], "left")
     return out.withColumn("class_id", F.coalesce("class_id", F.lit(0)))

@@ -85,7 +85,7 @@ def tokenize_name(t):
     return t.v_names.select("k", "name", F.array_join(N.tokenize_name(F.col("name")), "|").alias("tokens"))
 
 
-_RULES = [(r"head|hair|face", "head"), (r"shoulder|arm", "arm"), (r"hand", "hand"), (r"\bred\b", "accent"), (r"leg|foot|thigh", "leg"), (r"spine|hips", "torso")]
+_RULES = [*B.material_rules(), (r"\bred\b", "accessory")]
 
 
 @query(f"""SELECT k, name, CASE {" ".join(f"WHEN regexp_matches(name, '(?i){p}') THEN '{r}'" for p, r in _RULES)} ELSE 'UNMAPPED' END AS region,

@@ -218,5 +218,18 @@ def test_clusters_of_few_rows(spark):
     assert (out.k, out.n, out.silhouette) == (1, 3, None)
 
 
+def test_material_rules(spark):
+    want = {"N00_Shoes_foot_L": "foot_l", "Right_UpperArm": "upper_arm_r", "fore_arm.r": "forearm_r", "Hair_back": "head", "Outfit_Upper": "chest", "cape_l": "background", "zzz": "UNMAPPED"}
+    from maskloom.functions.bones import material_rules
+
+    df = spark.createDataFrame([(k,) for k in want], "n string").withColumn("r", N.first_rule(F.col("n"), material_rules()))
+    assert {r.n: r.r for r in df.collect()} == want
+
+
+def test_even_sample_of_one_row(spark):
+    df = spark.createDataFrame([("a",)], "k string")
+    assert A.even_sample(df, "k", 5).count() == 1 and A.even_sample(df, "k", 1).count() == 1
+
+
 def test_glob():
     assert A.glob_regex("**/ortho/*.png") == r"^(?:.*/)?ortho/[^/]*\.png$"
