@@ -216,7 +216,9 @@ def _smear(cells: DataFrame, axis: str, size: int, kernel: Sequence[float]) -> D
     weights = F.array(*[F.lit(k) for k in kernel])
     other = "y" if axis == "x" else "x"
     reachable = F.sequence(F.greatest(F.lit(0), at - reach), F.least(F.lit(size - 1), at + reach))
-    spread = cells.select("example_id", other, axis, "class_id", "g", F.explode(reachable).alias("_to"))
+    # one line of an image per partition key: the fan-out below is summed where it arises
+    lines = cells.repartition("example_id", other)
+    spread = lines.select("example_id", other, axis, "class_id", "g", F.explode(reachable).alias("_to"))
     images = [at, -at - 1, F.lit(2 * size - 1) - at]
     weight = sum((F.coalesce(F.get(weights, to - i + reach), F.lit(0.0)) for i in images), F.lit(0.0))
     spread = spread.select("example_id", other, "class_id", to.alias(axis), (F.col("g") * weight).alias("g"))

@@ -19,6 +19,6 @@ LABEL_TASKS = (
     "array<struct<id:long, width:int, height:int, annotations:array<struct<result:array<struct<type:string, "
     "value:struct<polygonlabels:array<string>, points:array<array<double>>, keypointlabels:array<string>, x:double, y:double>>>>>>>"
 )
-CLIP_LABELS = "filename string, action_type string, subcategory string, quality string, strata_compatible string"
+CLIP_LABELS = "filename string, action_type string, subcategory string, quality string, compatible string"
 LAYER_LABELS = "filename string, label string, confirmed string"
 RUNS = "origin string, width int, height int, y int, x0 int, len int, value int"

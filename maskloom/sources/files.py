@@ -48,7 +48,8 @@ def read_documents(spark: SparkSession, root: str, glob: str = "*.json") -> Data
 
 
 def read_csv(spark: SparkSession, path: str, schema: str = schemas.CLIP_LABELS) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schema, enforceSchema=False)
+    """Header CSV with an explicit schema; columns are taken by position."""
+    return spark.read.csv(path, header=True, schema=schema)
 
 
 def unpivot_frame_cuts(wide: DataFrame, codes: Sequence[str], key: str = "STYLE_NAME") -> DataFrame:
