@@ -249,3 +249,27 @@ wn AS (SELECT example_id, root, c FROM vt QUALIFY row_number() OVER (PARTITION B
 SELECT lr.dataset, lr.example_id, lr.y, lr.x0, lr.len, CAST(coalesce(wn.c, lr.class_id) AS INT) AS class_id FROM lr LEFT JOIN wn ON wn.example_id = lr.example_id AND wn.root = lr.root""")
 def absorb_small_components(t):
     return C.absorb_small_components(t.v_runs, 64, 64, min_area=12)
+
+
+_OVL = """ov AS (SELECT m.example_id, sum(least(m.x0 + m.len, a.x0 + a.len) - greatest(m.x0, a.x0)) AS covered FROM v_runs m JOIN v_alpha a ON a.example_id = m.example_id AND a.y = m.y AND a.x0 < m.x0 + m.len AND m.x0 < a.x0 + a.len GROUP BY 1),
+al AS (SELECT example_id, sum(len) AS alpha FROM v_alpha GROUP BY 1)"""
+_RN = ", ".join(f"sum(CASE WHEN class_id = {i} THEN len ELSE 0 END) AS n_{i}" for i in _IDS)
+_K5R = [
+    ("low_foreground", "fg / 4096 < 0.12"), ("too_few_regions", "n_regions < 17"), ("missing_head", "n_1 = 0"), ("missing_torso", "NOT " + _any((3, 4, 5))),
+    *[(f"single_region_dominates({dims.CLASS_NAMES[i]})", f"n_{i} / fg > 0.2") for i in _IDS],
+    ("disconn_blobs", "worst > 14"), ("bg_bleed", "(fg - covered) / fg > 0.55"), ("low_coverage", "alpha > 0 AND covered / alpha < 0.25"),
+]
+
+
+@query(f"""WITH RECURSIVE {_COMP}, cw AS (SELECT example_id, max(k) AS worst FROM (SELECT example_id, class_id, count(DISTINCT root) AS k FROM lr GROUP BY 1, 2) AS z GROUP BY 1), {_OVL},
+pf AS (SELECT dataset, example_id, {_RN}, sum(len) AS fg FROM v_runs GROUP BY 1, 2), pr AS (SELECT pf.*, {_REG} AS n_regions, worst, coalesce(covered, 0) AS covered, coalesce(alpha, 0) AS alpha FROM pf LEFT JOIN cw ON cw.example_id = pf.example_id LEFT JOIN ov ON ov.example_id = pf.example_id LEFT JOIN al ON al.example_id = pf.example_id)
+SELECT dataset, example_id, round(fg / 4096, 6) AS fg_ratio, n_regions, {_why(_K5R)} AS reasons FROM pr""")
+def mask_silhouette_reasons(t):
+    """The fragment, bleed and coverage rules on run masks with their silhouettes."""
+    from maskloom.operators.layers import silhouette_overlap
+
+    runs = t.v_runs
+    overlap = silhouette_overlap(runs, t.v_alpha).withColumn("dataset", F.concat(F.lit("ds"), (F.col("example_id") % 4).cast("string")))
+    rules = Q.MaskRules(min_regions=17, max_single_region=0.2, min_foreground=0.12, max_disconn_per_class=14, max_bg_bleed=0.55, min_silhouette_coverage=0.25)
+    out = Q.mask_quality_reasons(runs, rules, C.component_counts(C.label_runs(runs)), overlap, total_pixels=4096)
+    return out.withColumns({"fg_ratio": F.round("fg_ratio", 6), "reasons": F.array_join("reasons", "|")})
