@@ -5,7 +5,7 @@ import os
 import pytest
 from check_queries import compare, connect
 
-from __spark_entry__ import oracle_sql, queries
+from maskloom.plans.all_queries import oracle_sql, queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = queries(), oracle_sql()
