@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import byte_bpe, mixing
+from maskloom.llm import byte_bpe, mixing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,6 +67,48 @@ def op9_byte_bpe(spark, sf_dir):
     return bpe_digests(byte_bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN), "doc_id")
 
 
+@query
+def op6_quality_rules(spark, sf_dir):
+    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rejected_by")
+
+
+SQL["op6_quality_rules"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
+w AS MATERIALIZED (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (SELECT rid, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d)),
+g AS (SELECT rid, pos, count(*) OVER (PARTITION BY rid, a, b, c) AS n FROM (
+  SELECT rid, pos, word AS a, lead(word) OVER o AS b, lead(word, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY rid ORDER BY pos)) WHERE c IS NOT NULL),
+rep AS (SELECT rid, count(DISTINCT pos + k)::BIGINT AS n_repeat_words FROM g, unnest([0, 1, 2]) AS t(k) WHERE n > 1 GROUP BY rid),
+m AS MATERIALIZED (
+  SELECT d.rid, doc_id, lang, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::BIGINT AS word_chars,
+         (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+         len(ls)::BIGINT AS n_lines, (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper
+  FROM (SELECT *, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d) AS d LEFT JOIN rep USING (rid)),
+b AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m),
+v AS MATERIALIZED (
+  SELECT rid, doc_id, lang, base_failed, 'symbols' AS rule, 1 AS nr, CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END AS val FROM b
+  UNION ALL SELECT rid, doc_id, lang, base_failed, 'repeats', 2, CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END FROM b
+  UNION ALL SELECT rid, doc_id, lang, base_failed, 'dup_lines', 3, CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END FROM b
+  UNION ALL SELECT rid, doc_id, lang, base_failed, 'upper', 4, CASE WHEN n_letters > 0 THEN n_upper / n_letters ELSE 0 END FROM b),
+c AS (SELECT unnest([0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04, 0.02])::DOUBLE AS cutoff),
+l AS (SELECT doc_id, min(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+h AS (SELECT v.*, good FROM v JOIN l USING (doc_id) WHERE NOT base_failed),
+n AS (SELECT lang, rule, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good = 1 AND val > cutoff) AS x, count(*) FILTER (good = 0 AND val > cutoff) AS y
+      FROM h, c GROUP BY ALL),
+p AS (SELECT *, n = 0 OR x > 0.005 * n OR (SELECT sum(exp(lgamma(n.n + 1) - lgamma(i + 1) - lgamma(n.n - i + 1) + i * ln(0.005) + (n.n - i) * ln(0.995)))
+                     FROM range(0, least(x, 1000) + 1) AS r(i)) > 0.05 / (4 * (SELECT count(DISTINCT coalesce(lang, '')) FROM h)) AS fails FROM n),
+q AS (SELECT *, bool_or(fails) OVER (PARTITION BY lang, rule ORDER BY cutoff DESC) AS stopped FROM p),
+u AS (SELECT lang, rule, arg_max(cutoff, (y, cutoff)) AS cutoff FROM q WHERE NOT stopped AND y > 0 GROUP BY lang, rule),
+r AS (SELECT rid, string_agg(v.rule, ',' ORDER BY nr) AS hits FROM v JOIN u ON v.rule = u.rule AND v.lang IS NOT DISTINCT FROM u.lang WHERE val > cutoff GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND hits IS NULL AS kept,
+       concat_ws(',', CASE WHEN base_failed THEN 'base' END, hits) AS rejected_by
+FROM b LEFT JOIN r USING (rid)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
