@@ -27,6 +27,8 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 #: hex digits of the hash that name a bucket
 DIGITS = 4
+#: a source table of more rows is joined by shuffle
+BROADCAST_SOURCES = 10_000
 ADDED = ("mix_size", "mix_source_size", "mix_target", "mix_taken", "mix_copies", "mix_fraction")
 
 
@@ -85,7 +87,7 @@ def mix(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS, weights: t
     }).withColumn("m_bucket", F.substring("m_key", 1, DIGITS))
     cells = cut(keyed.groupBy("m_source", "m_bucket").agg(F.sum("m_size").alias("m_size")))
     plan = cut(source_plan(cells, max_epochs, weights))
-    joined = null_safe_join(keyed, plan, ["m_source"])
+    joined = null_safe_join(keyed, F.broadcast(plan) if plan.count() <= BROADCAST_SOURCES else plan, ["m_source"])
     at_cut = F.coalesce(F.col("m_bucket") == F.col("m_cut"), F.lit(False))
     running = F.sum("m_size").over(Window.partitionBy("m_source", "m_bucket").orderBy("m_key", "doc_id", "m_size", "text").rowsBetween(Window.unboundedPreceding, 0))
     upto = F.col("m_before") + F.col("m_running")

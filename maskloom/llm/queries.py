@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import byte_bpe, mixing, quality_rules
+from maskloom.llm import byte_bpe, license_scan, mixing, quality_rules, token_counts
+from maskloom.session import cut, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -109,6 +111,75 @@ FROM b LEFT JOIN r USING (rid)
 """
 
 
+@query
+def op7_license_scan(spark, sf_dir):
+    found = license_scan.label_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+_TEMPLATE_ROWS = ", ".join(f"({i}, '{label}', '{t}')" for i, (label, t) in enumerate(license_scan.TEMPLATES))
+_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+SQL["op7_license_scan"] = f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce({_WORDS.format("text")}, []) AS ws FROM documents),
+w AS MATERIALIZED (SELECT rid, doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS pos FROM d),
+p AS (SELECT rid, pos, CASE WHEN word = 'cc' AND b = 'by' THEN 'cc-by' WHEN word = 'general' AND b = 'public' AND c = 'license' THEN 'gpl'
+             WHEN word = 'all' AND b = 'rights' AND c = 'reserved' THEN 'reserved' END AS label
+      FROM (SELECT *, lead(word) OVER o AS b, lead(word, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY rid ORDER BY pos))),
+base AS (SELECT rid, count(*)::BIGINT AS n_base, min(pos)::BIGINT AS first_word, max(pos)::BIGINT AS last_word, list(DISTINCT label) AS found FROM p WHERE label IS NOT NULL GROUP BY rid),
+t AS (SELECT template, label, unnest(list_distinct(ws)) AS word, len(list_distinct(ws)) AS size
+      FROM (SELECT template, label, {_WORDS.format("body")} AS ws FROM (VALUES {_TEMPLATE_ROWS}) AS v(template, label, body))),
+b AS (SELECT doc_id, rid, word, unnest([pos // {license_scan.STEP}, pos // {license_scan.STEP} - 1]) AS block, greatest(0, ceil((n - {license_scan.BLOCK}) / {license_scan.STEP})) AS last FROM w),
+m AS (SELECT doc_id, rid, block, label, size, count(DISTINCT b.word) AS overlap FROM b JOIN t USING (word) WHERE block BETWEEN 0 AND last
+      GROUP BY doc_id, rid, block, template, label, size HAVING count(DISTINCT b.word) >= {license_scan.CONTAINMENT} * size),
+f AS (SELECT doc_id, list(DISTINCT label) AS more, max(overlap / size) AS best FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word, array_to_string(list_sort(coalesce(found, [])), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(coalesce(found, []) || coalesce(more, []))), ',') AS labels, CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN base USING (rid) LEFT JOIN f ON f.doc_id IS NOT DISTINCT FROM d.doc_id
+"""
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def op1_token_counts(spark, sf_dir):
+    """All documents are inserted, toxic ones deleted, those labelled bad recounted without symbol-only words, then a version is added; the deletes come twice."""
+    store = token_counts.Rollup(spark, shared_folder(spark, "token-counts"))
+    text = F.regexp_replace("text", r"(?<![^\x20\x09-\x0D])[^A-Za-z0-9\x{80}-\x{10FFFF}\x20\x09-\x0D]+(?![^\x20\x09-\x0D])", "")
+    docs = cut(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", token_counts.count(F.col("text"), "words-1").alias("words"), token_counts.count(text, "words-1").alias("clean"),
+        token_counts.count(F.col("text"), "runs-2").alias("runs")))
+    labels = table(spark, sf_dir, "labels")
+    toxic = labels.where("toxic = 1").select("doc_id").distinct()
+    bad = labels.where("quality = 0").select("doc_id").distinct()
+    left = docs.join(toxic, "doc_id", "left_anti")
+    deletes = token_counts.events(docs.join(toxic, "doc_id", "left_semi"), "delete", "words-1", before=F.col("words"))
+    store.commit("insert-1", token_counts.events(docs, "insert", "words-1", after=F.col("words")))
+    store.commit("delete-1", deletes)
+    store.commit("revise-1", token_counts.events(left.join(bad, "doc_id", "left_semi"), "revise", "words-1", before=F.col("words"), after=F.col("clean")))
+    store.compact()
+    store.commit("insert-2", token_counts.events(left, "insert", "runs-2", after=F.col("runs")))
+    store.commit("delete-1", deletes)
+    return store.totals()
+
+
+SQL["op1_token_counts"] = r"""
+WITH d AS MATERIALIZED (
+  SELECT source, lang, len(ws)::BIGINT AS words, len(list_filter(ws, lambda x: regexp_matches(x, '[A-Za-z0-9\x{80}-\x{10FFFF}]')))::BIGINT AS clean,
+         coalesce(len(regexp_extract_all(text, '[A-Za-z\x{80}-\x{10FFFF}]+|[0-9]+|[^A-Za-z0-9\x{80}-\x{10FFFF}\x20\x09-\x0D]+')), 0)::BIGINT AS runs,
+         coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic, coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 0), false) AS bad
+  FROM (SELECT *, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents)),
+e AS (
+  SELECT source, lang, 'words-1' AS tokenizer_version, 1 AS n_docs, words AS n_tokens FROM d
+  UNION ALL SELECT source, lang, 'words-1', -1, -words FROM d WHERE toxic
+  UNION ALL SELECT source, lang, 'words-1', 0, clean - words FROM d WHERE bad AND NOT toxic
+  UNION ALL SELECT source, lang, 'runs-2', 1, runs FROM d WHERE NOT toxic)
+SELECT source, lang, tokenizer_version, sum(n_docs)::BIGINT AS n_docs, sum(n_tokens)::BIGINT AS n_tokens FROM e GROUP BY ALL
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
