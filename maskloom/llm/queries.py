@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import byte_bpe, license_scan, mixing, quality_rules, token_counts
+from maskloom.llm import byte_bpe, language_id, license_scan, mixing, quality_classifier, quality_rules, token_counts
 from maskloom.session import cut, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,6 +180,19 @@ SELECT source, lang, tokenizer_version, sum(n_docs)::BIGINT AS n_docs, sum(n_tok
 """
 
 
+@query
+def op10_quality_classifier(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_classifier.score(docs, table(spark, sf_dir, "labels")).select("doc_id", "log_weight", "score", "kept")
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    names, model = language_id.learn(docs, path)
+    return language_id.identify(docs.select("doc_id", "text"), names, model, path).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
