@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import byte_bpe, language_id, license_scan, mixing, quality_classifier, quality_rules, token_counts
+from maskloom.llm import byte_bpe, language_id, license_scan, mixing, ngram_join, quality_classifier, quality_rules, token_counts
 from maskloom.session import cut, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,6 +193,11 @@ def op8_language_id(spark, sf_dir):
     return language_id.identify(docs.select("doc_id", "text"), names, model, path).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op2_ngram_join(spark, sf_dir):
+    return ngram_join.components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

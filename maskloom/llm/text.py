@@ -162,7 +162,7 @@ def shingles(w: Words, size: int, whole_if_short: bool) -> tuple[np.ndarray, np.
         for m in range(1, size):
             short = np.flatnonzero(w.per_row == m)
             if len(short):
-                total = np.full(len(short), weight[size] * U64(m), U64)
+                total = np.full(len(short), int(weight[size]) * m % (1 << 64), U64)
                 for j in range(m):
                     total += w.hash[first[short] + j] * weight[j]
                 rows.append(short)
