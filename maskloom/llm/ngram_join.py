@@ -9,6 +9,10 @@ partitions. Two sets that differ in at most k shingles differ in at most ``k2``
 A subset in which a set has no shingle says nothing. A group with such a subset is blocked. ``n1`` is chosen with room, so that most sets have fewer than ``need`` blocked groups;
 then a group without a blocked subset agrees too, and the empty signatures are left out. Other sets emit them: nothing is lost.
 
+The room has a second use. Similar sets agree in at least ``need`` groups, so in more than ``spare = need - 1 - blocked`` groups they share a signature. A set that shares signatures
+with anything in at most ``spare`` groups of a band cannot be similar to anything there and leaves, without a comparison. Leaving makes buckets smaller, so this is repeated ``SIEVES`` times. It
+removes texts that only share passages.
+
 Work is linear in the signatures, whatever the size of a group of copies. Sorted by signature, a stream compares every member of a bucket with the bucket's smallest only (star). Each
 different pair is verified exactly, once, on the full sets. Components of the verified pairs follow by star contraction. Members of one component need no further comparison; only
 where members of a bucket are still in different components are they compared across components, which closes the join exactly. Copies within a batch of texts
@@ -39,10 +43,13 @@ from maskloom.session import ensure_checkpoint_dir
 SHINGLE = 5
 #: similarity as a fraction of whole numbers
 SIMILAR = (80, 100)
-#: sets of a band up to this limit use subsets of 2 of 3 partitions, larger ones 1 of 2: they have groups enough
+#: sets of a band up to this limit use subsets of 2 of 3 partitions; for larger sets many groups of one partition are as selective, with fewer signatures
 SMALL = 212
-ROOM = 0.1
+ROOM = 0.25
+SIEVES = 2
 U64 = np.uint64
+#: in a slot: not one of several signatures of a group
+ALONE = 255
 
 
 @dataclass(frozen=True)
@@ -63,7 +70,7 @@ def bands(largest: int) -> tuple[Band, ...]:
     while not out or out[-1].limit <= largest * den // num:
         u = limits[-1]
         k = 2 * u * (den - num) // (den + num)
-        k2, n2 = (0, 1) if k == 0 else (1, 3) if u <= SMALL else (1, 2)
+        k2, n2 = (0, 1) if k == 0 else (1, 3) if u <= SMALL else (0, 1)
         base = k // (k2 + 1) + 1
         n1 = base + (0 if base < 2 else 1 + int(ROOM * base))
         out.append(Band(u, n1, n2, k2, n1 - k // (k2 + 1)))
@@ -84,25 +91,21 @@ def fingerprints(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
     return out
 
 
-def signatures(row: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) for the own and the next band of each set."""
+def signatures(row: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signature, slot) for the own and the next band of each set. A slot holds spare groups, group (``ALONE``: each signature is one) and band."""
     table = bands(1 << int(sizes.max(initial=1)).bit_length())
     limits = np.array([b.limit for b in table])
     own = np.searchsorted(limits, sizes)
-    rows_out, out = [np.zeros(0, np.int64)], [np.zeros(0, U64)]
+    found = [(np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64))]
     reach = sizes * SIMILAR[1] // SIMILAR[0]
+    kinds = np.array([b.n2 for b in table])
     for step in (0, 1):
         level = own + step
         level[(sizes == 0) | ((reach <= limits[own]) if step else False)] = -1
-        for small in (True, False):
-            spec = {b for i, b in enumerate(table) if i in set(level.tolist()) and (b.n2 != 2) == small}
-            for n2, k2 in {(b.n2, b.k2) for b in spec}:
-                member = np.array([i >= 0 and (table[i].n2, table[i].k2) == (n2, k2) for i in range(len(table))] + [False])
-                chosen = member[level]
-                r, s = _of_kind(row, value, chosen, level, table, n2, k2)
-                rows_out.append(r)
-                out.append(s)
-    return np.concatenate(rows_out), np.concatenate(out)
+        for n2 in np.unique(kinds[level[level >= 0]]):
+            chosen = (level >= 0) & (kinds[level] == n2)
+            found.append(_of_kind(row, value, chosen, level, table, int(n2), 1 if n2 > 1 else 0))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _of_kind(row, value, chosen, level, table, n2, k2):
@@ -126,14 +129,18 @@ def _of_kind(row, value, chosen, level, table, n2, k2):
     owner = np.repeat(np.arange(len(mine)), n1)
     blocked = np.bincount(owner[~has.all(axis=1)], minlength=len(mine))
     emit = has | (blocked >= need)[owner][:, None]
+    spare = np.clip(need - 1 - blocked, 0, 0xFFFF)
     nth = (np.arange(base[-1]) - base[owner]).astype(U64) + level[mine][owner].astype(U64) * U64(1 << 40)
-    out_rows, out = [], []
+    inner = np.arange(base[-1]) - base[owner] if n2 > 1 else np.full(base[-1], ALONE)
+    slot = spare[owner] << 9 | inner << 1 | level[mine][owner] & 1
+    out_rows, out, slots = [], [], []
     for j, c in enumerate(subsets):
         total = sums[:, list(c)].sum(axis=1, dtype=U64)
         at = np.flatnonzero(emit[:, j])
         out_rows.append(mine[owner[at]])
         out.append(scan.mix(scan.mix(total[at] + U64(j)) + nth[at] * U64(0x9E3779B97F4A7C15)))
-    return np.concatenate(out_rows), np.concatenate(out)
+        slots.append(slot[at])
+    return np.concatenate(out_rows), np.concatenate(out), np.concatenate(slots)
 
 
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,23 +154,24 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             _, first, which = np.unique(fingerprints(row, value, part.rows), axis=0, return_index=True, return_inverse=True)
             head = first[which.ravel()]
             copy = (head != np.arange(part.rows)) & (sizes > 0)
-            r, sig = signatures(row[~copy[row]], value[~copy[row]], np.where(copy, 0, sizes))
+            r, sig, slot = signatures(row[~copy[row]], value[~copy[row]], np.where(copy, 0, sizes))
             n = int(copy.sum())
             yield pa.RecordBatch.from_pydict({
                 "sig": pa.array(np.concatenate([sig.view(np.int64), np.zeros(n, np.int64)]), mask=np.arange(len(sig) + n) >= len(sig)),
                 "doc": np.concatenate([own[r], own[copy]]),
+                "slot": np.concatenate([slot, np.zeros(n, np.int64)]).astype(np.int32),
                 "rep": pa.array(np.concatenate([np.zeros(len(sig), np.int64), own[head[copy]]]), mask=np.arange(len(sig) + n) < len(sig)),
             })
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (sig, doc): those of buckets with several documents, with the smallest of the bucket."""
-    last_sig = last_rep = last_doc = None
+    last_sig = last_rep = last_doc = rep_slot = None
     pending = False  # the first row of the open bucket waits for a second document
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, doc = batch.column("sig").to_numpy(), batch.column("doc").to_numpy()
+        sig, doc, slot = (batch.column(c).to_numpy() for c in ("sig", "doc", "slot"))
         new = np.ones(len(sig), bool)
         new[1:] = sig[1:] != sig[:-1]
         go_on = last_sig is not None and sig[0] == last_sig
@@ -181,16 +189,35 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         several = np.zeros(len(begin), bool)
         np.logical_or.at(several, which[other & (which >= 0)], True)
         heads = begin[several]
-        out_sig, out_doc, out_rep = [sig[heads], sig[other]], [doc[heads], doc[other]], [doc[heads], rep[other]]
+        out = [(sig[heads], doc[heads], slot[heads], doc[heads]), (sig[other], doc[other], slot[other], rep[other])]
         if go_on and pending and other[which < 0].any():
-            out_sig.append(np.array([last_sig]))
-            out_doc.append(np.array([last_rep]))
-            out_rep.append(np.array([last_rep]))
+            out.append(tuple(np.array([v], t) for v, t in ((last_sig, np.int64), (last_rep, np.int64), (rep_slot, np.int32), (last_rep, np.int64))))
             pending = False
         if len(begin):
-            pending = not several[-1]
+            pending, rep_slot = not several[-1], slot[begin[-1]]
         last_sig, last_rep, last_doc = sig[-1], rep[-1], doc[-1]
-        yield pa.RecordBatch.from_pydict({"sig": np.concatenate(out_sig), "doc": np.concatenate(out_doc), "rep": np.concatenate(out_rep)})
+        yield pa.RecordBatch.from_pydict(dict(zip(("sig", "doc", "slot", "rep"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+
+
+def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by document: those of documents that share signatures in more than their spare groups of a band."""
+    carry: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        rows = pa.Table.from_batches([batch]) if batch is not None else None
+        if carry is not None:
+            rows = pa.concat_tables([carry, rows]) if rows is not None else carry
+        if rows is None or not rows.num_rows:
+            continue
+        doc = rows["doc"].to_numpy()
+        end = len(doc) if batch is None else int(np.searchsorted(doc, doc[-1]))  # the last document may go on
+        carry, rows = rows.slice(end), rows.slice(0, end)
+        if not end:
+            continue
+        doc, slot = doc[:end], rows["slot"].to_numpy().astype(np.int64)
+        band = np.unique(np.stack([doc, slot & 1]), axis=1, return_inverse=True)[1].ravel()
+        group = np.where(slot >> 1 & 0xFF == ALONE, 256 + np.arange(end), slot >> 1 & 0xFF)
+        once = np.unique(np.stack([band, group]), axis=1)[0]
+        yield from rows.filter(pa.array(np.bincount(once)[band] > slot >> 9)).to_batches()
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,6 +246,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "linked": linked})
 
 
+ROWS = "sig long, doc long, slot int, rep long"
+
+
 class Stored:
     """Intermediate tables in the shared folder, removed when no longer read."""
 
@@ -253,16 +283,25 @@ def links_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(verified pairs (a, b) that connect all similar documents, component of every document that has a link: node, label)."""
     store = Stored(docs.sparkSession)
     own = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = own.mapInArrow(_signature_rows, "sig long, doc long, rep long")
-    # one shuffle by signature; link rows are spread by document
-    dealt = rows.repartition(F.coalesce("sig", F.xxhash64("doc"))).sortWithinPartitions("sig", "doc")
-    members = store.put(dealt.mapInArrow(_bucket_rows, "sig long, doc long, rep long"), "members")
+    rows = own.mapInArrow(_signature_rows, ROWS)
+    copies = None
+    for turn in range(SIEVES + 1):
+        # link rows, without a signature, are spread by document
+        dealt = rows.repartition(F.coalesce("sig", F.xxhash64("doc"))).sortWithinPartitions("sig", "doc")
+        members = store.put(dealt.mapInArrow(_bucket_rows, ROWS), f"members-{turn}")
+        if turn:
+            store.drop(f"members-{turn - 1}")
+        else:
+            copies = store.put(members.where("sig IS NULL"), "copies")
+        if turn < SIEVES:
+            rows = members.where("sig IS NOT NULL").repartition("doc").sortWithinPartitions("doc").mapInArrow(_sieve, ROWS)
+    members = members.where("sig IS NOT NULL")
     pair = (F.least("doc", "rep").alias("a"), F.greatest("doc", "rep").alias("b"))
-    first = store.put(members.where("doc <> rep").select(*pair).distinct(), "pairs-1")
+    first = store.put(members.where("doc <> rep").select(*pair).unionByName(copies.select(*pair)).where("a <> b").distinct(), "pairs-1")
     checked = _verify(store, first, own, "round-1")
     components = contract(checked.where("linked").select("a", "b"), [])
     # buckets whose members are still apart
-    placed = members.where(F.col("sig").isNotNull()).join(components, members["doc"] == components["node"], "left").select(
+    placed = members.join(components, members["doc"] == components["node"], "left").select(
         "sig", "doc", F.coalesce("label", "doc").alias("part"))
     placed = store.put(placed, "placed")
     apart = placed.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("sig")
@@ -272,7 +311,7 @@ def links_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     second = store.put(across, "pairs-2")
     more = _verify(store, second, own, "round-2")
     links = checked.unionByName(more).where("linked").select("a", "b")
-    store.drop("members", "placed", "left", "pairs-1", "pairs-2")
+    store.drop(f"members-{SIEVES}", "copies", "placed", "left", "pairs-1", "pairs-2")
     return links, contract(links, [])
 
 
