@@ -33,7 +33,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from maskloom.llm import text as scan
@@ -344,6 +344,19 @@ def components(docs: DataFrame) -> DataFrame:
         "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
+def representatives(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows of documents that have a similar one of smaller id; rows without words or id stay. Of rows with one id the first by text and other columns stays."""
+    _, parts = links_and_components(docs)
+    dropped = parts.where("node <> label").select(F.col("node").alias("j_id"))
+    kept = docs.join(dropped, F.col("doc_id") == F.col("j_id"), "left_anti")
+    twice = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("j_id"))
+    if twice.isEmpty():
+        return kept
+    order = Window.partitionBy("doc_id").orderBy("text", *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")])
+    again = kept.join(twice, F.col("doc_id") == F.col("j_id"), "left_semi").withColumn("j_nth", F.row_number().over(order)).where("j_nth = 1").drop("j_nth")
+    return kept.join(twice, F.col("doc_id") == F.col("j_id"), "left_anti").unionByName(again)
+
+
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in scan.chunks(batch.column("text")):
