@@ -11,7 +11,8 @@ ever sorted together.
 
 Defined cases: a null text or a text without words has size 0 and is taken 0 times; a null source is a source of its own, last in order;
 equal rows are separate rows with equal hashes, cut in any order (the taken amounts are the same); an empty table gives no
-rows; a null id hashes as the word null. Columns named ``mix_*`` in the input are replaced, all others are kept.
+rows; a null id hashes as the word null. The added ``mix_*`` columns replace those of the input; others are kept, but for
+the working names ``m_*``.
 """
 
 from __future__ import annotations
@@ -70,7 +71,8 @@ def source_plan(cells: DataFrame, max_epochs: int, weights: tuple[int, ...]) ->
     found = null_safe_join(before, goal.select("m_source", "m_extra"), ["m_source"]).where(
         (F.col("m_before") < F.col("m_extra")) & (F.col("m_before") + F.col("m_size") >= F.col("m_extra")))
     cuts = found.groupBy("m_source").agg(F.min("m_bucket").alias("m_cut"), F.min("m_before").alias("m_before"))
-    return null_safe_join(goal.select("m_source", "source_size", "target", "m_copies", "m_extra"), cuts, ["m_source"], "left")
+    one = goal.select("m_source", F.col("source_size").alias("m_source_size"), F.col("target").alias("m_target"), "m_copies", "m_extra")
+    return null_safe_join(one, cuts, ["m_source"], "left")
 
 
 def mix(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -80,7 +82,7 @@ def mix(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS, weights: t
     copies, ``mix_fraction`` words of one further, partial copy, ``mix_taken`` words in all. A whole number for
     ``max_epochs`` keeps every text at or below that many times its size.
     """
-    own = docs.drop(*ADDED)
+    own = docs.drop(*ADDED, *[c for c in docs.columns if c.startswith("m_")])
     keyed = own.withColumns({
         "m_size": word_count(F.col("text")), "m_source": F.col("source").cast("string"),
         "m_key": F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))),
@@ -98,7 +100,7 @@ def mix(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS, weights: t
     size, more = F.col("m_size"), F.col("m_more")
     return rows.select(
         *[F.col(f"`{c}`") for c in own.columns],
-        size.alias("mix_size"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"),
+        size.alias("mix_size"), F.col("m_source_size").alias("mix_source_size"), F.col("m_target").alias("mix_target"),
         (F.col("m_copies") * size + more).alias("mix_taken"),
         F.when(size == 0, 0).otherwise(F.col("m_copies") + (more == size).cast("long")).alias("mix_copies"),
         F.when(more < size, more).otherwise(0).cast("long").alias("mix_fraction"),
