@@ -249,7 +249,7 @@ def identify(docs: DataFrame, names: list[str], model: np.ndarray, path: str, wi
             texts: list = []
             found: list = []
             size = 0
-            for part in scan.chunks(column):
+            for part in scan.chunks(column) if names else ():
                 data, row, start, end = text_words(part)
                 own = slice(part.first, part.first + part.rows)
                 for out, flag in ((letters, (data >= 97) & (data <= 122)), (high, data >= 128)):
