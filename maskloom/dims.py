@@ -42,12 +42,41 @@ STYLES = [
     "flat", "cel", "soft_cel", "pixel", "painterly",
     "sketch", "ink_wash", "watercolor", "unlit", "textured",
 ]
-# Camera angle name and azimuth, eye level.
-ANGLES = {
-    "front": 0, "front_22": 22, "three_quarter": 45, "three_quarter_67": 67, "side": 90,
-    "side_112": 112, "three_quarter_back": 135, "three_quarter_back_157": 157, "back": 180,
-    "three_quarter_back_left": 225, "side_left": 270, "three_quarter_left": 315,
+# Camera angle name, azimuth and elevation in degrees.
+CAMERA_ANGLES = {
+    "front": (0, 0),
+    "front_22": (22, 0),
+    "three_quarter": (45, 0),
+    "three_quarter_67": (67, 0),
+    "side": (90, 0),
+    "side_112": (112, 0),
+    "three_quarter_back": (135, 0),
+    "three_quarter_back_157": (157, 0),
+    "back": (180, 0),
+    "three_quarter_back_left": (225, 0),
+    "side_left": (270, 0),
+    "three_quarter_left": (315, 0),
+    "front_high": (0, 25),
+    "three_quarter_high": (45, 25),
+    "side_high": (90, 25),
+    "back_high": (180, 25),
+    "front_low": (0, -15),
+    "three_quarter_low": (45, -15),
+    "side_low": (90, -15),
+    "iso_front": (0, 35),
+    "iso_front_right": (45, 35),
+    "iso_right": (90, 35),
+    "iso_back_right": (135, 35),
+    "iso_back": (180, 35),
+    "iso_back_left": (225, 35),
+    "iso_left": (270, 35),
+    "iso_front_left": (315, 35),
+    "topdown_front": (0, 60),
+    "topdown_right": (90, 60),
+    "topdown_back": (180, 60),
+    "topdown_left": (270, 60),
 }
+ANGLES = {name: azimuth for name, (azimuth, _) in CAMERA_ANGLES.items()}
 ASSET_SOURCES = ["mixamo", "quaternius", "kenney", "sketchfab"]
 SPLIT_RATIOS = {"train": 0.8, "val": 0.1, "test": 0.1}
 RESOLUTION = 512

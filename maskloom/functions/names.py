@@ -24,20 +24,27 @@ def _alternation(names: Iterable[str]) -> str:
 
 
 def stem_pattern(styles: Iterable[str] = dims.STYLES, angles: Iterable[str] = dims.ANGLES) -> str:
-    """``{char}_pose_{nn}[_{angle}]_{style}``; the longest angle and style name wins."""
-    return rf"^(.+)_pose_(\d{{2}}).*?(?:_({_alternation(angles)}))?_({_alternation(styles)})$"
+    """``{char}_pose_{nn}[_{angle}]_{style}``; the longest angle and style name wins. Group 3 is text that belongs to neither."""
+    return rf"^(.+)_pose_(\d{{2}})(.*?)(?:_({_alternation(angles)}))?_({_alternation(styles)})$"
 
 
 def parse_stem(stem: str = "stem") -> dict[str, Column]:
+    """Parts of a stem. No angle means ``front``; an angle that is not in the list gives NULL (see ``unknown_angles``)."""
     pattern = stem_pattern()
     part = lambda i: F.nullif(F.regexp_extract(stem, pattern, i), F.lit(""))
     parsed = part(1).isNotNull()
     return {
         "p_char": part(1), "p_pose": part(2),
-        "p_angle": F.when(parsed, F.coalesce(part(3), F.lit("front"))), "p_style": part(4),
+        "p_angle": F.when(parsed, F.coalesce(part(4), F.when(part(3).isNull(), F.lit("front")))), "p_style": part(5),
     }
 
 
+def unknown_angle(stem: str = "stem") -> Column:
+    """The name in the place of the angle when it is none of the list, else NULL."""
+    rest = F.nullif(F.regexp_extract(stem, stem_pattern(), 3), F.lit(""))
+    return F.when(F.regexp_extract(stem, stem_pattern(), 4) == "", F.ltrim(rest, F.lit("_")))
+
+
 def strip_style(stem: Column, styles: Iterable[str] = dims.STYLES) -> Column:
     return F.regexp_replace(stem, rf"_({_alternation(styles)})$", "")
 

@@ -6,7 +6,6 @@ import math
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -170,10 +169,10 @@ def complete_view_sets(views: DataFrame, required: Sequence[str], keys: Sequence
 def view_triplets(views: DataFrame, keys: Sequence[str] = ("char_id",)) -> DataFrame:
     """(source a, source b, target) for every target and pair of other views of a character.
 
-    A character has one row per angle of the fixed angle list, so its views are a short array.
+    Views of one angle count once, so the views of a character are a short array, whatever the angles are called.
     Two views give two degenerate triplets, one view none.
     """
-    one = views.where(F.col("angle").isin(list(dims.ANGLES))).groupBy(*keys, "angle").agg(F.min("path").alias("path"))
+    one = views.where(F.col("angle").isNotNull()).groupBy(*keys, "angle").agg(F.min("path").alias("path"))
     g = one.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("angle", "path"))).alias("v")).withColumn("n", F.size("v"))
     many = g.where("n >= 3").select(*keys, "v", F.posexplode("v").alias("ti", "target"))
     many = many.select(*keys, "v", "ti", "target", F.posexplode("v").alias("ai", "a")).where("ai <> ti")
@@ -380,8 +379,11 @@ def augmentation_grid(items: DataFrame, scales: Sequence[float] = (0.85, 1.0, 1.
 
 def render_plan(chars: DataFrame, done: DataFrame, poses: int, angles: Sequence[str], styles: Sequence[str]) -> DataFrame:
     """Character x pose x angle x style still to render; the dimensions are fixed lists."""
-    grid = F.array(*[F.struct(F.lit(p).alias("pose"), F.lit(a).alias("angle"), F.lit(s).alias("style")) for p, a, s in product(range(poses), angles, styles)])
-    plan = chars.select("char_id", F.explode(grid).alias("_plan")).select("char_id", "_plan.*")
+    plan = chars.select("char_id")
+    if poses < 1:
+        plan = plan.limit(0)
+    for name, values in (("pose", F.sequence(F.lit(0), F.lit(max(0, poses - 1)))), ("angle", F.array(*map(F.lit, angles))), ("style", F.array(*map(F.lit, styles)))):
+        plan = plan.withColumn(name, F.explode(values))
     return plan.join(done.select("char_id", "pose", "angle", "style"), ["char_id", "pose", "angle", "style"], "left_anti")
 
 
@@ -392,7 +394,7 @@ def prompt_rotation(ids: DataFrame, index: str, axes: Mapping[str, tuple[Sequenc
 
 
 def prompt_grid(ids: DataFrame, index: str, axes: Mapping[str, Sequence[str]], seed: int = 42) -> DataFrame:
-    """Distinct attribute combinations: a step coprime to the number of combinations visits each once."""
+    """Attribute combinations: a step coprime to their number visits each once before any comes again; ``cycle`` counts the rounds."""
     total = math.prod(len(v) for v in axes.values())
     step = next(s for s in range(int(total * 0.618) + seed % 7 + 1, 2 * total + 2) if math.gcd(s, total) == 1)
     place = (F.col(index).cast("long") * step + seed) % total
@@ -401,4 +403,4 @@ def prompt_grid(ids: DataFrame, index: str, axes: Mapping[str, Sequence[str]], s
         at = F.floor(place / base) % len(values)
         cols.append(F.element_at(F.array(*[F.lit(v) for v in values]), (at + 1).cast("int")).alias(name))
         base *= len(values)
-    return ids.where(F.col(index) < total).select(index, *cols)
+    return ids.select(index, *cols, F.floor(F.col(index) / total).cast("long").alias("cycle"))

@@ -32,17 +32,18 @@ def apparent_vs_true_pairs(apparent: DataFrame, truth: DataFrame) -> DataFrame:
     """Visible 2-D measurements with the 3-D truth of the same character and region."""
     seen = apparent.where("visible").select("char_id", "pose", "angle", "region", "apparent_width", "apparent_height", "pixel_count")
     t = truth.select("char_id", "region", F.col("width").alias("true_width"), F.col("depth").alias("true_depth"), F.col("height").alias("true_height"))
-    azimuth = F.create_map(*[x for name, deg in dims.ANGLES.items() for x in (F.lit(name), F.lit(deg))])
-    return seen.join(t, ["char_id", "region"]).withColumn("azimuth", F.try_element_at(azimuth, F.col("angle")))
+    degrees = F.create_map(*[x for name, (a, e) in dims.CAMERA_ANGLES.items() for x in (F.lit(name), F.struct(F.lit(a).alias("azimuth"), F.lit(e).alias("elevation")))])
+    found = F.try_element_at(degrees, F.col("angle"))
+    return seen.join(t, ["char_id", "region"]).withColumn("azimuth", found["azimuth"]).withColumn("elevation", found["elevation"])
 
 
 def angle_pairs(measured: DataFrame, min_pixels: int = 50) -> DataFrame:
     """Views a < b of the same character, pose and region that both show it.
 
-    A region has one row per angle of the fixed angle list, so a group is a short array and
-    its pairs are unfolded in place.
+    Rows of one angle count once, so a region has a short array of views and its pairs are
+    unfolded in place.
     """
-    known = measured.where(F.col("visible") & (F.col("pixel_count") >= min_pixels) & F.col("angle").isin(list(dims.ANGLES)))
+    known = measured.where(F.col("visible") & (F.col("pixel_count") >= min_pixels) & F.col("angle").isNotNull())
     per = known.groupBy(*VIEW, "region", "angle").agg(F.max("pixel_count").alias("pixels"))
     views = F.array_sort(F.collect_list(F.struct("angle", "pixels"))).alias("v")
     g = per.groupBy(*VIEW, "region").agg(views).where(F.size("v") > 1)

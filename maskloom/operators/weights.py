@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom import dims
+from maskloom.functions.bone_tables import PRIMARY_WORDS
 from maskloom.functions.names import reasons
 
 VERTEX = ["example_id", "vertex"]
@@ -91,21 +92,11 @@ def companion_mesh_detect(parts: DataFrame, vertices: DataFrame, words: Sequence
     return df.select("model", "part", "name", why.alias("reasons"), (F.size(why) > 0).alias("is_accessory"))
 
 
-# Words that mark the main bone of a region, in order of preference.
-PRIMARY_WORDS = {
-    1: "Head", 2: "Neck", 3: "Spine2", 4: "Spine1", 5: "Hips",
-    6: "LeftShoulder shoulder.L clavicle.L", 7: "LeftArm upper_arm.L L_upperarm", 8: "LeftForeArm forearm.L L_forearm", 9: "LeftHand hand.L L_hand",
-    10: "RightShoulder shoulder.R clavicle.R", 11: "RightArm upper_arm.R R_upperarm", 12: "RightForeArm forearm.R R_forearm", 13: "RightHand hand.R R_hand",
-    14: "LeftUpLeg thigh.L L_thigh", 15: "LeftLeg shin.L L_calf", 16: "LeftFoot foot.L L_foot",
-    17: "RightUpLeg thigh.R R_thigh", 18: "RightLeg shin.R R_calf", 19: "RightFoot foot.R R_foot",
-}
-
-
 def select_primary(bones: DataFrame, order: str = "k", keys: Sequence[str] = ("rig",)) -> DataFrame:
     """One bone per region: the first keyword hit in preference order, else the first listed."""
     rank = F.lit(99)
     for region, words in PRIMARY_WORDS.items():
-        hits = F.coalesce(*[F.when(F.contains(F.lower("name"), F.lit(w.lower())), F.lit(i)) for i, w in enumerate(words.split())], F.lit(99))
+        hits = F.coalesce(*[F.when(F.contains(F.lower("name"), F.lit(w.lower())), F.lit(i)) for i, w in enumerate(words)], F.lit(99))
         rank = F.when(F.col("region") == region, hits).otherwise(rank)
     df = bones.where(F.col("region").between(1, 19)).withColumn("_rank", rank)
     return df.groupBy(*keys, "region").agg(F.min_by("name", F.struct("_rank", order)).alias("name"))

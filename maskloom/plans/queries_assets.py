@@ -378,8 +378,8 @@ _GAX = {"style": dims.STYLES, "region": dims.JOINT_NAMES, "angle": list(dims.ANG
 _TOTAL = len(dims.STYLES) * 19 * len(dims.ANGLES)
 
 
-@query(f"""SELECT p_partkey, {_pick(dims.STYLES, 'z')} AS style, {_pick(dims.JOINT_NAMES, 'z // 10')} AS region, {_pick(list(dims.ANGLES), 'z // 190')} AS angle
-FROM (SELECT p_partkey, (p_partkey * 1411 + 42) % {_TOTAL} AS z FROM part WHERE p_partkey < {_TOTAL})""")
+@query(f"""SELECT p_partkey, {_pick(dims.STYLES, 'z')} AS style, {_pick(dims.JOINT_NAMES, 'z // 10')} AS region, {_pick(list(dims.ANGLES), 'z // 190')} AS angle, p_partkey // {_TOTAL} AS cycle
+FROM (SELECT p_partkey, (p_partkey * 3641 + 42) % {_TOTAL} AS z FROM part)""")
 def prompt_grid(t):
     return A.prompt_grid(t.part, "p_partkey", _GAX)
 

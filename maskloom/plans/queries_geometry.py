@@ -12,6 +12,7 @@ from maskloom.operators import layers as L
 from maskloom.operators import masks as M
 from maskloom.operators import measurements as X
 from maskloom.plans.catalog import query
+from maskloom.plans.tables import VIEW_ANGLES
 from maskloom.session import cut
 
 _R6 = lambda df, *cols: df.withColumns({c: F.round(c, 6) for c in cols})
@@ -128,7 +129,7 @@ def region_geometry_3d(t):
     return _m3(t)
 
 
-_VIEWS = """SELECT concat('c', CAST(CAST(floor(example_id / 3) AS BIGINT) AS STRING)) AS char_id, 0 AS pose, CASE mod(example_id, 3) WHEN 0 THEN 'front' WHEN 1 THEN 'side' ELSE 'back' END AS angle, y, x0, len, class_id FROM v_runs"""
+_VIEWS = f"""SELECT concat('c', CAST(CAST(floor(example_id / 3) AS BIGINT) AS STRING)) AS char_id, 0 AS pose, CASE WHEN mod(floor(example_id / 3), 5) < 4 THEN CASE mod(example_id, 3) WHEN 0 THEN 'front' WHEN 1 THEN 'side' ELSE 'back' END ELSE split_part('{VIEW_ANGLES}', ',', CAST(1 + mod(example_id + floor(example_id / 15), 32) AS INT)) END AS angle, y, x0, len, class_id FROM v_runs"""
 _M2 = f"""vw AS ({_VIEWS}), s2 AS (SELECT char_id, pose, angle, class_id, CAST(sum(len) AS BIGINT) AS pixel_count, CAST(max(x0 + len) - min(x0) AS INT) AS apparent_width, CAST(max(y) - min(y) + 1 AS INT) AS apparent_height FROM vw GROUP BY 1, 2, 3, 4),
 m2 AS (SELECT e.char_id, e.pose, e.angle, c.class_name AS region, coalesce(pixel_count, 0) AS pixel_count, coalesce(apparent_width, 0) AS apparent_width, coalesce(apparent_height, 0) AS apparent_height, pixel_count IS NOT NULL AS visible
  FROM (SELECT DISTINCT char_id, pose, angle FROM s2) e CROSS JOIN v_classes c LEFT JOIN s2 ON s2.char_id = e.char_id AND s2.angle = e.angle AND s2.class_id = c.class_id WHERE c.class_id > 0)"""
@@ -138,8 +139,20 @@ def _m2(t):
     return M.region_geometry_2d(t.sql(_VIEWS), ["char_id", "pose", "angle"])
 
 
-@query(f"""WITH {_M2}, {_M3} SELECT m2.char_id, pose, angle, m2.region, apparent_width, apparent_height, pixel_count, width AS true_width, depth AS true_depth, height AS true_height,
- CASE angle WHEN 'front' THEN 0 WHEN 'side' THEN 90 ELSE 180 END AS azimuth FROM m2 JOIN m3 ON m3.char_id = m2.char_id AND m3.region = m2.region WHERE visible""")
+#: angle, azimuth, elevation for the check SQL, independent of ``dims``
+_DEGREES = """
+('front', 0, 0), ('front_22', 22, 0), ('three_quarter', 45, 0), ('three_quarter_67', 67, 0), ('side', 90, 0), ('side_112', 112, 0),
+('three_quarter_back', 135, 0), ('three_quarter_back_157', 157, 0), ('back', 180, 0), ('three_quarter_back_left', 225, 0), ('side_left', 270, 0),
+('three_quarter_left', 315, 0), ('front_high', 0, 25), ('three_quarter_high', 45, 25), ('side_high', 90, 25), ('back_high', 180, 25), ('front_low', 0,
+-15), ('three_quarter_low', 45, -15), ('side_low', 90, -15), ('iso_front', 0, 35), ('iso_front_right', 45, 35), ('iso_right', 90, 35),
+('iso_back_right', 135, 35), ('iso_back', 180, 35), ('iso_back_left', 225, 35), ('iso_left', 270, 35), ('iso_front_left', 315, 35), ('topdown_front',
+0, 60), ('topdown_right', 90, 60), ('topdown_back', 180, 60), ('topdown_left', 270, 60)
+"""
+
+
+@query(f"""WITH {_M2}, {_M3}, dg AS (SELECT * FROM (VALUES {_DEGREES}) AS v(angle, azimuth, elevation))
+SELECT m2.char_id, pose, m2.angle, m2.region, apparent_width, apparent_height, pixel_count, width AS true_width, depth AS true_depth, height AS true_height,
+ azimuth, elevation FROM m2 JOIN m3 ON m3.char_id = m2.char_id AND m3.region = m2.region LEFT JOIN dg ON dg.angle = m2.angle WHERE visible""")
 def apparent_vs_true_pairs(t):
     return X.apparent_vs_true_pairs(_m2(t), _m3(t))
 

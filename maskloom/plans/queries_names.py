@@ -6,21 +6,31 @@ from pyspark.sql import functions as F
 
 from maskloom import dims
 from maskloom.functions import bones as B
+from maskloom.functions.bone_tables import MATERIAL_RULES
 from maskloom.functions import names as N
 from maskloom.plans.catalog import query
+from maskloom.plans.tables import VIEW_ANGLES
 
-_ANG = "|".join(dims.longest_first(list(dims.ANGLES)))
+_ANG = "|".join(sorted(VIEW_ANGLES.split(",")[:-1], key=lambda a: (-len(a), a)))
 _STY = "|".join(dims.longest_first(dims.STYLES))
 
 
 @query(rf"""
-WITH m AS (SELECT doc_id, stem, '^(.+)_pose_(\d{{2}}).*?(?:_({_ANG}))?_({_STY})$' AS p FROM v_assets)
+WITH m AS (SELECT doc_id, stem, '^(.+)_pose_(\d{{2}})(.*?)(?:_({_ANG}))?_({_STY})$' AS p FROM v_assets)
 SELECT doc_id, stem, nullif(regexp_extract(stem, p, 1), '') AS p_char, nullif(regexp_extract(stem, p, 2), '') AS p_pose,
-  coalesce(nullif(regexp_extract(stem, p, 3), ''), 'front') AS p_angle, nullif(regexp_extract(stem, p, 4), '') AS p_style FROM m""")
+  CASE WHEN regexp_matches(stem, p) THEN coalesce(nullif(regexp_extract(stem, p, 4), ''), CASE WHEN regexp_extract(stem, p, 3) = '' THEN 'front' END) END AS p_angle, nullif(regexp_extract(stem, p, 5), '') AS p_style FROM m""")
 def parse_stem(t):
     return t.v_assets.select("doc_id", "stem").withColumns(N.parse_stem("stem"))
 
 
+@query(rf"""
+WITH m AS (SELECT stem, '^(.+)_pose_(\d{{2}})(.*?)(?:_({_ANG}))?_({_STY})$' AS p FROM v_assets)
+SELECT regexp_extract(stem, p, 3)[2:] AS name, count(*) AS n FROM m WHERE regexp_matches(stem, p) AND regexp_extract(stem, p, 4) = '' AND regexp_extract(stem, p, 3) <> '' GROUP BY 1""")
+def unknown_angles(t):
+    """Report of names in the place of an angle that the list does not have."""
+    return t.v_assets.select(N.unknown_angle("stem").alias("name")).where("name IS NOT NULL").groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
 _IDS = """
 SELECT doc_id, CASE mod(doc_id, 6) WHEN 0 THEN stem WHEN 1 THEN concat('humanrig_', CAST(doc_id AS STRING), '_t_pose_01_front')
   WHEN 2 THEN concat('fbanimehq_', CAST(n AS STRING), '_', CAST(doc_id AS STRING)) WHEN 3 THEN concat('stdgen_', CAST(n AS STRING), '_front')
@@ -85,7 +95,7 @@ def tokenize_name(t):
     return t.v_names.select("k", "name", F.array_join(N.tokenize_name(F.col("name")), "|").alias("tokens"))
 
 
-_RULES = [*B.material_rules(), (r"\bred\b", "accessory")]
+_RULES = [*MATERIAL_RULES, (r"\bred\b", "accessory")]
 
 
 @query(f"""SELECT k, name, CASE {" ".join(f"WHEN regexp_matches(name, '(?i){p}') THEN '{r}'" for p, r in _RULES)} ELSE 'UNMAPPED' END AS region,
@@ -122,7 +132,7 @@ def load_overrides(t):
 _CASCADE = f"""
 WITH {_TOKENS}, {_OVERRIDE_SQL},
 look(name, region, method) AS (VALUES {_sql_lookup(B.lookup_rows())}),
-ali(name, region) AS (VALUES {", ".join(f"('{n}', {r})" for n, r in B.alias_names().items())}),
+ali(name, region) AS (VALUES {", ".join(f"('{n}', {r})" for n, r in B.ALIASES.items())}),
 kw(i, words, region) AS (VALUES {", ".join(f"({i}, {_words(w)}, {r})" for i, (w, r) in enumerate(B.KEYWORD_RULES))}),
 fz(i, words, region) AS (VALUES {", ".join(f"({i}, {_words(w)}, {r})" for i, (w, r) in enumerate(B.FUZZY_RULES))}),
 u AS (SELECT DISTINCT name, tokens, string_split_regex(lower(name), '[_.\\-\\s]+') AS raw, regexp_replace(name, '{_PREFIX}', '') AS bare FROM tok),

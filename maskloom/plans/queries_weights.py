@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskloom.functions.bones import ACCESSORY_WORDS, KEYWORD_RULES  # noqa: F401
+from maskloom.functions.bone_tables import ACCESSORY_WORDS, PRIMARY_WORDS
 from maskloom.operators import weights as W
 from maskloom.plans.catalog import query
 
@@ -71,8 +71,8 @@ def companion_mesh_detect(t):
 
 def _primary_sql():
     cases = " ".join(
-        f"WHEN region = {r} THEN CASE " + " ".join(f"WHEN contains(lower(name), '{w.lower()}') THEN {i}" for i, w in enumerate(words.split())) + " ELSE 99 END"
-        for r, words in W.PRIMARY_WORDS.items()
+        f"WHEN region = {r} THEN CASE " + " ".join(f"WHEN contains(lower(name), '{w.lower()}') THEN {i}" for i, w in enumerate(words)) + " ELSE 99 END"
+        for r, words in PRIMARY_WORDS.items()
     )
     return f"CASE {cases} ELSE 99 END"
 

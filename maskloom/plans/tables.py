@@ -21,6 +21,13 @@ GIVEN = [
 
 _STYLES = ",".join(dims.STYLES)
 
+#: angle names of the stand-in views, written out so that the check SQL does not depend on ``dims``; the last is no known angle
+VIEW_ANGLES = (
+    "front,front_22,three_quarter,three_quarter_67,side,side_112,three_quarter_back,three_quarter_back_157,back,three_quarter_back_left,side_left,"
+    "three_quarter_left,front_high,three_quarter_high,side_high,back_high,front_low,three_quarter_low,side_low,iso_front,iso_front_right,iso_right,"
+    "iso_back_right,iso_back,iso_back_left,iso_left,iso_front_left,topdown_front,topdown_right,topdown_back,topdown_left,worms_eye"
+)
+
 VIEW_SQL: dict[str, str] = {
     "v_classes": dims.classes_values_sql(),
     # mask regions: class id 0 is background, `len` is a pixel count
@@ -98,16 +105,17 @@ VIEW_SQL: dict[str, str] = {
                CASE WHEN mod(doc_id, 26) = 5 THEN 512 ELSE 512 - mod(doc_id, 2) * CASE WHEN mod(doc_id, 13) = 5 THEN 256 ELSE 0 END END AS height,
                mod(n * 8 + pose * 4 + ai, 9) <> 0 AS has_mask, mod(n + pose, 5) <> 0 AS has_joints,
                mod(n, 6) <> 0 AS has_source
-        FROM (SELECT doc_id, lang, n_chars, source, n, pose, ai,
-                     split_part('front,three_quarter,side,back', ',', CAST(ai + 1 AS INT)) AS angle,
-                     CASE WHEN ai = 0 THEN '' ELSE concat('_', split_part('front,three_quarter,side,back', ',', CAST(ai + 1 AS INT))) END AS tail,
+        FROM (SELECT doc_id, lang, n_chars, source, n, pose, ai, angle,
+                     CASE WHEN ai = 0 AND angle = 'front' THEN '' ELSE concat('_', angle) END AS tail,
                      split_part('{_STYLES}', ',', CAST(1 + mod(doc_id + n * 3, 10) AS INT)) AS style,
                      split_part('mixamo,quaternius,kenney,sketchfab,custom', ',', CAST(1 + mod(n, 5) AS INT)) AS prefix,
                      lpad(CAST(n AS STRING), 9, '0') AS digits
-              FROM (SELECT doc_id, lang, n_chars, source, CAST(floor(doc_id / 24) AS BIGINT) AS n,
-                           CAST(floor(mod(doc_id, 24) / 12) AS BIGINT) AS pose,
-                           CAST(floor(mod(doc_id, 12) / 3) AS BIGINT) AS ai
-                    FROM documents) AS a) AS b""",
+              FROM (SELECT *, CASE WHEN mod(n, 4) = 3 THEN split_part('{VIEW_ANGLES}', ',', CAST(1 + mod(floor(n / 4) * 4 + ai, 32) AS INT))
+                                   ELSE split_part('front,three_quarter,side,back', ',', CAST(ai + 1 AS INT)) END AS angle
+                    FROM (SELECT doc_id, lang, n_chars, source, CAST(floor(doc_id / 24) AS BIGINT) AS n,
+                                 CAST(floor(mod(doc_id, 24) / 12) AS BIGINT) AS pose,
+                                 CAST(floor(mod(doc_id, 12) / 3) AS BIGINT) AS ai
+                          FROM documents) AS a) AS c) AS b""",
     "v_masks": "SELECT DISTINCT view_key, char_id, prefix FROM v_assets WHERE has_mask",
     "v_joint_files": "SELECT DISTINCT pose_key, char_id FROM v_assets WHERE has_joints",
     "v_sources": """

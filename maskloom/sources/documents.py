@@ -121,12 +121,23 @@ def scan_label_tool_polygons(docs: DataFrame) -> DataFrame:
 
 
 # The line formats of training logs, tried in this order, with their metric names.
-_NUM, _LR = r"([\d.]+)", r"([\d.e+-]+)"
 LOG_FORMATS = {
-    "segmentation": (rf"Epoch (\d+)/(\d+) .+ train_loss={_NUM}, val_loss={_NUM}, mIoU={_NUM}, lr={_LR}", ["train_loss", "val_loss", "miou", "lr"]),
-    "joints": (rf"Epoch (\d+)/(\d+) .+ train_loss={_NUM}, val_loss={_NUM}, mean_err={_NUM}, pres_acc={_NUM}, lr={_LR}", ["train_loss", "val_loss", "mean_err", "pres_acc", "lr"]),
-    "weights": (rf"Epoch (\d+)/(\d+) .+ train_loss={_NUM}, val_loss={_NUM}, mae={_NUM}, conf_acc={_NUM}, lr={_LR}", ["train_loss", "val_loss", "mae", "conf_acc", "lr"]),
-    "inpainting": (rf"Epoch (\d+)/(\d+) .+ lr={_LR} \| train/l1={_NUM} \| val/l1={_NUM} \| val/loss={_NUM}", ["lr", "train_l1", "val_l1", "val_loss"]),
+    "segmentation": (
+        r"Epoch (\d+)/(\d+) .+ train_loss=([\d.]+), val_loss=([\d.]+), mIoU=([\d.]+), lr=([\d.e+-]+)",
+        ["train_loss", "val_loss", "miou", "lr"],
+    ),
+    "joints": (
+        r"Epoch (\d+)/(\d+) .+ train_loss=([\d.]+), val_loss=([\d.]+), mean_err=([\d.]+), pres_acc=([\d.]+), lr=([\d.e+-]+)",
+        ["train_loss", "val_loss", "mean_err", "pres_acc", "lr"],
+    ),
+    "weights": (
+        r"Epoch (\d+)/(\d+) .+ train_loss=([\d.]+), val_loss=([\d.]+), mae=([\d.]+), conf_acc=([\d.]+), lr=([\d.e+-]+)",
+        ["train_loss", "val_loss", "mae", "conf_acc", "lr"],
+    ),
+    "inpainting": (
+        r"Epoch (\d+)/(\d+) .+ lr=([\d.e+-]+) \| train/l1=([\d.]+) \| val/l1=([\d.]+) \| val/loss=([\d.]+)",
+        ["lr", "train_l1", "val_l1", "val_loss"],
+    ),
 }
 
 

@@ -220,9 +220,9 @@ def test_clusters_of_few_rows(spark):
 
 def test_material_rules(spark):
     want = {"N00_Shoes_foot_L": "foot_l", "Right_UpperArm": "upper_arm_r", "fore_arm.r": "forearm_r", "Hair_back": "head", "Outfit_Upper": "chest", "cape_l": "background", "zzz": "UNMAPPED"}
-    from maskloom.functions.bones import material_rules
+    from maskloom.functions.bone_tables import MATERIAL_RULES
 
-    df = spark.createDataFrame([(k,) for k in want], "n string").withColumn("r", N.first_rule(F.col("n"), material_rules()))
+    df = spark.createDataFrame([(k,) for k in want], "n string").withColumn("r", N.first_rule(F.col("n"), MATERIAL_RULES))
     assert {r.n: r.r for r in df.collect()} == want
 
 
