@@ -2,7 +2,8 @@
 
 A document's set holds its distinct word shingles. Two sets of sizes a <= b with Jaccard similarity of at least s differ in at most
 ``(1-s)/(1+s) * (a+b)`` shingles. Sizes are cut into bands whose limits grow by the factor ``1/s``; similar sets lie in the same or in adjacent bands, so a set
-has signatures for its own band and for the next. For a band with limit u and bound k on the difference, the shingle domain is hashed to ``n1`` groups of ``n2``
+has signatures for its own band and for the next. Pairs within a band meet in the next, so a band must serve only pairs of a set from the band below and one of its own. For a band with the
+resulting bound k on the difference, the shingle domain is hashed to ``n1`` groups of ``n2``
 partitions. Two sets that differ in at most k shingles differ in at most ``k2`` partitions of at least ``need = n1 - k // (k2 + 1)`` groups. For every group each subset of
 ``n2 - k2`` partitions gives a signature of the set's shingles in it; in such a group one subset holds the same shingles of both. So similar sets share a signature.
 
@@ -14,8 +15,9 @@ with anything in at most ``spare`` groups of a band cannot be similar to anythin
 removes texts that only share passages.
 
 Work is linear in the signatures, whatever the size of a group of copies. Sorted by signature, a stream compares every member of a bucket with the bucket's smallest only (star). Each
-different pair is verified exactly, once, on the full sets. Components of the verified pairs follow by star contraction. Members of one component need no further comparison; only
-where members of a bucket are still in different components are they compared across components, which closes the join exactly. Copies within a batch of texts
+different pair is verified exactly, once, on the full sets. Components of the verified pairs follow by star contraction. Members of one component need no further comparison. Where
+members of a bucket are still apart, a bucket of at most ``FEW`` members is compared across components. In a larger one, as of many copies just below the threshold, all members are compared with
+the one that has most signatures in common with others, the hub; two of them are compared only if their differences from the hub have enough in common (see ``_deltas``). This closes the join exactly and never pairs a group with itself. Copies within a batch of texts
 are linked before they are sent, so a hot group of equal texts never arrives as a whole.
 
 Defined cases: a text that is null, empty or without words has an empty set, links with nothing and is its own component; ids that are
@@ -47,6 +49,8 @@ SIMILAR = (80, 100)
 SMALL = 212
 ROOM = 0.25
 SIEVES = 2
+#: a bucket of more members that are still apart is compared by differences from its hub
+FEW = 8
 U64 = np.uint64
 #: in a slot: not one of several signatures of a group
 ALONE = 255
@@ -68,8 +72,8 @@ def bands(largest: int) -> tuple[Band, ...]:
     num, den = SIMILAR
     limits, out = [num // (den - num)], []
     while not out or out[-1].limit <= largest * den // num:
-        u = limits[-1]
-        k = 2 * u * (den - num) // (den + num)
+        u, below = limits[-1], out[-1].limit if out else limits[-1]
+        k = (below + u) * (den - num) // (den + num)
         k2, n2 = (0, 1) if k == 0 else (1, 3) if u <= SMALL else (0, 1)
         base = k // (k2 + 1) + 1
         n1 = base + (0 if base < 2 else 1 + int(ROOM * base))
@@ -97,11 +101,10 @@ def signatures(row: np.ndarray, value: np.ndarray, sizes: np.ndarray) -> tuple[n
     limits = np.array([b.limit for b in table])
     own = np.searchsorted(limits, sizes)
     found = [(np.zeros(0, np.int64), np.zeros(0, U64), np.zeros(0, np.int64))]
-    reach = sizes * SIMILAR[1] // SIMILAR[0]
     kinds = np.array([b.n2 for b in table])
     for step in (0, 1):
         level = own + step
-        level[(sizes == 0) | ((reach <= limits[own]) if step else False)] = -1
+        level[sizes == 0] = -1
         for n2 in np.unique(kinds[level[level >= 0]]):
             chosen = (level >= 0) & (kinds[level] == n2)
             found.append(_of_kind(row, value, chosen, level, table, int(n2), 1 if n2 > 1 else 0))
@@ -144,23 +147,28 @@ def _of_kind(row, value, chosen, level, table, n2, k2):
 
 
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Signature rows (sig, doc); copies inside a chunk give link rows (null, doc, first copy) instead."""
+    """Signature rows (sig, doc, slot), and for every document a plain row (no sig, doc, size of its set, first copy in the chunk if it is a copy)."""
     for batch in batches:
-        ids = batch.column("doc_id").to_numpy()
+        column = batch.column("doc_id")
+        ids, named = column.fill_null(0).to_numpy(), column.is_valid().to_numpy(zero_copy_only=False)
         for part in scan.chunks(batch.column("text")):
-            own = ids[part.first : part.first + part.rows]
+            mine = slice(part.first, part.first + part.rows)
+            own, known = ids[mine], named[mine]
             row, value = sets(part)
             sizes = np.bincount(row, minlength=part.rows)
-            _, first, which = np.unique(fingerprints(row, value, part.rows), axis=0, return_index=True, return_inverse=True)
+            keys = np.column_stack([fingerprints(row, value, part.rows), known.astype(U64)])
+            _, first, which = np.unique(keys, axis=0, return_index=True, return_inverse=True)
             head = first[which.ravel()]
-            copy = (head != np.arange(part.rows)) & (sizes > 0)
-            r, sig, slot = signatures(row[~copy[row]], value[~copy[row]], np.where(copy, 0, sizes))
-            n = int(copy.sum())
+            copy = (head != np.arange(part.rows)) & (sizes > 0) & known
+            send = ~copy & known
+            r, sig, slot = signatures(row[send[row]], value[send[row]], np.where(send, sizes, 0))
+            n, m = part.rows, len(sig)
+            plain = np.arange(m + n) >= m
             yield pa.RecordBatch.from_pydict({
-                "sig": pa.array(np.concatenate([sig.view(np.int64), np.zeros(n, np.int64)]), mask=np.arange(len(sig) + n) >= len(sig)),
-                "doc": np.concatenate([own[r], own[copy]]),
-                "slot": np.concatenate([slot, np.zeros(n, np.int64)]).astype(np.int32),
-                "rep": pa.array(np.concatenate([np.zeros(len(sig), np.int64), own[head[copy]]]), mask=np.arange(len(sig) + n) < len(sig)),
+                "sig": pa.array(np.concatenate([sig.view(np.int64), np.zeros(n, np.int64)]), mask=plain),
+                "doc": pa.array(np.concatenate([own[r], own]), mask=plain & ~np.concatenate([np.ones(m, bool), known])),
+                "slot": np.concatenate([slot, sizes]).astype(np.int32),
+                "rep": pa.array(np.concatenate([np.zeros(m, np.int64), own[head]]), mask=~np.concatenate([np.zeros(m, bool), copy])),
             })
 
 
@@ -259,6 +267,7 @@ class Stored:
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self.spark._jvm.System.gc()  # lets Spark remove the shuffle files of finished steps
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
@@ -279,40 +288,104 @@ def _verify(store: Stored, pairs: DataFrame, docs: DataFrame, name: str) -> Data
     return out
 
 
-def links_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(verified pairs (a, b) that connect all similar documents, component of every document that has a link: node, label)."""
+def links_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(set size of every row: doc, n_shingles; verified pairs (a, b) that connect all similar documents; component of every document that has a link: node, label)."""
     store = Stored(docs.sparkSession)
-    own = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = own.mapInArrow(_signature_rows, ROWS)
-    copies = None
     for turn in range(SIEVES + 1):
-        # link rows, without a signature, are spread by document
+        # plain rows, without a signature, are spread by document
         dealt = rows.repartition(F.coalesce("sig", F.xxhash64("doc"))).sortWithinPartitions("sig", "doc")
         members = store.put(dealt.mapInArrow(_bucket_rows, ROWS), f"members-{turn}")
         if turn:
             store.drop(f"members-{turn - 1}")
         else:
-            copies = store.put(members.where("sig IS NULL"), "copies")
+            plain = store.put(members.where("sig IS NULL"), "plain")
         if turn < SIEVES:
             rows = members.where("sig IS NOT NULL").repartition("doc").sortWithinPartitions("doc").mapInArrow(_sieve, ROWS)
-    members = members.where("sig IS NOT NULL")
+    left = members.where("sig IS NOT NULL").select("sig", "doc")
     pair = (F.least("doc", "rep").alias("a"), F.greatest("doc", "rep").alias("b"))
-    first = store.put(members.where("doc <> rep").select(*pair).unionByName(copies.select(*pair)).where("a <> b").distinct(), "pairs-1")
+    pairs = members.where("sig IS NOT NULL AND doc <> rep").select(*pair).unionByName(plain.where("rep IS NOT NULL").select(*pair)).where("a <> b").distinct()
+    first = store.put(pairs, "pairs-1")
     checked = _verify(store, first, own, "round-1")
-    components = contract(checked.where("linked").select("a", "b"), [])
-    # buckets whose members are still apart
-    placed = members.join(components, members["doc"] == components["node"], "left").select(
-        "sig", "doc", F.coalesce("label", "doc").alias("part"))
-    placed = store.put(placed, "placed")
-    apart = placed.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("sig")
-    left = store.put(placed.join(apart, "sig", "left_semi"), "left")
-    x, y = (left.select("sig", F.col("doc").alias(c), F.col("part").alias(f"part_{c}")) for c in "ab")
-    across = x.join(y, "sig").where("a < b AND part_a <> part_b").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    second = store.put(across, "pairs-2")
-    more = _verify(store, second, own, "round-2")
-    links = checked.unionByName(more).where("linked").select("a", "b")
-    store.drop(f"members-{SIEVES}", "copies", "placed", "left", "pairs-1", "pairs-2")
-    return links, contract(links, [])
+    links = checked.where("linked").select("a", "b")
+    # a group's original has most of its signatures in common with others; an edit takes some away
+    degree = left.groupBy("doc").agg(F.count(F.lit(1)).alias("degree"))
+    node = store.put(degree.join(contract(links, []), degree["doc"] == F.col("node"), "left").select(
+        F.col("doc").alias("node"), F.coalesce("label", "doc").alias("part"), "degree"), "nodes")
+    lead = node.groupBy("part").agg(F.max_by("node", F.struct("degree", -F.col("node"))).alias("lead"))
+    placed = left.join(node.join(lead, "part"), left["doc"] == node["node"]).select("sig", "doc", "part", "degree", "lead")
+    # buckets whose members are still apart; the hub leads the component of the member that has most in common
+    hub = F.max_by(F.struct(F.col("lead").alias("doc"), "part"), F.struct("degree", -F.col("doc"))).alias("hub")
+    apart = placed.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("n"), hub).where("low <> high").select("sig", "n", "hub")
+    left = store.put(placed.join(apart, "sig").select("sig", "doc", "part", "n", "hub"), "left")
+    x, y = (left.where(F.col("n") <= FEW).select("sig", F.col("doc").alias(c), F.col("part").alias(f"part_{c}")) for c in "ab")
+    few = x.join(y, "sig").where("a < b AND part_a <> part_b").select("a", "b")
+    around = left.where(F.col("n") > FEW).select(
+        F.col("hub.doc").alias("hub"), "doc", "part", (F.col("part") != F.col("hub.part")).alias("alone")).distinct()
+    deltas = _deltas(store, around, own)
+    head, whole = (deltas.where(F.col("kind") == k).select("hub", "item", "far", F.col("doc").alias(d), F.col("part").alias(f"part_{d}")) for k, d in ((HEAD, "x"), (WHOLE, "y")))
+    shared = head.join(whole, ["hub", "item", "far"]).where("part_x <> part_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    near = deltas.where(F.col("kind") == LINK).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b"))
+    second = store.put(few.unionByName(shared).unionByName(near).distinct().join(first, ["a", "b"], "left_anti"), "pairs-2")
+    links = checked.unionByName(_verify(store, second, own, "round-2")).where("linked").select("a", "b")
+    store.drop(f"members-{SIEVES}", "nodes", "left", "deltas", "pairs-1", "pairs-2")
+    return plain.select("doc", F.col("slot").cast("long").alias("n_shingles")), links, contract(links, [])
+
+
+def _deltas(store: Stored, around: DataFrame, docs: DataFrame) -> DataFrame:
+    """What sets differ in from the hub of a large bucket: rows (hub, doc, its component, item, kind).
+
+    Let r be the hub, E(x) the items in which x and r differ. Sets x and y differ in |E(x)| + |E(y)| - 2 |E(x) & E(y)| items. If x is not similar to r, then
+    9 |E(x)| >= far * (|x| + |r|) for a whole number ``far`` of at least 1; similar x and y must then share ``need`` items of E(y), about half or more. Of the first
+    ``|E(y)| - need + 1`` items of E(y), its head for that distance, one is in E(x): heads meet whole differences in an equi-join. Rare items come first.
+    """
+    ids = around.select(F.explode(F.array("hub", "doc")).alias("doc_id")).distinct()
+    held = store.put(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, "doc long, held binary"), "delta-sets")
+    of_hub = held.select(F.col("doc").alias("hub"), F.col("held").alias("held_hub"))
+    rows = around.join(held, "doc").join(of_hub, "hub").select("hub", "doc", "part", "alone", "held", "held_hub")
+    out = store.put(rows.mapInArrow(_delta_rows, "hub long, doc long, part long, far int, item long, kind int"), "deltas")
+    store.drop("delta-sets")
+    return out
+
+
+LINK, HEAD, WHOLE = 0, 1, 2
+
+
+def _delta_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    num, den = SIMILAR
+    up, down = den + num, den - num  # similar: up * difference <= down * (sum of sizes)
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            rows, found = batch.slice(at, 1024), []
+            for x, r in zip(rows.column("held"), rows.column("held_hub"), strict=True):
+                x, r = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(r.as_buffer(), "<u8")
+                found.append((np.setxor1d(x, r, assume_unique=True), len(x), len(r)))
+            hubs, docs, alone, parts = (rows.column(c).to_pylist() for c in ("hub", "doc", "alone", "part"))
+            sizes = [len(f[0]) for f in found]
+            # any order of items is right for a head; those that few sets near the hub have make few pairs
+            keys = scan.mix(np.concatenate([f[0] for f in found]) + np.repeat(np.array(hubs, np.int64).view(U64), sizes) * U64(0x9E3779B97F4A7C15))
+            _, which, often = np.unique(keys, return_inverse=True, return_counts=True)
+            often = np.split(often[which.ravel()], np.cumsum(sizes)[:-1])
+            out: list[tuple[int, int, int, int, int, np.ndarray]] = []
+            for hub, doc, lone, part, (items, n, m), count in zip(hubs, docs, alone, parts, found, often, strict=True):
+                e, first = len(items), items[np.argsort(count, kind="stable")]
+                for far in range(1, up // down + 1):
+                    other = down * (far * m + (far - 1) * (n * num // den)) + (far == 1)
+                    need = -(-(up * e - down * n + other) // (2 * up))
+                    if need > e:
+                        break
+                    out.append((hub, doc, part, far, HEAD, first[: e - need + 1]))
+                if lone and up * e > down * (n + m):
+                    out.append((hub, doc, part, up * e // (down * (n + m)), WHOLE, items))
+                elif lone:
+                    out.append((hub, doc, part, 0, LINK, np.zeros(1, U64)))
+            if out:
+                n = [len(o[5]) for o in out]
+                columns = {c: np.repeat([o[i] for o in out], n).astype(t) for i, (c, t) in enumerate(
+                    (("hub", np.int64), ("doc", np.int64), ("part", np.int64), ("far", np.int32), ("kind", np.int32)))}
+                yield pa.RecordBatch.from_pydict({c: columns[c] for c in ("hub", "doc", "part", "far")} | {
+                    "item": np.concatenate([o[5] for o in out]).view(np.int64), "kind": columns["kind"]})
 
 
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,18 +408,17 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_links (verified links of the spanning comparisons)."""
-    links, parts = links_and_components(docs)
+    """One row per document: doc_id, n_shingles, component_id, n_links (verified links of the comparisons that were needed)."""
+    sizes, links, parts = links_and_components(docs)
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    sizes = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(_sizes, "doc_id long, n_shingles long")
     known = parts.join(ends, "node", "full").select("node", "label", "n_links")
-    return sizes.join(known, sizes["doc_id"] == known["node"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return sizes.join(known, sizes["doc"] == known["node"], "left").select(
+        F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("label", "doc").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows of documents that have a similar one of smaller id; rows without words or id stay. Of rows with one id the first by text and other columns stays."""
-    _, parts = links_and_components(docs)
+    _, _, parts = links_and_components(docs)
     dropped = parts.where("node <> label").select(F.col("node").alias("j_id"))
     kept = docs.join(dropped, F.col("doc_id") == F.col("j_id"), "left_anti")
     twice = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("j_id"))
@@ -356,9 +428,3 @@ def representatives(docs: DataFrame) -> DataFrame:
     again = kept.join(twice, F.col("doc_id") == F.col("j_id"), "left_semi").withColumn("j_nth", F.row_number().over(order)).where("j_nth = 1").drop("j_nth")
     return kept.join(twice, F.col("doc_id") == F.col("j_id"), "left_anti").unionByName(again)
 
-
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in scan.chunks(batch.column("text")):
-            row, _ = sets(part)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id").slice(part.first, part.rows), "n_shingles": np.bincount(row, minlength=part.rows)})
