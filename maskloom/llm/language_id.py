@@ -31,7 +31,7 @@ FOLDS = 5
 FIT_DOCS, MAX_LANGUAGES = 3_000, 64
 ROUNDS = 3
 WORD_BYTES, PIECE_BYTES = 32, 8
-FLUSH = 32 << 20
+FLUSH = 16 << 20
 #: words in one forward pass
 BLOCK = 50_000
 #: part of each language's probability that is spread over all pieces
@@ -167,13 +167,18 @@ def normalised(counts: np.ndarray) -> np.ndarray:
 def learn(docs: DataFrame, path: str) -> tuple[list[str], np.ndarray]:
     """(languages, model) from training documents (doc_id, text, lang)."""
     training = docs.where(~held_out() & F.col("lang").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    names = sorted(r.lang for r in training.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(names) > MAX_LANGUAGES:
+    sizes = {r.lang: r["count"] for r in training.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()}
+    if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    names = sorted(sizes)
     if not names:
         return [], np.zeros((0, 0))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = training.select("doc_id", "lang").withColumn("i_rank", F.row_number().over(first)).where(F.col("i_rank") <= FIT_DOCS).select(F.col("doc_id").alias("i_id")).distinct()
+    # only ids whose hash is below a limit, about twice FIT_DOCS of a language, are ranked
+    limits = F.create_map(*[F.lit(x) for n in names for x in (n, min(1.0, 2 * FIT_DOCS / sizes[n]))])
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 31)) / float(1 << 31)
+    first = Window.partitionBy("lang").orderBy(place, "doc_id")
+    low = training.select("doc_id", "lang").where(place < limits[F.col("lang")])
+    chosen = low.withColumn("i_rank", F.row_number().over(first)).where(F.col("i_rank") <= FIT_DOCS).select(F.col("doc_id").alias("i_id")).distinct()
     sample = training.join(F.broadcast(chosen), F.col("doc_id") == F.col("i_id"), "left_semi")  # at most FIT_DOCS ids of each language
     number = {n: i for i, n in enumerate(names)}
 

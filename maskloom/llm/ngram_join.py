@@ -71,7 +71,7 @@ class Band:
 def bands(largest: int) -> tuple[Band, ...]:
     num, den = SIMILAR
     limits, out = [num // (den - num)], []
-    while not out or out[-1].limit <= largest * den // num:
+    while len(out) < 2 or out[-1].limit <= largest * den // num:
         u, below = limits[-1], out[-1].limit if out else limits[-1]
         k = (below + u) * (den - num) // (den + num)
         k2, n2 = (0, 1) if k == 0 else (1, 3) if u <= SMALL else (0, 1)
