@@ -47,7 +47,7 @@ def with_views(sql: str) -> str:
     _views_used(sql, seen)
     if not seen:
         return sql.strip()
-    ctes = ",\n".join(f"{v} AS ({VIEW_SQL[v].strip()})" for v in seen)
+    ctes = ",\n".join(f"{v} AS MATERIALIZED ({VIEW_SQL[v].strip()})" for v in seen)
     body = sql.strip()
     if re.match(r"(?i)with\s+recursive\b", body):
         return f"WITH RECURSIVE {ctes},\n{re.sub(r'(?i)^with\s+recursive\s+', '', body)}"

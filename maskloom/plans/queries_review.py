@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from maskloom.operators import review as R
 from maskloom.plans.catalog import query
+from maskloom.streaming import intake
 
 _EFF = "eff AS (SELECT annotation_id, arg_min(status, (reviewed_at, review_id)) AS status, min(reviewed_at) AS reviewed_at FROM v_reviews GROUP BY 1)"
 
@@ -87,3 +90,39 @@ l AS (SELECT image_id, status FROM e QUALIFY row_number() OVER (PARTITION BY ima
 SELECT i.image_id, coalesce(l.status, 'pending') AS status FROM v_images i LEFT JOIN l ON l.image_id = i.image_id""")
 def status_transitions(t):
     return R.status_transitions(t.v_images, t.v_annotations, t.v_reviews)
+
+
+def _late_first(t, rows, at, run, parts=4):
+    """Rows arrive in spans of time, the latest span first; ``run`` continues the stream after each."""
+    spark = rows.sparkSession
+    folder = intake.state_folder(spark, "arrivals")
+    low, high = rows.agg(F.min(F.unix_timestamp(at)), F.max(F.unix_timestamp(at))).first()
+    step = (high - low) // parts + 1 if low is not None else 1
+    out = None
+    for i in reversed(range(parts if low is not None else 1)):
+        span = rows.where(F.floor((F.unix_timestamp(at) - F.lit(low)) / step) == i) if low is not None else rows
+        span.write.mode("append").parquet(f"{folder}/in")
+        out = run(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), f"{folder}/stream")
+    return out
+
+
+@query("""
+WITH d AS (SELECT DISTINCT user_id, CAST(created_at AS DATE) AS day FROM v_annotations),
+g AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INT) AS grp FROM d),
+r AS (SELECT user_id, count(*) AS len, max(day) AS last FROM g GROUP BY user_id, grp)
+SELECT user_id, arg_max(len, last) AS current_streak, max(len) AS longest_streak, CAST(max(last) AS DATE) AS last_active FROM r GROUP BY 1""")
+def streak_late(t):
+    rows = t.v_annotations.select("user_id", F.col("created_at").cast("timestamp").alias("created_at"))
+    return _late_first(t, rows, "created_at", intake.streak_state)
+
+
+@query("SELECT annotation_id, min(reviewed_at) AS reviewed_at, arg_min(review_id, (reviewed_at, review_id)) AS review_id, arg_min(status, (reviewed_at, review_id)) AS status FROM v_reviews GROUP BY 1")
+def first_reviews(t):
+    rows = t.v_reviews.select("annotation_id", "reviewed_at", "review_id", "status")
+    return _late_first(t, rows, "reviewed_at", intake.first_reviews)
+
+
+@query("SELECT DISTINCT user_id FROM v_annotations")
+def intake_late(t):
+    rows = t.v_annotations.select("user_id", F.col("created_at").cast("timestamp").alias("created_at"))
+    return _late_first(t, rows, "created_at", lambda stream, folder: intake.incremental_intake(stream, "user_id", folder)).select("user_id")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from maskloom import dims
+from maskloom import dims, schemas
 from maskloom.operators.masks import metrics_from_confusion
 from maskloom.plans.catalog import query
 from maskloom.plans.queries_masks import _CONF
@@ -144,6 +144,17 @@ def export_coco(t):
     return sinks.coco_annotations(t.v_runs).withColumn("bbox", F.array_join("bbox", ","))
 
 
+_MIXED = """SELECT CAST(doc_id AS STRING) AS stem, CASE mod(doc_id, 5) WHEN 0 THEN concat('{"id": "c', CAST(doc_id AS STRING), '", "source": "s"}') WHEN 1 THEN '{"id": '
+  WHEN 2 THEN '[1, 2]' WHEN 3 THEN concat('{"other": ', CAST(n_chars AS STRING), '}') ELSE concat('{"name": "', source, '", "license": null}') END AS text FROM documents"""
+
+
+@query(f"""WITH d AS ({_MIXED})
+SELECT stem, CASE WHEN NOT json_valid(text) THEN 'not_json' ELSE 'wrong_shape' END AS reason FROM d WHERE NOT json_valid(text) OR (text NOT LIKE '%"id"%' AND text NOT LIKE '%"name"%')""")
+def malformed_documents(t):
+    """Side table of the document parsers: what they read nothing from."""
+    return D.rejected_documents(t.sql(_MIXED), schemas.SOURCES)
+
+
 # --- streams ---
 @query("SELECT event_id, user_id, event_type FROM events WHERE event_id NOT IN (SELECT event_id FROM events WHERE value > 20 OR event_type = 'signup')")
 def incremental_intake(t):
@@ -176,4 +187,5 @@ r AS (SELECT user_id, count(*) AS len, max(day) AS last FROM g GROUP BY user_id,
 SELECT user_id, CAST(arg_max(len, last) AS INT) AS current_streak, CAST(max(len) AS INT) AS longest_streak, CAST(max(last) AS DATE) AS last_active FROM r GROUP BY 1""")
 def streak_state(t):
     stream = intake.file_stream(t.spark, f"{t.sf_dir}/events*.parquet")
-    return intake.streak_state(stream, intake.state_folder(t.spark, "streaks"), "user_id", "ts")
+    out = intake.streak_state(stream, intake.state_folder(t.spark, "streaks"), "user_id", "ts")
+    return out.withColumns({c: F.col(c).cast("int") for c in ("current_streak", "longest_streak")})

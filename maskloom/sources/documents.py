@@ -23,6 +23,20 @@ def malformed(docs: DataFrame) -> DataFrame:
     )
 
 
+def rejected_documents(docs: DataFrame, schema: str) -> DataFrame:
+    """Documents that a parser with this schema gets nothing from: ``not_json``, or ``wrong_shape`` if no field of the schema has a value."""
+    read = F.from_json("text", schema)
+    fields = docs.select(read.alias("_d")).schema["_d"].dataType
+    nothing = read.isNull()
+    if hasattr(fields, "fieldNames"):
+        empty = F.lit(True)
+        for name in fields.fieldNames():
+            empty = empty & read[name].isNull()
+        nothing = nothing | empty
+    reason = F.when(F.try_parse_json("text").isNull(), "not_json").when(nothing, "wrong_shape")
+    return docs.select("stem", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def scan_sources(docs: DataFrame) -> DataFrame:
     """Character metadata: the id defaults to the file stem, an empty source is inferred."""
     good = docs.where(F.try_parse_json("text").isNotNull())

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from maskloom import schemas
@@ -67,9 +67,8 @@ def scan_wide_frame_cuts(spark: SparkSession, path: str, codes: Sequence[str], k
 
 
 def _runs_of(batches: Iterator[pd.DataFrame], channel: int, keep_zero: bool) -> Iterator[pd.DataFrame]:
-    """Run-length rows of one channel; the image source stores colours as BGR(A)."""
+    """Run-length rows of one channel, one image at a time; the image source stores colours as BGR(A)."""
     for pdf in batches:
-        out = []
         for img in pdf.itertuples(index=False):
             arr = np.frombuffer(img.data, dtype=np.uint8).reshape(img.height, img.width, img.nChannels)
             at = channel if img.nChannels == 1 or channel == 3 else 2 - channel
@@ -85,19 +84,37 @@ def _runs_of(batches: Iterator[pd.DataFrame], channel: int, keep_zero: bool) ->
                 "origin": img.origin, "width": img.width, "height": img.height, "y": ys.astype("int32"), "x0": xs.astype("int32"),
                 "len": (ends - xs).astype("int32"), "value": values.astype("int32"),
             })
-            out.append(runs if keep_zero else runs[runs.value > 0])
-        if out:
-            yield pd.concat(out, ignore_index=True)
+            yield runs if keep_zero else runs[runs.value > 0]
+
+
+def _images(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(path).select("image.*")
 
 
 def scan_rasters_to_runs(spark: SparkSession, path: str, channel: int = 0, keep_zero: bool = False) -> DataFrame:
-    """Image files to run rows, one image at a time; channel 0 of multi-channel masks, 3 is alpha."""
-    img = spark.read.format("image").option("dropInvalid", "true").load(path).select("image.*")
-    img = img.select("origin", "height", "width", "nChannels", "data")
+    """Image files below ``path`` to run rows; channel 0 of multi-channel masks, 3 is alpha. What cannot be read is in ``unreadable_rasters``."""
+    img = _images(spark, path).where("height > 0").select("origin", "height", "width", "nChannels", "data")
     return img.mapInPandas(lambda it: _runs_of(it, channel, keep_zero), schemas.RUNS)
 
 
-def mask_runs(rasters: DataFrame, dataset: str) -> DataFrame:
-    """Raster runs as label runs with the file stem as example id."""
-    stem = F.regexp_extract("origin", r"([^/]+)\.[^./]+$", 1)
-    return rasters.select(F.lit(dataset).alias("dataset"), stem.alias("example_id"), "y", "x0", "len", F.col("value").alias("class_id"))
+def unreadable_rasters(spark: SparkSession, path: str) -> DataFrame:
+    """Files below ``path`` that hold no image, with the reason a reader gives."""
+    return _images(spark, path).where("height <= 0 OR height IS NULL").select("origin", F.lit("read_error").alias("reason"))
+
+
+PER_EXAMPLE = ["image", "segmentation", "depth", "normals"]
+
+
+def example_id(origin: Column, root: str | None = None) -> Column:
+    """Example of a raster: the file stem, but ``{id}`` of ``{id}/segmentation.png`` and ``{id}_{view}`` of ``{id}/{view}/segmentation.png`` below ``root``."""
+    stem = F.regexp_extract(origin, r"([^/]+)\.[^./]+$", 1)
+    if root is None:
+        return stem
+    parts = F.split(F.regexp_replace(origin, r"^.*?\Q" + root.rstrip("/") + r"\E/", ""), "/")
+    own = stem.isin(PER_EXAMPLE)
+    return F.when(own & (F.size(parts) == 2), F.get(parts, F.lit(0))).when(own & (F.size(parts) == 3), F.concat_ws("_", F.slice(parts, 1, 2))).otherwise(stem)
+
+
+def mask_runs(rasters: DataFrame, dataset: str, root: str | None = None) -> DataFrame:
+    """Raster runs as label runs; ``root`` is the dataset folder if it has one folder per example."""
+    return rasters.select(F.lit(dataset).alias("dataset"), example_id(F.col("origin"), root).alias("example_id"), "y", "x0", "len", F.col("value").alias("class_id"))

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from maskloom.operators.masks import confusion
+from maskloom.operators.review import effective_reviews
 from maskloom.session import ensure_checkpoint_dir
 
 
@@ -39,84 +38,96 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], fol
     query.awaitTermination()
 
 
-def _write_batch(folder: str) -> Callable[[DataFrame, int], None]:
-    """Each batch owns a folder named by its id, so a repeated batch replaces itself."""
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch_id}")
-
-    return sink
 
+def versions(spark: SparkSession, folder: str, before: int | None = None) -> list[int]:
+    """Finished versions of a table kept by :func:`upsert`, oldest first."""
+    fs, path = _fs(spark, f"{folder}/state")
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    found = sorted(int(n[1:]) for n in names if n[1:].isdigit() and fs.exists(_fs(spark, f"{folder}/state/{n}/_SUCCESS")[1]))
+    return [v for v in found if before is None or v < before]
 
-def incremental_intake(stream: DataFrame, key: str, folder: str) -> DataFrame:
-    """Every key once over all batches: duplicates are dropped in the stream state."""
-    spark = stream.sparkSession
-    run_available(stream.dropDuplicates([key]), _write_batch(folder), folder)
-    return spark.read.parquet(f"{folder}/rows").drop("batch")
 
+def upsert(folder: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A sink that keeps one table: version n is ``merge(version before, batch n)``.
 
-def running_confusion(stream: DataFrame, folder: str) -> DataFrame:
-    """Confusion counts kept as stream state; ratios are derived on read."""
-    spark = stream.sparkSession
+    A repeated batch starts from the same version and replaces its own; versions that no batch can need are removed.
+    """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/state/v{batch_id}")
-        batch.sparkSession.createDataFrame([(batch_id,)], "v long").coalesce(1).write.mode("overwrite").parquet(f"{folder}/latest")
+        spark = batch.sparkSession
+        old = versions(spark, folder, batch_id)
+        merge(spark.read.parquet(f"{folder}/state/v{old[-1]}") if old else None, batch).write.mode("overwrite").parquet(f"{folder}/state/v{batch_id}")
+        for v in old[:-1]:
+            fs, path = _fs(spark, f"{folder}/state/v{v}")
+            fs.delete(path, True)
 
-    run_available(confusion(stream), sink, folder, "complete")
-    latest = spark.read.parquet(f"{folder}/latest").first().v
-    return spark.read.parquet(f"{folder}/state/v{latest}")
+    return sink
 
 
-class StreakProcessor(StatefulProcessor):
-    """Current and longest run of active days per user, over batches in time order."""
+def latest(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/state/v{versions(spark, folder)[-1]}")
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("streak", "last int, current int, longest int")
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        days: set[int] = set()
-        for pdf in rows:
-            days.update(int(d) for d in pdf["day"].unique())  # at most one entry per calendar day
-        last, current, longest = self.state.get() if self.state.exists() else (None, 0, 0)
-        for day in sorted(days):
-            if last is not None and day <= last:
-                continue
-            current = current + 1 if last is not None and day == last + 1 else 1
-            last, longest = day, max(longest, current)
-        self.state.update((last, current, longest))
-        yield pd.DataFrame({"user_id": [key[0]], "last_day": [last], "current_streak": [current], "longest_streak": [longest]})
+def incremental_intake(stream: DataFrame, key: str, folder: str) -> DataFrame:
+    """Every key once over all batches, with the least of its rows in the first batch that has it.
 
-    def close(self) -> None:
-        pass
+    What is taken already is the output itself, so no state grows in the stream. A batch owns a folder named
+    by its id: a repeated batch replaces itself.
+    """
+    spark = stream.sparkSession
 
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        new = batch.groupBy(key).agg(F.min(F.struct(*batch.columns)).alias("_r")).select("_r.*")
+        fs, rows = _fs(own, f"{folder}/rows")
+        if fs.exists(rows):
+            new = new.join(own.read.parquet(f"{folder}/rows").where(F.col("batch") != batch_id).select(key), key, "left_anti")
+        out = f"{folder}/rows/batch={batch_id}"
+        new.write.mode("overwrite").parquet(f"{folder}/new")  # the output is read while it is written
+        own.read.schema(new.schema).parquet(f"{folder}/new").write.mode("overwrite").parquet(out)
+
+    run_available(stream, sink, folder)
+    return spark.read.parquet(f"{folder}/rows").drop("batch")
 
-STREAK_SCHEMA = "user_id long, last_day int, current_streak int, longest_streak int"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+def running_confusion(stream: DataFrame, folder: str) -> DataFrame:
+    """Confusion counts kept as stream state; ratios are derived on read."""
+    run_available(confusion(stream), upsert(folder, lambda old, batch: batch), folder, "complete")
+    return latest(stream.sparkSession, folder)
+
+
+def merge_intervals(old: DataFrame | None, days: DataFrame) -> DataFrame:
+    """Disjoint runs of active days (user_id, first, last) after new days, in whatever order they arrive."""
+    new = days.select("user_id", F.col("day").alias("first"), F.col("day").alias("last")).distinct()
+    if old is None:
+        touched, rest = new, None
+    else:
+        users = new.select("user_id").distinct()
+        touched = new.unionByName(old.join(users, "user_id", "left_semi"))
+        rest = old.join(users, "user_id", "left_anti")
+    w = Window.partitionBy("user_id").orderBy("first", "last")
+    reach = F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reach.isNull() | (F.col("first") > reach + 1), 1).otherwise(0)
+    runs = touched.withColumn("_b", begins).withColumn("_g", F.sum("_b").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.groupBy("user_id", "_g").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("_g")
+    return runs if rest is None else runs.unionByName(rest)
 
 
 def streak_state(stream: DataFrame, folder: str, user: str = "user_id", at: str = "created_at") -> DataFrame:
-    """Streaming twin of the daily streak query; the newest row of a user is its state."""
-    spark = stream.sparkSession
-    conf = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(conf, None)
-    spark.conf.set(conf, ROCKSDB)
-    try:
-        days = stream.select(F.col(user).alias("user_id"), F.unix_date(F.to_date(at)).alias("day"))
-        out = days.groupBy("user_id").transformWithStateInPandas(StreakProcessor(), STREAK_SCHEMA, "Update", "None")
-        run_available(out, _write_batch(folder), folder, "update")
-    finally:
-        if before is None:
-            spark.conf.unset(conf)
-        else:
-            spark.conf.set(conf, before)
-    rows = spark.read.parquet(f"{folder}/rows")
-    newest = F.max(F.struct("batch", "last_day", "current_streak", "longest_streak")).alias("_s")
-    return rows.groupBy("user_id").agg(newest).select(
-        "user_id", "_s.current_streak", "_s.longest_streak", F.date_from_unix_date("_s.last_day").alias("last_active")
-    )
+    """Streaming twin of the daily streak query. Late days join or extend runs like all others."""
+    days = stream.select(F.col(user).alias("user_id"), F.unix_date(F.to_date(at)).alias("day")).where("day IS NOT NULL")
+    run_available(days, upsert(folder, merge_intervals), folder)
+    runs = latest(stream.sparkSession, folder).withColumn("len", (F.col("last") - F.col("first") + 1).cast("long"))
+    return runs.groupBy("user_id").agg(
+        F.max_by("len", "last").alias("current_streak"), F.max("len").alias("longest_streak"), F.date_from_unix_date(F.max("last")).alias("last_active"))
 
 
 def first_reviews(stream: DataFrame, folder: str) -> DataFrame:
-    """Stream of reviews: the first of an annotation wins, later ones are ignored."""
-    return incremental_intake(stream, "annotation_id", folder)
+    """Stream of reviews: the first of an annotation by time and id wins, whenever it arrives."""
+    rows = stream.select("annotation_id", "reviewed_at", "review_id", "status")
+    run_available(rows, upsert(folder, lambda old, batch: effective_reviews(batch if old is None else batch.unionByName(old))), folder)
+    return latest(stream.sparkSession, folder)

@@ -119,9 +119,39 @@ def test_streak_state_over_batches(spark, tmp_path):
     assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == sorted(tuple(r[c] for c in cols) for r in want.collect())
 
 
+@pytest.mark.parametrize("order", [[1, 2, 3], [3, 1, 2], [2, 3, 1]])
+def test_streaks_do_not_depend_on_arrival_order(spark, tmp_path, order):
+    df = spark.sql("""SELECT CAST(u AS BIGINT) AS user_id, p, CAST(timestamp'2024-01-01 10:00:00' + make_dt_interval(d) AS timestamp) AS created_at
+        FROM VALUES (1, 0, 1), (1, 1, 3), (1, 2, 2), (1, 3, 1), (1, 3, 2), (1, 7, 2), (2, 3, 3), (2, 4, 1), (3, 4, 3), (3, 6, 3), (3, 5, 1) AS t(u, d, p)""")
+    stream = batches(spark, tmp_path, df, [f"p = {p}" for p in order])
+    got = intake.streak_state(stream, str(tmp_path / "state"))
+    cols = ["user_id", "current_streak", "longest_streak", "last_active"]
+    assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == sorted(tuple(r[c] for c in cols) for r in R.daily_streaks(df).collect())
+    assert len(intake.versions(spark, str(tmp_path / "state"))) <= 2
+
+
+def test_first_review_wins_when_it_is_late(spark, tmp_path):
+    rows = [(1, 11, "2024-01-02", "rejected", 1), (1, 10, "2024-01-01", "approved", 2), (2, 13, "2024-01-01", "rejected", 2), (2, 12, "2024-01-01", "approved", 1)]
+    df = spark.createDataFrame(rows, "annotation_id long, review_id long, reviewed_at string, status string, p int")
+    got = intake.first_reviews(batches(spark, tmp_path, df, ["p = 1", "p = 2"]), str(tmp_path / "state"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, R.effective_reviews(df).collect()))
+
+
 def test_intake_takes_a_key_once(spark, tmp_path):
-    df = spark.createDataFrame([(1, 1), (2, 1), (1, 2), (3, 2)], "annotation_id long, b int")
+    df = spark.createDataFrame([(1, 1), (2, 1), (1, 2), (3, 2), (3, 2)], "annotation_id long, b int")
     stream = batches(spark, tmp_path, df, ["b = 1", "b = 2"])
-    got = intake.first_reviews(stream, str(tmp_path / "state"))
-    assert sorted(r.annotation_id for r in got.collect()) == [1, 2, 3]
+    got = intake.incremental_intake(stream, "annotation_id", str(tmp_path / "state"))
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 1), (3, 2)]
     assert intake.pending(df, got, "annotation_id").count() == 0
+
+
+def test_raster_layouts_and_unreadable_files(spark, tmp_path):
+    mask = np.array([[0, 3], [3, 3]], np.uint8)
+    for name in ("a/segmentation.png", "b/front/segmentation.png", "masks/c_pose_00.png"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        png(tmp_path / name, mask)
+    (tmp_path / "a" / "broken.png").write_bytes(b"not an image")
+    runs = files.mask_runs(files.scan_rasters_to_runs(spark, str(tmp_path)), "d", str(tmp_path))
+    assert {(r.example_id, r.n) for r in runs.groupBy("example_id").agg(F.sum("len").alias("n")).collect()} == {("a", 3), ("b_front", 3), ("c_pose_00", 3)}
+    bad = files.unreadable_rasters(spark, str(tmp_path)).collect()
+    assert [(r.origin.rsplit("/", 1)[1], r.reason) for r in bad] == [("broken.png", "read_error")]
