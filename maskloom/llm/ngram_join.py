@@ -11,7 +11,7 @@ A subset in which a set has no shingle says nothing. A group with such a subset
 then a group without a blocked subset agrees too, and the empty signatures are left out. Other sets emit them: nothing is lost.
 
 The room has a second use. Similar sets agree in at least ``need`` groups, so in more than ``spare = need - 1 - blocked`` groups they share a signature. A set that shares signatures
-with anything in at most ``spare`` groups of a band cannot be similar to anything there and leaves, without a comparison. Leaving makes buckets smaller, so this is repeated ``SIEVES`` times. It
+with anything in at most ``spare`` groups of a band cannot be similar to anything there and leaves, without a comparison. Leaving makes buckets smaller, so this can be repeated (``SIEVES``). It
 removes texts that only share passages.
 
 Work is linear in the signatures, whatever the size of a group of copies. Sorted by signature, a stream compares every member of a bucket with the bucket's smallest only (star). Each
@@ -48,9 +48,13 @@ SIMILAR = (80, 100)
 #: sets of a band up to this limit use subsets of 2 of 3 partitions; for larger sets many groups of one partition are as selective, with fewer signatures
 SMALL = 212
 ROOM = 0.25
-SIEVES = 2
+SIEVES = 1
+#: shingles of a set for each count of its sketch
+COUNTED = 2
+#: steps in which a distance from the hub is told apart
+STEPS = 4
 #: a bucket of more members that are still apart is compared by differences from its hub
-FEW = 8
+FEW = 16
 U64 = np.uint64
 #: in a slot: not one of several signatures of a group
 ALONE = 255
@@ -229,13 +233,38 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The set of each document, and a sketch: how many of its shingles fall into each of a power of two of hash ranges, 255 at most."""
     for batch in batches:
         for part in scan.chunks(batch.column("text")):
             row, value = sets(part)
-            edge = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=part.rows))]) * 8
+            n = np.bincount(row, minlength=part.rows)
+            edge = np.concatenate([[0], np.cumsum(n)])
             raw = value.astype("<u8").tobytes()
-            held = [raw[a:b] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_pydict({"doc": batch.column("doc_id").slice(part.first, part.rows), "held": pa.array(held, pa.binary())})
+            held = [raw[a * 8 : b * 8] for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+            bits = np.array([max(0, int(x) // COUNTED).bit_length() for x in n])
+            sketch = [
+                np.minimum(255, np.bincount((value[a:b] >> U64(64 - k)).astype(np.int64) if k else np.zeros(b - a, np.int64), minlength=1 << k)).astype(np.uint8).tobytes()
+                for a, b, k in zip(edge[:-1].tolist(), edge[1:].tolist(), bits.tolist(), strict=True)
+            ]
+            yield pa.RecordBatch.from_pydict({
+                "doc": batch.column("doc_id").slice(part.first, part.rows), "n": n, "sketch": pa.array(sketch, pa.binary()), "held": pa.array(held, pa.binary())})
+
+
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches do not already differ by more than similar sets can: counts differ by at most what the sets differ."""
+    num, den = SIMILAR
+    for batch in batches:
+        keep = np.zeros(batch.num_rows, bool)
+        sizes = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        for i, (x, y) in enumerate(zip(batch.column("sketch_a"), batch.column("sketch_b"), strict=True)):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint8).astype(np.int32) for v in (x, y))
+            if max(x.max(), y.max()) == 255:
+                keep[i] = True
+                continue
+            m = min(len(x), len(y))  # ranges nest, so the finer sketch is summed
+            keep[i] = (den + num) * np.abs(x.reshape(m, -1).sum(axis=1) - y.reshape(m, -1).sum(axis=1)).sum() <= (den - num) * sizes[i]
+        kept = batch.select(["a", "b"]).filter(pa.array(keep))
+        yield kept
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,15 +305,22 @@ class Stored:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+SETS = "doc long, n long, sketch binary, held binary"
+
+
 def _verify(store: Stored, pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """Exact comparison of the pairs (a, b): their rows with ``linked``."""
+    """Exact comparison of the pairs (a, b): those that may be links by their sketches, with ``linked``."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    held = store.put(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, "doc long, held binary"), f"{name}-sets")
-    one, two = (held.select(F.col("doc").alias(c), F.col("held").alias(f"held_{c}")) for c in "ab")
-    both = pairs.join(two, "b").join(one, "a").select("a", "b", "held_a", "held_b")
-    checked = both.mapInArrow(_compare, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
+    held = store.put(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, SETS), f"{name}-sets")
+
+    def sides(rows: DataFrame, *columns: str) -> DataFrame:
+        one, two = (held.select(F.col("doc").alias(d), *[F.col(c).alias(f"{c}_{d}") for c in columns]) for d in "ab")
+        return rows.join(two, "b").join(one, "a").select("a", "b", *[f"{c}_{d}" for c in columns for d in "ab"])
+
+    likely = store.put(sides(pairs, "n", "sketch").mapInArrow(_may_link, "a long, b long").distinct(), f"{name}-likely")
+    checked = sides(likely, "held").mapInArrow(_compare, "a long, b long, linked boolean").groupBy("a", "b").agg(F.max("linked").alias("linked"))
     out = store.put(checked, f"{name}-checked")
-    store.drop(f"{name}-sets")
+    store.drop(f"{name}-sets", f"{name}-likely")
     return out
 
 
@@ -337,13 +373,13 @@ def _deltas(store: Stored, around: DataFrame, docs: DataFrame) -> DataFrame:
     """What sets differ in from the hub of a large bucket: rows (hub, doc, its component, item, kind).
 
     Let r be the hub, E(x) the items in which x and r differ. Sets x and y differ in |E(x)| + |E(y)| - 2 |E(x) & E(y)| items. If x is not similar to r, then
-    9 |E(x)| >= far * (|x| + |r|) for a whole number ``far`` of at least 1; similar x and y must then share ``need`` items of E(y), about half or more. Of the first
+    9 |E(x)| >= far / STEPS * (|x| + |r|) for a whole number ``far`` of at least STEPS; similar x and y must then share ``need`` items of E(y), about half or more. Of the first
     ``|E(y)| - need + 1`` items of E(y), its head for that distance, one is in E(x): heads meet whole differences in an equi-join. Rare items come first.
     """
     ids = around.select(F.explode(F.array("hub", "doc")).alias("doc_id")).distinct()
-    held = store.put(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, "doc long, held binary"), "delta-sets")
+    held = store.put(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, SETS), "delta-sets")
     of_hub = held.select(F.col("doc").alias("hub"), F.col("held").alias("held_hub"))
-    rows = around.join(held, "doc").join(of_hub, "hub").select("hub", "doc", "part", "alone", "held", "held_hub")
+    rows = around.join(held.select("doc", "held"), "doc").join(of_hub, "hub").select("hub", "doc", "part", "alone", "held", "held_hub")
     out = store.put(rows.mapInArrow(_delta_rows, "hub long, doc long, part long, far int, item long, kind int"), "deltas")
     store.drop("delta-sets")
     return out
@@ -370,14 +406,17 @@ def _delta_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out: list[tuple[int, int, int, int, int, np.ndarray]] = []
             for hub, doc, lone, part, (items, n, m), count in zip(hubs, docs, alone, parts, found, often, strict=True):
                 e, first = len(items), items[np.argsort(count, kind="stable")]
-                for far in range(1, up // down + 1):
-                    other = down * (far * m + (far - 1) * (n * num // den)) + (far == 1)
-                    need = -(-(up * e - down * n + other) // (2 * up))
+                for far in range(STEPS, STEPS * up // down + 1):
+                    # the set x: at least far / STEPS of the threshold away from the hub, at least 4/5 and at most 5/4 of this one's size
+                    if STEPS * (up * e - down * (n + n * den // num + 1)) > (far + 1) * down * (m + n * den // num + 1):
+                        continue  # too near to the hub to be similar
+                    other = down * (far * m + (far - STEPS) * (n * num // den)) + STEPS * (far == STEPS)
+                    need = -(-(STEPS * (up * e - down * n) + other) // (2 * STEPS * up))
                     if need > e:
                         break
-                    out.append((hub, doc, part, far, HEAD, first[: e - need + 1]))
+                    out.append((hub, doc, part, far, HEAD, first[: e - max(1, need) + 1]))
                 if lone and up * e > down * (n + m):
-                    out.append((hub, doc, part, up * e // (down * (n + m)), WHOLE, items))
+                    out.append((hub, doc, part, STEPS * up * e // (down * (n + m)), WHOLE, items))
                 elif lone:
                     out.append((hub, doc, part, 0, LINK, np.zeros(1, U64)))
             if out:
