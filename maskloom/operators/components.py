@@ -73,27 +73,25 @@ def label_runs(runs: DataFrame, tile: int = TILE) -> DataFrame:
     """Every foreground run with the (y, x) of the first run of its component."""
     fg = runs.where("class_id > 0").select(*EXAMPLE, "class_id", "y", "x0", "len")
     kinds = dict(fg.dtypes)
-    extent = fg.agg(F.max("y").alias("y"), F.max(F.col("x0") + F.col("len") - 1).alias("x")).first()
-    large = extent.y is not None and max(extent.y, extent.x) >= tile
     parts = _split_at_tiles(fg, tile)
     schema = f"dataset {kinds['dataset']}, example_id {kinds['example_id']}, class_id int, y int, x0 int, len int, _ty int, _tx int, root_y int, root_x int"
     labelled = parts.groupBy(*EXAMPLE, "_ty", "_tx").applyInArrow(_label_tile, schema)
-    if large:
-        labelled = _merge_tiles(cut(labelled), tile)
-    return labelled.drop("_ty", "_tx")
+    return _merge_tiles(cut(labelled), tile).drop("_ty", "_tx")
 
 
 def _merge_tiles(labelled: DataFrame, tile: int) -> DataFrame:
     node = F.struct("root_y", "root_x")
     keys = [*EXAMPLE, "class_id"]
     rows = labelled.withColumn("node", node)
-    up = rows.where(F.col("y") % tile == 0).select(*keys, (F.col("y") - 1).alias("y"), F.col("x0").alias("_x"), F.col("len").alias("_l"), F.col("node").alias("b"))
-    low = rows.where(F.col("y") % tile == tile - 1).select(*keys, "y", "x0", "len", F.col("node").alias("a"))
+    up = rows.where(F.pmod(F.col("y"), F.lit(tile)) == 0).select(*keys, (F.col("y") - 1).alias("y"), F.col("x0").alias("_x"), F.col("len").alias("_l"), F.col("node").alias("b"))
+    low = rows.where(F.pmod(F.col("y"), F.lit(tile)) == tile - 1).select(*keys, "y", "x0", "len", F.col("node").alias("a"))
     vertical = low.join(up, [*keys, "y"]).where((F.col("_x") < F.col("x0") + F.col("len")) & (F.col("x0") < F.col("_x") + F.col("_l")))
-    right = rows.where(F.col("x0") % tile == 0).select(*keys, "y", F.col("x0").alias("_e"), F.col("node").alias("b"))
-    left = rows.withColumn("_e", F.col("x0") + F.col("len")).where(F.col("_e") % tile == 0).select(*keys, "y", "_e", F.col("node").alias("a"))
+    right = rows.where(F.pmod(F.col("x0"), F.lit(tile)) == 0).select(*keys, "y", F.col("x0").alias("_e"), F.col("node").alias("b"))
+    left = rows.withColumn("_e", F.col("x0") + F.col("len")).where(F.pmod(F.col("_e"), F.lit(tile)) == 0).select(*keys, "y", "_e", F.col("node").alias("a"))
     horizontal = left.join(right, [*keys, "y", "_e"])
-    edges = vertical.select(*keys, "a", "b").unionByName(horizontal.select(*keys, "a", "b")).distinct()
+    edges = cut(vertical.select(*keys, "a", "b").unionByName(horizontal.select(*keys, "a", "b")).distinct())
+    if edges.isEmpty():  # nothing touches a tile border
+        return labelled
     merged = contract(edges, keys)
     out = rows.join(merged, [*keys, "node"], "left")
     best = F.coalesce("label", "node")

@@ -233,6 +233,13 @@ def connected_components(t):
     return C.component_table(C.label_runs(t.v_runs))
 
 
+@query(f"""WITH RECURSIVE {_COMP} SELECT dataset, example_id, class_id, CAST(root // 1000 AS INT) AS root_y, CAST(root % 1000 AS INT) AS root_x, CAST(sum(len) AS BIGINT) AS area,
+ min(x0) AS x_min, min(y) AS y_min, CAST(max(x0 + len - 1) AS INT) AS x_max, max(y) AS y_max FROM lr GROUP BY 1, 2, 3, 4, 5""")
+def connected_components_tiled(t):
+    """The same components from tiles of 16 x 16, merged across their borders."""
+    return C.component_table(C.label_runs(t.v_runs, 16))
+
+
 @query(f"WITH RECURSIVE {_COMP} SELECT dataset, example_id, class_id, count(DISTINCT root) AS components FROM lr GROUP BY 1, 2, 3")
 def component_counts(t):
     return C.component_counts(C.label_runs(t.v_runs))
