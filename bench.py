@@ -23,7 +23,8 @@ HEADLINE = [
     "world_transform", "leaderboard", "review_queue", "status_transitions", "daily_streaks", "clip_summary", "action_norms", "extreme_frames",
     "uniform_arc_resample", "drop_anticipation", "shape_drift_check", "multiview_consistency", "proportion_features", "impute_scale",
     "vertex_features", "dominant_region", "probability_ensemble", "segment_vote", "validate_dataset", "view_triplets", "complete_view_sets",
-    "first_reject_reason", "export_coco", "running_metrics",
+    "first_reject_reason", "export_coco", "running_metrics", "kmeans_select_k", "scan_per_example", "worst_angle_pairs", "degradation_pairs",
+    "mask_quality_summary",
 ]
 
 

@@ -209,7 +209,7 @@ def test_world_transform_of_a_long_chain(spark):
 def test_grid_of_prompts_is_distinct(spark):
     axes = {"a": ["x", "y", "z"], "b": ["p", "q"], "c": ["1", "2", "3", "4"]}
     out = A.prompt_grid(spark.range(50).withColumnRenamed("id", "i"), "i", axes)
-    assert out.count() == 24 and out.select(*axes).distinct().count() == 24
+    assert out.count() == 50 and [out.where(f"cycle = {c}").select(*axes).distinct().count() for c in (0, 1, 2)] == [24, 24, 2]
 
 
 def test_clusters_of_few_rows(spark):
@@ -233,3 +233,16 @@ def test_even_sample_of_one_row(spark):
 
 def test_glob():
     assert A.glob_regex("**/ortho/*.png") == r"^(?:.*/)?ortho/[^/]*\.png$"
+
+
+def test_all_angles_are_told_apart(spark):
+    stems = {
+        "c_pose_00_front_high_cel": "front_high", "c_pose_00_iso_front_cel": "iso_front", "c_pose_00_topdown_left_cel": "topdown_left", "c_pose_00_side_low_cel": "side_low",
+        "c_pose_00_iso_back_left_flat": "iso_back_left", "c_pose_00_cel": "front", "c_pose_00_worms_eye_cel": None, "no pose": None,
+    }
+    df = spark.createDataFrame([(k,) for k in stems], "stem string").withColumns(N.parse_stem()).withColumn("unknown", N.unknown_angle())
+    got = {r.stem: r for r in df.collect()}
+    assert {k: r.p_angle for k, r in got.items()} == stems
+    assert [k for k, r in got.items() if r.unknown == "worms_eye"] == ["c_pose_00_worms_eye_cel"]
+    views = spark.createDataFrame([("c", a, a + ".png") for a in ("front", "iso_front", "topdown_left")], "char_id string, angle string, path string")
+    assert A.view_triplets(views).count() == 3
