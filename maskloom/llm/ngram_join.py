@@ -10,9 +10,10 @@ partitions. Two sets that differ in at most k shingles differ in at most ``k2``
 A subset in which a set has no shingle says nothing. A group with such a subset is blocked. ``n1`` is chosen with room, so that most sets have fewer than ``need`` blocked groups;
 then a group without a blocked subset agrees too, and the empty signatures are left out. Other sets emit them: nothing is lost.
 
-The room has a second use. Similar sets agree in at least ``need`` groups, so in more than ``spare = need - 1 - blocked`` groups they share a signature. A set that shares signatures
-with anything in at most ``spare`` groups of a band cannot be similar to anything there and leaves, without a comparison. Leaving makes buckets smaller, so this can be repeated (``SIEVES``). It
-removes texts that only share passages.
+The room has a second use. Similar sets agree in at least ``need`` groups, so in more than ``spare = need - 1 - blocked`` groups they share a signature. Every set leaves the
+``spare`` largest buckets of a band, by size and signature. Of the buckets that two similar sets share, each leaves the largest first, so at least one is left to both. A set that shares signatures
+with anything in at most ``spare`` groups leaves altogether. This removes texts that only share passages, without a comparison, and empties the hottest buckets. (Where a
+group has several signatures its buckets have no common order; there a set leaves only altogether.)
 
 Work is linear in the signatures, whatever the size of a group of copies. Sorted by signature, a stream compares every member of a bucket with the bucket's smallest only (star). Each
 different pair is verified exactly, once, on the full sets. Components of the verified pairs follow by star contraction. Members of one component need no further comparison. Where
@@ -46,9 +47,10 @@ SHINGLE = 5
 #: similarity as a fraction of whole numbers
 SIMILAR = (80, 100)
 #: sets of a band up to this limit use subsets of 2 of 3 partitions; for larger sets many groups of one partition are as selective, with fewer signatures
-SMALL = 212
+SMALL = 50
 ROOM = 0.25
-SIEVES = 1
+#: a larger bucket counts as one of so many members, so that its rows need not wait for its end
+LARGE = 10_000
 #: shingles of a set for each count of its sketch
 COUNTED = 2
 #: steps in which a distance from the hub is told apart
@@ -173,46 +175,58 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 "doc": pa.array(np.concatenate([own[r], own]), mask=plain & ~np.concatenate([np.ones(m, bool), known])),
                 "slot": np.concatenate([slot, sizes]).astype(np.int32),
                 "rep": pa.array(np.concatenate([np.zeros(m, np.int64), own[head]]), mask=~np.concatenate([np.zeros(m, bool), copy])),
+                "n": np.zeros(m + n, np.int32),
             })
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (sig, doc): those of buckets with several documents, with the smallest of the bucket."""
-    last_sig = last_rep = last_doc = rep_slot = None
-    pending = False  # the first row of the open bucket waits for a second document
+    """Rows sorted by (sig, doc): those of buckets with several documents, once for each, with the smallest of the bucket and its size, at most ``LARGE``."""
+    kept: list[tuple[np.ndarray, ...]] = []  # the open bucket, as long as it has less than LARGE rows
+    known = 0
+    last: tuple[int, int] | None = None  # signature and first document of the open bucket, once its size is settled
+
+    def out(sig, doc, slot, rep, n):
+        return pa.RecordBatch.from_pydict({"sig": sig, "doc": doc, "slot": slot, "rep": rep, "n": n.astype(np.int32)})
+
+    def closed(sig, doc, slot, settled: tuple[int, int] | None):
+        """Rows of whole buckets, but the first may go on from a settled one."""
+        again = np.zeros(len(sig), bool)
+        again[1:] = (sig[1:] == sig[:-1]) & (doc[1:] == doc[:-1])
+        sig, doc, slot = sig[~again], doc[~again], slot[~again]
+        new = np.ones(len(sig), bool)
+        new[1:] = sig[1:] != sig[:-1]
+        begin = np.flatnonzero(new)
+        size = np.diff(np.append(begin, len(sig)))
+        rep = doc[begin]
+        if settled is not None and len(sig) and sig[0] == settled[0]:
+            size[0], rep[0] = LARGE, settled[1]
+        size, rep = np.repeat(np.minimum(size, LARGE), np.diff(np.append(begin, len(sig)))), np.repeat(rep, np.diff(np.append(begin, len(sig))))
+        several = size > 1
+        return out(sig[several], doc[several], slot[several], rep[several], size[several])
+
     for batch in batches:
         if not batch.num_rows:
             continue
         sig, doc, slot = (batch.column(c).to_numpy() for c in ("sig", "doc", "slot"))
-        new = np.ones(len(sig), bool)
-        new[1:] = sig[1:] != sig[:-1]
-        go_on = last_sig is not None and sig[0] == last_sig
-        new[0] = not go_on
-        begin = np.flatnonzero(new)
-        rep = np.empty(len(sig), np.int64)
-        which = np.cumsum(new) - 1
-        if go_on:
-            rep[which < 0] = last_rep
-        rep[which >= 0] = doc[begin[which[which >= 0]]]
-        again = np.zeros(len(sig), bool)
-        again[1:] = (doc[1:] == doc[:-1]) & ~new[1:]
-        again[0] = go_on and doc[0] == last_doc
-        other = (doc != rep) & ~again
-        several = np.zeros(len(begin), bool)
-        np.logical_or.at(several, which[other & (which >= 0)], True)
-        heads = begin[several]
-        out = [(sig[heads], doc[heads], slot[heads], doc[heads]), (sig[other], doc[other], slot[other], rep[other])]
-        if go_on and pending and other[which < 0].any():
-            out.append(tuple(np.array([v], t) for v, t in ((last_sig, np.int64), (last_rep, np.int64), (rep_slot, np.int32), (last_rep, np.int64))))
-            pending = False
-        if len(begin):
-            pending, rep_slot = not several[-1], slot[begin[-1]]
-        last_sig, last_rep, last_doc = sig[-1], rep[-1], doc[-1]
-        yield pa.RecordBatch.from_pydict(dict(zip(("sig", "doc", "slot", "rep"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+        cut = int(np.searchsorted(sig, sig[-1]))  # the last bucket may go on
+        ready = [np.concatenate(x) for x in zip(*kept, (sig[:cut], doc[:cut], slot[:cut]), strict=True)]
+        if cut or (kept and kept[0][0][0] != sig[-1]):
+            yield closed(*ready, last)
+            kept, known = [], 0
+            last = last if last is not None and last[0] == sig[-1] else None
+        kept.append((sig[cut:], doc[cut:], slot[cut:]))
+        known += len(sig) - cut
+        if known >= LARGE or last is not None:
+            rows = [np.concatenate(x) for x in zip(*kept, strict=True)]
+            last = last or (int(rows[0][0]), int(rows[1][0]))
+            yield closed(*rows, last)
+            kept, known = [], 0
+    if kept:
+        yield closed(*[np.concatenate(x) for x in zip(*kept, strict=True)], last)
 
 
 def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by document: those of documents that share signatures in more than their spare groups of a band."""
+    """Rows sorted by document, without the largest buckets that the spare groups of each document and band allow to leave."""
     carry: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
         rows = pa.Table.from_batches([batch]) if batch is not None else None
@@ -227,9 +241,14 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         doc, slot = doc[:end], rows["slot"].to_numpy().astype(np.int64)
         band = np.unique(np.stack([doc, slot & 1]), axis=1, return_inverse=True)[1].ravel()
-        group = np.where(slot >> 1 & 0xFF == ALONE, 256 + np.arange(end), slot >> 1 & 0xFF)
-        once = np.unique(np.stack([band, group]), axis=1)[0]
-        yield from rows.filter(pa.array(np.bincount(once)[band] > slot >> 9)).to_batches()
+        alone = slot >> 1 & 0xFF == ALONE
+        group = np.where(alone, 256 + np.arange(end), slot >> 1 & 0xFF)
+        shared = np.bincount(np.unique(np.stack([band, group]), axis=1)[0])[band]
+        order = np.lexsort((rows["sig"].to_numpy(), -rows["n"].to_numpy().astype(np.int64), band))
+        place = np.empty(end, np.int64)
+        place[order] = np.arange(end) - np.searchsorted(band[order], band[order])  # 0 for the largest bucket of a band
+        spare = slot >> 9
+        yield from rows.filter(pa.array((shared > spare) & ~(alone & (place < spare)))).to_batches()
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +302,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "linked": linked})
 
 
-ROWS = "sig long, doc long, slot int, rep long"
+ROWS = "sig long, doc long, slot int, rep long, n int"
 
 
 class Stored:
@@ -329,16 +348,13 @@ def links_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
     store = Stored(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = own.mapInArrow(_signature_rows, ROWS)
-    for turn in range(SIEVES + 1):
-        # plain rows, without a signature, are spread by document
-        dealt = rows.repartition(F.coalesce("sig", F.xxhash64("doc"))).sortWithinPartitions("sig", "doc")
-        members = store.put(dealt.mapInArrow(_bucket_rows, ROWS), f"members-{turn}")
-        if turn:
-            store.drop(f"members-{turn - 1}")
-        else:
-            plain = store.put(members.where("sig IS NULL"), "plain")
-        if turn < SIEVES:
-            rows = members.where("sig IS NOT NULL").repartition("doc").sortWithinPartitions("doc").mapInArrow(_sieve, ROWS)
+    # plain rows, without a signature, are spread by document
+    dealt = rows.repartition(F.coalesce("sig", F.xxhash64("doc"))).sortWithinPartitions("sig", "doc")
+    shared = store.put(dealt.mapInArrow(_bucket_rows, ROWS), "shared")
+    plain = store.put(shared.where("sig IS NULL"), "plain")
+    sieved = shared.where("sig IS NOT NULL").repartition("doc").sortWithinPartitions("doc").mapInArrow(_sieve, ROWS)
+    members = store.put(sieved.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_bucket_rows, ROWS), "members")
+    store.drop("shared")
     left = members.where("sig IS NOT NULL").select("sig", "doc")
     pair = (F.least("doc", "rep").alias("a"), F.greatest("doc", "rep").alias("b"))
     pairs = members.where("sig IS NOT NULL AND doc <> rep").select(*pair).unionByName(plain.where("rep IS NOT NULL").select(*pair)).where("a <> b").distinct()
@@ -365,7 +381,7 @@ def links_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
     near = deltas.where(F.col("kind") == LINK).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b"))
     second = store.put(few.unionByName(shared).unionByName(near).distinct().join(first, ["a", "b"], "left_anti"), "pairs-2")
     links = checked.unionByName(_verify(store, second, own, "round-2")).where("linked").select("a", "b")
-    store.drop(f"members-{SIEVES}", "nodes", "left", "deltas", "pairs-1", "pairs-2")
+    store.drop("members", "nodes", "left", "deltas", "pairs-1", "pairs-2")
     return plain.select("doc", F.col("slot").cast("long").alias("n_shingles")), links, contract(links, [])
 
 
