@@ -98,6 +98,12 @@ def _merge_tiles(labelled: DataFrame, tile: int) -> DataFrame:
     return out.select(*[c for c in labelled.columns if c not in ("root_y", "root_x")], best["root_y"].alias("root_y"), best["root_x"].alias("root_x"))
 
 
+def _digest(edges: DataFrame, keys: Sequence[str]) -> tuple:
+    """Count and two sums of hashes of distinct edges: equal for equal sets, without a shuffle of the edges."""
+    hashed = [F.sum(F.xxhash64(*keys, "a", "b", F.lit(i)).cast("decimal(38,0)")).alias(f"h{i}") for i in (1, 2)]
+    return tuple(edges.agg(F.count(F.lit(1)).alias("n"), *hashed).first())
+
+
 def contract(edges: DataFrame, keys: Sequence[str], max_rounds: int = 60) -> DataFrame:
     """Smallest node of every node's component, by alternating large-star and small-star steps.
 
@@ -106,7 +112,10 @@ def contract(edges: DataFrame, keys: Sequence[str], max_rounds: int = 60) -> Dat
     """
     keys = list(keys)
     e = cut(edges.where(F.col("a") != F.col("b")).select(*keys, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    seen = _digest(e, keys)
     for _ in range(max_rounds):
+        if not seen[0]:
+            return e.select(*keys, F.col("a").alias("node"), F.col("b").alias("label"))
         both = e.unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(*keys, "a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(low, [*keys, "a"]).where(F.col("b") > F.col("a")).select(*keys, F.col("b").alias("a"), F.col("m").alias("b"))
@@ -116,8 +125,8 @@ def contract(edges: DataFrame, keys: Sequence[str], max_rounds: int = 60) -> Dat
         small = small.select(*keys, F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a"), F.col("m").alias("b")))).alias("s"))
         nxt = cut(small.select(*keys, "s.a", "s.b").where(F.col("a") != F.col("b")).distinct())
-        changed = not (nxt.exceptAll(e).isEmpty() and e.exceptAll(nxt).isEmpty())
-        e = nxt
+        now, e = _digest(nxt, keys), nxt
+        changed, seen = now != seen, now
         if not changed:
             return e.select(*keys, F.col("a").alias("node"), F.col("b").alias("label"))
     raise RuntimeError("components did not converge")
