@@ -21,6 +21,10 @@ members of a bucket are still apart, a bucket of at most ``FEW`` members is comp
 the one that has most signatures in common with others, the hub; two of them are compared only if their differences from the hub have enough in common (see ``_deltas``). This closes the join exactly and never pairs a group with itself. Copies within a batch of texts
 are linked before they are sent, so a hot group of equal texts never arrives as a whole.
 
+These comparisons are as many as the components need. The number of links of a document is counted afterwards, over all pairs: every link lies inside a component, so the different sets of a
+component are compared with each other, one representative for each set and its copies. A large component is cut into blocks by size band and hash; only blocks of the same or adjacent bands meet,
+one pair of blocks in a task, and only counts leave it. This is quadratic in the different sets of a component, as the links of a group of near copies are, but not in its equal sets.
+
 Defined cases: a text that is null, empty or without words has an empty set, links with nothing and is its own component; ids that are
 null take no part and have a null component; rows with the same id are one node with the links of each; equal rows stay separate result rows;
 an empty table gives no rows; other columns are ignored.
@@ -57,6 +61,10 @@ COUNTED = 2
 STEPS = 4
 #: a bucket of more members that are still apart is compared by differences from its hub
 FEW = 16
+#: shingles and sets of a block, of which two are compared at a time
+BLOCK_SHINGLES, BLOCK_SETS = 1 << 16, 512
+#: shingles that at most so many sets of two blocks hold are counted by pairs, others by a product of matrices
+RARE = 8
 U64 = np.uint64
 #: in a slot: not one of several signatures of a group
 ALONE = 255
@@ -462,11 +470,148 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from links
 
 
+def _print_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Size, band and fingerprint of each set that is not empty."""
+    for batch in batches:
+        for part in scan.chunks(batch.column("text")):
+            row, value = sets(part)
+            n = np.bincount(row, minlength=part.rows)
+            limits = np.array([b.limit for b in bands(1 << int(n.max(initial=1)).bit_length())])
+            prints = np.ascontiguousarray(fingerprints(row, value, part.rows).T).view(np.int64)
+            rows = batch.slice(part.first, part.rows)
+            found = pa.RecordBatch.from_pydict({
+                "doc": rows.column("doc_id"), "label": rows.column("label"), "n": n, "band": np.searchsorted(limits, n), "f1": prints[0], "f2": prints[1]})
+            yield found.filter(pa.array(n > 0))
+
+
+def _held_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fingerprint and set of each document."""
+    for batch in batches:
+        for part in scan.chunks(batch.column("text")):
+            row, value = sets(part)
+            edge = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=part.rows))]).tolist()
+            raw = value.astype("<u8").tobytes()
+            prints = np.ascontiguousarray(fingerprints(row, value, part.rows).T).view(np.int64)
+            yield pa.RecordBatch.from_pydict({
+                "doc": batch.column("doc_id").slice(part.first, part.rows), "f1": prints[0], "f2": prints[1],
+                "held": pa.array([raw[a * 8 : b * 8] for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())})
+
+
+def _similar(held: list[np.ndarray]) -> np.ndarray:
+    """Which of some sets are similar, as a matrix."""
+    num, den = SIMILAR
+    m, sizes = len(held), np.array([len(x) for x in held], np.int64)
+    owner = np.repeat(np.arange(m), sizes)
+    _, item, often = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+    order = np.argsort(item, kind="stable")
+    item, owner = item[order], owner[order]
+    rare, frequent = (often[item] > 1) & (often[item] <= RARE), often[item] > RARE
+    common = np.zeros((m, m), np.float32)
+    i, o = item[rare], owner[rare]
+    for d in range(1, RARE):
+        same = np.flatnonzero(i[d:] == i[:-d])
+        np.add.at(common, (o[same], o[same + d]), 1)
+    common += common.T
+    _, i = np.unique(item[frequent], return_inverse=True)
+    o = owner[frequent]
+    for lo in range(0, int(i.max(initial=-1)) + 1, 4096):
+        a, b = np.searchsorted(i, [lo, lo + 4096])
+        cells = np.zeros((m, 4096), np.float32)
+        cells[o[a:b], i[a:b] - lo] = 1
+        common += cells @ cells.T
+    common = common.astype(np.int64)
+    return (common > 0) & (den * common >= num * (sizes[:, None] + sizes[None, :] - common))
+
+
+def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by task: for each set the documents of one set in the other block that are similar (no ``other``); pairs with a document of several sets are listed."""
+    keys = ("label", "band_a", "block_a", "band_b", "block_b")
+    carry: pa.Table | None = None
+    for batch in itertools.chain(batches, [None]):
+        rows = pa.Table.from_batches([batch]) if batch is not None else None
+        if carry is not None:
+            rows = pa.concat_tables([carry, rows]) if rows is not None else carry
+        if rows is None or not rows.num_rows:
+            continue
+        task = np.stack([rows[k].to_numpy() for k in keys])
+        begin = np.flatnonzero(np.concatenate([[True], (task[:, 1:] != task[:, :-1]).any(axis=0)]))
+        done = len(rows) if batch is None else int(begin[-1])  # the last task may go on
+        out: list[tuple[np.ndarray, ...]] = []
+        for lo, hi in zip(begin, np.append(begin[1:], len(rows)), strict=True):
+            if hi > done:
+                break
+            one = rows.slice(lo, hi - lo)
+            doc, f1, f2 = (one[c].to_numpy() for c in ("doc", "f1", "f2"))
+            first = np.unique(np.stack([doc, f1, f2]), axis=1, return_index=True)[1]  # equal rows of a document are one
+            one, doc = one.take(first), doc[first]
+            side, several, copies = (one[c].to_numpy() for c in ("side", "several", "copies"))
+            linked = _similar([np.frombuffer(x.as_buffer(), "<u8") for x in one["held"]]) & (doc[:, None] != doc[None, :])
+            if task[1, lo] != task[3, lo] or task[2, lo] != task[4, lo]:
+                linked &= side[:, None] != side[None, :]
+            total = (linked * np.where(several, 0, copies)[None, :]).sum(axis=1)
+            at = np.flatnonzero((total > 0) & ~several)
+            x, y = np.nonzero(linked & (several[:, None] | several[None, :]))
+            out.append((doc[at], doc[at], total[at], np.ones(len(at), bool)))
+            out.append((doc[x], doc[y], np.where(several, 1, copies)[y], np.zeros(len(x), bool)))
+        if out:
+            own, other, n, summed = (np.concatenate(x) for x in zip(*out, strict=True))
+            yield pa.RecordBatch.from_pydict({"doc": own, "other": pa.array(other, mask=summed), "n": n})
+        carry = rows.slice(done)
+
+
+def link_counts(docs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Number of all similar documents of every document with a link: node, n_links. ``parts`` are the components of ``links_and_components``."""
+    store = Stored(docs.sparkSession)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    member = parts.unionByName(parts.select(F.col("label").alias("node"), "label").distinct())
+    prints = store.put(own.join(member, F.col("doc_id") == F.col("node")).select("doc_id", "text", "label").mapInArrow(
+        _print_rows, "doc long, label long, n long, band long, f1 long, f2 long").distinct(), "prints")
+    several = prints.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("own"))
+    marked = prints.join(several, F.col("doc") == F.col("own"), "left")
+    # a representative for the documents that have this set only; each document of several sets stands for itself
+    entries = store.put(marked.groupBy("label", "n", "band", "f1", "f2", "own").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("copies")), "entries")
+    whole = entries.groupBy("label").agg(F.sum("n").alias("all_n"), F.count(F.lit(1)).alias("all_sets")).where("all_sets > 1")
+    small = (F.col("all_n") <= BLOCK_SHINGLES) & (F.col("all_sets") <= BLOCK_SETS)
+    apart = store.put(entries.join(whole, "label").withColumn("band", F.when(small, -1).otherwise(F.col("band"))).select(
+        "label", "band", "n", "f1", "f2", "doc", "copies", F.col("own").isNotNull().alias("several")), "apart")
+    cells = apart.groupBy("label", "band").agg(
+        F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_SETS)).cast("long").alias("blocks"))
+    cells = store.put(cells, "cells")
+    below, above = (cells.select("label", (F.col("band") + d).alias("band"), F.col("blocks").alias(c)) for d, c in ((1, "blocks_below"), (-1, "blocks_above")))
+    around = cells.join(below, ["label", "band"], "left").join(above, ["label", "band"], "left")
+    placed = apart.join(around, ["label", "band"]).withColumn("block", F.pmod("f1", "blocks"))
+
+    def tasks(blocks: str, task) -> F.Column:
+        every = F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)
+        return F.when(F.col(blocks) > 0, F.transform(every, task)).otherwise(F.array().cast("array<struct<band_a:long,block_a:long,band_b:long,block_b:long,side:int>>"))
+
+    def task(band_a, block_a, band_b, block_b, side):
+        return F.struct(band_a.alias("band_a"), block_a.alias("block_a"), band_b.alias("band_b"), block_b.alias("block_b"), side.cast("int").alias("side"))
+
+    band, block = F.col("band"), F.col("block")
+    met = F.concat(
+        tasks("blocks", lambda j: task(band, F.least(block, j), band, F.greatest(block, j), block > j)),
+        tasks("blocks_above", lambda j: task(band, block, band + 1, j, F.lit(0))),
+        tasks("blocks_below", lambda j: task(band - 1, j, band, block, F.lit(1))))
+    held = own.join(apart.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_held_rows, "doc long, f1 long, f2 long, held binary")
+    rows = placed.withColumn("met", met).join(held, ["doc", "f1", "f2"]).select("label", F.explode("met").alias("t"), "doc", "f1", "f2", "copies", "several", "held")
+    key = ["label", "band_a", "block_a", "band_b", "block_b"]
+    rows = rows.select("label", "t.*", "doc", "f1", "f2", "copies", "several", "held").repartition(*key).sortWithinPartitions(*key)
+    found = store.put(rows.mapInArrow(_count_rows, "doc long, other long, n long"), "found")
+    listed = found.where("other IS NOT NULL").distinct()
+    sums = found.where("other IS NULL").unionByName(listed).groupBy(F.col("doc").alias("rep")).agg(F.sum("n").alias("n"))
+    alone = entries.where("own IS NULL").select("label", "f1", "f2", F.col("doc").alias("rep"), (F.col("copies") - 1).alias("equal"))
+    nodes = prints.join(several, F.col("doc") == F.col("own"), "left_anti").join(alone, ["label", "f1", "f2"]).select("doc", "rep", "equal")
+    nodes = nodes.unionByName(several.select(F.col("own").alias("doc"), F.col("own").alias("rep"), F.lit(0).cast("long").alias("equal")))
+    out = store.put(nodes.join(sums, "rep", "left").select(F.col("doc").alias("node"), (F.col("equal") + F.coalesce("n", F.lit(0))).alias("n_links")), "counts")
+    store.drop("prints", "entries", "apart", "cells", "found")
+    return out
+
+
 def components(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_links (verified links of the comparisons that were needed)."""
-    sizes, links, parts = links_and_components(docs)
-    ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    known = parts.join(ends, "node", "full").select("node", "label", "n_links")
+    """One row per document: doc_id, n_shingles, component_id, n_links (all other documents that are similar to it)."""
+    sizes, _, parts = links_and_components(docs)
+    known = parts.join(link_counts(docs, parts), "node", "full").select("node", "label", "n_links")
     return sizes.join(known, sizes["doc"] == known["node"], "left").select(
         F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("label", "doc").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 

@@ -126,3 +126,26 @@ def test_chunks_do_not_change_sets():
     small = [ngram_join.sets(c) for c in scan.chunks(texts, size=4)]
     assert len(small) > 1
     assert np.concatenate([v for _, v in whole]).tolist() == np.concatenate([v for _, v in small]).tolist()
+
+
+def brute_links(rows):
+    """{doc_id: number of other ids with a similar text} by comparing all pairs."""
+    held = [(i, shingle_set(t)) for i, t, *_ in rows if i is not None]
+    linked = {i: set() for i, _ in held}
+    for (a, x), (b, y) in combinations(held, 2):
+        common = len(x & y)
+        if a != b and common and 100 * common >= 80 * (len(x) + len(y) - common):
+            linked[a].add(b)
+            linked[b].add(a)
+    return {i: len(x) for i, x in linked.items()}
+
+
+@pytest.mark.parametrize("shingles, members", [(ngram_join.BLOCK_SHINGLES, ngram_join.BLOCK_SETS), (300, 5)])
+def test_all_links_are_counted(spark, make_docs, odd_rows, monkeypatch, shingles, members):
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles)
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", members)
+    rows = near_copies(5, [3, 9, 30, 60, 61, 200], 25, 20) + [(1000 + i, f"{'same ' * 3}{' '.join(map(str, range(30)))}", "en", "s") for i in range(20)]
+    rows += [(2000 + i % 7, rows[i * 3][1], "en", "s") for i in range(20)]  # ids with several texts, copies of others
+    rows += [(i if i is None else i + 5000, t, a, b) for i, t, a, b in odd_rows]
+    got = {r.doc_id: r.n_links for r in ngram_join.components(make_docs(rows)).collect() if r.doc_id is not None}
+    assert got == brute_links(rows)
