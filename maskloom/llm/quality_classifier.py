@@ -9,8 +9,8 @@ Sampling without replacement by these weights is Gumbel top-k: seeded Gumbel noi
 documents whose log weight reaches the value that ``KEEP`` of the target texts reach, less ``MARGIN`` (below which Gumbel noise hardly ever falls), so
 clean documents stay whatever the share of junk is. The k-th score is found exactly: a histogram of the scores names the bin, and only that bin's rows are ranked.
 
-The target model is fitted on at most ``TARGET_ROWS`` labelled texts, first by a hash of the id; the raw model, the scores and the selection use all
-documents. What is collected is bounded by ``BUCKETS``.
+The target model is fitted on at most ``TARGET_ROWS`` labelled texts, first by a hash of the id; the raw model, the scores, the level of the target texts and the
+selection use all documents. What is collected is bounded by ``BUCKETS``.
 
 Defined cases: a null or empty text has weight 0; equal rows have equal weights and noise, and are kept or rejected together unless the k-th
 place lies between them, where any of them goes first; a document is a target only if all its labels are good and none toxic; without target texts all are
@@ -19,6 +19,7 @@ kept; an empty table gives no rows. Columns named like the added ones are replac
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,10 +55,15 @@ def grams(texts: scan.Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([row, row[1:][pair]]), (np.concatenate([value, both]) % scan.U64(BUCKETS)).astype(np.int64)
 
 
-def _targets(labels: DataFrame) -> DataFrame:
+def _good(labels: DataFrame) -> DataFrame:
     good = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min(F.coalesce(F.col("quality"), F.lit(0))).alias("q"), F.max(F.coalesce(F.col("toxic"), F.lit(0))).alias("t"))
-    return good.where("q = 1 AND t = 0").select(F.col("doc_id").alias("c_id")).orderBy(F.xxhash64("c_id"), "c_id").limit(TARGET_ROWS)
+    return good.where("q = 1 AND t = 0").select(F.col("doc_id").alias("c_id"))
+
+
+def _targets(labels: DataFrame) -> DataFrame:
+    """The texts that the target model is fitted on."""
+    return _good(labels).orderBy(F.xxhash64("c_id"), "c_id").limit(TARGET_ROWS)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> np.ndarray | None:
@@ -135,6 +141,28 @@ def top_k(scored: DataFrame, k: int) -> tuple[float, str, int] | None:
     return (row.score, row.tie, row.n) if row else (low, "g", 0)
 
 
+def level(weights: DataFrame, share: float) -> float | None:
+    """The quantile of ``log_weight`` at ``share``, between the two nearest weights. A histogram names the bins of both, and only their weights are ranked."""
+    weights = cut(weights)
+    low, high, n = weights.agg(F.min("log_weight"), F.max("log_weight"), F.count("log_weight")).first()
+    if not n:
+        return None
+    place = share * (n - 1)
+    wanted = [math.floor(place), math.ceil(place)]
+    width = (high - low) / BINS
+    bin_ = F.least(F.lit(BINS - 1), F.floor((F.col("log_weight") - F.lit(low)) / F.lit(width))).cast("long") if width > 0 else F.lit(0).cast("long")
+    sizes = sorted((r.c_bin, r.n) for r in weights.groupBy(bin_.alias("c_bin")).agg(F.count(F.lit(1)).alias("n")).collect())  # at most BINS rows
+    ends = np.cumsum([size for _, size in sizes])
+    found = []
+    for rank in wanted:
+        at = int(np.searchsorted(ends, rank, "right"))
+        before = int(ends[at]) - sizes[at][1]
+        values = weights.where(bin_ == sizes[at][0]).groupBy("log_weight").agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.orderBy("log_weight").rowsBetween(Window.unboundedPreceding, 0))
+        found.append(values.withColumn("upto", upto).where(F.col("upto") > rank - before).orderBy("upto").first().log_weight)
+    return found[0] + (found[1] - found[0]) * (place - wanted[0])
+
+
 def tie_key() -> Column:
     return F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
 
@@ -145,8 +173,7 @@ def score(docs: DataFrame, labels: DataFrame, seed: int = 0, with_text: bool = F
     if ratio is None:
         ratio = np.zeros(BUCKETS)
     scored = cut(weigh(docs.select("doc_id", "text"), ratio, False).withColumn("score", F.col("log_weight") + gumbel(seed)))
-    hits = scored.join(F.broadcast(_targets(labels)), F.col("doc_id") == F.col("c_id"), "left_semi")
-    least = hits.agg(F.percentile("log_weight", 1 - keep)).first()[0]
+    least = level(scored.join(_good(labels), F.col("doc_id") == F.col("c_id"), "left_semi").select("log_weight"), 1 - keep)
     k = scored.where(F.col("log_weight") >= (least - MARGIN if least is not None else float("-inf"))).count()
     end = top_k(scored, k)
     if end is None:

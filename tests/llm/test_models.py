@@ -169,6 +169,28 @@ def test_resampling_as_brute_force(spark, make_docs):
     assert {(r.doc_id, r.text) for r in texts} == {(i, t) for i, t, *_ in rows if i in best}
 
 
+def test_level_covers_targets_beyond_the_fitted_ones(spark, make_docs, monkeypatch):
+    rows, labels = corpus(300)
+    monkeypatch.setattr(quality_classifier, "TARGET_ROWS", 12)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = quality_classifier.score(make_docs(rows), table).collect()
+    good = {i for i, q, t in labels if q == 1 and not t and i is not None} - {7}
+    least = np.percentile([r.log_weight for r in got if r.doc_id in good], 100 * (1 - quality_classifier.KEEP))
+    fitted = {r.c_id for r in quality_classifier._targets(table).collect()}
+    sampled = np.percentile([r.log_weight for r in got if r.doc_id in fitted], 100 * (1 - quality_classifier.KEEP))
+    count = lambda x: sum(r.log_weight >= x - quality_classifier.MARGIN for r in got)
+    assert len(fitted) == 12 and count(least) != count(sampled)
+    assert sum(r.kept for r in got) == count(least)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.002, 0.37, 1.0])
+def test_level_is_exact(spark, share):
+    rnd = random.Random(2)
+    weights = [rnd.choice([1.5, rnd.gauss(0, 50)]) for _ in range(700)]
+    table = spark.createDataFrame([(w,) for w in weights], "log_weight double")
+    assert quality_classifier.level(table, share) == pytest.approx(np.percentile(weights, 100 * share))
+
+
 @pytest.mark.parametrize("k", [0, 1, 5, 37, 99, 100])
 def test_top_k_is_exact(spark, k):
     rnd = random.Random(k)
