@@ -1,7 +1,8 @@
 """License scan (operator 7): an exact set-similarity join of text blocks with license templates.
 
 A template is a set of words. A block is ``BLOCK`` consecutive words of a text, one every ``STEP`` words, so a passage of up to
-``BLOCK - STEP`` words lies whole in some block. A block matches a template if it holds at least ``CONTAINMENT`` of the template's words.
+``BLOCK - STEP`` words lies whole in some block. A template of more words has blocks of its own grid: the step doubles until it is no less than the template's
+words, and a block is two steps. A block matches a template if it holds at least ``CONTAINMENT`` of the template's words.
 
 The join is exact and uses three filters over one global order of the template words, rarest first by their counts in the corpus:
 * prefix: a match must share one of the ``len - need + 1`` rarest words of the template;
@@ -99,18 +100,33 @@ def _phrases(w: scan.Words, phrases: list[np.ndarray]) -> list[np.ndarray]:
     return found
 
 
-def _blocks(w: scan.Words, vocabulary: np.ndarray, order: np.ndarray, prefix: np.ndarray) -> list[list[tuple[int, list[int]]]]:
-    """For each row the blocks that hold a prefix word: (block, template words as places in the global order)."""
-    out: list[list[tuple[int, list[int]]]] = [[] for _ in w.per_row]
+def step_of(words: int) -> int:
+    """The step of the grid in which a passage of so many words lies whole in a block of two steps."""
+    step = STEP
+    while step < words:
+        step *= 2
+    return step
+
+
+def _blocks(w: scan.Words, vocabulary: np.ndarray, order: np.ndarray, prefixes: dict[int, np.ndarray]) -> list[list[tuple[int, int, list[int]]]]:
+    """For each row the blocks of each grid that hold a prefix word of its templates: (step, block, template words as places in the global order)."""
+    out: list[list[tuple[int, int, list[int]]]] = [[] for _ in w.per_row]
+    for step, prefix in prefixes.items():
+        _blocks_of(out, w, vocabulary, order, prefix, step)
+    return out
+
+
+def _blocks_of(out, w, vocabulary, order, prefix, step):
+    block_words = BLOCK // STEP * step
     at, word = _find(w, vocabulary)
     if not len(at):
-        return out
+        return
     place = order[word]
     pos = at - w.first_of_row()[w.row[at]]
-    last = np.maximum(0, -(-(w.per_row[w.row[at]] - BLOCK) // STEP))  # the last block ends with the text
+    last = np.maximum(0, -(-(w.per_row[w.row[at]] - block_words) // step))  # the last block ends with the text
     rows, blocks, places = [], [], []
-    for back in range(BLOCK // STEP):
-        block = pos // STEP - back
+    for back in range(block_words // step):
+        block = pos // step - back
         ok = (block >= 0) & (block <= last)
         rows.append(w.row[at][ok])
         blocks.append(block[ok])
@@ -124,29 +140,28 @@ def _blocks(w: scan.Words, vocabulary: np.ndarray, order: np.ndarray, prefix: np
     held = np.add.reduceat(prefix[place].astype(np.int64), begin)
     end = np.append(begin[1:], len(row))
     for i in np.flatnonzero(held):
-        out[row[begin[i]]].append((int(block[begin[i]]), np.unique(place[begin[i] : end[i]]).tolist()))
-    return out
+        out[row[begin[i]]].append((step, int(block[begin[i]]), np.unique(place[begin[i] : end[i]]).tolist()))
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str] = PHRASES, containment: float = CONTAINMENT) -> tuple[DataFrame, DataFrame]:
     """(documents without their text, with word and phrase figures; matches of blocks with templates).
 
-    Matches: doc_id, block (its first word is ``STEP * block``), template (its number), label, overlap, containment.
+    Matches: doc_id, block (its first word is ``step * block``), template (its number), label, overlap, containment, step (of the template's grid, ``STEP`` up to as many words).
     """
     spark = docs.sparkSession
-    sets = [(label, np.unique(h)) for (label, _), h in zip(templates, hashed([t for _, t in templates]), strict=True) if len(h)]
-    vocabulary = np.unique(np.concatenate([h for _, h in sets])) if sets else np.zeros(0, np.uint64)
+    sets = [(label, np.unique(h), step_of(len(h))) for (label, _), h in zip(templates, hashed([t for _, t in templates]), strict=True) if len(h)]
+    vocabulary = np.unique(np.concatenate([h for _, h, _ in sets])) if sets else np.zeros(0, np.uint64)
     if len(vocabulary) > MAX_TEMPLATE_WORDS:
         raise ValueError(f"templates have {len(vocabulary)} different words; at most {MAX_TEMPLATE_WORDS} are allowed")
     order = np.empty(len(vocabulary), np.int64)
     order[np.argsort(count_words(docs, vocabulary), kind="stable")] = np.arange(len(vocabulary))
-    index, prefix = [], np.zeros(len(vocabulary), bool)
-    for number, (label, words) in enumerate(sets):
+    index, prefix = [], {step: np.zeros(len(vocabulary), bool) for step in sorted({step for *_, step in sets})}
+    for number, (label, words, step) in enumerate(sets):
         places = np.sort(order[np.searchsorted(vocabulary, words)]).tolist()
         need = int(np.ceil(containment * len(places) - 1e-9))
         for i, place in enumerate(places[: len(places) - need + 1]):
-            prefix[place] = True
-            index.append((place, i, number, label, need, places))
+            prefix[step][place] = True
+            index.append((step, place, i, number, label, need, places))
     phrase_words = hashed(list(phrases))
     names = list(phrases.values())
     kept = [f for f in docs.schema.fields if f.name != "text" and f.name not in (*ADDED, "l_blocks")]
@@ -172,23 +187,23 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, phrases: dict[str, str]
                     "n_words": pa.array(w.per_row, pa.int64()), "n_base": pa.array(n_base),
                     "first_word": pa.array(first, pa.int64(), mask=n_base == 0), "last_word": pa.array(last, pa.int64(), mask=n_base == 0),
                     "base_labels": pa.array([",".join(sorted(x)) for x in labels]),
-                    "l_blocks": pa.array([[{"block": b, "places": p} for b, p in x] for x in _blocks(w, vocabulary, order, prefix)],
-                                         pa.list_(pa.struct([("block", pa.int64()), ("places", pa.list_(pa.int64()))]))),
+                    "l_blocks": pa.array([[{"step": s, "block": b, "places": p} for s, b, p in x] for x in _blocks(w, vocabulary, order, prefix)],
+                                         pa.list_(pa.struct([("step", pa.int64()), ("block", pa.int64()), ("places", pa.list_(pa.int64()))]))),
                 })
 
     schema = T.StructType([*kept, *T.StructType.fromDDL(
-        "n_words long, n_base long, first_word long, last_word long, base_labels string, l_blocks array<struct<block:long,places:array<long>>>").fields])
+        "n_words long, n_base long, first_word long, last_word long, base_labels string, l_blocks array<struct<step:long,block:long,places:array<long>>>").fields])
     rows = cut(docs.select(*[F.col(f"`{n}`") for n in keep], F.col("text").cast("string").alias("text")).mapInArrow(run, schema))
-    held = rows.select("doc_id", F.explode("l_blocks").alias("b")).select("doc_id", "b.block", "b.places")
-    tokens = held.select("doc_id", "block", "places", F.posexplode("places").alias("j", "place"))
-    prefixes = spark.createDataFrame(index, "place long, i int, template int, label string, need int, t_places array<long>")
+    held = rows.select("doc_id", F.explode("l_blocks").alias("b")).select("doc_id", "b.step", "b.block", "b.places")
+    tokens = held.select("doc_id", "step", "block", "places", F.posexplode("places").alias("j", "place"))
+    prefixes = spark.createDataFrame(index, "step long, place long, i int, template int, label string, need int, t_places array<long>")
     room = 1 + F.least(F.size("t_places") - F.col("i") - 1, F.size("places") - F.col("j") - 1)
     # an earlier shared place of both was counted when it was the prefix word itself
-    candidates = tokens.join(prefixes, "place").where(F.size("places") >= F.col("need")).withColumn(
+    candidates = tokens.join(prefixes, ["step", "place"]).where(F.size("places") >= F.col("need")).withColumn(
         "before", F.size(F.array_intersect(F.slice("places", F.lit(1), F.col("j")), F.slice("t_places", F.lit(1), F.col("i")))))
     overlap = F.size(F.array_intersect("places", "t_places"))
     matches = candidates.where((F.col("before") == 0) & (room >= F.col("need"))).withColumn("overlap", overlap).where(F.col("overlap") >= F.col("need"))
-    return rows.drop("l_blocks"), matches.select("doc_id", "block", "template", "label", "overlap", (F.col("overlap") / F.size("t_places")).alias("containment"))
+    return rows.drop("l_blocks"), matches.select("doc_id", "block", "template", "label", "overlap", (F.col("overlap") / F.size("t_places")).alias("containment"), "step")
 
 
 def label_documents(docs: DataFrame, **options) -> DataFrame:

@@ -191,6 +191,16 @@ def test_every_block_is_found(spark, make_docs, odd_rows):
     assert {r[0] for r in got} >= set(range(200, 200 + len(license_scan.TEMPLATES)))
 
 
+def test_long_templates_are_found_at_every_place(spark, make_docs):
+    long = " ".join(f"term{i} of" for i in range(91))
+    middle = " ".join(f"part{i}" for i in range(60))
+    templates = (("long", long), ("middle", middle), *license_scan.TEMPLATES[:1])
+    rows = [(i, f"{'x ' * i}{t} {'y ' * 300}", "en", label) for i in range(0, 260, 3) for label, t in templates[:2]]
+    rows = [(n, t, lang, label) for n, (_, t, lang, label) in enumerate(rows)] + [(9000, f"x {license_scan.TEMPLATES[0][1]} y", "en", "mit")]
+    _, matches = license_scan.scan_licenses(make_docs(rows), templates=templates)
+    assert {(r.doc_id, r.label) for r in matches.where("containment = 1").collect()} == {(i, label) for i, _, _, label in rows}
+
+
 def test_labels_of_odd_rows(spark, make_docs, odd_rows):
     got = license_scan.label_documents(make_docs(odd_rows)).collect()
     assert len(got) == len(odd_rows)
