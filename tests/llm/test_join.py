@@ -149,3 +149,17 @@ def test_all_links_are_counted(spark, make_docs, odd_rows, monkeypatch, shingles
     rows += [(i if i is None else i + 5000, t, a, b) for i, t, a, b in odd_rows]
     got = {r.doc_id: r.n_links for r in ngram_join.components(make_docs(rows)).collect() if r.doc_id is not None}
     assert got == brute_links(rows)
+
+
+def test_buckets_do_not_depend_on_batch_borders(monkeypatch):
+    monkeypatch.setattr(ngram_join, "LARGE", 4)
+    sig = np.repeat([1, 2, 3, 4], [5, 6, 1, 2])
+    rows = {"sig": sig, "doc": np.arange(len(sig)), "slot": np.zeros(len(sig), np.int32)}
+
+    def run(*cuts):
+        batch, edges = pa.RecordBatch.from_pydict(rows), [0, *cuts, len(sig)]
+        parts = [batch.slice(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+        return [r for out in ngram_join._buckets(iter(parts)) for r in out.to_pylist()]
+
+    want = run()
+    assert all(run(*cuts) == want for k in (1, 2, 3) for cuts in combinations(range(1, len(sig)), k))
