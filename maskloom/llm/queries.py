@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import ann, byte_bpe, chat, language_id, license_scan, mixing, ngram_join, quality_classifier, quality_rules, token_counts
+from maskloom.llm import ann, byte_bpe, chat, language_id, license_scan, merkle, mixing, ngram_join, quality_classifier, quality_rules, token_counts
 from maskloom.session import cut, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,6 +228,68 @@ def op3_hnsw_neighbours(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
+#: CRC-32 of a text of ASCII characters, bit by bit
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length({0}) + 1), lambda i: [ascii({0}[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
+    "lambda c, x: xor(xor(c, x) >> 1, (xor(c, x) & 1) * 3988292384)), 4294967295::BIGINT)"
+)
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    changed = F.when(struck, merkle.leaf([*fields[:-1], F.translate("text", upper, lower)]))
+    rows = merkle.manifest(docs, "source", "doc_id", fields, changed)
+    folded = rows.withColumn("folded_root", merkle.fold(F.coalesce("changed", "leaf"), F.col("path")))
+    return folded.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+SQL["op12_merkle_manifest"] = rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, *, coalesce('+' || source, '') AS g,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+      || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+l AS MATERIALIZED (
+  SELECT rid, doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(low) || ':' || low, '-')) AS changed,
+    {_CRC.format("(doc_id::VARCHAR)")} AS struck FROM d),
+i AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM l),
+lv AS (
+  SELECT g, 0 AS level, idx, leaf AS h, n FROM i
+  UNION ALL
+  SELECT g, level + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16 FROM lv WHERE n > 1 GROUP BY g, level, idx // 16, n),
+sub AS MATERIALIZED (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM lv WHERE n = 1),
+tv AS (
+  SELECT 0 AS level, idx, subroot AS h, n FROM sub
+  UNION ALL
+  SELECT level + 1, idx // 16, sha256(string_agg(h, '' ORDER BY idx)), (n + 15) // 16 FROM tv WHERE n > 1 GROUP BY level, idx // 16, n),
+up AS MATERIALIZED (SELECT g, level, idx, h, n FROM lv WHERE n > 1),
+low AS (
+  SELECT i.rid, a.level AS nr, string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx) AS before, string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx) AS after
+  FROM i JOIN up AS a ON a.g = i.g AND a.idx = i.idx // (16 ** a.level)::BIGINT JOIN up AS b ON b.g = a.g AND b.level = a.level AND b.idx // 16 = a.idx // 16
+  GROUP BY i.rid, a.level),
+high AS (
+  SELECT s.g, 1000 + a.level AS nr, string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx) AS before, string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx) AS after
+  FROM sub AS s JOIN tv AS a ON a.n > 1 AND a.idx = s.idx // (16 ** a.level)::BIGINT JOIN tv AS b ON b.level = a.level AND b.idx // 16 = a.idx // 16
+  GROUP BY s.g, a.level),
+st AS MATERIALIZED (
+  SELECT rid, coalesce(before, '') AS before, coalesce(after, '') AS after, row_number() OVER (PARTITION BY rid ORDER BY nr) AS nr
+  FROM (SELECT * FROM low UNION ALL SELECT i.rid, high.nr, before, after FROM i JOIN high ON high.g = i.g)),
+f AS (
+  SELECT rid, 0::BIGINT AS nr, CASE WHEN doc_id IS NOT NULL AND struck % 5 = 0 THEN changed ELSE leaf END AS h FROM i
+  UNION ALL
+  SELECT f.rid, f.nr + 1, sha256(before || h || after) FROM f JOIN st ON st.rid = f.rid AND st.nr = f.nr + 1),
+p AS (SELECT rid, max(nr) AS steps, sha256(string_agg(before || after, '' ORDER BY nr)) AS proof_sha256 FROM st GROUP BY rid),
+r AS (SELECT h AS root FROM tv WHERE n = 1)
+SELECT i.doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root AS verified
+FROM i JOIN sub USING (g) CROSS JOIN r LEFT JOIN p ON p.rid = i.rid JOIN f ON f.rid = i.rid AND f.nr = coalesce(p.steps, 0)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
