@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import ann, byte_bpe, chat, language_id, license_scan, merkle, mixing, ngram_join, quality_classifier, quality_rules, token_counts
+from maskloom.llm import ann, byte_bpe, chat, language_id, license_scan, merkle, mixing, ngram_join, quality_classifier, quality_rules, token_counts, warc
 from maskloom.session import cut, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -228,6 +228,23 @@ def op3_hnsw_neighbours(spark, sf_dir):
     return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
+@query
+def op11_warc_archive(spark, sf_dir):
+    folder = shared_folder(spark, "warc")
+    warc.write(warc.mark(table(spark, sf_dir, "pages").select("page_id", "url", "html")), folder, batch="pages")
+    found = warc.read(spark, folder, payload="check").where(F.col("record_type").isin("response", "revisit"))
+    whole = F.when(F.coalesce("intact", F.lit(True)), F.col("payload_digest"))
+    return found.select("page_id", "payload_bytes", whole.alias("payload_digest"), "record_type", "refers_to")
+
+
+SQL["op11_warc_archive"] = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+t AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, payload_bytes, sha1(html) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN top END AS refers_to
+FROM (SELECT *, payload_bytes >= 1000 AND top IS NOT NULL AND page_id IS DISTINCT FROM top AS again FROM t)
+"""
+
+
 #: CRC-32 of a text of ASCII characters, bit by bit
 _CRC = (
     "xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(1, length({0}) + 1), lambda i: [ascii({0}[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
