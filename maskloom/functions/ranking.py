@@ -224,17 +224,24 @@ def exact_quantiles(
     return out.select(*keys, *picked)
 
 
-def attach_spread(df: DataFrame, keys: Sequence[str], by: Column, partial: Mapping[str, Column], total: Mapping[str, Column], wanted: Column | None = None, salts: int = 256) -> DataFrame:
-    """Group aggregates beside the rows of groups of any size.
+def lookup_spread(df: DataFrame, keys: Sequence[str], by: Column, table: DataFrame, how: str = "inner", salts: int = 256) -> DataFrame:
+    """Join ``df`` with ``table``, which has one row per value of ``keys``, where a value may have any share of the rows of ``df``.
 
-    Rows are aggregated per (group, salt) by ``partial``, these by ``total``; the totals go back to the (group, salt) pairs that exist, and rows meet
-    them there. So no task holds more than one salt of a group, and a group has at most ``salts`` rows on the small side. ``by`` tells the rows of a group
-    apart. With ``wanted``, a condition on the totals, other groups' rows get nulls.
+    The rows of ``table`` are copied to the (value, salt) pairs that exist in ``df``, at most ``salts`` of a value, and rows meet them there. ``by`` tells the
+    rows of a value apart.
     """
     rows = df.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)))
-    parts = rows.groupBy(*keys, "_salt").agg(*[c.alias(n) for n, c in partial.items()])
+    dealt = null_safe_join(rows.select(*keys, "_salt").distinct(), table, keys)
+    return null_safe_join(rows, dealt, [*keys, "_salt"], how).drop("_salt")
+
+
+def attach_spread(df: DataFrame, keys: Sequence[str], by: Column, partial: Mapping[str, Column], total: Mapping[str, Column], wanted: Column | None = None, salts: int = 256) -> DataFrame:
+    """Group aggregates beside the rows of groups of any size: aggregated per (group, salt) by ``partial``, these by ``total``, then looked up.
+
+    With ``wanted``, a condition on the totals, other groups' rows get nulls.
+    """
+    parts = df.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts))).groupBy(*keys, "_salt").agg(*[c.alias(n) for n, c in partial.items()])
     totals = parts.groupBy(*keys).agg(*[c.alias(n) for n, c in total.items()])
-    if wanted is not None:
-        totals = totals.where(wanted)
-    dealt = null_safe_join(parts.select(*keys, "_salt"), totals, keys)
-    return null_safe_join(rows, dealt, [*keys, "_salt"], "inner" if wanted is None else "left").drop("_salt")
+    if wanted is None:
+        return lookup_spread(df, keys, by, totals, "inner", salts)
+    return lookup_spread(df, keys, by, totals.where(wanted), "left", salts)
