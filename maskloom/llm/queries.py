@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from maskloom.llm import ann, byte_bpe, chat, language_id, license_scan, merkle, mixing, ngram_join, quality_classifier, quality_rules, token_counts, warc
+from maskloom.llm import ann, byte_bpe, chat, language_id, license_scan, merkle, mixing, ngram_join, prefix_trie, quality_classifier, quality_rules, token_counts, warc
 from maskloom.session import cut, ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -307,6 +307,38 @@ FROM i JOIN sub USING (g) CROSS JOIN r LEFT JOIN p ON p.rid = i.rid JOIN f ON f.
 """
 
 
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+SQL["op13_prefix_trie"] = rf"""
+WITH t AS MATERIALIZED (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), left(coalesce(text, ''), {prefix_trie.TIE}), sha256(coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS MATERIALIZED (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC.format("(conv_id::VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+b AS (
+  SELECT c.conv_id, 0 AS part, t.pos, role, text FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.pos, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h),
+s AS MATERIALIZED (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, pos) AS depth, length(text) AS chars, sha256(length(role) || ':' || role || text) AS name FROM b),
+p AS MATERIALIZED (
+  SELECT conv_id, 0 AS depth, '' AS node, NULL AS parent, 0 AS chars FROM c
+  UNION ALL SELECT conv_id, depth, string_agg(name, '') OVER o, coalesce(string_agg(name, '') OVER (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''), chars
+  FROM s WINDOW o AS (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+q AS MATERIALIZED (SELECT conv_id, depth, sha256(node) AS node, sha256(parent) AS parent, chars, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p),
+n AS MATERIALIZED (
+  SELECT depth, node, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS said FROM q GROUP BY depth, node),
+k AS MATERIALIZED (SELECT n.*, (SELECT count(*) FROM n AS m WHERE m.parent = n.node) AS n_children FROM n),
+u AS (SELECT a.node, sum((k.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum(k.saved)::BIGINT AS saved_tokens
+      FROM k JOIN q AS a ON a.conv_id = k.conv_id AND a.depth <= k.depth GROUP BY a.node)
+SELECT k.conv_id, k.depth, m.conv_id AS parent_conv_id, k.n_convs, k.n_children, n_leaves, saved_tokens, sha256(k.said) AS ends_sha256
+FROM k JOIN u USING (node) LEFT JOIN n AS m ON m.node = k.parent
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
