@@ -5,8 +5,8 @@ depth first, in packs. A pack is a training row: token ids, position ids along e
 node of the tree its token interval, its parent, and the intervals of its ancestors, to which its tokens may attend. A conversation is a node
 of a pack; its own sequence is read back by following the parents.
 
-Each turn has a key that hashes the turns up to it, so sorting by the list of keys is a depth-first order of the tree. Conversations are range-partitioned and sorted
-by it, with the id last, and each task streams its range into packs of at most ``PACK_TOKENS`` tokens (a longer conversation has a pack of its own).
+Each turn has a key that hashes the turns up to it, so sorting by the list of keys is a depth-first order of the tree, at any depth. Conversations are range-partitioned and
+sorted by it, with the id last, and each task streams its range into packs of at most ``PACK_TOKENS`` tokens (a longer conversation has a pack of its own).
 A shared prefix is repeated only where a pack or a range begins, so a first turn that a third of all conversations share is split among many tasks.
 
 Template: ``<|im_start|>role\\ntext<|im_end|>\\n``. In texts and roles every ``<``, backslashes, ``|`` gets one more backslash, so no control string can arise; roles
@@ -27,12 +27,12 @@ from dataclasses import dataclass, field
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PACK_TOKENS = 8192
-#: turn keys used for sorting; deeper turns follow by the hash of the rest
-SORTED_TURNS = 16
+#: bytes of each turn's key that sort the tree; equal keys are told apart by all 16 bytes when packs are filled
+KEY = 8
 START, END = "<|im_start|>", "<|im_end|>"
 PACKS = (
     "ids array<int>, position_ids array<int>, loss_mask array<boolean>, node_start array<int>, node_end array<int>, node_parent array<int>, "
@@ -151,17 +151,21 @@ def conversations(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
 
-def sort_keys() -> list[Column]:
-    """The keys of the first turns, then what follows: a depth-first order of the tree."""
-    chained = F.transform(F.sequence(F.lit(1), F.least(F.size("turns"), F.lit(SORTED_TURNS))), lambda i: F.md5(F.to_json(F.transform(F.slice("turns", F.lit(1), i), lambda t: F.struct(t["role"], t["text"])))))
-    return [F.array_join(chained, "").alias("path"), F.md5(F.to_json("turns")).alias("rest")]
+PATHED = CONVERSATION + ", path binary"
+
+
+def with_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Add ``path``, the first ``KEY`` bytes of all turn keys put together: sorted by it, conversations stand in a depth-first order of their tree."""
+    for batch in batches:
+        paths = [b"".join(k[:KEY] for k in turn_keys([(t["role"], t["text"]) for t in turns])) for turns in batch.column("turns").to_pylist()]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(paths, pa.binary())], names=[*batch.schema.names, "path"])
 
 
 def pack(rows: DataFrame, path: str, pattern: str, pack_tokens: int = PACK_TOKENS) -> DataFrame:
     """Packs of all conversations of ``rows`` (conv_id, turn, role, text)."""
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = conversations(rows).select("conv_id", "turns", *sort_keys())
-    dealt = keyed.repartitionByRange(n, "path", "rest", "conv_id").sortWithinPartitions("path", "rest", "conv_id").select("conv_id", "turns")
+    keyed = conversations(rows).mapInArrow(with_paths, PATHED)
+    dealt = keyed.repartitionByRange(n, "path", "conv_id").sortWithinPartitions("path", "conv_id").select("conv_id", "turns")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, open_pack = tokenizer(path, pattern), Pack()

@@ -83,6 +83,22 @@ def test_shared_turns_are_emitted_once(spark):
         assert p.position_ids[p.node_start[node] : p.node_end[node]] == list(range(len(seen), len(seen) + p.node_end[node] - p.node_start[node]))
 
 
+def test_branches_below_many_shared_turns(spark):
+    """24 and more common turns, in two branches, are emitted once: 16 shared, 8 for each branch, and one for each conversation."""
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        rows = []
+        for i in range(12):
+            branch = i % 2
+            rows += [(i, t, "user", f"common {t}" if t < 16 else f"branch {branch} {t}" if t < 24 else f"own {i}") for t in range(25)]
+        packs, got = back(spark, rows, pack_tokens=100_000)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    check(rows, got)
+    (p,) = packs.collect()
+    assert len(p.node_start) == 16 + 2 * 8 + 12 and p.node_parent.count(-1) == 1
+
+
 @pytest.mark.parametrize("tokens", [1, 60, 100_000])
 def test_hot_first_turn_and_pack_limits(spark, tokens):
     rnd = random.Random(2)
