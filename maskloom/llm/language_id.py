@@ -2,12 +2,15 @@
 
 Each language has a probability for every vocabulary piece. A word may be cut into pieces in many ways; its probability is the sum over all of
 them, found by the forward algorithm. A text's log likelihood is the sum over its words, and its language the one of greatest
-likelihood (ties: the smaller name). Words are runs of letters, lower-cased in ASCII and Latin-1; runs of more than ``WORD_BYTES`` bytes are cut there.
-All single bytes are pieces, so every word has a segmentation.
+likelihood (ties: the smaller name). Words are whole runs of letters, lower-cased in ASCII and Latin-1; pieces are all letter pieces of the vocabulary, of any length,
+and all single bytes, so every word has a segmentation. Words of at most ``SHORT`` bytes are scored many at a time; longer ones each by itself, rescaled as the recursion goes on.
 
 Probabilities come from ``ROUNDS`` of expectation maximisation (forward-backward counts) over the words of at most ``FIT_DOCS`` training documents of
-each language, first by a hash of the id. Word counts and expected counts are summed by Spark; what is collected is bounded by languages
-times pieces. Scoring takes all whole texts; a word that repeats within ``FLUSH`` bytes of text is scored once.
+each language, first by a hash of the id; in fitting, and only there, runs of more than ``FIT_BYTES`` bytes are cut. Word counts and expected counts are summed by Spark; what
+is collected is bounded by languages times pieces. Scoring takes all whole texts.
+
+Memory: texts are scored ``CHUNK`` bytes at a time, and handed on as batches of that size. Blocks of the recursion are sized in bytes (words, length and languages), so
+they do not grow with the number of languages; scores of words stay in a store of ``STORE`` bytes, as words come again.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is every text if nothing can be learned; equal rows are scored alike; a null
 id is held out; null languages teach nothing; an empty table gives no rows. Columns named like the added ones are replaced.
@@ -30,10 +33,10 @@ from maskloom.session import cut
 FOLDS = 5
 FIT_DOCS, MAX_LANGUAGES = 3_000, 64
 ROUNDS = 3
-WORD_BYTES, PIECE_BYTES = 32, 8
-FLUSH = 16 << 20
-#: words in one forward pass
-BLOCK = 50_000
+#: so long a word's probability is still a floating-point number: at least (FLOOR / pieces) ** SHORT
+SHORT = 40
+FIT_BYTES = 4096
+CHUNK, STORE, BLOCK_BYTES = 512 << 10, 8 << 20, 4 << 20
 #: part of each language's probability that is spread over all pieces
 FLOOR = 0.01
 ADDED = ("held_out", "lang_pred", "score")
@@ -55,14 +58,15 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 
 class Pieces:
-    """The vocabulary: letter pieces of at most ``PIECE_BYTES`` bytes, and all single bytes."""
+    """The vocabulary: all letter pieces, and all single bytes."""
 
     def __init__(self, path: str):
         with open(path, "rb") as lines:
             tokens = {base64.b64decode(line.split()[0]).lstrip(b" ") for line in lines}
         inner = _LETTER.tolist()
-        self.names = sorted({t for t in tokens if 0 < len(t) <= PIECE_BYTES and all(inner[b] for b in t)} | {bytes([b]) for b in range(256)})
+        self.names = sorted({t for t in tokens if t and all(inner[b] for b in t)} | {bytes([b]) for b in range(256)})
         n = np.fromiter(map(len, self.names), np.int64, len(self.names))
+        self.lengths = np.unique(n).tolist()
         end = np.cumsum(n)
         found = scan.span_hash(scan.prefix_hash(np.frombuffer(b"".join(self.names), np.uint8)), end - n, end)
         self.order = np.argsort(found)
@@ -87,14 +91,15 @@ def pieces(path: str) -> Pieces:
 def text_words(texts: scan.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(lower-cased bytes, row, start, end) of all words of a chunk."""
     data = lowered(texts.data)
-    row, start, end = scan.spans(_LETTER[data], texts.offsets)
-    parts = -(-(end - start) // WORD_BYTES)
-    if len(parts) and parts.max() > 1:
-        which = np.repeat(np.arange(len(start)), parts)
-        nth = np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)
-        begin = start[which] + nth * WORD_BYTES
-        row, start, end = row[which], begin, np.minimum(begin + WORD_BYTES, end[which])
-    return data, row, start, end
+    return data, *scan.spans(_LETTER[data], texts.offsets)
+
+
+def cut_spans(start: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(which, start, end): spans of more than ``size`` bytes in parts."""
+    parts = -(-(end - start) // size)
+    which = np.repeat(np.arange(len(start)), parts)
+    begin = start[which] + (np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts)) * size
+    return which, begin, np.minimum(begin + size, end[which])
 
 
 def compact(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,8 +109,8 @@ def compact(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return data[np.repeat(start - offsets[:-1], n) + np.arange(offsets[-1])], offsets
 
 
-def _steps(vocabulary: Pieces, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
-    """For all j, and all lengths m up to ``PIECE_BYTES``: (words long enough, j, m, number of the piece that ends at j)."""
+def _steps(vocabulary: Pieces, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, int, int, np.ndarray]]:
+    """For all places j and all lengths m of pieces: (words that have a piece of m bytes ending at j, j, m, number of the piece)."""
     prefix = scan.prefix_hash(data)
     n = np.diff(offsets)
     order = np.argsort(-n, kind="stable")
@@ -113,48 +118,134 @@ def _steps(vocabulary: Pieces, data: np.ndarray, offsets: np.ndarray) -> Iterato
     for j in range(1, int(n.max(initial=0)) + 1):
         active = order[: np.searchsorted(-lengths, -j, "right")]
         end = offsets[active] + j
-        for m in range(1, min(j, PIECE_BYTES) + 1):
-            yield active, j, m, vocabulary.find(scan.span_hash(prefix, end - m, end))
+        for m in vocabulary.lengths:
+            if m > j:
+                break
+            piece = vocabulary.find(scan.span_hash(prefix, end - m, end))
+            known = piece < len(vocabulary.names)
+            yield active[known], j, m, piece[known]
+
+
+def blocks(offsets: np.ndarray, width: int) -> Iterator[np.ndarray]:
+    """Words of similar length, by number: those of at most ``SHORT`` bytes in blocks of about ``BLOCK_BYTES``, at ``width`` bytes for each place of a word."""
+    n = np.diff(offsets)
+    order = np.argsort(n, kind="stable")
+    lengths = n[order]
+    short = int(np.searchsorted(lengths, SHORT, "right"))
+    room = max(1, BLOCK_BYTES // width)
+    lo = 0
+    while lo < short:
+        some = lengths[lo : min(short, lo + room)]
+        hi = lo + max(1, int(np.searchsorted((some + 1) * np.arange(1, len(some) + 1), room, "right")))
+        yield order[lo:hi]
+        lo = hi
+
+
+def long_words(offsets: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.diff(offsets) > SHORT)
+
+
+def ending_pieces(vocabulary: Pieces, data: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """For the places lo + 1 to hi of one word: the numbers of the pieces that end there, the longest first, one column for each length up to the longest."""
+    longest = vocabulary.lengths[-1]
+    first = max(0, lo - longest)
+    prefix = scan.prefix_hash(data[first:hi])
+    out = np.full((hi - lo, longest), len(vocabulary.names), np.int64)
+    end = np.arange(lo + 1, hi + 1) - first
+    for m in vocabulary.lengths:
+        fits = np.flatnonzero(end + first >= m)
+        out[fits, longest - m] = vocabulary.find(scan.span_hash(prefix, end[fits] - m, end[fits]))
+    return out
+
+
+#: places of a long word between two rescalings
+PACE = 8
+
+
+def long_score(vocabulary: Pieces, model: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Log probability of one word of any length in each language."""
+    longest = vocabulary.lengths[-1]
+    window = np.zeros((longest + 4096, model.shape[1]))
+    window[longest - 1] = 1
+    scale = np.zeros(model.shape[1])
+    for lo in range(0, len(data), 4096):
+        hi = min(lo + 4096, len(data))
+        piece = ending_pieces(vocabulary, data, lo, hi)
+        for j in range(hi - lo):
+            window[longest + j] = (window[j : j + longest] * model[piece[j]]).sum(axis=0)
+            if j % PACE == PACE - 1:
+                top = window[j + 1 : j + 1 + longest].max(axis=0)
+                window[j + 1 : j + 1 + longest] /= top
+                scale += np.log(top)
+        window[:longest] = window[hi - lo : hi - lo + longest].copy()
+    return scale + np.log(window[longest - 1])
 
 
 def word_scores(vocabulary: Pieces, model: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Log probability of each word in each language; ``model`` has a row for each piece and one of zeros."""
     out = np.empty((len(offsets) - 1, model.shape[1]))
-    for lo in range(0, len(out), BLOCK):
-        hi = min(lo + BLOCK, len(out))
-        own = offsets[lo : hi + 1] - offsets[lo]
-        forward = np.zeros((int(np.diff(own).max()) + 1, hi - lo, model.shape[1]))
+    for words in blocks(offsets, 8 * model.shape[1]):
+        flat, own = compact(data, offsets[words], offsets[words + 1])
+        n = np.diff(own)
+        forward = np.zeros((int(n.max()) + 1, len(words), model.shape[1]))
         forward[0] = 1
-        for active, j, m, piece in _steps(vocabulary, data[offsets[lo] : offsets[hi]], own):
-            known = piece < len(vocabulary.names)
-            at = active[known]
-            forward[j, at] += forward[j - m, at] * model[piece[known]]
-        out[lo:hi] = np.log(forward[np.diff(own), np.arange(hi - lo)])
+        for at, j, m, piece in _steps(vocabulary, flat, own):
+            forward[j, at] += forward[j - m, at] * model[piece]
+        out[words] = np.log(forward[n, np.arange(len(words))])
+    for w in long_words(offsets):
+        out[w] = long_score(vocabulary, model, data[offsets[w] : offsets[w + 1]])
     return out
 
 
+def long_expected(vocabulary: Pieces, model: np.ndarray, lang: int, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(pieces, their expected numbers) in one word of more than ``SHORT`` bytes, in logarithms."""
+    longest, n = vocabulary.lengths[-1], len(data)
+    piece = ending_pieces(vocabulary, data, 0, n)
+    with np.errstate(divide="ignore"):
+        p = np.log(model[piece, lang])
+    forward, backward = np.full(longest + n, -np.inf), np.full(n + longest, -np.inf)
+    forward[longest - 1] = backward[n - 1] = 0  # forward[longest - 1 + j], backward[j - 1]: the place after j bytes
+    for j in range(n):
+        terms = forward[j : j + longest] + p[j]
+        top = terms.max()
+        forward[longest + j] = top + np.log(np.exp(terms - top).sum())
+    # the pieces that begin at a place end at the next ones: a diagonal of the table
+    padded = np.vstack([p, np.full((longest, longest), -np.inf)])
+    steps = np.arange(longest)
+    for j in range(n - 1, 0, -1):
+        terms = backward[j : j + longest] + padded[j + steps, longest - 1 - steps]
+        top = terms.max()
+        backward[j - 1] = top + np.log(np.exp(terms - top).sum())
+    before = forward[np.arange(n)[:, None] + steps]
+    used = np.exp(before + p + backward[:n, None] - forward[longest + n - 1])
+    some = used > 0
+    return piece[some], used[some]
+
+
 def expected(vocabulary: Pieces, model: np.ndarray, lang: np.ndarray, count: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Expected piece counts for each language, by the forward-backward algorithm."""
     total = np.zeros(model.size)
-    for lo in range(0, len(lang), BLOCK):
-        hi = min(lo + BLOCK, len(lang))
-        own = offsets[lo : hi + 1] - offsets[lo]
-        n, who = np.diff(own), lang[lo:hi]
-        forward = np.zeros((int(n.max()) + 1, hi - lo))
+    # a place of a word keeps one entry (word, piece, probability) for each length of piece
+    for words in blocks(offsets, 24 * 8):
+        flat, own = compact(data, offsets[words], offsets[words + 1])
+        n, who = np.diff(own), lang[words]
+        places = np.arange(len(words))
+        forward = np.zeros((int(n.max()) + 1, len(words)))
         forward[0] = 1
         steps = []
-        for active, j, m, piece in _steps(vocabulary, data[offsets[lo] : offsets[hi]], own):
-            known = piece < len(vocabulary.names)
-            at, piece = active[known], piece[known]
+        for at, j, m, piece in _steps(vocabulary, flat, own):
             p = model[piece, who[at]]
             forward[j, at] += forward[j - m, at] * p
             steps.append((at, j, m, piece, p))
         backward = np.zeros_like(forward)
-        backward[n, np.arange(hi - lo)] = count[lo:hi] / forward[n, np.arange(hi - lo)]
+        backward[n, places] = count[words] / forward[n, places]
         for at, j, m, piece, p in reversed(steps):
             use = p * backward[j, at]
             backward[j - m, at] += use
-            total += np.bincount(piece * model.shape[1] + who[at], weights=forward[j - m, at] * use, minlength=model.size)
+            np.add.at(total, piece * model.shape[1] + who[at], forward[j - m, at] * use)
+    for w in long_words(offsets):
+        piece, used = long_expected(vocabulary, model, int(lang[w]), data[offsets[w] : offsets[w + 1]])
+        np.add.at(total, piece * model.shape[1] + int(lang[w]), used * count[w])
     return total.reshape(model.shape)
 
 
@@ -185,9 +276,10 @@ def learn(docs: DataFrame, path: str) -> tuple[list[str], np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)
-            for part in scan.chunks(batch.column("text")):
+            for part in scan.chunks(batch.column("text"), CHUNK):
                 data, row, start, end = text_words(part)
-                lang = langs[part.first : part.first + part.rows][row]
+                which, start, end = cut_spans(start, end, FIT_BYTES)
+                lang = langs[part.first : part.first + part.rows][row[which]]
                 key, at, n = np.unique(scan.mix(scan.span_hash(scan.prefix_hash(data), start, end) + lang.astype(np.uint64)), return_index=True, return_counts=True)
                 flat, offsets = compact(data, start[at], end[at])
                 raw, edge = flat.tobytes(), offsets.tolist()
@@ -215,6 +307,38 @@ def learn(docs: DataFrame, path: str) -> tuple[list[str], np.ndarray]:
     return names, model
 
 
+class Scores:
+    """Scores of the words seen lately, by hash, in at most about ``STORE`` bytes."""
+
+    def __init__(self, languages: int):
+        self.room = max(1, STORE // (8 * (languages + 1)))
+        self.hashes, self.scores = np.zeros(0, np.uint64), np.zeros((0, languages))
+
+    def look_up(self, vocabulary: Pieces, model: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The scores of some words of ``data``; new ones are computed and kept."""
+        if not len(start):
+            return self.scores[:0]
+        lo, hi = int(start[0]), int(end[-1])
+        hashes, first, inverse = np.unique(scan.span_hash(scan.prefix_hash(data[lo:hi]), start - lo, end - lo), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, hashes)
+        if len(self.hashes):
+            at[at == len(self.hashes)] = 0
+            new = self.hashes[at] != hashes
+        else:
+            new = np.ones(len(hashes), bool)
+        out = np.empty((len(hashes), model.shape[1]))
+        out[~new] = self.scores[at[~new]]
+        flat, offsets = compact(data, start[first[new]], end[first[new]])
+        out[new] = word_scores(vocabulary, model, flat, offsets)
+        if len(self.hashes) + int(new.sum()) > self.room:
+            self.hashes, self.scores = hashes[: self.room], out[: self.room].copy()
+        else:
+            merged = np.concatenate([self.hashes, hashes[new]])
+            order = np.argsort(merged, kind="stable")
+            self.hashes, self.scores = merged[order], np.concatenate([self.scores, out[new]])[order]
+        return out[inverse]
+
+
 def has_letter(column: pa.Array, ascii_letters: np.ndarray, high: np.ndarray) -> np.ndarray:
     out = ascii_letters > 0
     for i in np.flatnonzero(~out & (high > 0)):
@@ -228,55 +352,31 @@ def identify(docs: DataFrame, names: list[str], model: np.ndarray, path: str, wi
     kept = [f.name for f in fields]
     text_field = [T.StructField("text", T.StringType())] * with_text
 
-    def judge(texts: list[scan.Texts], found: list, total_rows: int) -> np.ndarray:
-        """Log likelihoods of the rows of some chunks."""
-        hashes = np.concatenate([f[3] for f in found])
-        _, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        borders = np.cumsum([0, *[len(f[3]) for f in found]])
-        flats, lengths = [], []
-        for (data, _, (start, end), _), lo, hi in zip(found, borders[:-1], borders[1:], strict=True):
-            mine = np.sort(at[(at >= lo) & (at < hi)]) - lo
-            flat, offsets = compact(data, start[mine], end[mine])
-            flats.append(flat)
-            lengths.append(np.diff(offsets))
-        order = np.argsort(np.argsort(at))  # words stand in the order of their first place
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths))])
-        scores = word_scores(pieces(path), model, np.concatenate(flats), offsets)[order]
-        row = np.concatenate([f[1] + t.first for f, t in zip(found, texts, strict=True)])
-        return np.stack([np.bincount(row, weights=scores[inverse, k], minlength=total_rows) for k in range(model.shape[1])], axis=1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store = Scores(model.shape[1])
+        step = max(1024, BLOCK_BYTES // (8 * max(1, model.shape[1])))
         for batch in batches:
-            column = batch.column("i_text").fill_null("")
-            n = batch.num_rows
-            likely = np.zeros((n, model.shape[1]))
-            letters, high = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            texts: list = []
-            found: list = []
-            size = 0
-            for part in scan.chunks(column) if names else ():
+            for part in scan.chunks(batch.column("i_text"), CHUNK):
+                rows = batch.slice(part.first, part.rows)
                 data, row, start, end = text_words(part)
-                own = slice(part.first, part.first + part.rows)
-                for out, flag in ((letters, (data >= 97) & (data <= 122)), (high, data >= 128)):
-                    total = np.concatenate([[0], np.cumsum(flag)])
-                    out[own] = total[part.offsets[1:]] - total[part.offsets[:-1]]
-                texts.append(part)
-                found.append((data, row, (start, end), scan.span_hash(scan.prefix_hash(data), start, end)))
-                size += len(data)
-                if size >= FLUSH:
-                    likely += judge(texts, found, n)
-                    texts, found, size = [], [], 0
-            if found:
-                likely += judge(texts, found, n)
-            known = has_letter(column, letters, high) if names else np.zeros(n, bool)
-            pred, score = np.full(n, "und", object), np.zeros(n)
-            if names:
-                best = likely.argmax(axis=1)
-                odds = np.exp(likely - likely.max(axis=1, keepdims=True))
-                pred[known] = np.array(names, object)[best[known]]
-                score[known] = (1 / odds.sum(axis=1))[known]
-            out = {c: batch.column(c) for c in kept} | ({"text": batch.column("i_text")} if with_text else {})
-            yield pa.RecordBatch.from_pydict(out | {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score)})
+                likely = np.zeros((part.rows, model.shape[1]))
+                for lo in range(0, len(row), step) if names else ():
+                    some = slice(lo, lo + step)
+                    score = store.look_up(pieces(path), model, data, start[some], end[some])
+                    for k in range(model.shape[1]):
+                        likely[:, k] += np.bincount(row[some], weights=score[:, k], minlength=part.rows)
+                place = np.repeat(np.arange(part.rows), np.diff(part.offsets))
+                letters, high = (np.bincount(place[flag], minlength=part.rows) for flag in ((data >= 97) & (data <= 122), data >= 128))
+                column = rows.column("i_text").fill_null("")
+                known = has_letter(column, letters, high) if names else np.zeros(part.rows, bool)
+                pred, score = np.full(part.rows, "und", object), np.zeros(part.rows)
+                if names:
+                    best = likely.argmax(axis=1)
+                    odds = np.exp(likely - likely.max(axis=1, keepdims=True))
+                    pred[known] = np.array(names, object)[best[known]]
+                    score[known] = (1 / odds.sum(axis=1))[known]
+                out = {c: rows.column(c) for c in kept} | ({"text": rows.column("i_text")} if with_text else {})
+                yield pa.RecordBatch.from_pydict(out | {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score)})
 
     schema = T.StructType([*fields, *text_field, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("string").alias("i_text")).mapInArrow(run, schema)

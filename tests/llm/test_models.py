@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 from collections import Counter
 from itertools import product
 
@@ -62,11 +63,93 @@ def test_expected_counts_are_posterior_means():
     assert got == pytest.approx(want)
 
 
-def test_long_words_are_cut_not_dropped():
+def plain_log_score(word, number, model):
+    """Forward algorithm in plain Python and logarithms, over the whole word and all pieces."""
+    longest = max(map(len, number))
+    out = []
+    for k in range(model.shape[1]):
+        logs = [0.0]
+        for j in range(1, len(word) + 1):
+            terms = [logs[j - m] + math.log(model[number[word[j - m : j]], k]) for m in range(1, min(j, longest) + 1) if word[j - m : j] in number]
+            top = max(terms)
+            logs.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+        out.append(logs[-1])
+    return out
+
+
+LONG_WORDS = ["ありがとうございました", "достаточно", "ありがとうございます" * 7, "ab" * 20, "ab" * 20 + "c", "x" * 5000, "возможностьполучилось" * 230, "中文" * 9, "é" * 33]
+
+
+def test_whole_words_and_whole_vocabulary():
+    """Words beyond 40 and beyond 4,096 bytes, and pieces of up to 33 bytes."""
+    pieces = language_id.pieces(PATH)
+    number = {p: i for i, p in enumerate(pieces.names)}
+    assert max(pieces.lengths) == 33 and len(pieces.names) > 35_000
+    model = language_id.normalised(np.random.default_rng(4).random((len(pieces.names), 2)) ** 8)
+    words = [w.encode() for w in LONG_WORDS]
+    got = language_id.word_scores(pieces, model, *packed(words))
+    for w, row in zip(words, got, strict=True):
+        assert row == pytest.approx(plain_log_score(w, number, model), rel=1e-9)
+
+
+def test_expected_counts_of_long_words():
+    """Forward-backward in logarithms agrees with that of short words, and each byte is used once."""
+    pieces = language_id.pieces(PATH)
+    model = language_id.normalised(np.random.default_rng(5).random((len(pieces.names), 2)))
+    n = np.array([len(p) for p in pieces.names])
+    for w in ("ありがとうございま", "thingandother", "достаточн"):
+        flat = np.frombuffer(w.encode(), np.uint8)
+        want = language_id.expected(pieces, model, np.array([1]), np.array([1]), flat, np.array([0, len(flat)]))[: len(n), 1]
+        piece, used = language_id.long_expected(pieces, model, 1, flat)
+        assert np.bincount(piece, weights=used, minlength=len(n)) == pytest.approx(want)
+    for w in LONG_WORDS:
+        flat = np.frombuffer(w.encode()[: language_id.FIT_BYTES], np.uint8)
+        if len(flat) > language_id.SHORT:
+            got = language_id.expected(pieces, model, np.array([0]), np.array([3]), flat, np.array([0, len(flat)]))[: len(n), 0]
+            assert got @ n == pytest.approx(3 * len(flat))
+
+
+def test_words_are_whole_and_cut_in_fitting_only():
     texts = next(scan.chunks(pa.array(["x" * 100 + " ÀÉ", None, "ab"])))
     data, row, start, end = language_id.text_words(texts)
-    assert (end - start).tolist() == [32, 32, 32, 4, 4, 2] and row.tolist() == [0, 0, 0, 0, 0, 2]
-    assert data[start[4] : end[4]].tobytes().decode() == "àé"
+    assert (end - start).tolist() == [100, 4, 2] and row.tolist() == [0, 0, 2]
+    assert data[start[1] : end[1]].tobytes().decode() == "àé"
+    which, lo, hi = language_id.cut_spans(start, end, 32)
+    assert (hi - lo).tolist() == [32, 32, 32, 4, 4, 2] and which.tolist() == [0, 0, 0, 0, 1, 2]
+
+
+def test_query_against_direct_scores(spark):
+    """Every text of the table: the best language and its probability from plain counts of words and the plain forward algorithm."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    names, model = language_id.learn(docs, PATH)
+    number = {p: i for i, p in enumerate(language_id.pieces(PATH).names)}
+    got = {r.doc_id: r for r in language_id.identify(docs.select("doc_id", "text"), names, model, PATH).collect()}
+    known = {}
+    for r in docs.collect():
+        low = "".join(c.lower() if "A" <= c <= "Z" or "À" <= c <= "Þ" and c != "×" else c for c in r.text or "").encode()
+        likely = np.zeros(len(names))
+        for w in re.findall(rb"[a-z\x80-\xff]+", low):
+            if w not in known:
+                known[w] = np.array(plain_log_score(w, number, model))
+            likely += known[w]
+        if not any(c.isalpha() for c in r.text or ""):
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        assert got[r.doc_id].lang_pred == names[int(likely.argmax())]
+        assert got[r.doc_id].score == pytest.approx(1 / np.exp(likely - likely.max()).sum())
+
+
+@pytest.mark.parametrize("room", [1, 40, 10**6])
+def test_the_store_of_words_changes_nothing(monkeypatch, room):
+    pieces = language_id.pieces(PATH)
+    model = language_id.normalised(np.random.default_rng(6).random((len(pieces.names), 2)))
+    monkeypatch.setattr(language_id, "STORE", 24 * room)
+    store, rnd = language_id.Scores(2), random.Random(7)
+    for _ in range(5):
+        words = [rnd.choice([b"the", b"and", b"x" * 50, bytes(rnd.choices(b"abc", k=rnd.randrange(1, 6)))]) for _ in range(60)]
+        data, offsets = packed(words)
+        got = store.look_up(pieces, model, data, offsets[:-1], offsets[1:])
+        assert np.allclose(got, language_id.word_scores(pieces, model, data, offsets)) and len(store.hashes) <= room
 
 
 def test_held_out_accuracy_on_whole_table(spark):
