@@ -107,14 +107,13 @@ def mix(docs: DataFrame, seed: int = 0, max_epochs: int = MAX_EPOCHS, weights: t
     )
 
 
-def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
-    """The mix itself: one row per whole copy, and one with the leading words of a partial copy."""
-    pieces = F.regexp_extract_all(F.col("text"), F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    part = F.array_join(F.slice(pieces, F.lit(1), F.col("mix_fraction").cast("int")), "")
-    copies = F.array_repeat(F.col("text"), F.col("mix_copies").cast("int"))
-    texts = F.when(F.col("mix_fraction") > 0, F.concat(copies, F.array(part))).otherwise(copies)
-    kept = [c for c in columns if c != "text"]
-    rows = mixed.where(F.col("mix_taken") > 0).select(*kept, F.explode(texts).alias("text"))
-    if "n_chars" in columns:
-        rows = rows.withColumn("n_chars", F.length("text").cast("long"))
-    return rows.select(*columns)
+def repeated(mixed: DataFrame, columns: list[str], max_epochs: int = MAX_EPOCHS) -> DataFrame:
+    """The mix itself, one row per copy, of whole texts only.
+
+    The one text of a source at which its target cuts is taken once more if at least half of it is wanted and ``max_epochs`` is not reached, else not; so
+    a source's words are as near to its target as whole texts in this order allow, within half of that text.
+    """
+    more = (F.col("mix_fraction") > 0) & (2 * F.col("mix_fraction") >= F.col("mix_size")) & (F.col("mix_copies") < max_epochs)
+    copies = F.col("mix_copies").cast("int") + more.cast("int")
+    rows = mixed.withColumn("m_copy", F.explode(F.array_repeat(F.lit(1), copies)))
+    return rows.select(*[F.col(f"`{c}`") for c in columns])

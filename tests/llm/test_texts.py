@@ -93,9 +93,18 @@ def test_mix_meets_its_targets(spark, make_docs, odd_rows):
     assert Counter((r.doc_id, r.mix_taken) for r in first) != Counter((r.doc_id, r.mix_taken) for r in mixing.mix(make_docs(rows), seed=1).collect())
     texts = mixing.repeated(got, make_docs([]).columns)
     assert texts.columns == make_docs([]).columns
-    assert sum(len(WORD.findall(r.text)) for r in texts.collect()) == sum(r.mix_taken for r in first)
-    originals = {r.doc_id: r.text for r in first}
-    assert all(originals[r.doc_id].startswith(r.text) and r.n_chars == len(r.text) for r in texts.collect())
+    copies = Counter((r.doc_id, r.text, r.n_chars) for r in texts.collect())
+    want = Counter()
+    for r in first:
+        more = r.mix_fraction > 0 and 2 * r.mix_fraction >= r.mix_size and r.mix_copies < 3
+        want[r.doc_id, r.text, r.n_chars] += r.mix_copies + more
+    assert copies == +want  # whole texts, each at most three times for each of its rows
+    off = Counter()
+    for r in first:
+        off[r.source] += r.mix_taken
+    for (i, t, _), n in copies.items():
+        off[next(r.source for r in first if (r.doc_id, r.text) == (i, t))] -= n * len(WORD.findall(t))
+    assert all(2 * abs(off[s]) <= max(r.mix_size for r in first if r.source == s) for s in off)
 
 
 def test_mix_excess_cascades(spark, make_docs):
