@@ -37,7 +37,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources in their target proportions: whole copies, and leading words where a target ends."""
+    """Sources in their target proportions, in whole texts."""
     return mixing.repeated(mixing.mix(docs, SEED), docs.columns)
 
 
