@@ -84,10 +84,13 @@ def next_task(t):
     return R.next_task(t.v_images)
 
 
-@query(f"""WITH {_EFF}, e AS (SELECT image_id, created_at AS made, 0 AS k, annotation_id, 'annotated' AS status FROM v_annotations UNION ALL
+_STATUS = f"""WITH {_EFF}, e AS (SELECT image_id, created_at AS made, 0 AS k, annotation_id, 'annotated' AS status FROM v_annotations UNION ALL
  SELECT a.image_id, eff.reviewed_at, 1, eff.annotation_id, eff.status FROM eff JOIN v_annotations a ON a.annotation_id = eff.annotation_id),
 l AS (SELECT image_id, status FROM e QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY made DESC, k DESC, annotation_id DESC) = 1)
-SELECT i.image_id, coalesce(l.status, 'pending') AS status FROM v_images i LEFT JOIN l ON l.image_id = i.image_id""")
+SELECT i.image_id, coalesce(l.status, 'pending') AS status FROM v_images i LEFT JOIN l ON l.image_id = i.image_id"""
+
+
+@query(_STATUS)
 def status_transitions(t):
     return R.status_transitions(t.v_images, t.v_annotations, t.v_reviews)
 
@@ -126,3 +129,21 @@ def first_reviews(t):
 def intake_late(t):
     rows = t.v_annotations.select("user_id", F.col("created_at").cast("timestamp").alias("created_at"))
     return _late_first(t, rows, "created_at", lambda stream, folder: intake.incremental_intake(stream, "user_id", folder)).select("user_id")
+
+
+@query(_STATUS)
+def status_late(t):
+    """Both streams in spans of time, the latest span first."""
+    made = t.v_annotations.select("annotation_id", "image_id", "created_at")
+    reviews = t.v_reviews.select("annotation_id", "reviewed_at", "review_id", "status")
+    made_late = _late_first(t, made, "created_at", intake.made_state)
+    return R.status_transitions(t.v_images, made_late, _late_first(t, reviews, "reviewed_at", intake.first_reviews))
+
+
+@query("""
+WITH d AS (SELECT DISTINCT user_id, CAST(created_at AS DATE) AS day FROM v_annotations),
+g AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INT) AS grp FROM d)
+SELECT user_id, CAST(min(day) AS DATE) AS first_day, CAST(max(day) AS DATE) AS last_day FROM g GROUP BY user_id, grp""")
+def activity_runs(t):
+    """Batches by month through the delta table: runs of days that touch across batches become one."""
+    return intake.activity_runs(t.v_annotations.select("user_id", "created_at"), intake.state_folder(t.spark, "runs"))
