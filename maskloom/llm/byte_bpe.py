@@ -5,8 +5,8 @@ token-position rows; a recursive query joins neighbouring tokens with the merge
 piece and round, the leftmost pair of least rank, until no pair is left. Ids go back to text by a join of the id
 lists with the vocabulary and an ordered string aggregation, one row per text.
 
-Pieces repeat, so their ids are kept between batches and tasks of a worker: at most ``KEPT`` pieces, then the store starts anew.
-The result does not depend on it. Nothing is shuffled.
+Pieces repeat, so their ids are kept between batches and tasks of a worker, in two stores of about ``KEPT`` pieces: when the young one is full it becomes the old one, and
+what is met again moves on to the next. The result does not depend on it. At the end of a task free memory goes back to the machine, as workers live on. Nothing is shuffled.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; equal rows give equal results; all
 columns of the input are kept, those named like the added ones are replaced; an empty table gives no rows.
@@ -25,10 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: pieces remembered by one Python worker
-KEPT = 800_000
+from maskloom.llm import text as scan
+
+#: pieces in each of the two stores of a Python worker
+KEPT = 150_000
 #: characters of text handled together, bytes of new pieces per recursive query
-BLOCK_CHARS, PIECE_BYTES = 4_000_000, 1_000_000
+BLOCK_CHARS, PIECE_BYTES = 2_000_000, 500_000
 #: A piece takes a round for each contraction, so its cost is quadratic. Pieces of more bytes (unbroken runs, as of letters without
 #: a space) are contracted in the same order with a heap instead.
 LONG = 512
@@ -81,6 +83,7 @@ class Coder:
         self.con.register("given", pa.table({"id": pa.array([r for r, _ in by_id], pa.int32()), "token": [t for _, t in by_id]}))
         self.con.execute("CREATE TABLE tokens AS SELECT * FROM given")
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def learn(self, pieces: list[str]) -> None:
         """Encode new pieces, some at a time, and remember their ids as little-endian 32-bit numbers."""
@@ -134,8 +137,11 @@ class Coder:
     def encode(self, texts: list[str]) -> list[bytes]:
         pieces = [self.split(t) for t in texts]
         if len(self.known) > KEPT:
-            self.known = {}
+            self.old, self.known = self.known, {}
         new = set().union(*pieces).difference(self.known)
+        again = new.intersection(self.old)
+        self.known |= {p: self.old[p] for p in again}
+        new -= again
         if new:
             self.learn(sorted(new))
         ids = self.known.__getitem__
@@ -182,6 +188,7 @@ def _tasks(path: str, pattern: str, kept: list[str], encode: bool, decode: bool)
                 if decode:
                     columns["decoded"] = pa.array(own.decode(ids), pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
+        scan.release_memory()
 
     return run
 

@@ -377,6 +377,7 @@ def identify(docs: DataFrame, names: list[str], model: np.ndarray, path: str, wi
                     score[known] = (1 / odds.sum(axis=1))[known]
                 out = {c: rows.column(c) for c in kept} | ({"text": rows.column("i_text")} if with_text else {})
                 yield pa.RecordBatch.from_pydict(out | {"lang_pred": pa.array(pred, pa.string()), "score": pa.array(score)})
+        scan.release_memory()
 
     schema = T.StructType([*fields, *text_field, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col("text").cast("string").alias("i_text")).mapInArrow(run, schema)

@@ -110,6 +110,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, with_text: bool) -> DataFrame:
                 if with_text:
                     out["text"] = rows.column("c_text")
                 yield pa.RecordBatch.from_pydict(out)
+        scan.release_memory()
 
     schema = T.StructType([*kept, T.StructField("log_weight", T.DoubleType()), *([T.StructField("text", T.StringType())] if with_text and text else [])])
     return docs.select(*[F.col(f"`{c}`") for c in names], F.col("text").cast("string").alias("c_text")).mapInArrow(run, schema)

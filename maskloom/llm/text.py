@@ -7,6 +7,9 @@ separators is a set of single bytes. Hashes are 64-bit and do not depend on the
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -185,3 +188,13 @@ def row_sums(row: np.ndarray, amount: np.ndarray, rows: int) -> np.ndarray:
     out = np.zeros(rows, np.int64)
     np.add.at(out, row, amount)
     return out
+
+
+def release_memory() -> None:
+    """Give free memory of this process back; a Python worker stays for later tasks, of other operators too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim is not None:
+        trim(0)
