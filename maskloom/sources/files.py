@@ -47,9 +47,9 @@ def read_documents(spark: SparkSession, root: str, glob: str = "*.json") -> Data
     return df.select(F.regexp_extract(uri, r"([^/]+)\.[^./]+$", 1).alias("stem"), uri.alias("uri"), F.col("value").alias("text"))
 
 
-def read_csv(spark: SparkSession, path: str, schema: str = schemas.CLIP_LABELS) -> DataFrame:
-    """Header CSV with an explicit schema; columns are taken by position."""
-    return spark.read.csv(path, header=True, schema=schema)
+def read_csv(spark: SparkSession, path: str | list[str], schema: str = schemas.CLIP_LABELS) -> DataFrame:
+    """Header CSV with an explicit schema; columns are taken by position, quotes in quoted texts are doubled."""
+    return spark.read.csv(path, header=True, schema=schema, escape='"')
 
 
 def unpivot_frame_cuts(wide: DataFrame, codes: Sequence[str], key: str = "STYLE_NAME") -> DataFrame:

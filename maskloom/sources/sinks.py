@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import struct
+import zlib
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom import dims
@@ -13,11 +17,13 @@ from maskloom.functions.ranking import rank_sorted
 from maskloom.operators.components import component_table, label_runs
 from maskloom.operators.masks import EXAMPLE
 from maskloom.session import cut
+from maskloom.sources import parts
+from maskloom.sources.storage import locate
 
 
 def write_sorted_csv(df: DataFrame, path: str, order: Sequence[str] = ("split", "source", "char_id")) -> None:
     """Header CSV in global sort order; the part files follow each other."""
-    df.orderBy(*order).write.mode("overwrite").csv(path, header=True)
+    df.orderBy(*order).write.mode("overwrite").csv(path, header=True, escape='"')
 
 
 def write_report(df: DataFrame, path: str) -> None:
@@ -62,3 +68,69 @@ def coco_annotations(runs: DataFrame, min_area: int = 4, seed: int = 42) -> Data
 
 def export_coco(runs: DataFrame, path: str, **options) -> None:
     coco_annotations(runs, **options).write.mode("overwrite").partitionBy("split").json(path)
+
+
+def csv_line(columns: Sequence[str]) -> Column:
+    """A CSV line; a null is nothing, a text is quoted where it has to be."""
+    def cell(name: str) -> Column:
+        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        return F.when(text.rlike('[",\\n\\r]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+    return F.concat_ws(",", *[cell(c) for c in columns])
+
+
+def publish_sorted_csv(df: DataFrame, folder: str, order: Sequence[str] = ("split", "source", "char_id"), single: str | None = None) -> None:
+    """Header CSV in global sort order, published in one commit; ``single`` names one small file for all."""
+    rows = df.orderBy(*order).select(csv_line(df.columns).alias("value"))
+    parts.write(rows, folder, head=",".join(df.columns) + "\n", suffix=".csv", **({"single": single} if single else {}))
+
+
+def publish_report(df: DataFrame, folder: str, name: str = "report.json") -> None:
+    """An aggregated report as one JSON array, published in one commit."""
+    parts.write(df.select(F.to_json(F.struct(*df.columns)).alias("value")), folder, head="[\n", separator=",\n", tail="\n]\n", suffix=".json", single=name)
+
+
+def publish_by_key(df: DataFrame, key: str, folder: str, rows_per_file: int = 1_000_000) -> None:
+    """JSON lines in one folder per key value, published in one commit; a large key is spread over several files and tasks."""
+    rows = df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct(*[c for c in df.columns if c != key])).alias("value"))
+    parts.write(rows, folder, suffix=".json", rowsPerFile=str(rows_per_file))
+
+
+def publish_coco(annotations: DataFrame, images: DataFrame, folder: str) -> None:
+    """Detection documents per split, in parts that are documents themselves: ``images`` and ``annotations`` arrays, each published in one commit.
+
+    ``annotations`` has the columns of :func:`coco_annotations`, ``images`` has split, id, file_name, width and height.
+    """
+    for name, table in (("images", images), ("annotations", annotations)):
+        rows = table.select(F.col("split").alias("key"), F.to_json(F.struct(*[c for c in table.columns if c != "split"])).alias("value"))
+        parts.write(rows, f"{folder}/{name}", head=f'{{"{name}": [\n', separator=",\n", tail="\n]}\n", suffix=".json")
+
+
+def png_bytes(mask: np.ndarray) -> bytes:
+    """An 8-bit grey PNG."""
+    height, width = mask.shape
+    rows = np.zeros((height, width + 1), np.uint8)
+    rows[:, 1:] = mask
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    head = struct.pack(">IIBBBBB", width, height, 8, 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(rows.tobytes())) + chunk(b"IEND", b"")
+
+
+def write_rasters(runs: DataFrame, folder: str, width: int, height: int) -> DataFrame:
+    """One mask image per example, ``{dataset}/{example}.png``; returns the names with their sizes. A repeated task writes the same files again."""
+
+    def draw(group: pd.DataFrame) -> pd.DataFrame:
+        mask = np.zeros(height * width, np.uint8)
+        n = group["len"].to_numpy()
+        first = group["y"].to_numpy() * width + group["x0"].to_numpy()
+        mask[np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] = np.repeat(group["class_id"].to_numpy(), n)
+        store, path = locate(folder)
+        name = f"{group['dataset'].iloc[0]}/{group['example_id'].iloc[0]}.png"
+        store.create_dir(f"{path}/{group['dataset'].iloc[0]}", recursive=True)
+        data = png_bytes(mask.reshape(height, width))
+        with store.open_output_stream(f"{path}/{name}", compression=None) as out:
+            out.write(data)
+        return pd.DataFrame({"name": [name], "bytes": [len(data)]})
+
+    inside = runs.where((F.col("y") < height) & (F.col("x0") + F.col("len") <= width)).select("dataset", "example_id", "y", "x0", "len", "class_id")
+    return cut(inside.groupBy("dataset", "example_id").applyInPandas(draw, "name string, bytes long"))
