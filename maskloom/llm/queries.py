@@ -232,7 +232,7 @@ def op3_hnsw_neighbours(spark, sf_dir):
 def op11_warc_archive(spark, sf_dir):
     folder = shared_folder(spark, "warc")
     warc.write(warc.mark(table(spark, sf_dir, "pages").select("page_id", "url", "html")), folder, batch="pages")
-    found = warc.read(spark, folder, payload="check").where(F.col("record_type").isin("response", "revisit"))
+    found = warc.read(spark, folder, [("record_type", "in", ["response", "revisit"])], payload="check")
     whole = F.when(F.coalesce("intact", F.lit(True)), F.col("payload_digest"))
     return found.select("page_id", "payload_bytes", whole.alias("payload_digest"), "record_type", "refers_to")
 
