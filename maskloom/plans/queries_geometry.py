@@ -345,12 +345,20 @@ def boundary_cells(t):
     return L.boundary_cells(L.densify(t.v_grid, 32, 32), radius=1, exclude=[7])
 
 
+# the kernel is separable: weights are summed along x first, then along y
+_MIRROR = "CASE WHEN {0} < 0 THEN -({0}) - 1 WHEN {0} > 31 THEN 63 - ({0}) ELSE {0} END"
+
+
 @query(f"""
-WITH {_GRID}, bd AS (SELECT a.example_id, a.x, a.y, a.class_id FROM gd a JOIN gd b ON b.example_id = a.example_id AND b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 WHERE a.class_id > 0 GROUP BY ALL HAVING max(b.class_id) <> min(b.class_id)),
+WITH {_GRID.replace("gd AS (", "gd AS MATERIALIZED (")},
+r1 AS MATERIALIZED (SELECT *, min(class_id) OVER w AS a, max(class_id) OVER w AS b FROM gd WINDOW w AS (PARTITION BY example_id, y ORDER BY x ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)),
+r2 AS MATERIALIZED (SELECT *, min(a) OVER w AS lo, max(b) OVER w AS hi FROM r1 WINDOW w AS (PARTITION BY example_id, x ORDER BY y ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)),
+bd AS MATERIALIZED (SELECT example_id, x, y, class_id, class_id > 0 AND lo <> hi AS soft FROM r2),
 k AS (SELECT d, exp(-d * d / 2) AS w FROM (SELECT unnest(range(-4, 5)) AS d)),
-tp AS (SELECT example_id, x, y, CASE WHEN x + a.d < 0 THEN -(x + a.d) - 1 WHEN x + a.d > 31 THEN 63 - x - a.d ELSE x + a.d END AS nx, CASE WHEN y + b.d < 0 THEN -(y + b.d) - 1 WHEN y + b.d > 31 THEN 63 - y - b.d ELSE y + b.d END AS ny, a.w * b.w AS g FROM bd, k a, k b),
-mx AS (SELECT tp.example_id, tp.x, tp.y, gd.class_id, sum(g) AS g FROM tp JOIN gd ON gd.example_id = tp.example_id AND gd.x = tp.nx AND gd.y = tp.ny GROUP BY 1, 2, 3, 4)
+kk AS MATERIALIZED (SELECT x, {_MIRROR.format("x + d")} AS nx, sum(w) AS w FROM k, (SELECT unnest(range(32)) AS x) GROUP BY 1, 2),
+hx AS MATERIALIZED (SELECT gd.example_id, kk.x, gd.y, gd.class_id, sum(w) AS g FROM gd JOIN kk ON kk.nx = gd.x GROUP BY ALL),
+mx AS MATERIALIZED (SELECT bd.example_id, bd.x, bd.y, hx.class_id, sum(hx.g * kk.w) AS g FROM bd JOIN kk ON kk.x = bd.y JOIN hx ON hx.example_id = bd.example_id AND hx.x = bd.x AND hx.y = kk.nx WHERE soft GROUP BY ALL)
 SELECT example_id, x, y, class_id, round(g / sum(g) OVER (PARTITION BY example_id, x, y), 6) AS p FROM mx
-UNION ALL SELECT gd.example_id, gd.x, gd.y, gd.class_id, 1.0 FROM gd LEFT JOIN bd ON bd.example_id = gd.example_id AND bd.x = gd.x AND bd.y = gd.y WHERE bd.x IS NULL""")
+UNION ALL SELECT example_id, x, y, class_id, 1.0 FROM bd WHERE NOT soft""")
 def soften_labels(t):
     return _R6(L.soften_labels(L.densify(t.v_grid, 32, 32), 32, 32, radius=1), "p")

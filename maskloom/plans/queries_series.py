@@ -63,7 +63,7 @@ def joint_angular_velocity(t):
     return S.joint_angular_velocity(t.v_frames)
 
 
-_F = "f AS (SELECT clip, frame, bone, rx, ry, rz FROM v_frames), n AS (SELECT clip, max(frame) + 1 AS n FROM f GROUP BY 1)"
+_F = "f AS MATERIALIZED (SELECT clip, frame, bone, rx, ry, rz FROM v_frames), n AS (SELECT clip, max(frame) + 1 AS n FROM f GROUP BY 1)"
 _W = "WINDOW w AS (PARTITION BY clip, bone ORDER BY frame)"
 _LONG_OK = "clip IN (SELECT clip FROM n WHERE n >= 4)"
 _RNG = "r AS (SELECT clip, bone, max(rx) - min(rx) AS gx, max(ry) - min(ry) AS gy, max(rz) - min(rz) AS gz FROM f GROUP BY 1, 2)"
@@ -99,18 +99,17 @@ def linearize_segments(t):
     return _R6(S.linearize_segments(t.v_frames, 8), *S.AXES)
 
 
+# by windows: the frames of a clip side by side with the next one, then one row per sample of each interval
 _ARC = """
-d AS (SELECT clip, frame, coalesce(sqrt(pow(rx - lag(rx) OVER w, 2) + pow(ry - lag(ry) OVER w, 2) + pow(rz - lag(rz) OVER w, 2)), 0) AS d FROM f WINDOW w AS (PARTITION BY clip, bone ORDER BY frame)),
-pf AS (SELECT clip, frame, sum(d) AS d FROM d GROUP BY 1, 2),
-cu AS (SELECT clip, frame, sum(d) OVER (PARTITION BY clip ORDER BY frame) AS c FROM pf),
-tot AS (SELECT clip, max(c) AS total, max(frame) AS last FROM cu GROUP BY 1),
-iv AS (SELECT cu.*, lead(c) OVER (PARTITION BY cu.clip ORDER BY frame) AS c1, total, last FROM cu JOIN tot ON tot.clip = cu.clip),
-u AS (SELECT clip, CAST(unnest(range(0, last + 1)) AS INT) AS i, total, last FROM tot),
-pk AS (SELECT u.clip, u.i, iv.frame AS j, CASE WHEN c1 IS NULL OR u.total < 1e-6 THEN 0 ELSE (u.total * u.i / u.last - c) / (c1 - c) END AS tt FROM u JOIN iv ON iv.clip = u.clip AND
-   CASE WHEN u.total < 1e-6 THEN iv.frame = u.i WHEN u.i = u.last THEN iv.frame = u.last
-   ELSE round(c * u.last / u.total, 9) <= u.i AND u.i < round(c1 * u.last / u.total, 9) END),
-arc AS (SELECT pk.clip, pk.i AS frame, p.bone, p.rx + (coalesce(q.rx, p.rx) - p.rx) * tt AS rx, p.ry + (coalesce(q.ry, p.ry) - p.ry) * tt AS ry, p.rz + (coalesce(q.rz, p.rz) - p.rz) * tt AS rz
-  FROM pk JOIN f p ON p.clip = pk.clip AND p.frame = pk.j LEFT JOIN f q ON q.clip = pk.clip AND q.bone = p.bone AND q.frame = pk.j + 1)"""
+nx AS MATERIALIZED (SELECT *, lag(rx) OVER w AS ax, lag(ry) OVER w AS ay, lag(rz) OVER w AS az, lead(rx) OVER w AS bx, lead(ry) OVER w AS b_y, lead(rz) OVER w AS bz FROM f WINDOW w AS (PARTITION BY clip, bone ORDER BY frame)),
+pf AS MATERIALIZED (SELECT clip, frame, sum(coalesce(sqrt(pow(rx - ax, 2) + pow(ry - ay, 2) + pow(rz - az, 2)), 0)) AS d FROM nx GROUP BY 1, 2),
+cu AS MATERIALIZED (SELECT clip, frame, sum(d) OVER (PARTITION BY clip ORDER BY frame) AS c, sum(d) OVER (PARTITION BY clip) AS total, max(frame) OVER (PARTITION BY clip) AS last FROM pf),
+iv AS MATERIALIZED (SELECT *, lead(c) OVER (PARTITION BY clip ORDER BY frame) AS c1 FROM cu),
+sm AS MATERIALIZED (SELECT *, CASE WHEN total < 1e-6 THEN [frame] WHEN frame = last THEN [last]
+   ELSE range(CAST(ceil(round(c * last / total, 9)) AS INT), least(CAST(ceil(round(c1 * last / total, 9)) AS INT), last)) END AS samples FROM iv),
+pk AS MATERIALIZED (SELECT clip, frame, CAST(unnest(samples) AS INT) AS i, c, c1, total, last FROM sm),
+tt AS MATERIALIZED (SELECT clip, frame, i, CASE WHEN c1 IS NULL OR total < 1e-6 THEN 0 ELSE (total * i / last - c) / (c1 - c) END AS tt FROM pk),
+arc AS (SELECT nx.clip, tt.i AS frame, bone, rx + (coalesce(bx, rx) - rx) * tt AS rx, ry + (coalesce(b_y, ry) - ry) * tt AS ry, rz + (coalesce(bz, rz) - rz) * tt AS rz FROM nx JOIN tt USING (clip, frame))"""
 
 
 @query(f"WITH {_F}, {_ARC} SELECT clip, frame, bone, round(rx, 4) AS rx, round(ry, 4) AS ry, round(rz, 4) AS rz FROM arc")
@@ -118,8 +117,8 @@ def uniform_arc_resample(t):
     return S.uniform_arc_resample(t.v_frames).withColumns({c: F.round(c, 4) for c in S.AXES})
 
 
-_LOCK = """lock AS (SELECT f.clip, f.frame, f.bone, coalesce(p.rx, f.rx) AS rx, coalesce(p.ry, f.ry) AS ry, coalesce(p.rz, f.rz) AS rz
- FROM f LEFT JOIN f p ON p.clip = f.clip AND p.frame = f.frame AND p.bone = CASE WHEN f.bone IN ('spine', 'chest') THEN 'hips' END)"""
+_HIPS = "max(CASE WHEN bone = 'hips' THEN {} END) OVER (PARTITION BY clip, frame)"
+_LOCK = "lock AS MATERIALIZED (SELECT clip, frame, bone, " + ", ".join(f"coalesce(CASE WHEN bone IN ('spine', 'chest') THEN {_HIPS.format(c)} END, {c}) AS {c}" for c in S.AXES) + " FROM f)"
 
 
 @query(f"WITH {_F}, {_LOCK} SELECT * FROM lock")
@@ -150,19 +149,18 @@ def simultaneous_stop(t):
     return S.simultaneous_stop(t.v_frames, 9.5)
 
 
-# the rule restated per step: nearest later opposite step, then nearest step back in the first direction
+# starts of runs alternate in direction, so a run ends at the next start and the one after it at the start after that
 _ANT = f"""
-vx AS (SELECT clip, bone, frame, lead(rx) OVER w - rx AS x, lead(ry) OVER w - ry AS y, lead(rz) OVER w - rz AS z, max(frame) OVER (PARTITION BY clip, bone) AS n,
+vx AS MATERIALIZED (SELECT clip, bone, frame, lead(rx) OVER w - rx AS x, lead(ry) OVER w - ry AS y, lead(rz) OVER w - rz AS z, max(frame) OVER (PARTITION BY clip, bone) AS n,
    max(rx) OVER (PARTITION BY clip, bone) - min(rx) OVER (PARTITION BY clip, bone) AS gx, max(ry) OVER (PARTITION BY clip, bone) - min(ry) OVER (PARTITION BY clip, bone) AS gy,
    max(rz) OVER (PARTITION BY clip, bone) - min(rz) OVER (PARTITION BY clip, bone) AS gz FROM f {_W}),
-sg AS (SELECT clip, bone, 'x' AS ax, frame, sign(x) AS d, n FROM vx WHERE abs(x) >= 2 AND gx >= 2 UNION ALL SELECT clip, bone, 'y', frame, sign(y), n FROM vx WHERE abs(y) >= 2 AND gy >= 2
+sg AS MATERIALIZED (SELECT clip, bone, 'x' AS ax, frame, sign(x) AS d, n FROM vx WHERE abs(x) >= 2 AND gx >= 2 UNION ALL SELECT clip, bone, 'y', frame, sign(y), n FROM vx WHERE abs(y) >= 2 AND gy >= 2
    UNION ALL SELECT clip, bone, 'z', frame, sign(z), n FROM vx WHERE abs(z) >= 2 AND gz >= 2),
-ss AS (SELECT *, lag(d) OVER (PARTITION BY clip, bone, ax ORDER BY frame) AS pd FROM sg),
-st0 AS (SELECT * FROM ss WHERE pd IS NULL OR pd <> d),
-e1 AS (SELECT s.*, (SELECT min(o.frame) FROM sg o WHERE o.clip = s.clip AND o.bone = s.bone AND o.ax = s.ax AND o.frame > s.frame AND o.d = -s.d) AS end1 FROM st0 s),
-e2 AS (SELECT s.*, coalesce((SELECT min(o.frame) FROM sg o WHERE o.clip = s.clip AND o.bone = s.bone AND o.ax = s.ax AND o.frame > s.end1 AND o.d = s.d), n) AS end2 FROM e1 s WHERE end1 IS NOT NULL),
-an AS (SELECT DISTINCT clip, n, CAST(unnest(range(frame + 1, end1 + 1)) AS INT) AS frame FROM e2 WHERE end1 - frame <= 10 AND end2 - end1 > end1 - frame),
-ant AS (SELECT * FROM f WHERE NOT EXISTS (SELECT 1 FROM an WHERE an.clip = f.clip AND an.frame = f.frame AND an.frame < an.n))"""
+ss AS MATERIALIZED (SELECT *, lag(d) OVER (PARTITION BY clip, bone, ax ORDER BY frame) AS pd FROM sg),
+e2 AS MATERIALIZED (SELECT *, lead(frame) OVER r AS end1, coalesce(lead(frame, 2) OVER r, n) AS end2 FROM (SELECT * FROM ss WHERE pd IS NULL OR pd <> d) WINDOW r AS (PARTITION BY clip, bone, ax ORDER BY frame)),
+an AS MATERIALIZED (SELECT DISTINCT clip, n, CAST(unnest(range(frame + 1, end1 + 1)) AS INT) AS frame FROM e2 WHERE end1 IS NOT NULL AND end1 - frame <= 10 AND end2 - end1 > end1 - frame),
+dr AS MATERIALIZED (SELECT DISTINCT clip, frame, true AS gone FROM an WHERE frame < n),
+ant AS (SELECT f.* FROM f LEFT JOIN dr USING (clip, frame) WHERE gone IS NULL)"""
 
 
 @query(f"WITH {_F}, {_ANT} SELECT clip, frame, bone, rx, ry, rz FROM ant")
