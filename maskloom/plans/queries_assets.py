@@ -43,9 +43,9 @@ def scan_images(t):
     return A.select_images(t.sql(_PAGES))
 
 
-_SCENES = """SELECT concat(CASE WHEN mod(n, 3) = 0 THEN 'test' ELSE 'train' END, '/contour/', char_id, '/', CAST(mod(doc_id, 24) AS STRING), '.png') AS path FROM v_assets WHERE mod(n, 7) <> 5
-UNION ALL SELECT concat(CASE WHEN mod(n, 3) = 0 THEN 'test' ELSE 'train' END, '/Frame_Anime/', char_id, CASE WHEN mod(n, 2) = 0 THEN '/original/' ELSE '/' END, CAST(mod(doc_id, 24) AS STRING), '.png') FROM v_assets WHERE mod(n, 5) <> 2 AND mod(doc_id, 11) <> 4
-UNION ALL SELECT concat('train/Frame_Anime/', char_id, '/color_2/', CAST(mod(doc_id, 24) AS STRING), '.png') FROM v_assets WHERE mod(n, 2) = 0"""
+_SCENES = """SELECT concat(CASE WHEN mod(n, 3) = 0 THEN 'test' ELSE 'train' END, '/contour/', char_id, '/', CAST(mod(doc_id, 24) AS STRING), '.png') AS path FROM v_assets WHERE has_mask
+UNION ALL SELECT concat(CASE WHEN mod(n, 3) = 0 THEN 'test' ELSE 'train' END, '/Frame_Anime/', char_id, CASE WHEN mod(n, 2) = 0 THEN '/original/' ELSE '/' END, CAST(mod(doc_id, 24) AS STRING), '.png') FROM v_assets WHERE has_joints
+UNION ALL SELECT concat('train/Frame_Anime/', char_id, '/color_2/', CAST(mod(doc_id, 24) AS STRING), '.png') FROM v_assets WHERE has_source"""
 
 
 @query(f"""WITH p AS ({_SCENES}), s AS (SELECT path, string_split(path, '/') AS q FROM p),
@@ -180,7 +180,7 @@ def build_example_metadata(t):
 
 # --- joins ---
 _ANN = "SELECT DISTINCT view_key AS stem FROM v_assets"
-_EXTF = "SELECT view_key AS stem, CASE mod(doc_id, 3) WHEN 0 THEN '.png' WHEN 1 THEN '.gif' ELSE '.jpg' END AS ext, concat('/', CAST(doc_id AS STRING), '/', view_key) AS path FROM v_assets WHERE mod(n, 4) <> 2"
+_EXTF = "SELECT view_key AS stem, CASE mod(doc_id, 3) WHEN 0 THEN '.png' WHEN 1 THEN '.gif' ELSE '.jpg' END AS ext, concat('/', CAST(doc_id AS STRING), '/', view_key) AS path FROM v_assets WHERE has_mask"
 
 
 @query(f"WITH a AS ({_ANN}), f AS ({_EXTF}), b AS (SELECT stem, path FROM f WHERE ext <> '.gif' QUALIFY row_number() OVER (PARTITION BY stem ORDER BY CASE ext WHEN '.jpg' THEN 0 ELSE 1 END, path) = 1) SELECT a.stem, b.path FROM a LEFT JOIN b ON b.stem = a.stem")
@@ -207,14 +207,13 @@ def contains_match(t):
     return A.contains_match(t.sql(_ITEMS), t.sql(_MODELS))
 
 
-@query("""WITH g AS (SELECT pose_key, min(path) FILTER (angle = 'front') AS front, min(path) FILTER (angle = 'three_quarter') AS three_quarter, min(path) FILTER (angle = 'back') AS back FROM v_assets WHERE style <> 'pixel' AND mod(doc_id, 7) <> 2 AND mod(doc_id, 5) <> 1 GROUP BY 1)
+@query("""WITH g AS (SELECT pose_key, min(path) FILTER (angle = 'front') AS front, min(path) FILTER (angle = 'three_quarter') AS three_quarter, min(path) FILTER (angle = 'back') AS back FROM v_assets GROUP BY 1)
 SELECT *, row_number() OVER (ORDER BY pose_key) - 1 AS pair_index FROM g WHERE front IS NOT NULL AND three_quarter IS NOT NULL AND back IS NOT NULL""")
 def complete_view_sets(t):
-    views = t.v_assets.where("style <> 'pixel' AND doc_id % 7 <> 2 AND doc_id % 5 <> 1")
-    return A.complete_view_sets(views, ["front", "three_quarter", "back"])
+    return A.complete_view_sets(t.v_assets, ["front", "three_quarter", "back"])
 
 
-_VW = "SELECT pose_key AS char_id, angle, path FROM v_assets WHERE (mod(n, 4) <> 1 OR angle IN ('front', 'back')) AND (mod(n, 4) <> 2 OR angle = 'side')"
+_VW = "SELECT pose_key AS char_id, angle, path FROM v_assets"
 
 
 @query(f"""WITH w AS ({_VW}), v AS (SELECT char_id, angle, min(path) AS path, count(*) OVER (PARTITION BY char_id) AS n FROM w GROUP BY 1, 2)

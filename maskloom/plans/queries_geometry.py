@@ -95,7 +95,7 @@ def minmax_rank_depth(t):
     return G.minmax_rank_depth(depth, M.EXAMPLE, "mean_depth").select(*M.EXAMPLE, "class_id", "depth_rank")
 
 
-_BONES = [f"bone_{i}" for i in range(20)]
+_BONES = [f"bone_{i}" for i in range(26)]
 
 
 @query(f"""
@@ -280,7 +280,7 @@ def joint_in_label_rate(t):
 
 @query("""
 WITH sg AS (SELECT example_id, class_id AS segment, sum(len) AS px, sum(len * (2 * x0 + len - 1) / 2) / sum(len) AS cx, sum(y * len) / sum(len) AS cy FROM v_runs GROUP BY 1, 2 HAVING sum(len) >= 10),
-jt AS (SELECT * FROM v_joints WHERE mod(example_id, 5) <> 2),
+jt AS (SELECT * FROM v_joints WHERE visible),
 cd AS (SELECT sg.example_id, segment, j.class_id, round(pow(j.x - cx, 2) + pow(j.y - cy, 2), 6) AS d, EXISTS (SELECT 1 FROM v_runs r WHERE r.example_id = sg.example_id AND r.class_id = sg.segment AND r.y = j.y AND j.x >= r.x0 AND j.x < r.x0 + r.len) AS ins FROM sg JOIN jt j ON j.example_id = sg.example_id),
 bs AS (SELECT example_id, segment, class_id FROM cd QUALIFY row_number() OVER (PARTITION BY example_id, segment ORDER BY ins DESC, d, class_id) = 1),
 gr AS (SELECT *, (cx - 315e-1) / 315e-1 AS rx, cy / 63 AS ry FROM sg)
@@ -289,16 +289,16 @@ SELECT gr.example_id, gr.segment, CAST(coalesce(bs.class_id, CASE WHEN ry < 0.15
 FROM gr LEFT JOIN bs ON bs.example_id = gr.example_id AND bs.segment = gr.segment""")
 def assign_nearest(t):
     segments = t.v_runs.withColumnRenamed("class_id", "segment")
-    return L.assign_nearest(segments, t.v_joints.where("example_id % 5 <> 2"), 64, 64)
+    return L.assign_nearest(segments, t.v_joints.where("visible"), 64, 64)
 
 
 @query("""
-WITH p AS (SELECT example_id, joint, x + 0.5 AS px, y * 1.25 AS py FROM v_joints WHERE mod(class_id, 4) <> 1),
+WITH p AS (SELECT example_id, joint, x + 0.5 AS px, y * 1.25 AS py FROM v_joints WHERE visible),
 e AS (SELECT j.example_id AS sample, round_even(sqrt(pow(p.px - j.x, 2) + pow(p.py - j.y, 2)) * 100, 0) AS err FROM v_joints j LEFT JOIN p ON p.example_id = j.example_id AND p.joint = j.joint)
 SELECT sample, coalesce(round_even(sum(err) / count(err), 0) / 100, 'inf'::DOUBLE) AS mean_error_px, coalesce(max(err) / 100, 'inf'::DOUBLE) AS max_error_px, count(err) AS num_joints FROM e GROUP BY 1""")
 def reprojection_error(t):
     j = t.v_joints.withColumnRenamed("example_id", "sample")
-    p = j.where("class_id % 4 <> 1").selectExpr("sample", "joint", "x + 0.5D AS px", "y * 1.25D AS py")
+    p = j.where("visible").selectExpr("sample", "joint", "x + 0.5D AS px", "y * 1.25D AS py")
     return L.reprojection_error(j, p)
 
 

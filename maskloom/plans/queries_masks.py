@@ -30,13 +30,13 @@ def class_distribution(t):
 
 
 @query("""
-WITH t AS (SELECT c.class_id, c.class_name, coalesce(sum(v.len), 0) AS pixels
-  FROM v_classes c LEFT JOIN (SELECT * FROM v_cells WHERE class_id <> 9 AND (class_id <> 4 OR len = 1)) v ON v.class_id = c.class_id GROUP BY ALL),
+WITH t AS (SELECT c.class_id, c.class_name, count(v.x) AS pixels
+  FROM v_classes c LEFT JOIN v_grid v ON v.class_id = c.class_id GROUP BY ALL),
 s AS (SELECT class_id, class_name, round_even(pixels / (SELECT sum(pixels) FROM t WHERE class_id > 0), 4) AS share FROM t WHERE class_id > 0)
 SELECT *, CASE WHEN share = 0 THEN 'missing' ELSE 'under_represented' END AS gap FROM s WHERE share < 0.01""")
 def coverage_gaps(t):
-    thinned = t.v_cells.where("class_id <> 9 AND (class_id <> 4 OR len = 1)")
-    return M.coverage_gaps(M.class_distribution(thinned))
+    cells = t.v_grid.withColumn("len", F.lit(1).cast("long"))  # grid masks have few classes
+    return M.coverage_gaps(M.class_distribution(cells))
 
 
 @query(_TOTALS + """

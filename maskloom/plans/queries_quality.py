@@ -200,7 +200,7 @@ def annotation_priority(t):
     return Q.annotation_priority(t.v_cells, [9, 16], "conf")
 
 
-_JOINTS = "SELECT example_id, CASE WHEN class_id = 21 THEN 'tail' ELSE class_name END AS joint FROM (SELECT v.example_id, v.class_id, c.class_name FROM v_cells v JOIN v_classes c ON c.class_id = v.class_id WHERE v.class_id NOT IN (0, 20)) j"
+_JOINTS = "SELECT example_id, CASE WHEN class_id = 21 THEN 'tail' ELSE class_name END AS joint FROM (SELECT v.example_id, v.class_id, c.class_name FROM v_cells v JOIN v_classes c ON c.class_id = v.class_id) j"
 
 
 @query(f"""

@@ -168,14 +168,21 @@ def drop_anticipation(t):
     return S.drop_anticipation(t.v_frames).select("clip", "frame", "bone", *S.AXES)
 
 
-@query(f"""WITH {_F}, d2 AS (SELECT f.clip, CAST(ceil(frame / 2) AS INT) AS frame, bone, rx, ry, rz FROM f JOIN n ON n.clip = f.clip WHERE mod(frame, 2) = 0 OR frame = n - 1), {_lin(8)}, {_LOCK}, {_ANT}, q AS (
+@query(f"""WITH {_F}, d2 AS (SELECT f.clip, CAST(ceil(frame / 2) AS INT) AS frame, bone, rx, ry, rz FROM f JOIN n ON n.clip = f.clip WHERE mod(frame, 2) = 0 OR frame = n - 1), {_lin(8)}, {_LOCK}, {_ANT}, {_ARC}, {_stop(0.5)},
+x AS (SELECT f.clip, f.frame, coalesce({_ext('rx', 'gx')}, FALSE) OR coalesce({_ext('ry', 'gy')}, FALSE) OR coalesce({_ext('rz', 'gz')}, FALSE) AS hit FROM f JOIN r ON r.clip = f.clip AND r.bone = f.bone WINDOW w AS (PARTITION BY f.clip, f.bone ORDER BY f.frame)),
+k1 AS MATERIALIZED (SELECT clip, frame FROM x WHERE hit UNION SELECT clip, 0 FROM n UNION SELECT clip, n - 1 FROM n),
+kc AS (SELECT k1.clip, count(*) AS k, first(n.n) AS n FROM k1 JOIN n ON n.clip = k1.clip GROUP BY 1),
+kept AS MATERIALIZED (SELECT * FROM k1 UNION SELECT clip, unnest(range(0, n, greatest(1, n // 3))) FROM kc WHERE k < 3), q AS (
  SELECT 'reduce_framerate' AS degradation, clip, frame, rx, ry, rz FROM d2 UNION ALL SELECT 'linearize_arcs', clip, frame, rx, ry, rz FROM lin
- UNION ALL SELECT 'remove_secondary', clip, frame, rx, ry, rz FROM f UNION ALL SELECT 'remove_anticipation', clip, frame, rx, ry, rz FROM ant)
-SELECT degradation, clip, count(*) AS n, CAST(max(frame) AS INT) AS last_frame, round(sum(rx + ry + rz), 4) AS checksum FROM q WHERE {_LONG_OK} GROUP BY 1, 2""")
+ UNION ALL SELECT 'remove_secondary', clip, frame, rx, ry, rz FROM lock UNION ALL SELECT 'remove_anticipation', clip, frame, rx, ry, rz FROM ant
+ UNION ALL SELECT 'remove_easing', clip, frame, rx, ry, rz FROM arc UNION ALL SELECT 'simultaneous_stop', clip, frame, rx, ry, rz FROM stp
+ UNION ALL SELECT 'strip_to_extremes', f.clip, f.frame, rx, ry, rz FROM f JOIN kept ON kept.clip = f.clip AND kept.frame = f.frame)
+SELECT degradation, clip, count(*) AS n, CAST(max(frame) AS INT) AS last_frame, round(sum(rx + ry + rz), 3) AS checksum FROM q WHERE {_LONG_OK} GROUP BY 1, 2""")
 def degradation_pairs(t):
-    pairs = S.degradation_pairs(t.v_frames, ["reduce_framerate", "linearize_arcs", "remove_secondary", "remove_anticipation"])
+    """All seven types; the rigs have a spine and a chest only, so these are the locked bones."""
+    pairs = S.degradation_pairs(t.v_frames, remove_secondary=lambda f: S.lock_to_parent(f, ["spine", "chest"]))
     return pairs.groupBy("degradation", "clip").agg(
-        F.count(F.lit(1)).alias("n"), F.max("frame").cast("int").alias("last_frame"), F.round(F.sum(F.col("rx") + F.col("ry") + F.col("rz")), 4).alias("checksum")
+        F.count(F.lit(1)).alias("n"), F.max("frame").cast("int").alias("last_frame"), F.round(F.sum(F.col("rx") + F.col("ry") + F.col("rz")), 3).alias("checksum")
     )
 
 
@@ -212,7 +219,7 @@ def next_frame_pairs(t):
     return S.next_frame_pairs(root, root.where("event_type = 'view'"), root.where("px > 8"), "event_id")
 
 
-_CUTS = "SELECT clip, CASE WHEN mod(clip, 7) = 0 THEN 30 ELSE CAST(mod(clip, 5) - 1 AS INT) END AS start, CASE WHEN mod(clip, 7) = 0 THEN 10 ELSE CAST(20 + mod(clip, 40) AS INT) END AS stop FROM v_clip_labels WHERE mod(clip, 9) <> 4"
+_CUTS = "SELECT clip, CASE WHEN mod(clip, 7) = 0 THEN 30 ELSE CAST(mod(clip, 5) - 1 AS INT) END AS start, CASE WHEN mod(clip, 7) = 0 THEN 10 ELSE CAST(20 + mod(clip, 40) AS INT) END AS stop FROM v_clip_labels"
 
 
 @query(f"""

@@ -9,7 +9,7 @@ from maskloom.operators import weights as W
 from maskloom.plans.catalog import query
 
 _R6 = lambda df, *cols: df.withColumns({c: F.round(c, 6) for c in cols})
-_MAP = "SELECT DISTINCT bone, CAST(mod(bone_order * 7, 20) AS INT) AS region FROM v_weights WHERE mod(bone_order, 5) <> 3"
+_MAP = "SELECT DISTINCT bone, CAST(mod(bone_order * 7, 20) AS INT) AS region FROM v_weights"
 _WT = "SELECT example_id, vertex, x, y, bone, bone_order, CASE WHEN w < 4 THEN 0 ELSE w / 50e0 END AS w FROM v_weights"
 _BASE = f"mp AS ({_MAP}), wt AS ({_WT})"
 
@@ -19,9 +19,9 @@ def collapse_weights(t):
     return W.collapse_weights(t.sql(_WT), t.sql(_MAP))
 
 
-@query(f"WITH {_BASE} SELECT example_id, bone, round(sum(w * x) / sum(w), 6) AS jx, round(sum(w * y) / sum(w), 6) AS jy FROM wt WHERE bone IN ('bone_1', 'bone_2', 'bone_3', 'bone_14') GROUP BY 1, 2 HAVING sum(w) > 1e-6")
+@query(f"WITH {_BASE} SELECT example_id, bone, round(sum(w * x) / sum(w), 6) AS jx, round(sum(w * y) / sum(w), 6) AS jy FROM wt GROUP BY 1, 2 HAVING sum(w) > 1e-6")
 def weighted_joint_centroids(t):
-    return _R6(W.weighted_joint_centroids(t.sql(_WT), ["bone_1", "bone_2", "bone_3", "bone_14"]), "jx", "jy")
+    return _R6(W.weighted_joint_centroids(t.sql(_WT), [f"bone_{i}" for i in range(26)]), "jx", "jy")
 
 
 _DOM = f"{_BASE}, db AS (SELECT example_id, vertex, bone, w FROM wt QUALIFY row_number() OVER (PARTITION BY example_id, vertex ORDER BY w DESC, bone_order) = 1), dr AS (SELECT db.example_id, vertex, db.bone, coalesce(region, 0) AS region FROM db LEFT JOIN mp ON mp.bone = db.bone)"
