@@ -179,8 +179,8 @@ def linearize_segments(frames: DataFrame, every: int = 8) -> DataFrame:
     return out.select("clip", "frame", "bone", *[_lerp(F.col(f"_{c}0"), F.col(f"_{c}n"), t).alias(c) for c in AXES])
 
 
-def uniform_arc_resample(frames: DataFrame) -> DataFrame:
-    """Resample at equal arc length. Each frame interval emits the samples that fall into it."""
+def arc_samples(frames: DataFrame) -> DataFrame:
+    """(clip, frame, sample, t): where each sample at equal arc length of all bones' rotations lies; each frame interval emits those that fall into it."""
     deltas = neighbours(frames, ["clip", "bone"], "frame", {f"_{c}1": (c, -1) for c in AXES})
     step = F.coalesce(_norm([(c, f"_{c}1") for c in AXES]), F.lit(0.0))
     per_frame = deltas.groupBy("clip", "frame").agg(F.sum(F.bround(step, 9).cast("decimal(20,9)")).cast("double").alias("d"))
@@ -198,14 +198,23 @@ def uniform_arc_resample(frames: DataFrame) -> DataFrame:
     cum = cum.where(still | final | (F.col("sample") < F.col("_last")))
     u = F.col("_total") * F.col("sample") / F.col("_last")
     t = F.when(still | final, 0.0).otherwise((u - F.col("_c")) / (F.col("_c1") - F.col("_c")))
-    picks = cum.select("clip", "frame", "sample", t.alias("_t"))
+    return cum.select("clip", "frame", "sample", t.alias("t"))
+
+
+def at_samples(frames: DataFrame, samples: DataFrame) -> DataFrame:
+    """Rows of the tracks of ``frames`` at the samples, between a frame and the next."""
     values = neighbours(frames, ["clip", "bone"], "frame", {f"_{c}n": (c, 1) for c in AXES})
-    out = picks.join(values, ["clip", "frame"])
+    out = samples.join(values, ["clip", "frame"])
     return out.select(
-        "clip", F.col("sample").alias("frame"), "bone", *[_lerp(F.col(c), F.coalesce(f"_{c}n", c), F.col("_t")).alias(c) for c in AXES]
+        "clip", F.col("sample").alias("frame"), "bone", *[_lerp(F.col(c), F.coalesce(f"_{c}n", c), F.col("t")).alias(c) for c in AXES]
     )
 
 
+def uniform_arc_resample(frames: DataFrame) -> DataFrame:
+    """Resample at equal arc length."""
+    return at_samples(frames, arc_samples(frames))
+
+
 def lock_to_parent(frames: DataFrame, secondary: Sequence[str] = SECONDARY, parent: dict[str, str] | None = None) -> DataFrame:
     """Selected bones take the rotation of their parent; a locked parent passes its own source on."""
     parent = parent or PARENT
@@ -230,14 +239,18 @@ def decimate_frames(frames: DataFrame, factor: int = 2) -> DataFrame:
     return df.select("clip", F.ceil(F.col("frame") / factor).cast("int").alias("frame"), "bone", *AXES)
 
 
-def simultaneous_stop(frames: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """All bones freeze at the earliest of the last moving frames."""
+def stop_frames(frames: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """(clip, stop): the earliest of the last moving frames of all bones that move at all."""
     df = neighbours(frames, ["clip", "bone"], "frame", {f"_{c}1": (c, -1) for c in AXES})
     moving = F.when(_norm([(c, f"_{c}1") for c in AXES]) > threshold, F.col("frame"))
     per_bone = df.groupBy("clip", "bone").agg(
         F.greatest(*[F.max(c) - F.min(c) for c in AXES]).alias("range"), F.coalesce(F.max(moving), F.lit(0)).alias("last")
     )
-    stops = per_bone.where("range >= 1.0").groupBy("clip").agg(F.greatest(F.lit(1), F.min("last")).alias("stop"))
+    return per_bone.where("range >= 1.0").groupBy("clip").agg(F.greatest(F.lit(1), F.min("last")).alias("stop"))
+
+
+def freeze(frames: DataFrame, stops: DataFrame) -> DataFrame:
+    """All tracks of a clip keep the values of its stop frame afterwards."""
     rows = frames.join(stops, "clip", "left")
     frozen = rows.where("frame = stop").select("clip", "bone", *[F.col(c).alias(f"_{c}") for c in AXES])
     out = rows.join(frozen, ["clip", "bone"], "left")
@@ -245,6 +258,11 @@ def simultaneous_stop(frames: DataFrame, threshold: float = 0.5) -> DataFrame:
     return out.select("clip", "frame", "bone", *[F.when(late, F.col(f"_{c}")).otherwise(F.col(c)).alias(c) for c in AXES])
 
 
+def simultaneous_stop(frames: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """All bones freeze at the earliest of the last moving frames."""
+    return freeze(frames, stop_frames(frames, threshold))
+
+
 def anticipation_frames(frames: DataFrame, threshold: float = 2.0, max_run: int = 10) -> DataFrame:
     """Frames of a short counter-motion followed by a longer opposite motion, on any bone axis.
 
@@ -287,6 +305,43 @@ DEGRADATIONS = {
 }
 
 
+PLACES = ("px", "py", "pz")
+
+
+def _as_track(root: DataFrame) -> DataFrame:
+    """The root's places as a track like a bone's."""
+    return root.select("clip", "frame", F.lit("root").alias("bone"), *[F.col(p).alias(c) for p, c in zip(PLACES, AXES, strict=True)])
+
+
+# what each degradation does to the root track, which the bones' rotations decide; rotations locked to a parent leave it as it is
+ROOT_DEGRADATIONS = {
+    "strip_to_extremes": lambda track, frames: take_frames(track, extreme_frames(frames)),
+    "linearize_arcs": lambda track, frames: linearize_segments(track),
+    "remove_easing": lambda track, frames: at_samples(track, arc_samples(frames)),
+    "remove_secondary": lambda track, frames: track,
+    "reduce_framerate": lambda track, frames: decimate_frames(track),
+    "simultaneous_stop": lambda track, frames: freeze(track, stop_frames(frames)),
+    "remove_anticipation": lambda track, frames: track.join(anticipation_frames(frames), ["clip", "frame"], "left_anti"),
+}
+
+
+def degrade_root(root: DataFrame, frames: DataFrame, name: str) -> DataFrame:
+    """The root track (clip, frame, px, py, pz) under one degradation, in step with the bones of ``frames``."""
+    out = ROOT_DEGRADATIONS[name](_as_track(root), frames)
+    return out.select("clip", "frame", *[F.col(c).alias(p) for p, c in zip(PLACES, AXES, strict=True)])
+
+
+def root_pairs(root: DataFrame, frames: DataFrame, types: Sequence[str] = tuple(ROOT_DEGRADATIONS)) -> DataFrame:
+    """Degraded root tracks per type, for clips of at least four frames."""
+    usable = cut(long_enough(frames).drop("n_frames"))  # read by every type
+    track = cut(root.select("clip", "frame", *PLACES).join(usable.select("clip").distinct(), "clip", "left_semi"))
+    out = None
+    for name in types:
+        part = degrade_root(track, usable, name).withColumn("degradation", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def degradation_pairs(frames: DataFrame, types: Sequence[str] = tuple(DEGRADATIONS), **override) -> DataFrame:
     """Degraded frames per type, for clips of at least four frames; the original is the input itself."""
     usable = cut(long_enough(frames).drop("n_frames"))  # read by every type

@@ -186,6 +186,45 @@ def degradation_pairs(t):
     )
 
 
+_ROOT = "o AS MATERIALIZED (SELECT clip, frame, px, py, pz, lead(px) OVER w AS qx, lead(py) OVER w AS qy, lead(pz) OVER w AS qz FROM v_root WINDOW w AS (PARTITION BY clip ORDER BY frame))"
+_R5 = lambda df: df.withColumns({c: F.round(c, 5) for c in S.PLACES})
+
+
+@query("""
+WITH n AS (SELECT clip, max(frame) AS last FROM v_root GROUP BY 1),
+s AS (SELECT clip, frame, last, CASE WHEN frame = last THEN last ELSE frame // 8 * 8 END AS a, least(frame // 8 * 8 + 8, last) AS b FROM v_root JOIN n USING (clip)),
+t AS (SELECT *, CASE WHEN b > a THEN (frame - a) / (b - a) ELSE 0 END AS t FROM s)
+SELECT t.clip, t.frame, round(p.px + (q.px - p.px) * t, 5) AS px, round(p.py + (q.py - p.py) * t, 5) AS py, round(p.pz + (q.pz - p.pz) * t, 5) AS pz
+FROM t JOIN v_root p ON p.clip = t.clip AND p.frame = t.a JOIN v_root q ON q.clip = t.clip AND q.frame = t.b""")
+def linearize_root(t):
+    return _R5(S.degrade_root(t.v_root, t.v_frames, "linearize_arcs"))
+
+
+@query(f"""WITH {_F}, {_ARC}, {_ROOT}
+SELECT o.clip, tt.i AS frame, round(px + (coalesce(qx, px) - px) * tt, 5) AS px, round(py + (coalesce(qy, py) - py) * tt, 5) AS py, round(pz + (coalesce(qz, pz) - pz) * tt, 5) AS pz FROM o JOIN tt USING (clip, frame)""")
+def resample_root(t):
+    return _R5(S.degrade_root(t.v_root, t.v_frames, "remove_easing"))
+
+
+@query(f"""WITH {_F}, {_stop(0.5)}, w AS (SELECT o.*, stop, max(CASE WHEN o.frame = stop THEN px END) OVER c AS zx, max(CASE WHEN o.frame = stop THEN py END) OVER c AS zy, max(CASE WHEN o.frame = stop THEN pz END) OVER c AS zz
+  FROM v_root o LEFT JOIN st ON st.clip = o.clip WINDOW c AS (PARTITION BY o.clip))
+SELECT clip, frame, CASE WHEN frame > stop THEN zx ELSE px END AS px, CASE WHEN frame > stop THEN zy ELSE py END AS py, CASE WHEN frame > stop THEN zz ELSE pz END AS pz FROM w""")
+def stop_root(t):
+    return S.degrade_root(t.v_root, t.v_frames, "simultaneous_stop")
+
+
+@query(f"""WITH {_F}, {_ANT}, {_EXT.replace("20", "3")}, rt AS (SELECT clip, frame, px, py, pz FROM v_root WHERE {_LONG_OK}), q AS (
+ SELECT 'strip_to_extremes' AS degradation, rt.* FROM rt JOIN kept USING (clip, frame) UNION ALL SELECT 'remove_secondary', rt.* FROM rt
+ UNION ALL SELECT 'reduce_framerate', clip, CAST(ceil(frame / 2) AS INT), px, py, pz FROM rt JOIN n USING (clip) WHERE mod(frame, 2) = 0 OR frame = n - 1
+ UNION ALL SELECT 'remove_anticipation', rt.* FROM rt LEFT JOIN dr USING (clip, frame) WHERE gone IS NULL)
+SELECT degradation, clip, count(*) AS n, CAST(max(frame) AS INT) AS last_frame, round(sum(px + 2 * py + 3 * pz), 3) AS checksum FROM q GROUP BY 1, 2""")
+def root_pairs(t):
+    """The degradations that choose frames; the other three have queries of their own."""
+    pairs = S.root_pairs(t.v_root, t.v_frames, ["strip_to_extremes", "remove_secondary", "reduce_framerate", "remove_anticipation"])
+    total = F.col("px") + 2 * F.col("py") + 3 * F.col("pz")
+    return pairs.groupBy("degradation", "clip").agg(F.count(F.lit(1)).alias("n"), F.max("frame").cast("int").alias("last_frame"), F.round(F.sum(total), 3).alias("checksum"))
+
+
 @query("""
 WITH d AS (SELECT clip, bone, max(greatest(abs(rx - bx), abs(ry - b_y), abs(rz - bz))) > 1 AS active FROM (SELECT *, first_value(rx) OVER w AS bx, first_value(ry) OVER w AS b_y, first_value(rz) OVER w AS bz
   FROM v_frames WINDOW w AS (PARTITION BY clip, bone ORDER BY frame)) GROUP BY 1, 2)
