@@ -98,11 +98,13 @@ def neighbours(
     frame: str,
     wanted: Mapping[str, tuple[str, int]],
     chunk: int = 16384,
+    keep_chunk: bool = False,
 ) -> DataFrame:
     """Values of earlier (negative step) and later (positive step) frames of a dense integer series.
 
     A long series is cut into chunks of ``chunk`` frames; the edge frames are copied into
-    the adjacent chunk, so one shuffle serves ``lag`` and ``lead`` for any series length.
+    the adjacent chunk, so one shuffle serves ``lag`` and ``lead`` for any series length. With ``keep_chunk`` the rows stay dealt by (keys, ``_chunk``), for
+    :func:`scan_chunks`.
     """
     back = max([0, *(-step for _, step in wanted.values())])
     ahead = max([0, *(step for _, step in wanted.values())])
@@ -119,7 +121,7 @@ def neighbours(
     for name, (source, step) in wanted.items():
         value = F.lag(source, -step).over(w) if step < 0 else F.lead(source, step).over(w)
         spread = spread.withColumn(name, value)
-    return spread.where(~F.col("_copy")).drop("_chunk", "_copy")
+    return spread.where(~F.col("_copy")).drop("_copy", *([] if keep_chunk else ["_chunk"]))
 
 
 def last_before(
@@ -245,3 +247,34 @@ def attach_spread(df: DataFrame, keys: Sequence[str], by: Column, partial: Mappi
     if wanted is None:
         return lookup_spread(df, keys, by, totals, "inner", salts)
     return lookup_spread(df, keys, by, totals.where(wanted), "left", salts)
+
+
+def scan_chunks(rows: DataFrame, keys: Sequence[str], states: Mapping[str, Column], carried: Mapping[str, Column], later: Mapping[str, Column] | None = None) -> DataFrame:
+    """One step of a segmented scan over rows that are dealt by (keys, ``_chunk``).
+
+    ``states`` aggregates the rows of a chunk to its state; ``carried``, and after it ``later``, are window expressions over the states of a series (:func:`earlier`, :func:`after`, :func:`whole`). They come
+    back to the rows of each chunk. The rows themselves are not shuffled: only the states travel, one row per chunk, to the first key and back.
+    """
+    spot = [*keys, "_chunk"]
+    table = rows.groupBy(*spot).agg(*[c.alias(n) for n, c in states.items()]).repartition(keys[0]).withColumns(dict(carried))
+    if later:
+        table = table.withColumns(dict(later))
+    back = table.select(*[F.col(k).alias(f"_at_{k}") for k in spot], *carried, *(later or {}))
+    same = F.lit(True)
+    for k in spot:
+        same = same & (F.col(k) == F.col(f"_at_{k}"))
+    return rows.join(back, same).drop(*[f"_at_{k}" for k in spot])
+
+
+def whole(*keys: str):
+    return Window.partitionBy(*keys)
+
+
+def earlier(*keys: str):
+    """The chunks before."""
+    return Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def after(*keys: str):
+    """The chunks after, the nearest last."""
+    return Window.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskloom.functions.ranking import last_before, neighbours, running_sum, with_group_stats
+from maskloom.functions.ranking import after, earlier, neighbours, scan_chunks, whole
 from maskloom.session import cut
 
 AXES = ("rx", "ry", "rz")
@@ -134,22 +134,26 @@ def long_enough(frames: DataFrame) -> DataFrame:
     return with_length(frames).where(F.col("n_frames") >= MIN_FRAMES)
 
 
-def extreme_frames(frames: DataFrame, min_keyframes: int = 3) -> DataFrame:
+CHUNK = 16384
+SPOT = ("clip", "bone", "_chunk")
+
+
+def extreme_frames(frames: DataFrame, min_keyframes: int = 3, chunk: int = CHUNK) -> DataFrame:
     """Kept frame numbers: local extremes of any bone axis whose range exceeds 1, and both ends."""
     wanted = {f"_{c}{n}": (c, s) for c in AXES for n, s in (("p", -1), ("n", 1))}
-    df = neighbours(frames, ["clip", "bone"], "frame", wanted)
-    df = with_group_stats(df, ["clip", "bone"], *[(F.max(c) - F.min(c)).alias(f"_r{c}") for c in AXES])
-    hit = F.lit(False)
+    df = neighbours(frames, ["clip", "bone"], "frame", wanted, chunk, keep_chunk=True)
+    ranges = {f"_r{c}": F.max(f"_hi{c}").over(whole("clip", "bone")) - F.min(f"_lo{c}").over(whole("clip", "bone")) for c in AXES}
+    states = {f"_lo{c}": F.min(c) for c in AXES} | {f"_hi{c}": F.max(c) for c in AXES} | {"_top": F.max("frame")}
+    df = scan_chunks(df, ["clip", "bone"], states, ranges | {"_last": F.max("_top").over(whole("clip"))})
+    hit = (F.col("frame") == 0) | (F.col("frame") == F.col("_last"))
     for c in AXES:
         v, p, n = F.col(c), F.col(f"_{c}p"), F.col(f"_{c}n")
         hit = hit | ((F.col(f"_r{c}") > 1.0) & (((v >= p) & (v >= n)) | ((v <= p) & (v <= n))))
-    inner = df.where(hit).select("clip", "frame")
-    ends = clip_lengths(frames).select("clip", F.explode(F.array(F.lit(0), F.col("n_frames") - 1)).alias("frame"), "n_frames")
-    kept = inner.unionByName(ends.drop("n_frames")).distinct()
-    few = kept.groupBy("clip").agg(F.count(F.lit(1)).alias("k"), (F.max("frame") + 1).alias("n")).where(F.col("k") < min_keyframes)
+    kept = df.where(hit).select("clip", "frame", "_last").distinct()
+    few = kept.groupBy("clip").agg(F.count(F.lit(1)).alias("k"), (F.max("_last") + 1).alias("n")).where(F.col("k") < min_keyframes)
     step = F.greatest(F.lit(1), F.floor(F.col("n") / min_keyframes)).cast("int")
     extra = few.select("clip", F.explode(F.sequence(F.lit(0), F.col("n") - 1, step)).alias("frame"))
-    return kept.unionByName(extra).distinct()
+    return kept.select("clip", "frame").unionByName(extra).distinct()
 
 
 def take_frames(frames: DataFrame, kept: DataFrame) -> DataFrame:
@@ -179,15 +183,21 @@ def linearize_segments(frames: DataFrame, every: int = 8) -> DataFrame:
     return out.select("clip", "frame", "bone", *[_lerp(F.col(f"_{c}0"), F.col(f"_{c}n"), t).alias(c) for c in AXES])
 
 
-def arc_samples(frames: DataFrame) -> DataFrame:
+def arc_samples(frames: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(clip, frame, sample, t): where each sample at equal arc length of all bones' rotations lies; each frame interval emits those that fall into it."""
-    deltas = neighbours(frames, ["clip", "bone"], "frame", {f"_{c}1": (c, -1) for c in AXES})
+    deltas = neighbours(frames, ["clip", "bone"], "frame", {f"_{c}1": (c, -1) for c in AXES}, chunk)
     step = F.coalesce(_norm([(c, f"_{c}1") for c in AXES]), F.lit(0.0))
-    per_frame = deltas.groupBy("clip", "frame").agg(F.sum(F.bround(step, 9).cast("decimal(20,9)")).cast("double").alias("d"))
-    cum = running_sum(per_frame, ["clip"], "frame", "d", "_c")
-    cum = neighbours(cum, ["clip"], "frame", {"_c1": ("_c", 1)})
-    totals = cum.groupBy("clip").agg(F.max("_c").alias("_total"), F.max("frame").alias("_last"))
-    cum = cum.join(totals, "clip")
+    per_frame = deltas.groupBy("clip", "frame").agg(F.sum(F.bround(step, 9).cast("decimal(20,9)")).cast("decimal(26,9)").alias("d"))
+    cum = per_frame.withColumn("_chunk", F.floor(F.col("frame") / chunk)).repartition("clip", "_chunk")
+    inside = Window.partitionBy("clip", "_chunk").orderBy("frame")
+    cum = cum.withColumns({"_own": F.sum("d").over(inside.rowsBetween(Window.unboundedPreceding, 0)), "_nd": F.lead("d").over(inside)})
+    at = whole("clip")
+    cum = scan_chunks(cum, ["clip"], {"_sum": F.sum("d"), "_first": F.min_by("d", "frame"), "_top": F.max("frame")}, {
+        "_base": F.coalesce(F.sum("_sum").over(earlier("clip")), F.lit(0)), "_total": F.sum("_sum").over(at).cast("double"), "_last": F.max("_top").over(at),
+        "_later": F.last("_first").over(after("clip").rowsBetween(-1, -1)),
+    })
+    c = F.col("_base").cast("decimal(28,9)") + F.col("_own").cast("decimal(28,9)")  # so narrow that sums keep all nine places
+    cum = cum.withColumns({"_c": c.cast("double"), "_c1": (c + F.coalesce("_nd", "_later")).cast("double")})
     place = lambda c: F.ceil(F.bround(F.col(c) * F.col("_last") / F.col("_total"), 9)).cast("int")
     final = F.col("frame") == F.col("_last")
     lo, hi = place("_c"), F.when(final, F.col("_last")).otherwise(place("_c1") - 1)
@@ -263,30 +273,44 @@ def simultaneous_stop(frames: DataFrame, threshold: float = 0.5) -> DataFrame:
     return freeze(frames, stop_frames(frames, threshold))
 
 
-def anticipation_frames(frames: DataFrame, threshold: float = 2.0, max_run: int = 10) -> DataFrame:
+def anticipation_frames(frames: DataFrame, threshold: float = 2.0, max_run: int = 10, chunk: int = CHUNK) -> DataFrame:
     """Frames of a short counter-motion followed by a longer opposite motion, on any bone axis.
 
     Only steps of at least ``threshold`` carry a direction. A run starts where the direction
     differs from the last one seen; it ends at the next start, and the run after it ends at
     the start after that, so the whole rule needs two later run starts and no row loop.
+
+    A segmented scan in two steps: a chunk's last direction tells the next chunk where a run goes on, then its first two starts tell the chunks before where theirs end.
     """
-    steps = neighbours(frames, ["clip", "bone"], "frame", {f"_{c}n": (c, 1) for c in AXES})
-    stats = [(F.max(c) - F.min(c)).alias(f"_r{c}") for c in AXES]
-    steps = with_group_stats(steps, ["clip", "bone"], *stats, F.max("frame").alias("n_steps"))
-    axes = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("axis"), (F.col(f"_{c}n") - F.col(c)).alias("v"), F.col(f"_r{c}").alias("range")) for c in AXES
-    ]))
-    long = steps.where(F.col(f"_{AXES[0]}n").isNotNull()).select("clip", "bone", "frame", "n_steps", axes.alias("_axis"))
-    long = long.select("clip", "bone", "frame", "n_steps", "_axis.*").where(F.col("range") >= threshold)
-    long = long.withColumn("dir", F.when(F.abs("v") >= threshold, F.signum("v")))
-    series = ["clip", "bone", "axis"]
-    long = last_before(long, series, "frame", "dir", "prev")
-    starts = long.where(F.col("dir").isNotNull() & (F.col("prev").isNull() | (F.col("dir") != F.col("prev"))))
-    starts = running_sum(starts.withColumn("_one", F.lit(1)), series, "frame", "_one", "k")
-    starts = neighbours(starts, series, "k", {"end1": ("frame", 1), "end2": ("frame", 2)})
-    run, after = F.col("end1") - F.col("frame"), F.coalesce("end2", "n_steps") - F.col("end1")
-    hits = starts.where(F.col("end1").isNotNull() & (run <= max_run) & (after > run))
-    marked = hits.select("clip", "n_steps", F.explode(F.sequence(F.col("frame") + 1, F.col("end1"))).alias("frame"))
+    series = ["clip", "bone"]
+    df = neighbours(frames, series, "frame", {f"_{c}n": (c, 1) for c in AXES}, chunk, keep_chunk=True)
+    move = {c: F.col(f"_{c}n") - F.col(c) for c in AXES}
+    df = df.withColumns({f"_d{c}": F.when(F.abs(v) >= threshold, F.signum(v)) for c, v in move.items()})
+    last = {f"_e{c}": F.max_by(f"_d{c}", F.when(F.col(f"_d{c}").isNotNull(), F.col("frame"))) for c in AXES}
+    at = whole(*series)
+    df = scan_chunks(
+        df, series, last | {f"_lo{c}": F.min(c) for c in AXES} | {f"_hi{c}": F.max(c) for c in AXES} | {"_top": F.max("frame")},
+        {f"_b{c}": F.last(f"_e{c}", True).over(earlier(*series)) for c in AXES} | {f"_on{c}": F.max(f"_hi{c}").over(at) - F.min(f"_lo{c}").over(at) >= threshold for c in AXES}
+        | {"n_steps": F.max("_top").over(at)})
+    up = Window.partitionBy(*SPOT).orderBy("frame")
+    before = up.rowsBetween(Window.unboundedPreceding, -1)
+    prev = {c: F.coalesce(F.last(f"_d{c}", True).over(before), F.col(f"_b{c}")) for c in AXES}
+    df = df.withColumns({f"_s{c}": F.when(F.col(f"_on{c}") & F.col(f"_d{c}").isNotNull() & (prev[c].isNull() | (F.col(f"_d{c}") != prev[c])), F.col("frame")) for c in AXES})
+    df = df.withColumns({f"_k{c}": F.count(f"_s{c}").over(up.rowsBetween(Window.unboundedPreceding, 0)) for c in AXES})
+    second = {f"_v{c}": F.min(F.when(F.col(f"_k{c}") == 2, F.col(f"_s{c}"))) for c in AXES}
+    df = scan_chunks(
+        df, series, {f"_u{c}": F.min(f"_s{c}") for c in AXES} | second,
+        {f"_x{c}": F.last(f"_u{c}", True).over(after(*series)) for c in AXES},
+        {f"_y{c}": F.last(F.when(F.col(f"_u{c}").isNotNull(), F.coalesce(f"_v{c}", f"_x{c}")), True).over(after(*series)) for c in AXES})
+    down = Window.partitionBy(*SPOT).orderBy(F.desc("frame")).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumns({f"_p{c}": F.coalesce(F.last(f"_s{c}", True).over(down), F.col(f"_x{c}")) for c in AXES})
+    ends = {f"_q{c}": F.coalesce(F.last(F.when(F.col(f"_s{c}").isNotNull(), F.col(f"_p{c}")), True).over(down), F.col(f"_y{c}"), F.col("n_steps")) for c in AXES}
+    df = df.withColumns(ends)
+    runs = F.array(*[F.struct(F.col(f"_s{c}").alias("start"), F.col(f"_p{c}").alias("end1"), F.col(f"_q{c}").alias("end2")) for c in AXES])
+    starts = df.where(F.coalesce(*[f"_s{c}" for c in AXES]).isNotNull()).select("clip", "n_steps", F.explode(runs).alias("_run")).select("clip", "n_steps", "_run.*")
+    run = F.col("end1") - F.col("start")
+    hits = starts.where(F.col("start").isNotNull() & F.col("end1").isNotNull() & (run <= max_run) & (F.col("end2") - F.col("end1") > run))
+    marked = hits.select("clip", "n_steps", F.explode(F.sequence(F.col("start") + 1, F.col("end1"))).alias("frame"))
     return marked.where((F.col("frame") > 0) & (F.col("frame") < F.col("n_steps"))).select("clip", "frame").distinct()
 
 
