@@ -342,13 +342,24 @@ def build_example_metadata(examples: DataFrame, companions: Mapping[str, tuple[D
 
 
 def assemble_training_set(
-    images: DataFrame, masks: DataFrame, splits: DataFrame, rejected: DataFrame, weights: Mapping[str, float], split: str = "train"
+    images: DataFrame, masks: DataFrame, splits: DataFrame, rejected: DataFrame, weights: Mapping[str, float], split: str = "train",
+    companions: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
-    """Examples of one split with a mask, without rejected ones, with their dataset weight."""
+    """Examples of one split with a mask, without rejected ones, with their dataset weight, and ``has_{name}`` for each of ``companions`` (tables of ``view_key``, such as depth and normals)."""
     kept = scan_flat(images, masks).join(splits.where(F.col("split") == split).select("char_id").distinct(), "char_id", "left_semi")
     kept = kept.join(rejected.select("dataset", "example_id"), ["dataset", "example_id"], "left_anti")
+    for name, table in (companions or {}).items():
+        have = table.select(F.col("view_key").alias("mask_key"), F.lit(True).alias(f"_{name}")).distinct()
+        kept = kept.join(have, "mask_key", "left").withColumn(f"has_{name}", F.col(f"_{name}").isNotNull()).drop(f"_{name}")
     weight = F.coalesce(*[F.when(F.col("dataset") == d, F.lit(float(w))) for d, w in weights.items()], F.lit(1.0))
-    return kept.select("dataset", "example_id", "char_id", "split_key" if "split_key" in kept.columns else "mask_key", weight.alias("dataset_weight"))
+    flags = [f"has_{name}" for name in companions or {}]
+    return kept.select("dataset", "example_id", "char_id", "split_key" if "split_key" in kept.columns else "mask_key", weight.alias("dataset_weight"), *flags)
+
+
+def training_counts(examples: DataFrame) -> DataFrame:
+    """Examples per dataset, and how many have each companion."""
+    flags = [c for c in examples.columns if c.startswith("has_")]
+    return examples.groupBy("dataset").agg(F.count(F.lit(1)).alias("examples"), *[F.count_if(F.col(c)).alias(f"with_{c[4:]}") for c in flags])
 
 
 # --- sampling and work lists ---

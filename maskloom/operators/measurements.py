@@ -127,10 +127,11 @@ def proportion_archetypes(features: DataFrame) -> DataFrame:
 
 
 def profile_summary(measured: DataFrame, source: Column, min_regions: int = 10) -> DataFrame:
-    """Per character: source, measured regions, vertices, and region widths as a map (fixed keys)."""
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("region", "width"))))
+    """Per character: source, measured regions, vertices, and width, depth and height of each region as a map (fixed keys)."""
+    size = F.struct(*[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("width", "depth", "height")])
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("region", size.alias("size")))))
     df = measured.where(F.col("region").isin(dims.CLASS_NAMES)).groupBy("char_id").agg(
-        F.count(F.lit(1)).alias("measured_regions"), F.sum("vertex_count").cast("long").alias("total_vertices"), entries.alias("widths")
+        F.count(F.lit(1)).alias("measured_regions"), F.sum("vertex_count").cast("long").alias("total_vertices"), entries.alias("measurements")
     )
     return df.where(F.col("measured_regions") >= min_regions).withColumn("source", source)
 

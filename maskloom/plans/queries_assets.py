@@ -387,9 +387,24 @@ _REJX = "SELECT batch AS dataset, stem AS example_id FROM v_assets WHERE size <
 _FRZ = "SELECT char_id, CASE WHEN mod(n, 5) = 0 THEN 'val' WHEN mod(n, 7) = 0 THEN 'test' ELSE 'train' END AS split FROM v_assets GROUP BY char_id, n"
 
 
-@query(f"""WITH z AS ({_FRZ}) SELECT batch AS dataset, stem AS example_id, a.char_id, view_key AS mask_key, CASE batch WHEN 'src1' THEN 2.0 WHEN 'src2' THEN 0.5 ELSE 1.0 END::DOUBLE AS dataset_weight FROM v_assets a
-WHERE view_key IN (SELECT view_key FROM v_masks) AND (SELECT split FROM z WHERE z.char_id = a.char_id) = 'train' AND NOT (size < 700)""")
-def assemble_training_set(t):
+_DEPTH = "SELECT DISTINCT view_key FROM v_assets WHERE has_source AND width = 512"
+_NORMALS = "SELECT DISTINCT view_key FROM v_assets WHERE has_joints"
+_TRAIN = f"""z AS ({_FRZ}), tr AS (SELECT batch AS dataset, stem AS example_id, a.char_id, view_key AS mask_key, CASE batch WHEN 'src1' THEN 2.0 WHEN 'src2' THEN 0.5 ELSE 1.0 END::DOUBLE AS dataset_weight,
+ view_key IN ({_DEPTH}) AS has_depth, view_key IN ({_NORMALS}) AS has_normals FROM v_assets a
+WHERE view_key IN (SELECT view_key FROM v_masks) AND (SELECT split FROM z WHERE z.char_id = a.char_id) = 'train' AND NOT (size < 700))"""
+
+
+def _training_set(t):
     images = t.v_assets.select(F.col("batch").alias("dataset"), F.col("stem").alias("example_id"), "stem", "char_id")
     splits = S.frozen_split(images.select("char_id", F.lit("all").alias("source")).distinct(), t.sql(_FRZ))
-    return A.assemble_training_set(images, t.v_masks, splits, t.sql(_REJX), {"src1": 2.0, "src2": 0.5})
+    return A.assemble_training_set(images, t.v_masks, splits, t.sql(_REJX), {"src1": 2.0, "src2": 0.5}, companions={"depth": t.sql(_DEPTH), "normals": t.sql(_NORMALS)})
+
+
+@query(f"WITH {_TRAIN} SELECT * FROM tr")
+def assemble_training_set(t):
+    return _training_set(t)
+
+
+@query(f"WITH {_TRAIN} SELECT dataset, count(*) AS examples, count(*) FILTER (has_depth) AS with_depth, count(*) FILTER (has_normals) AS with_normals FROM tr GROUP BY 1")
+def training_counts(t):
+    return A.training_counts(_training_set(t))

@@ -220,14 +220,15 @@ def classify_proportions(t):
     return X.proportion_archetypes(X.proportion_features(_m3(t))).groupBy("archetype").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {_M3} SELECT char_id, count(*) AS measured_regions, CAST(sum(vertex_count) AS BIGINT) AS total_vertices, string_agg(region || '=' || printf('%.2f', width), '|' ORDER BY region) AS widths, 'unknown' AS source
+@query(f"""WITH {_M3} SELECT char_id, count(*) AS measured_regions, CAST(sum(vertex_count) AS BIGINT) AS total_vertices, string_agg(region || '=' || printf('%.2f/%.2f/%.2f', width, depth, height), '|' ORDER BY region) AS sizes, 'unknown' AS source
 FROM m3 GROUP BY 1 HAVING count(*) >= 10""")
 def profile_summary(t):
     from maskloom.functions.names import infer_source
 
     out = X.profile_summary(_m3(t), infer_source(F.col("char_id"), strict_underscore=True))
-    text = F.transform(F.array_sort(F.map_entries("widths")), lambda e: F.format_string("%s=%.2f", e.key, e.value))
-    return out.withColumn("widths", F.array_join(text, "|"))
+    sizes = F.array_sort(F.transform(F.map_keys("measurements"), lambda k: F.struct(k.alias("k"), F.element_at("measurements", k).alias("v"))))
+    text = F.transform(sizes, lambda e: F.format_string("%s=%.2f/%.2f/%.2f", e.k, e.v["width"], e.v["depth"], e.v["height"]))
+    return out.withColumn("sizes", F.array_join(text, "|")).drop("measurements")
 
 
 _F = [f"f{i}" for i in range(9)]
