@@ -101,7 +101,7 @@ h AS (SELECT v.*, good FROM v JOIN l USING (doc_id) WHERE NOT base_failed),
 n AS (SELECT lang, rule, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good = 1 AND val > cutoff) AS x, count(*) FILTER (good = 0 AND val > cutoff) AS y
       FROM h, c GROUP BY ALL),
 p AS (SELECT *, n = 0 OR x > 0.005 * n OR (SELECT sum(exp(lgamma(n.n + 1) - lgamma(i + 1) - lgamma(n.n - i + 1) + i * ln(0.005) + (n.n - i) * ln(0.995)))
-                     FROM range(0, least(x, 1000) + 1) AS r(i)) > 0.05 / (4 * (SELECT count(DISTINCT coalesce(lang, '')) FROM h)) AS fails FROM n),
+                     FROM range(0, x + 1) AS r(i)) > 0.05 / (4 * (SELECT count(DISTINCT coalesce(lang, '')) FROM h)) AS fails FROM n),
 q AS (SELECT *, bool_or(fails) OVER (PARTITION BY lang, rule ORDER BY cutoff DESC) AS stopped FROM p),
 u AS (SELECT lang, rule, arg_max(cutoff, (y, cutoff)) AS cutoff FROM q WHERE NOT stopped AND y > 0 GROUP BY lang, rule),
 r AS (SELECT rid, string_agg(v.rule, ',' ORDER BY nr) AS hits FROM v JOIN u ON v.rule = u.rule AND v.lang IS NOT DISTINCT FROM u.lang WHERE val > cutoff GROUP BY rid)
