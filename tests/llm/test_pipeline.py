@@ -29,7 +29,7 @@ def test_query_against_sql(spark, name):
 
 def test_registered():
     names = __spark_entry__.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 def test_entry_without_the_subpackage(tmp_path):
