@@ -77,6 +77,13 @@ def derive_joints_17_to_19(keypoints: DataFrame, width: int, height: int, thresh
     return wide.select("example_id", F.explode(F.array(*rows)).alias("j")).select("example_id", "j.*")
 
 
+def incomplete_keypoints(keypoints: DataFrame) -> DataFrame:
+    """Side table of the derivation: examples without all 17 keypoints, with those that are missing."""
+    have = keypoints.groupBy("example_id").agg(F.collect_set("kp").alias("_have"))  # at most the different numbers of keypoints
+    missing = F.array_except(F.array(*[F.lit(i) for i in range(17)]), F.transform("_have", lambda k: k.cast("int")))
+    return have.select("example_id", F.size("_have").alias("n_keypoints"), missing.alias("missing")).where("n_keypoints <> 17")
+
+
 def joint_bbox(joints: DataFrame) -> DataFrame:
     """Padded box of the visible joints; without any, the whole image."""
     ok = F.col("visible") & ~((F.col("x") == -1) & (F.col("y") == -1))

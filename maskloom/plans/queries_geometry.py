@@ -54,6 +54,12 @@ def derive_joints_17_to_19(t):
     return G.derive_joints_17_to_19(t.sql(_KP), 512, 512)
 
 
+@query(f"""WITH kp AS ({_KP}), e AS (SELECT example_id, CAST(count(DISTINCT kp) AS INT) AS n_keypoints, list(DISTINCT kp) AS have FROM kp GROUP BY 1 HAVING count(DISTINCT kp) <> 17)
+SELECT example_id, n_keypoints, array_to_string(list_filter(range(17), lambda i: NOT list_contains(have, i)), '|') AS missing FROM e""")
+def incomplete_keypoints(t):
+    return G.incomplete_keypoints(t.sql(_KP)).withColumn("missing", F.array_join(F.transform("missing", lambda k: k.cast("string")), "|"))
+
+
 @query("""
 WITH b AS (SELECT example_id, min(x) FILTER (ok) AS a, max(x) FILTER (ok) AS b, min(y) FILTER (ok) AS c, max(y) FILTER (ok) AS d FROM (SELECT *, visible AND NOT (x = -1 AND y = -1) AND mod(example_id, 6) <> 0 AS ok FROM v_joints) GROUP BY 1),
 p AS (SELECT *, greatest(CAST(trunc((b - a) * 5e-2) AS INT), 5) AS px, greatest(CAST(trunc((d - c) * 5e-2) AS INT), 5) AS py FROM b)
