@@ -185,18 +185,23 @@ def view_triplets(views: DataFrame, keys: Sequence[str] = ("char_id",)) -> DataF
     return out.select(*keys, F.col("a.path").alias("source_a"), F.col("b.path").alias("source_b"), F.col("target.path").alias("target"))
 
 
-def world_transform(bones: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """World position, rotation and scale of every bone; a missing parent makes a root.
+def resolve_rigs(bones: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(world position, rotation and scale of every bone of the sound rigs; bones that lead into a cycle: rig_id, bone). A missing parent makes a root.
 
     Rotations add and scales multiply along the path to the root, and with the parent's world
     rotation and scale known the positions are sums too. Both run by pointer doubling: each
-    round joins a node with its current ancestor, so the rounds are logarithmic in the depth.
+    round joins a node with its current ancestor, so the rounds are logarithmic in the depth. A node that is still linked when the pointers span more bones than
+    any rig has leads into a cycle; its rig is left out as a whole.
     """
     exists = bones.select("rig_id", F.col("bone").alias("parent"), F.lit(True).alias("_ok"))
     base = bones.join(exists, ["rig_id", "parent"], "left").withColumn("up", F.when(F.col("_ok"), F.col("parent")))
     turn = {"rotation": lambda a, b: a + b, "sx": lambda a, b: a * b, "sy": lambda a, b: a * b}
     first = base.select("rig_id", "bone", "up", F.col("up").alias("link"), "x", "y", "rotation", "sx", "sy")
-    world = _to_root(first, turn, max_rounds)
+    longest = bones.groupBy("rig_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    rounds = longest.bit_length()
+    world, stuck = _to_root(first, turn, rounds)
+    cyclic = stuck.select("rig_id", "bone")
+    world = world.join(cyclic.select("rig_id").distinct(), "rig_id", "left_anti")
     p = world.select("rig_id", F.col("bone").alias("up"), *[F.col(c).alias(f"p_{c}") for c in turn])
     df = world.join(p, ["rig_id", "up"], "left")
     rad, lx, ly = F.radians("p_rotation"), F.col("x") * F.col("p_sx"), F.col("y") * F.col("p_sy")
@@ -206,20 +211,41 @@ def world_transform(bones: DataFrame, max_rounds: int = 40) -> DataFrame:
         F.when(F.col("up").isNull(), F.col("y")).otherwise(lx * F.sin(rad) + ly * F.cos(rad)).alias("wy"),
     )
     add = {"wx": lambda a, b: a + b, "wy": lambda a, b: a + b}
-    return _to_root(df, add, max_rounds).drop("link")
+    return _to_root(df, add, rounds)[0].drop("link"), cyclic
 
 
-def _to_root(df: DataFrame, combine: Mapping, max_rounds: int) -> DataFrame:
-    """Fold ``combine`` along ``link`` pointers until every pointer is empty."""
+def world_transform(bones: DataFrame) -> DataFrame:
+    """World position, rotation and scale of every bone of the rigs without a cycle."""
+    return resolve_rigs(bones)[0]
+
+
+def cyclic_bones(bones: DataFrame) -> DataFrame:
+    """Side table of :func:`world_transform`: bones from which no root is reached."""
+    return resolve_rigs(bones)[1]
+
+
+def _to_root(df: DataFrame, combine: Mapping, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """Fold ``combine`` along ``link`` pointers: (rows that reached a root, rows still linked after ``rounds`` doublings).
+
+    A round writes the rows that are still open and reads those that are done; what is done is never written again.
+    """
     state = cut(df)
-    for _ in range(max_rounds):
-        if state.where("link IS NOT NULL").isEmpty():
-            return state
-        anc = state.select("rig_id", F.col("bone").alias("link"), F.col("link").alias("_next"), *[F.col(c).alias(f"_{c}") for c in combine])
-        open_ = state.where("link IS NOT NULL").join(anc, ["rig_id", "link"], "left")
-        moved = open_.withColumns({c: f(F.col(f"_{c}"), F.col(c)) for c, f in combine.items()}).withColumn("link", F.col("_next"))
-        state = cut(state.where("link IS NULL").unionByName(moved.select(*state.columns)))
-    raise ValueError("the bone hierarchy has a cycle")
+    done, left = [state.where("link IS NULL")], state.where("link IS NOT NULL")
+    for _ in range(rounds):
+        if left.isEmpty():
+            break
+        known = left
+        for part in done:
+            known = known.unionByName(part)
+        anc = known.select("rig_id", F.col("bone").alias("link"), F.col("link").alias("_next"), *[F.col(c).alias(f"_{c}") for c in combine])
+        moved = left.join(anc, ["rig_id", "link"]).withColumns({c: f(F.col(f"_{c}"), F.col(c)) for c, f in combine.items()}).withColumn("link", F.col("_next"))
+        state = cut(moved.select(*df.columns))
+        done.append(state.where("link IS NULL"))
+        left = state.where("link IS NOT NULL")
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out, left
 
 
 # --- counts and checks ---

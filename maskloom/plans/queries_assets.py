@@ -223,17 +223,30 @@ def view_triplets(t):
     return A.view_triplets(t.sql(_VW))
 
 
-@query("""
-WITH RECURSIVE w AS (SELECT rig_id, bone, x AS wx, y AS wy, rotation, sx, sy FROM v_tree c WHERE NOT EXISTS (SELECT 1 FROM v_tree p WHERE p.rig_id = c.rig_id AND p.bone = c.parent)
+# the tree relation, and copies of its rigs whose root hangs below its own child
+_RIGS = """SELECT rig_id, bone, parent, x, y, rotation, sx, sy FROM v_tree
+UNION ALL SELECT rig_id + 1000000, bone, CASE WHEN bone = 1 THEN 2 ELSE parent END, x, y, rotation, sx, sy FROM v_tree WHERE rig_id IN (SELECT rig_id FROM v_tree WHERE bone = 2)"""
+_WORLD = """w AS (SELECT rig_id, bone, x AS wx, y AS wy, rotation, sx, sy FROM rg c WHERE NOT EXISTS (SELECT 1 FROM rg p WHERE p.rig_id = c.rig_id AND p.bone = c.parent)
  UNION ALL SELECT c.rig_id, c.bone, w.wx + c.x * w.sx * cos(radians(w.rotation)) - c.y * w.sy * sin(radians(w.rotation)), w.wy + c.x * w.sx * sin(radians(w.rotation)) + c.y * w.sy * cos(radians(w.rotation)), w.rotation + c.rotation, w.sx * c.sx, w.sy * c.sy
- FROM v_tree c JOIN w ON w.rig_id = c.rig_id AND w.bone = c.parent)
-SELECT rig_id, bone, round(wx, 5) AS wx, round(wy, 5) AS wy, rotation, round(sx, 6) AS sx, round(sy, 6) AS sy FROM w""")
+ FROM rg c JOIN w ON w.rig_id = c.rig_id AND w.bone = c.parent),
+cy AS (SELECT rig_id, bone FROM rg EXCEPT SELECT rig_id, bone FROM w)"""
+
+
+def _rigs(t):
+    return t.sql(_RIGS).withColumns({c: F.col(c).cast("double") for c in ("sx", "sy")})
+
+
+@query(f"WITH RECURSIVE rg AS MATERIALIZED ({_RIGS}), {_WORLD} SELECT rig_id, bone, round(wx, 5) AS wx, round(wy, 5) AS wy, rotation, round(sx, 6) AS sx, round(sy, 6) AS sy FROM w WHERE rig_id NOT IN (SELECT rig_id FROM cy)")
 def world_transform(t):
-    bones = t.v_tree.withColumns({c: F.col(c).cast("double") for c in ("sx", "sy")})
-    out = A.world_transform(bones)
+    out = A.world_transform(_rigs(t))
     return out.withColumns({"wx": F.round("wx", 5), "wy": F.round("wy", 5), "sx": F.round("sx", 6), "sy": F.round("sy", 6)})
 
 
+@query(f"WITH RECURSIVE rg AS MATERIALIZED ({_RIGS}), {_WORLD} SELECT * FROM cy")
+def cyclic_bones(t):
+    return A.cyclic_bones(_rigs(t))
+
+
 # --- filters ---
 _ITEM = """SELECT doc_id, text AS prompt, CAST(300 + mod(n_chars, 500) AS INT) AS width, CAST(CASE WHEN mod(doc_id, 31) = 0 THEN 0 ELSE 400 + mod(doc_id, 500) END AS INT) AS height, CASE WHEN mod(doc_id, 19) = 4 THEN 'video' ELSE 'image' END AS type FROM documents"""
 _KW = {"branded": ["copyright", "licensed under", "©"], "personal": ["@", "password"]}

@@ -201,9 +201,13 @@ def test_world_transform_of_a_long_chain(spark):
     bones = spark.createDataFrame([(1, i, i - 1 if i else None, 1.0, 0.0, 90.0 if i == 0 else 0.0, 1.0, 1.0) for i in range(37)] + [(1, 99, 77, 3.0, 4.0, 0.0, 1.0, 1.0)], "rig_id int, bone int, parent int, x double, y double, rotation double, sx double, sy double")
     got = {r.bone: (round(r.wx, 6), round(r.wy, 6)) for r in A.world_transform(bones).collect()}
     assert got[36] == (1.0, 36.0) and got[99] == (3.0, 4.0)
-    loop = spark.createDataFrame([(1, 1, 2, 0.0, 0.0, 0.0, 1.0, 1.0), (1, 2, 1, 0.0, 0.0, 0.0, 1.0, 1.0)], bones.schema)
-    with pytest.raises(ValueError):
-        A.world_transform(loop, max_rounds=4)
+    # one rig with a cycle and a bone that hangs on it, among sound rigs of other depths
+    more = [(2, 1, 2, 0.0, 0.0, 0.0, 1.0, 1.0), (2, 2, 1, 0.0, 0.0, 0.0, 1.0, 1.0), (2, 3, 2, 0.0, 0.0, 0.0, 1.0, 1.0), (2, 4, None, 0.0, 0.0, 0.0, 1.0, 1.0), (3, 1, 1, 0.0, 0.0, 0.0, 1.0, 1.0), (4, 7, None, 5.0, 6.0, 0.0, 1.0, 1.0)]
+    world, cyclic = A.resolve_rigs(bones.unionByName(spark.createDataFrame(more, bones.schema)))
+    assert {r.bone: (round(r.wx, 6), round(r.wy, 6)) for r in world.where("rig_id = 1").collect()} == got
+    assert [tuple(r) for r in world.where("rig_id > 1").select("rig_id", "bone", "wx", "wy").collect()] == [(4, 7, 5.0, 6.0)]
+    assert sorted(map(tuple, cyclic.collect())) == [(2, 1), (2, 2), (2, 3), (3, 1)]
+    assert A.world_transform(bones.limit(0)).count() == 0
 
 
 def test_grid_of_prompts_is_distinct(spark):
