@@ -137,25 +137,30 @@ def fingerprint_match(rigged: DataFrame, originals: DataFrame, key: str = "verti
     return out.withColumn("match", state).drop("_n")
 
 
-def contains_match(items: DataFrame, models: DataFrame, item: str = "char_id") -> DataFrame:
-    """First model (path order) whose stem contains the item's id.
+def _grams(text: Column, n: Column | int) -> Column:
+    """The different pieces of ``n`` characters; none if the text is shorter."""
+    size = F.length(text)
+    n = F.lit(n) if isinstance(n, int) else n
+    return F.when(size >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(text, i, n)))).otherwise(F.array().cast("array<string>"))
 
-    Every stem emits its substrings of the lengths that occur among the ids, which makes the
-    containment an equi-join; the set of lengths is bounded by the file name length.
+
+def contains_match(items: DataFrame, models: DataFrame, item: str = "char_id", q: int = 4) -> DataFrame:
+    """First model (path order) whose stem contains the item's id; an empty id matches nothing.
+
+    An inverted index of q-grams: every stem is listed under its different grams, an id is looked up under the one of its grams that fewest stems
+    have, and what is found is compared in full. A gram that no stem has settles an id without a lookup. Ids shorter than ``q`` are grams of their own length.
     """
-    ids = items.select(item).distinct()
-    lengths = sorted(r[0] for r in ids.select(F.length(item)).distinct().collect() if r[0])
+    ids = items.select(item).where(F.length(item) > 0).distinct()
+    length = F.least(F.length(item), F.lit(q))
+    lengths = sorted(r[0] for r in ids.select(length).distinct().collect())  # at most q rows
     if not lengths:
         return items.withColumn("path", F.lit(None).cast("string"))
-    size = F.length("stem")
-
-    def pieces(n: int) -> Column:
-        cut_at = F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(F.col("stem"), i, F.lit(n)))
-        return F.when(size >= n, cut_at).otherwise(F.array().cast("array<string>"))
-
-    subs = F.flatten(F.array(*[pieces(n) for n in lengths]))
-    cand = models.select("path", F.explode(F.array_distinct(subs)).alias(item))
-    best = ids.join(cand, item).groupBy(item).agg(F.min("path").alias("path"))
+    listed = models.select("path", "stem", F.explode(F.flatten(F.array(*[_grams(F.col("stem"), n) for n in lengths]))).alias("_gram"))
+    counts = listed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    own = ids.select(item, F.explode(_grams(F.col(item), length)).alias("_gram")).join(counts, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    rarest = own.groupBy(item).agg(F.min(F.struct("_n", "_gram")).alias("_r")).where("_r._n > 0").select(item, F.col("_r._gram").alias("_gram"))
+    found = rarest.join(listed, "_gram").where(F.contains("stem", F.col(item)))
+    best = found.groupBy(item).agg(F.min("path").alias("path"))
     return items.join(best, item, "left")
 
 

@@ -250,3 +250,17 @@ def test_all_angles_are_told_apart(spark):
     assert [k for k, r in got.items() if r.unknown == "worms_eye"] == ["c_pose_00_worms_eye_cel"]
     views = spark.createDataFrame([("c", a, a + ".png") for a in ("front", "iso_front", "topdown_left")], "char_id string, angle string, path string")
     assert A.view_triplets(views).count() == 3
+
+
+def test_contains_match_is_contains(spark):
+    import random
+
+    rnd = random.Random(3)
+    word = lambda lo, hi: "".join(rnd.choice("abé_") for _ in range(rnd.randrange(lo, hi)))
+    stems = [(f"/m/{i:03d}", word(0, 14)) for i in range(120)] + [("/m/a", "the exact name"), ("/m/b", "name")]
+    ids = [(w,) for w in {word(0, 8) for _ in range(150)} | {"exact name", "name", "no such id", "", "\u00e9"}] + [(None,)]
+    got = A.contains_match(spark.createDataFrame(ids, "char_id string"), spark.createDataFrame(stems, "path string, stem string")).collect()
+    assert len(got) == len(ids)
+    for r in got:
+        want = min((p for p, s in stems if r.char_id and r.char_id in s), default=None)
+        assert r.path == want, r
