@@ -63,18 +63,14 @@ def test_expected_counts_are_posterior_means():
     assert got == pytest.approx(want)
 
 
-def plain_log_score(word, number, model):
-    """Forward algorithm in plain Python and logarithms, over the whole word and all pieces."""
-    longest = max(map(len, number))
-    out = []
-    for k in range(model.shape[1]):
-        logs = [0.0]
-        for j in range(1, len(word) + 1):
-            terms = [logs[j - m] + math.log(model[number[word[j - m : j]], k]) for m in range(1, min(j, longest) + 1) if word[j - m : j] in number]
-            top = max(terms)
-            logs.append(top + math.log(sum(math.exp(t - top) for t in terms)))
-        out.append(logs[-1])
-    return out
+def plain_log_score(word, number, logs):
+    """Forward algorithm place by place in logarithms, over the whole word and all pieces; ``logs`` is the logarithm of the model."""
+    longest, at = 33, [np.zeros(logs.shape[1])]
+    for j in range(1, len(word) + 1):
+        terms = np.array([at[j - m] + logs[number[word[j - m : j]]] for m in range(1, min(j, longest) + 1) if word[j - m : j] in number])
+        top = terms.max(axis=0)
+        at.append(top + np.log(np.exp(terms - top).sum(axis=0)))
+    return at[-1]
 
 
 LONG_WORDS = ["ありがとうございました", "достаточно", "ありがとうございます" * 7, "ab" * 20, "ab" * 20 + "c", "x" * 5000, "возможностьполучилось" * 230, "中文" * 9, "é" * 33]
@@ -89,7 +85,7 @@ def test_whole_words_and_whole_vocabulary():
     words = [w.encode() for w in LONG_WORDS]
     got = language_id.word_scores(pieces, model, *packed(words))
     for w, row in zip(words, got, strict=True):
-        assert row == pytest.approx(plain_log_score(w, number, model), rel=1e-9)
+        assert row == pytest.approx(plain_log_score(w, number, np.log(model[:-1])), rel=1e-9)
 
 
 def test_expected_counts_of_long_words():
@@ -124,13 +120,13 @@ def test_query_against_direct_scores(spark):
     names, model = language_id.learn(docs, PATH)
     number = {p: i for i, p in enumerate(language_id.pieces(PATH).names)}
     got = {r.doc_id: r for r in language_id.identify(docs.select("doc_id", "text"), names, model, PATH).collect()}
-    known = {}
+    known, logs = {}, np.log(model[:-1])
     for r in docs.collect():
         low = "".join(c.lower() if "A" <= c <= "Z" or "À" <= c <= "Þ" and c != "×" else c for c in r.text or "").encode()
         likely = np.zeros(len(names))
         for w in re.findall(rb"[a-z\x80-\xff]+", low):
             if w not in known:
-                known[w] = np.array(plain_log_score(w, number, model))
+                known[w] = plain_log_score(w, number, logs)
             likely += known[w]
         if not any(c.isalpha() for c in r.text or ""):
             assert got[r.doc_id].lang_pred == "und"
