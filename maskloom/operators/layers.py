@@ -85,9 +85,16 @@ def _grid_region(rel_x: Column, rel_y: Column) -> Column:
     )
 
 
-def assign_nearest(segments: DataFrame, joints: DataFrame, width: int, height: int, min_pixels: int = 10) -> DataFrame:
+def figure_box(silhouette: DataFrame) -> DataFrame:
+    """Box of the foreground runs of each example: left, top, and the distance to the last column and row."""
+    end = F.max(F.col("x0") + F.col("len") - 1)
+    return silhouette.groupBy("example_id").agg(
+        F.min("x0").alias("left"), F.min("y").alias("top"), F.greatest(end - F.min("x0"), F.lit(1)).alias("box_w"), F.greatest(F.max("y") - F.min("y"), F.lit(1)).alias("box_h"))
+
+
+def assign_nearest(segments: DataFrame, joints: DataFrame, width: int, height: int, min_pixels: int = 10, silhouette: DataFrame | None = None) -> DataFrame:
     """Region of every segment: the joint inside it (nearest to its centroid if several), else the
-    nearest joint, else the place in the frame. A segment meets at most the 19 joints of its image.
+    nearest joint, else the place in the figure's box (of ``silhouette`` runs; the frame for an example without any). A segment meets at most the 19 joints of its image.
     """
     seg = segments.groupBy("example_id", "segment").agg(
         F.sum("len").alias("pixels"), (F.sum(F.col("len") * (2 * F.col("x0") + F.col("len") - 1) / 2.0) / F.sum("len")).alias("cx"),
@@ -101,9 +108,12 @@ def assign_nearest(segments: DataFrame, joints: DataFrame, width: int, height: i
     dist = F.pow(F.col("x") - F.col("cx"), 2) + F.pow(F.col("y") - F.col("cy"), 2)
     order = F.struct(F.coalesce(~F.col("_in"), F.lit(True)).alias("out"), F.round(dist, 6).alias("d"), F.col("class_id").alias("c"))
     best = cand.groupBy("example_id", "segment").agg(F.min_by("class_id", order).alias("_joint"))
-    fw, fh = max(width - 1, 1), max(height - 1, 1)
-    grid = _grid_region((F.col("cx") - fw / 2) / (fw / 2), F.col("cy") / fh)
     out = seg.join(best, ["example_id", "segment"], "left")
+    frame = {"left": 0, "top": 0, "box_w": max(width - 1, 1), "box_h": max(height - 1, 1)}
+    if silhouette is not None:
+        out = out.join(figure_box(silhouette), "example_id", "left")
+    left, top, fw, fh = (F.coalesce(F.col(c), F.lit(v)) if silhouette is not None else F.lit(v) for c, v in frame.items())
+    grid = _grid_region((F.col("cx") - (left + fw / 2)) / (fw / 2), (F.col("cy") - top) / fh)
     return out.select("example_id", "segment", F.coalesce("_joint", grid).cast("int").alias("region"))
 
 

@@ -290,13 +290,14 @@ WITH sg AS (SELECT example_id, class_id AS segment, sum(len) AS px, sum(len * (2
 jt AS (SELECT * FROM v_joints WHERE visible),
 cd AS (SELECT sg.example_id, segment, j.class_id, round(pow(j.x - cx, 2) + pow(j.y - cy, 2), 6) AS d, EXISTS (SELECT 1 FROM v_runs r WHERE r.example_id = sg.example_id AND r.class_id = sg.segment AND r.y = j.y AND j.x >= r.x0 AND j.x < r.x0 + r.len) AS ins FROM sg JOIN jt j ON j.example_id = sg.example_id),
 bs AS (SELECT example_id, segment, class_id FROM cd QUALIFY row_number() OVER (PARTITION BY example_id, segment ORDER BY ins DESC, d, class_id) = 1),
-gr AS (SELECT *, (cx - 315e-1) / 315e-1 AS rx, cy / 63 AS ry FROM sg)
+bx AS (SELECT example_id, min(x0) AS l, min(y) AS u, greatest(max(x0 + len - 1) - min(x0), 1) AS w, greatest(max(y) - min(y), 1) AS h FROM v_alpha GROUP BY 1),
+gr AS (SELECT sg.*, (cx - (coalesce(l, 0) + coalesce(w, 63) / 2)) / (coalesce(w, 63) / 2) AS rx, (cy - coalesce(u, 0)) / coalesce(h, 63) AS ry FROM sg LEFT JOIN bx ON bx.example_id = sg.example_id)
 SELECT gr.example_id, gr.segment, CAST(coalesce(bs.class_id, CASE WHEN ry < 0.15 THEN 1 WHEN ry < 0.2 THEN 2 WHEN ry < 0.4 THEN CASE WHEN rx < -0.15 THEN 7 WHEN rx > 0.15 THEN 11 ELSE 3 END WHEN ry < 0.5 THEN CASE WHEN rx < -0.15 THEN 8 WHEN rx > 0.15 THEN 12 ELSE 4 END
  WHEN ry < 0.55 THEN CASE WHEN rx < -0.15 THEN 9 WHEN rx > 0.15 THEN 13 ELSE 5 END WHEN ry < 0.75 THEN CASE WHEN rx < 0 THEN 14 ELSE 17 END WHEN ry < 0.9 THEN CASE WHEN rx < 0 THEN 15 ELSE 18 END ELSE CASE WHEN rx < 0 THEN 16 ELSE 19 END END) AS INT) AS region
 FROM gr LEFT JOIN bs ON bs.example_id = gr.example_id AND bs.segment = gr.segment""")
 def assign_nearest(t):
     segments = t.v_runs.withColumnRenamed("class_id", "segment")
-    return L.assign_nearest(segments, t.v_joints.where("visible"), 64, 64)
+    return L.assign_nearest(segments, t.v_joints.where("visible"), 64, 64, silhouette=t.v_alpha)
 
 
 @query("""
