@@ -188,6 +188,7 @@ def _tasks(path: str, pattern: str, kept: list[str], encode: bool, decode: bool)
                 if decode:
                     columns["decoded"] = pa.array(own.decode(ids), pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
+        own.old = {}
         scan.release_memory()
 
     return run

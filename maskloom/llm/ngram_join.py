@@ -160,6 +160,7 @@ def _of_kind(row, value, chosen, level, table, n2, k2):
     return np.concatenate(out_rows), np.concatenate(out), np.concatenate(slots)
 
 
+@scan.frees_memory
 def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Signature rows (sig, doc, slot), and for every document a plain row (no sig, doc, size of its set, first copy in the chunk if it is a copy)."""
     for batch in batches:
@@ -233,6 +234,7 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield closed(*[np.concatenate(x) for x in zip(*kept, strict=True)], last)
 
 
+@scan.frees_memory
 def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by document, without the largest buckets that the spare groups of each document and band allow to leave."""
     carry: pa.Table | None = None
@@ -259,6 +261,7 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from rows.filter(pa.array((shared > spare) & ~(alone & (place < spare)))).to_batches()
 
 
+@scan.frees_memory
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The set of each document, and a sketch: how many of its shingles fall into each of a power of two of hash ranges, 255 at most."""
     for batch in batches:
@@ -277,6 +280,7 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 "doc": batch.column("doc_id").slice(part.first, part.rows), "n": n, "sketch": pa.array(sketch, pa.binary()), "held": pa.array(held, pa.binary())})
 
 
+@scan.frees_memory
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches do not already differ by more than similar sets can: counts differ by at most what the sets differ."""
     num, den = SIMILAR
@@ -294,6 +298,7 @@ def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield kept
 
 
+@scan.frees_memory
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     num, den = SIMILAR
     for batch in batches:
@@ -412,6 +417,7 @@ def _deltas(store: Stored, around: DataFrame, docs: DataFrame) -> DataFrame:
 LINK, HEAD, WHOLE = 0, 1, 2
 
 
+@scan.frees_memory
 def _delta_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     num, den = SIMILAR
     up, down = den + num, den - num  # similar: up * difference <= down * (sum of sizes)
@@ -451,6 +457,7 @@ def _delta_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "item": np.concatenate([o[5] for o in out]).view(np.int64), "kind": columns["kind"]})
 
 
+@scan.frees_memory
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Link rows as they are, and the buckets of the signature rows."""
     links: list[pa.RecordBatch] = []
@@ -470,6 +477,7 @@ def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from links
 
 
+@scan.frees_memory
 def _print_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, band and fingerprint of each set that is not empty."""
     for batch in batches:
@@ -484,6 +492,7 @@ def _print_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield found.filter(pa.array(n > 0))
 
 
+@scan.frees_memory
 def _held_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fingerprint and set of each document."""
     for batch in batches:
@@ -523,6 +532,7 @@ def _similar(held: list[np.ndarray]) -> np.ndarray:
     return (common > 0) & (den * common >= num * (sizes[:, None] + sizes[None, :] - common))
 
 
+@scan.frees_memory
 def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by task: for each set the documents of one set in the other block that are similar (no ``other``); pairs with a document of several sets are listed."""
     keys = ("label", "band_a", "block_a", "band_b", "block_b")

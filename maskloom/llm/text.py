@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import ctypes
 import ctypes.util
+import functools
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -198,3 +199,16 @@ def release_memory() -> None:
     trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
     if trim is not None:
         trim(0)
+
+
+def frees_memory(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function of Arrow batches that gives free memory back when its task ends."""
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
+    return run
