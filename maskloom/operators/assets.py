@@ -144,6 +144,10 @@ def _grams(text: Column, n: Column | int) -> Column:
     return F.when(size >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.substring(text, i, n)))).otherwise(F.array().cast("array<string>"))
 
 
+#: ids that may travel to every task of a lookup
+FEW_IDS = 50_000
+
+
 def contains_match(items: DataFrame, models: DataFrame, item: str = "char_id", q: int = 4) -> DataFrame:
     """First model (path order) whose stem contains the item's id; an empty id matches nothing.
 
@@ -155,11 +159,14 @@ def contains_match(items: DataFrame, models: DataFrame, item: str = "char_id", q
     lengths = sorted(r[0] for r in ids.select(length).distinct().collect())  # at most q rows
     if not lengths:
         return items.withColumn("path", F.lit(None).cast("string"))
-    listed = models.select("path", "stem", F.explode(F.flatten(F.array(*[_grams(F.col("stem"), n) for n in lengths]))).alias("_gram"))
+    tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a small file is one task otherwise, however many grams it makes
+    listed = models.select("path", "stem").repartition(tasks, "path").select("path", "stem", F.explode(F.flatten(F.array(*[_grams(F.col("stem"), n) for n in lengths]))).alias("_gram"))
     counts = listed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    own = ids.select(item, F.explode(_grams(F.col(item), length)).alias("_gram")).join(counts, "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    rarest = own.groupBy(item).agg(F.min(F.struct("_n", "_gram")).alias("_r")).where("_r._n > 0").select(item, F.col("_r._gram").alias("_gram"))
-    found = rarest.join(listed, "_gram").where(F.contains("stem", F.col(item)))
+    # hints: an explode keeps the size estimate of its source, so the planner would broadcast the whole index, some fifty rows of a stem, with a small file of models
+    own = ids.select(item, F.explode(_grams(F.col(item), length)).alias("_gram")).join(counts.hint("merge"), "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    rarest = cut(own.groupBy(item).agg(F.min(F.struct("_n", "_gram")).alias("_r")).where("_r._n > 0").select(item, F.col("_r._gram").alias("_gram")))
+    few = rarest.count() <= FEW_IDS
+    found = (F.broadcast(rarest) if few else rarest.hint("merge")).join(listed, "_gram").where(F.contains("stem", F.col(item)))
     best = found.groupBy(item).agg(F.min("path").alias("path"))
     return items.join(best, item, "left")
 

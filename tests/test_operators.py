@@ -264,3 +264,18 @@ def test_contains_match_is_contains(spark):
     for r in got:
         want = min((p for p, s in stems if r.char_id and r.char_id in s), default=None)
         assert r.path == want, r
+
+
+def test_contains_match_never_broadcasts_its_index(spark, tmp_path, monkeypatch):
+    import re
+
+    models = spark.range(300).selectExpr("concat('/m/', id) AS path", "concat('some longer stem of a model ', id) AS stem")
+    models.write.parquet(str(tmp_path / "models"))
+    models = spark.read.parquet(str(tmp_path / "models"))  # a small file, as the planner sees it
+    items = spark.createDataFrame([(f"model {i}",) for i in range(40)] + [("no such id",)], "char_id string")
+    for few in (50_000, 0):
+        monkeypatch.setattr(A, "FEW_IDS", few, raising=False)
+        out = A.contains_match(items, models)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+        assert "Join [_gram" in plan and not re.search(r"BroadcastHashJoin \[_gram#\d+\], \[_gram#\d+\], Inner, BuildRight", plan), plan
+        assert {r.char_id: r.path for r in out.collect()} == {f"model {i}": f"/m/{i}" for i in range(40)} | {"no such id": None}
