@@ -46,13 +46,14 @@ def coco_published(t):
 def scan_coco_large(t):
     """Images and annotations of large documents, cut at the borders of their objects."""
     folder = _folder(t, "coco-in")
-    docs = t.sql(Q._COCO).select(F.from_json("text", schemas.COCO).alias("d"))
+    docs = t.sql(Q._COCO).select("stem", F.from_json("text", schemas.COCO).alias("d"))
     for name in ("images", "annotations"):
-        parts.write(docs.select(F.explode(f"d.{name}").alias("x")).select(F.to_json("x").alias("value")), f"{folder}/{name}", head=f'{{"info": {{"note": "\\"]}}{{"}}, "{name}": [', separator=", ", tail="]}", suffix=".json")
+        parts.write(docs.select(F.col("stem").alias("key"), F.explode(f"d.{name}").alias("x")).select("key", F.to_json("x").alias("value")), f"{folder}/{name}", head=f'{{"info": {{"note": "\\"]}}{{"}}, "{name}": [', separator=", ", tail="]}", suffix=".json")
     index = json_array.write_index(t.spark, [f for name in ("images", "annotations") for f in parts.published(f"{folder}/{name}")], SMALL_CHUNK)
-    images = json_array.parsed(json_array.read_indexed(t.spark, index, "images", SMALL_CHUNK), _IMAGE).select(F.col("id").alias("image_id"), "file_name")
-    annotations = json_array.parsed(json_array.read_indexed(t.spark, index, "annotations", SMALL_CHUNK), _ANNOTATION).select("image_id", F.col("id").alias("annotation_id"), "category_id", "area")
-    return annotations.join(images, "image_id")
+    stem = F.regexp_extract("file", "key=([^/]+)/", 1).alias("stem")  # an image id holds within its document
+    images = json_array.parsed(json_array.read_indexed(t.spark, index, "images", SMALL_CHUNK), _IMAGE).select(stem, F.col("id").alias("image_id"), "file_name")
+    annotations = json_array.parsed(json_array.read_indexed(t.spark, index, "annotations", SMALL_CHUNK), _ANNOTATION).select(stem, "image_id", F.col("id").alias("annotation_id"), "category_id", "area")
+    return annotations.join(images, ["stem", "image_id"]).drop("stem")
 
 
 @query(QUERIES["scan_label_keypoints"].sql)

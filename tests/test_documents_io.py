@@ -146,3 +146,21 @@ def test_documents_by_split(spark, tmp_path):
     docs = [json.loads((tmp_path / "annotations" / f.split("/annotations/")[1]).read_text()) for f in parts.published(str(tmp_path / "annotations"))]
     assert sorted(a["id"] for d in docs for a in d["annotations"]) == [1, 1, 2]
     assert all(set(d) == {"annotations"} for d in docs)
+
+
+def test_image_ids_hold_within_their_document(spark, tmp_path):
+    from maskloom.plans.tables import Tables
+    from maskloom.plans.queries_sinks import scan_coco_large
+
+    spark.range(100_000, 100_010).union(spark.range(10)).selectExpr("id AS page_id", "concat('http://x/', id, '.png') AS url", "'<p>' AS html").write.parquet(str(tmp_path / "pages.parquet"))
+    got = scan_coco_large(Tables(spark, str(tmp_path))).select("image_id", "annotation_id").collect()
+    ids = [*range(10), *range(100_000, 100_010)]
+    assert sorted(map(tuple, got)) == sorted([(i, i * 10) for i in ids] + [(i, i * 10 + 1) for i in ids if i % 3])
+
+
+def test_chunks_do_not_grow_in_number_with_the_files(spark, tmp_path, monkeypatch):
+    (tmp_path / "d.json").write_text(json.dumps([{"id": i} for i in range(5000)]))
+    monkeypatch.setattr(J, "SPREAD", 8, raising=False)
+    assert len(J.index(spark, str(tmp_path), 100)) <= 8
+    rows = J.read_arrays(spark, str(tmp_path), "", 100)
+    assert rows.rdd.getNumPartitions() <= 8 and rows.select("value").distinct().count() == 5000
