@@ -18,6 +18,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -32,6 +34,7 @@ from maskloom.sources.storage import files, locate, read_bytes, write_bytes
 
 CHUNK = 8 << 20
 BLOCK = 1 << 20
+SPREAD = 256
 LOOK_BACK = 1 << 12
 SCHEMA = "file string, key string, at long, value string"
 _ARROW = pa.schema([("file", pa.string()), ("key", pa.string()), ("at", pa.int64()), ("value", pa.large_string())])
@@ -163,8 +166,15 @@ def listing(path: str | Sequence[str]) -> list[tuple[str, int]]:
     return out
 
 
+def room(total: int, chunk: int) -> int:
+    """Bytes of a chunk: as asked, but more if that makes over ``SPREAD`` chunks of them all, up to ``CHUNK``; so tasks, and rows that meet in the driver, do not grow with small chunks."""
+    return max(chunk, min(CHUNK, -(-total // SPREAD)))
+
+
 def _map_ranges(spark: SparkSession, rows: list[tuple], schema: str, work, out: dict[str, str]) -> DataFrame:
     arrow = pa.schema([(name, _TYPES[kind]) for name, kind in out.items()])
+    names = [field.split()[0] for field in schema.split(", ")]
+    spans = [(r[names.index("lo")], r[names.index("hi")]) for r in rows]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,12 +185,15 @@ def _map_ranges(spark: SparkSession, rows: list[tuple], schema: str, work, out:
                 if found:
                     yield pa.RecordBatch.from_pylist(found, schema=arrow)
 
-    return spark.createDataFrame(rows, schema).repartition(max(1, len(rows))).mapInArrow(run, ", ".join(map(" ".join, out.items())))
+    tasks = max(min(len(rows), SPREAD), -(-sum(hi - lo for lo, hi in spans) // CHUNK), 1)
+    return spark.createDataFrame(rows, schema).repartition(tasks).mapInArrow(run, ", ".join(map(" ".join, out.items())))
 
 
 def index(spark: SparkSession, path: str | Sequence[str], chunk: int = CHUNK) -> list[dict]:
     """Parts of arrays: file, key, the bytes of the part, and the state in which it begins. One row per chunk of the files."""
-    chunks = [(file, i, lo, min(lo + chunk, size)) for file, size in listing(path) for i, lo in enumerate(range(0, size, chunk))]
+    sizes = dict(listing(path))
+    chunk = room(sum(sizes.values()), chunk)
+    chunks = [(file, i, lo, min(lo + chunk, size)) for file, size in sizes.items() for i, lo in enumerate(range(0, size, chunk))]
     if not chunks:
         return []
 
@@ -203,12 +216,15 @@ def index(spark: SparkSession, path: str | Sequence[str], chunk: int = CHUNK) ->
 
     named = "file string, lo long, hi long, inside boolean, depth long, least long"
     events = _map_ranges(spark, shallow, named, bounds, _EVENT).collect()
-    sizes = dict(listing(path))
+    own, marks = defaultdict(list), defaultdict(list)
+    for s in states:
+        own[s[0]].append(s)
+    for e in events:
+        marks[e.file].append((e.key, e.at, e.begins))
     out = []
     for file in sizes:
-        own = [s for s in states if s[0] == file]
-        for begin, end in paired([(e.key, e.at, e.begins) for e in events if e.file == file]):
-            out += _parts(begin, sizes[file] if end is None else end, end is not None, own)
+        for begin, end in paired(marks[file]):
+            out += _parts(begin, sizes[file] if end is None else end, end is not None, own[file])
     return out
 
 
@@ -228,7 +244,8 @@ def _parts(begin: tuple[str, int], end: int, whole: bool, states: list[tuple]) -
     key, start = begin
     level = 1 if key == "" else 2
     out = []
-    for file, lo, hi, inside, depth, _ in states:
+    near = slice(bisect_right(states, start, key=lambda s: s[2]), bisect_left(states, end, key=lambda s: s[1]))
+    for file, lo, hi, inside, depth, _ in states[near]:
         a, b = max(lo, start + 1), min(hi, end)
         if a < b:
             first = lo <= start
@@ -279,15 +296,15 @@ class JsonArrayReader(ds.DataSourceReader):
     def partitions(self) -> list[Part]:
         store, path = locate(self.index)
         out: list[Part] = []
-        room = 0
-        for part in json.loads(read_bytes(store, path)):
-            if self.key is None or part["key"] == self.key:
-                size = part["hi"] - part["lo"]
-                if not out or room < size:
-                    out.append(Part([]))
-                    room = self.room
-                out[-1].rows.append(part)
-                room -= size
+        found = [p for p in json.loads(read_bytes(store, path)) if self.key is None or p["key"] == self.key]
+        most, left = room(sum(p["hi"] - p["lo"] for p in found), self.room), 0
+        for part in found:
+            size = part["hi"] - part["lo"]
+            if not out or left < size:
+                out.append(Part([]))
+                left = most
+            out[-1].rows.append(part)
+            left -= size
         return out
 
     def read(self, partition: Part | None) -> Iterator[pa.RecordBatch]:
