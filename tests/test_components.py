@@ -64,3 +64,23 @@ def test_small_components_take_the_surrounding_class(spark):
 def test_isolated_component_becomes_background(spark):
     df = spark.createDataFrame([("d", 1, 2, 2, 1, 4)], "dataset string, example_id int, y int, x0 int, len int, class_id int")
     assert [r.class_id for r in C.absorb_small_components(df, 6, 6).collect()] == [0]
+
+
+@pytest.mark.parametrize("size", [1, 7, 10_000])
+def test_tiles_are_labelled_in_batches(size):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(size)
+    masks = [rng.integers(0, 3, (12, 15)) for _ in range(20)]
+    rows = [r for i, m in enumerate(masks) for r in sorted(runs_of(m, i), key=lambda r: (r[5], r[2], r[3]))]
+    names = ["dataset", "example_id", "y", "x0", "len", "class_id"]
+    table = pa.table({k: list(v) for k, v in zip(names, zip(*rows))} | {"_ty": [0] * len(rows), "_tx": [0] * len(rows)})
+    got = pa.Table.from_batches(C._label_batches(iter(table.to_batches(max_chunksize=size)))).to_pylist()
+    assert len(got) == len(rows)
+    for i, m in enumerate(masks):
+        areas = {}
+        for r in got:
+            if r["example_id"] == i:
+                key = r["class_id"], r["root_y"], r["root_x"]
+                areas[key] = areas.get(key, 0) + r["len"]
+        assert sorted((k[0], v) for k, v in areas.items()) == flood(m)
