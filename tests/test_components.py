@@ -1,5 +1,7 @@
 """Components with tiny tiles against a flood fill."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -84,3 +86,12 @@ def test_tiles_are_labelled_in_batches(size):
                 key = r["class_id"], r["root_y"], r["root_x"]
                 areas[key] = areas.get(key, 0) + r["len"]
         assert sorted((k[0], v) for k, v in areas.items()) == flood(m)
+
+
+def test_surroundings_are_not_fanned_out_before_a_shuffle(spark):
+    rng = np.random.default_rng(5)
+    rows = [r for i in range(3) for r in runs_of(rng.integers(0, 4, (9, 9)), i)]
+    out = C.absorb_small_components(spark.createDataFrame(rows, "dataset string, example_id int, y int, x0 int, len int, class_id int"), 9, 9, min_area=5)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not re.search(r"Aggregate \[[^\]]*[^_]y#", plan), plan  # no cells as keys
+    assert out.count() == len(rows)
