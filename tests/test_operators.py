@@ -279,3 +279,12 @@ def test_contains_match_never_broadcasts_its_index(spark, tmp_path, monkeypatch)
         plan = out._jdf.queryExecution().sparkPlan().toString()
         assert "Join [_gram" in plan and not re.search(r"BroadcastHashJoin \[_gram#\d+\], \[_gram#\d+\], Inner, BuildRight", plan), plan
         assert {r.char_id: r.path for r in out.collect()} == {f"model {i}": f"/m/{i}" for i in range(40)} | {"no such id": None}
+
+
+def test_groups_stay_dealt_over_all_tasks(spark):
+    from maskloom.operators import weights as W
+
+    runs = spark.range(400).selectExpr("id % 40 AS example_id", "CAST(id % 3 AS INT) AS y", "CAST(id % 50 AS INT) AS x0", "2 AS len")
+    views = spark.range(400).selectExpr("id % 40 AS example_id", "id % 3 AS pixel", "id % 4 AS view", "CAST(id % 5 AS INT) AS class_id", "0.5D AS p")
+    for out in (L.union_masks(runs), W.probability_ensemble(views)):
+        assert out.groupBy(F.spark_partition_id()).count().count() > 4  # small groups would be merged into one task
