@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from maskloom import dims
 from maskloom.functions.bone_tables import PRIMARY_WORDS
 from maskloom.functions.names import reasons
+from maskloom.session import dealt
 
 VERTEX = ["example_id", "vertex"]
 
@@ -108,7 +109,7 @@ def probability_ensemble(views: DataFrame, foreground: DataFrame | None = None,
     ``views(keys, view, class_id, p)`` come in image orientation; a mirrored view has its paired
     classes swapped first by :func:`swap_classes`. Outside ``foreground`` the class is 0.
     """
-    avg = views.groupBy(*keys, "class_id").agg((F.sum("p") / n_views).alias("p"))
+    avg = dealt(views.select(*keys, "class_id", "p"), *keys).groupBy(*keys, "class_id").agg((F.sum("p") / n_views).alias("p"))
     best = avg.groupBy(*keys).agg(F.max("p").alias("confidence"), F.max_by("class_id", F.struct("p", -F.col("class_id"))).alias("class_id"))
     if foreground is None:
         return best
