@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from maskloom import schemas
 from maskloom.plans import queries_sources as Q
 from maskloom.plans.catalog import QUERIES, query
-from maskloom.session import ensure_checkpoint_dir
+from maskloom.session import cut, ensure_checkpoint_dir
 from maskloom.sources import documents as D
 from maskloom.sources import files, json_array, parts, sinks
 
@@ -30,7 +30,7 @@ _ANNOTATION = "id long, image_id long, category_id int, area double, iscrowd int
 def coco_published(t):
     """Detection documents of all splits, written in parts and read back in chunks."""
     folder = _folder(t, "coco")
-    found = sinks.coco_annotations(t.v_runs)
+    found = cut(sinks.coco_annotations(t.v_runs))  # read for images and for annotations
     images = found.select("split", F.col("image_id").alias("id"), F.concat_ws("/", "dataset", F.col("example_id").cast("string")).alias("file_name")).distinct()
     sinks.publish_coco(found, images.withColumns({"width": F.lit(64), "height": F.lit(64)}), folder)
     rows = json_array.read_arrays(t.spark, parts.published(f"{folder}/annotations"), "annotations", SMALL_CHUNK)
