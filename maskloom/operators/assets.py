@@ -162,7 +162,7 @@ def contains_match(items: DataFrame, models: DataFrame, item: str = "char_id", q
     tasks = int(models.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a small file is one task otherwise, however many grams it makes
     listed = models.select("path", "stem").repartition(tasks, "path").select("path", "stem", F.explode(F.flatten(F.array(*[_grams(F.col("stem"), n) for n in lengths]))).alias("_gram"))
     counts = listed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
-    # hints: an explode keeps the size estimate of its source, so the planner would broadcast the whole index, some fifty rows of a stem, with a small file of models
+    # hints: an explode keeps the size estimate of its source, so the planner may broadcast the grams' counts, and the whole index if the ids have no estimate
     own = ids.select(item, F.explode(_grams(F.col(item), length)).alias("_gram")).join(counts.hint("merge"), "_gram", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     rarest = cut(own.groupBy(item).agg(F.min(F.struct("_n", "_gram")).alias("_r")).where("_r._n > 0").select(item, F.col("_r._gram").alias("_gram")))
     few = rarest.count() <= FEW_IDS
