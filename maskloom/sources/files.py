@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+import struct
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,35 +69,132 @@ def scan_wide_frame_cuts(spark: SparkSession, path: str, codes: Sequence[str], k
     return unpivot_frame_cuts(spark.read.csv(path, header=True), codes, key)
 
 
-def _runs_of(batches: Iterator[pd.DataFrame], channel: int, keep_zero: bool) -> Iterator[pd.DataFrame]:
+def _plane_runs(plane: np.ndarray, keep_zero: bool) -> list[np.ndarray]:
+    """y, x0, len and value of the runs of one channel of an image."""
+    new = np.ones(plane.shape, dtype=bool)
+    new[:, 1:] = plane[:, 1:] != plane[:, :-1]
+    ys, xs = np.nonzero(new)
+    ends = np.full(len(xs), plane.shape[1])
+    ends[:-1][ys[1:] == ys[:-1]] = xs[1:][ys[1:] == ys[:-1]]
+    values = plane[ys, xs]
+    cols = [c.astype(np.int32) for c in (ys, xs, ends - xs, values)]
+    return cols if keep_zero else [c[values > 0] for c in cols]
+
+
+_RUNS = pa.schema([("origin", pa.string())] + [(c, pa.int32()) for c in ("width", "height", "y", "x0", "len", "value")])
+
+
+def _batch(images: list[tuple[str, int, int, list[np.ndarray]]]) -> pa.RecordBatch:
+    """Run rows of several images (origin, width, height, runs)."""
+    sizes = [len(runs[0]) for *_, runs in images]
+    origin = pa.array([i[0] for i in images], pa.string()).take(pa.array(np.repeat(np.arange(len(images)), sizes)))
+    frame = [pa.array(np.repeat(np.array([i[k] for i in images], np.int32), sizes)) for k in (1, 2)]
+    return pa.RecordBatch.from_arrays([origin, *frame, *[pa.array(np.concatenate([i[3][k] for i in images])) for k in range(4)]], schema=_RUNS)
+
+
+def _runs_of(batches: Iterator[pa.RecordBatch], channel: int, keep_zero: bool) -> Iterator[pa.RecordBatch]:
     """Run-length rows of one channel, one image at a time; the image source stores colours as BGR(A)."""
-    for pdf in batches:
-        for img in pdf.itertuples(index=False):
-            arr = np.frombuffer(img.data, dtype=np.uint8).reshape(img.height, img.width, img.nChannels)
-            at = channel if img.nChannels == 1 or channel == 3 else 2 - channel
-            plane = arr[:, :, min(at, img.nChannels - 1)]
-            new = np.ones(plane.shape, dtype=bool)
-            new[:, 1:] = plane[:, 1:] != plane[:, :-1]
-            ys, xs = np.nonzero(new)
-            values = plane[ys, xs]
-            ends = np.append(xs[1:], img.width)
-            last = np.append(ys[1:] != ys[:-1], True)
-            ends[last] = img.width
-            runs = pd.DataFrame({
-                "origin": img.origin, "width": img.width, "height": img.height, "y": ys.astype("int32"), "x0": xs.astype("int32"),
-                "len": (ends - xs).astype("int32"), "value": values.astype("int32"),
-            })
-            yield runs if keep_zero else runs[runs.value > 0]
-
-
-def _images(spark: SparkSession, path: str) -> DataFrame:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            origin, height, width, channels, data = (batch.column(c)[i].as_py() for c in ("origin", "height", "width", "nChannels", "data"))
+            arr = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
+            at = channel if channels == 1 or channel == 3 else 2 - channel
+            yield _batch([(origin, width, height, _plane_runs(arr[:, :, min(at, channels - 1)], keep_zero))])
+
+
+#: chunks that do not change the pixels of a PNG
+_PLAIN_CHUNKS = {b"IHDR", b"IDAT", b"IEND", b"tEXt", b"zTXt", b"iTXt", b"pHYs", b"tIME"}
+_CHANNELS = {0: 1, 2: 3, 6: 4}
+
+
+def plain_png(data: bytes) -> np.ndarray | None:
+    """Pixels (height, width, channels) of an 8-bit grey, RGB or RGBA PNG, not interlaced, whose lines are stored as they are or as differences; None for all else."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        return None
+    at, packed, head = 8, [], None
+    try:
+        while True:
+            size, kind = struct.unpack_from(">I4s", data, at)
+            body = data[at + 8:at + 8 + size]
+            if kind not in _PLAIN_CHUNKS or zlib.crc32(kind + body) != struct.unpack_from(">I", data, at + 8 + size)[0]:
+                return None
+            if kind == b"IHDR":
+                head = struct.unpack(">IIBBBBB", body)
+            elif kind == b"IDAT":
+                packed.append(body)
+            elif kind == b"IEND":
+                break
+            at += 12 + size
+        width, height, depth, colour, *method = head
+        if depth != 8 or colour not in _CHANNELS or any(method) or not width or not height:
+            return None
+        lines = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8).reshape(height, width * _CHANNELS[colour] + 1)
+    except (struct.error, zlib.error, ValueError, TypeError):
+        return None
+    filters, pixels = lines[:, 0], lines[:, 1:].reshape(height, width, _CHANNELS[colour])
+    if filters.max() > 2:
+        return None
+    if filters.any():
+        pixels = pixels.copy()
+        for y in np.flatnonzero(filters):
+            if filters[y] == 1:
+                pixels[y] = np.cumsum(pixels[y], axis=0, dtype=np.uint8)
+            elif y:
+                pixels[y] += pixels[y - 1]
+    return pixels
+
+
+#: runs that a task hands on at once
+BATCH = 100_000
+#: up to so many files of other kinds are read by their names; more are found among all files
+OTHERS = 10_000
+
+
+def _runs_of_plain(batches: Iterator[pa.RecordBatch], channel: int, keep_zero: bool) -> Iterator[pa.RecordBatch]:
+    """Run-length rows of plain files, of many small ones at once; all others are left out."""
+    held, n = [], 0
+    for batch in batches:
+        for origin, content in zip(batch.column("origin"), batch.column("content"), strict=True):
+            if (pixels := plain_png(content.as_py())) is None:
+                continue
+            height, width, channels = pixels.shape
+            at = channel if channel < channels else 0  # as of the image source: a colour image without alpha gives its red
+            held.append((origin.as_py(), width, height, _plane_runs(pixels[:, :, at], keep_zero)))
+            n += len(held[-1][3][0])
+            if n >= BATCH:
+                yield _batch(held)
+                held, n = [], 0
+    if held:
+        yield _batch(held)
+
+
+def _not_plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([plain_png(c.as_py()) is None for c in batch.column("content")], pa.bool_())).select(["origin", "path"])
+
+
+def _images(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(path).select("image.*")
 
 
 def scan_rasters_to_runs(spark: SparkSession, path: str, channel: int = 0, keep_zero: bool = False) -> DataFrame:
-    """Image files below ``path`` to run rows; channel 0 of multi-channel masks, 3 is alpha. What cannot be read is in ``unreadable_rasters``."""
-    img = _images(spark, path).where("height > 0").select("origin", "height", "width", "nChannels", "data")
-    return img.mapInPandas(lambda it: _runs_of(it, channel, keep_zero), schemas.RUNS)
+    """Image files below ``path`` to run rows; channel 0 of multi-channel masks, 3 is alpha. What cannot be read is in ``unreadable_rasters``.
+
+    Plain PNG masks are decoded in batches; the image source, which takes milliseconds for the smallest file, reads the others only.
+    """
+    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    content = content.select(F.regexp_replace("_metadata.file_path", "^file:/(?!/)", "file:///").alias("origin"), "path", "content")
+    runs = content.mapInArrow(lambda it: _runs_of_plain(it, channel, keep_zero), schemas.RUNS)
+    others = content.mapInArrow(_not_plain, "origin string, path string")
+    names = others.limit(OTHERS + 1).collect()
+    if not names:
+        return runs
+    if len(names) <= OTHERS:
+        img = _images(spark, [re.sub(r"([\[\]{}*?\\,^])", r"\\\1", n.path) for n in names])
+    else:
+        img = _images(spark, path).join(others.select("origin"), "origin", "left_semi")
+    img = img.where("height > 0").select("origin", "height", "width", "nChannels", "data")
+    return runs.unionByName(img.mapInArrow(lambda it: _runs_of(it, channel, keep_zero), schemas.RUNS))
 
 
 def unreadable_rasters(spark: SparkSession, path: str) -> DataFrame:

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom import dims
 from maskloom.functions.names import hash_split
 from maskloom.functions.ranking import rank_sorted
-from maskloom.operators.components import component_table, label_runs
+from maskloom.operators.components import component_table, label_runs, new_key, whole_keys
 from maskloom.operators.masks import EXAMPLE
-from maskloom.session import cut
+from maskloom.session import cut, dealt
 from maskloom.sources import parts
 from maskloom.sources.storage import locate
 
@@ -117,20 +117,37 @@ def png_bytes(mask: np.ndarray) -> bytes:
 
 
 def write_rasters(runs: DataFrame, folder: str, width: int, height: int) -> DataFrame:
-    """One mask image per example, ``{dataset}/{example}.png``; returns the names with their sizes. A repeated task writes the same files again."""
+    """One mask image per example, ``{dataset}/{example}.png``; returns the names with their sizes. A repeated task writes the same files again.
 
-    def draw(group: pd.DataFrame) -> pd.DataFrame:
+    Runs are sorted by example, so a task draws one image after the other and holds the runs of one batch.
+    """
+
+    def draw(y: np.ndarray, x0: np.ndarray, n: np.ndarray, class_id: np.ndarray) -> bytes:
         mask = np.zeros(height * width, np.uint8)
-        n = group["len"].to_numpy()
-        first = group["y"].to_numpy() * width + group["x0"].to_numpy()
-        mask[np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] = np.repeat(group["class_id"].to_numpy(), n)
+        mask[np.repeat(y * width + x0 - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] = np.repeat(class_id, n)
+        return png_bytes(mask.reshape(height, width))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, path = locate(folder)
-        name = f"{group['dataset'].iloc[0]}/{group['example_id'].iloc[0]}.png"
-        store.create_dir(f"{path}/{group['dataset'].iloc[0]}", recursive=True)
-        data = png_bytes(mask.reshape(height, width))
-        with store.open_output_stream(f"{path}/{name}", compression=None) as out:
-            out.write(data)
-        return pd.DataFrame({"name": [name], "bytes": [len(data)]})
+        made: set[str] = set()
+
+        def save(table: pa.Table) -> pa.RecordBatch:
+            names, sizes, starts = [], [], np.flatnonzero(new_key(table, EXAMPLE))
+            cols = [table[c].to_numpy().astype(np.int64) for c in ("y", "x0", "len", "class_id")]
+            for lo, hi in zip(starts, [*starts[1:], table.num_rows], strict=True):
+                dataset = str(table["dataset"][lo].as_py())
+                if dataset not in made:
+                    store.create_dir(f"{path}/{dataset}", recursive=True)
+                    made.add(dataset)
+                names.append(f"{dataset}/{table['example_id'][lo].as_py()}.png")
+                data = draw(*[c[lo:hi] for c in cols])
+                with store.open_output_stream(f"{path}/{names[-1]}", compression=None) as f:
+                    f.write(data)
+                sizes.append(len(data))
+            return pa.RecordBatch.from_pydict({"name": pa.array(names, pa.string()), "bytes": pa.array(sizes, pa.int64())})
+
+        for table in whole_keys(batches, EXAMPLE):
+            yield save(table)
 
     inside = runs.where((F.col("y") < height) & (F.col("x0") + F.col("len") <= width)).select("dataset", "example_id", "y", "x0", "len", "class_id")
-    return cut(inside.groupBy("dataset", "example_id").applyInPandas(draw, "name string, bytes long"))
+    return cut(dealt(inside, "dataset", "example_id").sortWithinPartitions("dataset", "example_id").mapInArrow(write, "name string, bytes long"))
