@@ -288,3 +288,15 @@ def test_groups_stay_dealt_over_all_tasks(spark):
     views = spark.range(400).selectExpr("id % 40 AS example_id", "id % 3 AS pixel", "id % 4 AS view", "CAST(id % 5 AS INT) AS class_id", "0.5D AS p")
     for out in (L.union_masks(runs), W.probability_ensemble(views)):
         assert out.groupBy(F.spark_partition_id()).count().count() > 4  # small groups would be merged into one task
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_soft_labels_fill_absent_cells_and_shuffle_cells_once(spark):
+    cells = spark.createDataFrame([(e, x, y, (e + x * y) % 5) for e in range(3) for x in range(7) for y in range(5) if (x + 2 * y + e) % 3], "example_id int, x int, y int, class_id int")
+    out = L.soften_labels(cells, 7, 5, radius=1, absent=0)
+    keyed = lambda df: {r[:4]: round(r.p, 9) for r in df.select("example_id", "x", "y", "class_id", "p").collect()}
+    assert keyed(out) == keyed(L.soften_labels(L.densify(cells, 7, 5), 7, 5, radius=1)) and out.select("example_id", "x", "y").distinct().count() == 105
+    assert plan_of(out).count("Exchange") == 1
