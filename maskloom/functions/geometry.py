@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from maskloom.functions.names import swap_side
 from maskloom.functions.ranking import with_group_stats
+from maskloom.session import dealt
 
 
 def clamp(c: Column, lo: int, hi: Column | int) -> Column:
@@ -146,25 +147,28 @@ def vertex_features(weights: DataFrame, joints: DataFrame, bones: Sequence[str])
     """Normalised position, target weight and distance to every bone, one row per vertex and bone.
 
     ``weights(example_id, vertex, x, y, bone, w)`` may hold several rows per vertex;
-    ``joints(example_id, bone, jx, jy)``; an absent joint sits at 0, 0. The fan-out is the
-    fixed bone list.
+    ``joints(example_id, bone, jx, jy)``; an absent joint sits at 0, 0. A vertex travels once, with its weights as a map;
+    the fan-out is the fixed bone list and comes last.
     """
     key = ["example_id", "vertex"]
-    vertices = weights.groupBy(*key).agg(
-        F.first("x").alias("x"), F.first("y").alias("y"), F.sum(F.coalesce("w", F.lit(0.0))).alias("_sum"), F.count("bone").alias("_n")
+    listed = F.col("bone").isin(list(bones))
+    per = dealt(weights.select(*key, "x", "y", "bone", "w"), *key).groupBy(*key, "bone").agg(F.first("x").alias("x"), F.first("y").alias("y"), F.sum("w").alias("w"))
+    vertices = per.groupBy(*key).agg(
+        F.first("x").alias("x"), F.first("y").alias("y"), F.sum(F.coalesce("w", F.lit(0.0))).alias("_sum"), F.count("bone").alias("_n"),
+        F.map_from_entries(F.collect_list(F.when(listed, F.struct("bone", "w")))).alias("_ws"),
     )
     ranges = [f(c).alias(f"_{n}{c}") for c in "xy" for n, f in (("lo", F.min), ("hi", F.max))]
     v = with_group_stats(vertices, ["example_id"], *ranges)
+    places = joints.where(listed).groupBy("example_id", "bone").agg(F.min(F.struct("jx", "jy")).alias("_j"))
+    v = v.join(places.groupBy("example_id").agg(F.map_from_entries(F.collect_list(F.struct("bone", "_j"))).alias("_js")), "example_id", "left")
     rx, ry = (F.greatest(F.col(f"_hi{c}") - F.col(f"_lo{c}"), F.lit(1)) for c in "xy")
     diag = F.greatest(F.sqrt(F.pow(rx, 2) + F.pow(ry, 2)), F.lit(1.0))
     v = v.select(
         *key, "x", "y", ((F.col("x") - F.col("_lox")) / rx).alias("u"), ((F.col("y") - F.col("_loy")) / ry).alias("v"), diag.alias("_diag"),
-        "_sum", (F.col("_n") > 0).cast("double").alias("confidence"), F.explode(F.array(*[F.lit(b) for b in bones])).alias("bone"),
+        "_sum", (F.col("_n") > 0).cast("double").alias("confidence"), "_ws", "_js", F.explode(F.array(*[F.lit(b) for b in bones])).alias("bone"),
     )
-    v = v.join(joints.select("example_id", "bone", "jx", "jy"), ["example_id", "bone"], "left")
-    w = weights.where(F.col("bone").isNotNull()).groupBy(*key, "bone").agg(F.sum("w").alias("w"))
-    v = v.join(w, [*key, "bone"], "left")
-    dist = F.sqrt(F.pow(F.col("x") - F.coalesce("jx", F.lit(0)), 2) + F.pow(F.col("y") - F.coalesce("jy", F.lit(0)), 2)) / F.col("_diag")
+    v = v.withColumns({"w": F.try_element_at("_ws", F.col("bone")), "_j": F.try_element_at("_js", F.col("bone"))})
+    dist = F.sqrt(F.pow(F.col("x") - F.coalesce("_j.jx", F.lit(0)), 2) + F.pow(F.col("y") - F.coalesce("_j.jy", F.lit(0)), 2)) / F.col("_diag")
     target = F.when(F.col("_sum") > 0, F.coalesce("w", F.lit(0.0)) / F.col("_sum")).otherwise(0.0)
     return v.select(*key, "bone", "u", "v", dist.alias("distance"), target.alias("weight"), "confidence")
 

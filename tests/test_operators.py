@@ -300,3 +300,12 @@ def test_soft_labels_fill_absent_cells_and_shuffle_cells_once(spark):
     keyed = lambda df: {r[:4]: round(r.p, 9) for r in df.select("example_id", "x", "y", "class_id", "p").collect()}
     assert keyed(out) == keyed(L.soften_labels(L.densify(cells, 7, 5), 7, 5, radius=1)) and out.select("example_id", "x", "y").distinct().count() == 105
     assert plan_of(out).count("Exchange") == 1
+
+
+def test_vertices_meet_the_bones_after_all_exchanges(spark):
+    w = spark.createDataFrame([(e, v, v, e, f"b{(v + k) % 4}", 1.0 + k) for e in range(2) for v in range(5) for k in range(2)], "example_id int, vertex int, x int, y int, bone string, w double")
+    out = G.vertex_features(w, W.weighted_joint_centroids(w), ["b0", "b1", "b9"])
+    plan = plan_of(out)
+    assert plan.index("Generate explode") < plan.index("Exchange")
+    got = {r[:3]: r for r in out.select("example_id", "vertex", "bone", "weight", "distance").collect()}
+    assert len(got) == 30 and round(got[(0, 0, "b1")].weight, 6) == 0.666667 and got[(0, 0, "b9")].weight == 0
