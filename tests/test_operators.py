@@ -309,3 +309,11 @@ def test_vertices_meet_the_bones_after_all_exchanges(spark):
     assert plan.index("Generate explode") < plan.index("Exchange")
     got = {r[:3]: r for r in out.select("example_id", "vertex", "bone", "weight", "distance").collect()}
     assert len(got) == 30 and round(got[(0, 0, "b1")].weight, 6) == 0.666667 and got[(0, 0, "b9")].weight == 0
+
+
+def test_occlusion_rectangles_are_made_per_example_not_per_run(spark):
+    runs = spark.createDataFrame([(e, y, 0, 40) for e in (1, 2, None) for y in range(64)], "example_id long, y int, x0 int, len int")
+    out = L.occlusion_rect_pairs(runs, 64, 64)
+    plan = plan_of(out)
+    assert min(plan.index(j) for j in ("MergeJoin", "HashJoin") if j in plan) < plan.index("md5(")
+    assert {r.example_id for r in out.collect()} <= {1, 2, None} and out.where("fg_px <> 2560").isEmpty()
