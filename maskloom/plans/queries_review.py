@@ -96,9 +96,11 @@ def status_transitions(t):
 
 
 def _late_first(t, rows, at, run, parts=4):
-    """Rows arrive in spans of time, the latest span first; ``run`` continues the stream after each."""
+    """Rows arrive in spans of time, the latest span first; ``run`` continues the stream after each. The rows are made once, not once for each span."""
     spark = rows.sparkSession
     folder = intake.state_folder(spark, "arrivals")
+    rows.write.parquet(f"{folder}/rows")
+    rows = spark.read.schema(rows.schema).parquet(f"{folder}/rows")
     low, high = rows.agg(F.min(F.unix_timestamp(at)), F.max(F.unix_timestamp(at))).first()
     step = (high - low) // parts + 1 if low is not None else 1
     out = None

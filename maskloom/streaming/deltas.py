@@ -20,6 +20,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: tasks that a large bucket is written by
+SPREAD = 16
+
+
 @dataclass(frozen=True)
 class Entry:
     first: int
@@ -58,8 +62,10 @@ class DeltaTable:
         return [e for e in found if not any(o.holds(e) for o in found)]
 
     def _write(self, rows: DataFrame, path: str) -> None:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets))
-        rows.withColumn("bucket", bucket.cast("int")).repartition("bucket").write.partitionBy("bucket").mode("overwrite").parquet(path)
+        code = F.xxhash64(*self.keys)
+        bucket, part = F.pmod(code, F.lit(self.buckets)), F.pmod(F.shiftright(code, 32), F.lit(SPREAD))
+        # a bucket is written by several tasks; AQE merges them while they are small
+        rows.withColumn("bucket", bucket.cast("int")).repartition("bucket", part).write.partitionBy("bucket").mode("overwrite").parquet(path)
 
     def _rows(self, spark: SparkSession, entries: Sequence[Entry]) -> DataFrame:
         # each entry is a base path of its own, or Spark could not tell the bucket folders

@@ -114,3 +114,29 @@ def test_status_of_two_streams(spark, tmp_path, parts):
     got = intake.status_state(files(spark, tmp_path / "a", made, parts), files(spark, tmp_path / "r", reviews, parts), images, str(tmp_path / "state"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, R.status_transitions(images, made, reviews).collect()))
     assert dict(map(tuple, got.collect())) == {1: "annotated", 2: "rejected", 3: "annotated", 4: "pending"}
+
+
+def test_late_rows_are_made_once(spark):
+    """Four spans of arrival read rows that were written, they do not make them again."""
+    from maskloom.plans.queries_review import _late_first
+
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = spark.range(1000).selectExpr("id AS annotation_id", "timestamp_seconds(id) AS reviewed_at", "id AS review_id", "'approved' AS status").mapInArrow(count, "annotation_id long, reviewed_at timestamp, review_id long, status string")
+    got = _late_first(None, rows, "reviewed_at", intake.first_reviews)
+    assert got.count() == 1000 and made.value == 1000
+
+
+def test_a_bucket_is_written_by_several_tasks(spark, tmp_path):
+    table = DeltaTable(str(tmp_path), ["k"], least, buckets=1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        table.append(spark.range(4000).selectExpr("id AS k", "id AS v"), 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list(Path(tmp_path).rglob("*.parquet"))) > 1 and table.read(spark).count() == 4000
