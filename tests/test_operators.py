@@ -317,3 +317,11 @@ def test_occlusion_rectangles_are_made_per_example_not_per_run(spark):
     plan = plan_of(out)
     assert min(plan.index(j) for j in ("MergeJoin", "HashJoin") if j in plan) < plan.index("md5(")
     assert {r.example_id for r in out.collect()} <= {1, 2, None} and out.where("fg_px <> 2560").isEmpty()
+
+
+def test_segments_meet_the_joints_of_their_image_in_one_join(spark):
+    segments = spark.createDataFrame([(1, 5, y, 0, 10) for y in range(4)] + [(1, 6, y, 20, 10) for y in range(4)] + [(2, 5, y, 0, 10) for y in range(4)], "example_id int, segment int, y int, x0 int, len int")
+    joints = spark.createDataFrame([(1, 3, 9, 0), (1, 4, 11, 2), (1, 8, 24, 1), (1, 9, 24, 3), (1, 9, 60, 3)], "example_id int, class_id int, x int, y int")
+    out = L.assign_nearest(segments, joints, 64, 64)
+    assert {(r.example_id, r.segment): r.region for r in out.where("example_id = 1").collect()} == {(1, 5): 3, (1, 6): 8} and out.count() == 3
+    assert plan_of(out).count("Join") == 1
