@@ -72,3 +72,10 @@ def test_weighted_quantile(spark):
     df = spark.createDataFrame([(1.0, 3), (5.0, 1), (9.0, 4)], "v double, w int")
     got = R.exact_quantiles(df, [], "v", {"m": 0.5}, weight="w").first().m
     assert got == np.median([1, 1, 1, 5, 9, 9, 9, 9])
+
+
+def test_chunks_are_dealt_over_all_partitions(spark):
+    """AQE may not merge chunks of series into a few tasks that grow with the table."""
+    df = spark.range(100).selectExpr("id % 5 AS k", "CAST(floor(id / 5) AS INT) AS frame", "id AS v")
+    plan = R.neighbours(df, ["k"], "frame", {"before": ("v", -1)})._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("Exchange") == 1
