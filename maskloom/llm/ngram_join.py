@@ -66,6 +66,8 @@ BLOCK_SHINGLES, BLOCK_SETS = 1 << 16, 512
 #: shingles that at most so many sets of two blocks hold are counted by pairs, others by a product of matrices
 RARE = 8
 U64 = np.uint64
+#: bits of the table that tells ids apart: of one group, for each id, and at most
+BITS, BITS_OF_ID, MOST_BITS = 1 << 15, 16, 1 << 27
 #: in a slot: not one of several signatures of a group
 ALONE = 255
 
@@ -337,13 +339,31 @@ class Stored:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is among ``ids``, and a few others: those whose hash meets that of such an id.
+
+    Texts are chosen where they are read and never travel. What does is one bit for each hash, in a broadcast table of 16 bits for each id, at most 16 MB;
+    with many more ids more of the other rows stay. Joins by doc_id that follow leave them out.
+    """
+    bits = min(MOST_BITS, BITS * (1 + ids.count() * BITS_OF_ID // BITS))
+
+    def place(rows: DataFrame) -> DataFrame:
+        at = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
+        return rows.where("doc_id IS NOT NULL").withColumns({"group": F.shiftright(at, 15), "bit": (at % BITS).cast("int")})
+
+    # dealt by group first, so that no task has a map of every group
+    known = place(ids.select("doc_id")).select("group", F.col("bit").cast("long").alias("bit")).repartition("group").groupBy("group").agg(F.bitmap_construct_agg("bit").alias("map"))
+    byte = F.conv(F.hex(F.expr("substring(map, bit div 8 + 1, 1)")), 16, 10).cast("int")
+    return place(docs).join(F.broadcast(known), "group").where(F.getbit(byte, F.col("bit") % 8) == 1).select(*docs.columns)
+
+
 SETS = "doc long, n long, sketch binary, held binary"
 
 
 def _verify(store: Stored, pairs: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """Exact comparison of the pairs (a, b): those that may be links by their sketches, with ``linked``."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    held = store.put(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, SETS), f"{name}-sets")
+    held = store.put(texts_of(docs, ids).mapInArrow(_set_rows, SETS), f"{name}-sets")
 
     def sides(rows: DataFrame, *columns: str) -> DataFrame:
         one, two = (held.select(F.col("doc").alias(d), *[F.col(c).alias(f"{c}_{d}") for c in columns]) for d in "ab")
@@ -386,15 +406,15 @@ def links_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
     left = store.put(placed.join(apart, "sig").select("sig", "doc", "part", "n", "hub"), "left")
     x, y = (left.where(F.col("n") <= FEW).select("sig", F.col("doc").alias(c), F.col("part").alias(f"part_{c}")) for c in "ab")
     few = x.join(y, "sig").where("a < b AND part_a <> part_b").select("a", "b")
-    around = left.where(F.col("n") > FEW).select(
-        F.col("hub.doc").alias("hub"), "doc", "part", (F.col("part") != F.col("hub.part")).alias("alone")).distinct()
+    around = store.put(left.where(F.col("n") > FEW).select(
+        F.col("hub.doc").alias("hub"), "doc", "part", (F.col("part") != F.col("hub.part")).alias("alone")).distinct(), "around")
     deltas = _deltas(store, around, own)
     head, whole = (deltas.where(F.col("kind") == k).select("hub", "item", "far", F.col("doc").alias(d), F.col("part").alias(f"part_{d}")) for k, d in ((HEAD, "x"), (WHOLE, "y")))
     shared = head.join(whole, ["hub", "item", "far"]).where("part_x <> part_y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     near = deltas.where(F.col("kind") == LINK).select(F.least("hub", "doc").alias("a"), F.greatest("hub", "doc").alias("b"))
     second = store.put(few.unionByName(shared).unionByName(near).distinct().join(first, ["a", "b"], "left_anti"), "pairs-2")
     links = checked.unionByName(_verify(store, second, own, "round-2")).where("linked").select("a", "b")
-    store.drop("members", "nodes", "left", "deltas", "pairs-1", "pairs-2")
+    store.drop("members", "nodes", "left", "around", "deltas", "pairs-1", "pairs-2")
     return plain.select("doc", F.col("slot").cast("long").alias("n_shingles")), links, contract(links, [])
 
 
@@ -406,7 +426,7 @@ def _deltas(store: Stored, around: DataFrame, docs: DataFrame) -> DataFrame:
     ``|E(y)| - need + 1`` items of E(y), its head for that distance, one is in E(x): heads meet whole differences in an equi-join. Rare items come first.
     """
     ids = around.select(F.explode(F.array("hub", "doc")).alias("doc_id")).distinct()
-    held = store.put(docs.join(ids, "doc_id", "left_semi").mapInArrow(_set_rows, SETS), "delta-sets")
+    held = store.put(texts_of(docs, ids).mapInArrow(_set_rows, SETS), "delta-sets")
     of_hub = held.select(F.col("doc").alias("hub"), F.col("held").alias("held_hub"))
     rows = around.join(held.select("doc", "held"), "doc").join(of_hub, "hub").select("hub", "doc", "part", "alone", "held", "held_hub")
     out = store.put(rows.mapInArrow(_delta_rows, "hub long, doc long, part long, far int, item long, kind int"), "deltas")
@@ -488,7 +508,7 @@ def _print_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             prints = np.ascontiguousarray(fingerprints(row, value, part.rows).T).view(np.int64)
             rows = batch.slice(part.first, part.rows)
             found = pa.RecordBatch.from_pydict({
-                "doc": rows.column("doc_id"), "label": rows.column("label"), "n": n, "band": np.searchsorted(limits, n), "f1": prints[0], "f2": prints[1]})
+                "doc": rows.column("doc_id"), "n": n, "band": np.searchsorted(limits, n), "f1": prints[0], "f2": prints[1]})
             yield found.filter(pa.array(n > 0))
 
 
@@ -574,8 +594,8 @@ def link_counts(docs: DataFrame, parts: DataFrame) -> DataFrame:
     store = Stored(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     member = parts.unionByName(parts.select(F.col("label").alias("node"), "label").distinct())
-    prints = store.put(own.join(member, F.col("doc_id") == F.col("node")).select("doc_id", "text", "label").mapInArrow(
-        _print_rows, "doc long, label long, n long, band long, f1 long, f2 long").distinct(), "prints")
+    found = texts_of(own, member.select(F.col("node").alias("doc_id"))).mapInArrow(_print_rows, "doc long, n long, band long, f1 long, f2 long")
+    prints = store.put(found.join(member, F.col("doc") == F.col("node")).select("doc", "label", "n", "band", "f1", "f2").distinct(), "prints")
     several = prints.groupBy("doc").count().where("count > 1").select(F.col("doc").alias("own"))
     marked = prints.join(several, F.col("doc") == F.col("own"), "left")
     # a representative for the documents that have this set only; each document of several sets stands for itself
@@ -603,7 +623,7 @@ def link_counts(docs: DataFrame, parts: DataFrame) -> DataFrame:
         tasks("blocks", lambda j: task(band, F.least(block, j), band, F.greatest(block, j), block > j)),
         tasks("blocks_above", lambda j: task(band, block, band + 1, j, F.lit(0))),
         tasks("blocks_below", lambda j: task(band - 1, j, band, block, F.lit(1))))
-    held = own.join(apart.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(_held_rows, "doc long, f1 long, f2 long, held binary")
+    held = texts_of(own, apart.select(F.col("doc").alias("doc_id"))).mapInArrow(_held_rows, "doc long, f1 long, f2 long, held binary")
     rows = placed.withColumn("met", met).join(held, ["doc", "f1", "f2"]).select("label", F.explode("met").alias("t"), "doc", "f1", "f2", "copies", "several", "held")
     key = ["label", "band_a", "block_a", "band_b", "block_b"]
     rows = rows.select("label", "t.*", "doc", "f1", "f2", "copies", "several", "held").repartition(*key).sortWithinPartitions(*key)

@@ -163,3 +163,39 @@ def test_buckets_do_not_depend_on_batch_borders(monkeypatch):
 
     want = run()
     assert all(run(*cuts) == want for k in (1, 2, 3) for cuts in combinations(range(1, len(sig)), k))
+
+
+def test_texts_do_not_travel(spark, make_docs):
+    """What is shuffled depends on sets and signatures, not on the bytes of the texts, even where no table is broadcast by its size."""
+    rnd = random.Random(7)
+    texts = [" ".join(rnd.randbytes(6000).hex() for _ in range(3)) for _ in range(150)]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts * 2)]
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+
+    def shuffled():
+        stages = store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = make_docs(rows).coalesce(2).cache()
+        docs.count()
+        before = shuffled()
+        got = ngram_join.components(docs).collect()
+        moved = shuffled() - before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 150 for i in range(300)}
+    assert moved < sum(len(t) for _, t, *_ in rows) / 8
+
+
+@pytest.mark.parametrize("bits", [1 << 27, 1 << 15])
+def test_texts_of_keeps_every_wanted_row(spark, monkeypatch, bits):
+    """However small the table of bits is; rows beside the wanted ones are few as long as it grows with the ids."""
+    monkeypatch.setattr(ngram_join, "MOST_BITS", bits)
+    docs = spark.range(-30_000, 30_000).selectExpr("nullif(id, 7) AS doc_id", "cast(id AS string) AS text")
+    ids = spark.range(-30_000, 30_000, 10).selectExpr("nullif(id, 0) AS doc_id").unionByName(spark.range(3).selectExpr("1L AS doc_id"))
+    got = [r.doc_id for r in ngram_join.texts_of(docs, ids).collect()]
+    assert None not in got and len(got) == len(set(got))
+    assert set(got) >= {i for i in range(-30_000, 30_000, 10) if i} | {1}
+    assert len(got) < (12_000 if bits > 1 << 15 else 24_000)
