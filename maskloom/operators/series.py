@@ -127,7 +127,8 @@ def clip_lengths(frames: DataFrame) -> DataFrame:
 
 
 def with_length(frames: DataFrame) -> DataFrame:
-    return frames.join(clip_lengths(frames), "clip")
+    """Frames with the ``n_frames`` of their clip; rows that already have it stay as they are."""
+    return frames if "n_frames" in frames.columns else frames.join(clip_lengths(frames), "clip")
 
 
 def long_enough(frames: DataFrame) -> DataFrame:
@@ -235,7 +236,7 @@ def lock_to_parent(frames: DataFrame, secondary: Sequence[str] = SECONDARY, pare
     if not source:
         return frames
     which = F.coalesce(*[F.when(F.col("bone") == b, F.lit(s)) for b, s in source.items()], F.col("bone"))
-    donors = frames.select("clip", "frame", F.col("bone").alias("_src"), *[F.col(c).alias(f"_{c}") for c in AXES])
+    donors = frames.where(F.col("bone").isin(sorted(set(source.values())))).select("clip", "frame", F.col("bone").alias("_src"), *[F.col(c).alias(f"_{c}") for c in AXES])
     locked = F.col("bone").isin(list(source))
     moved = frames.where(locked).withColumn("_src", which).join(donors, ["clip", "frame", "_src"], "left")
     moved = moved.select("clip", "frame", "bone", *[F.coalesce(f"_{c}", c).alias(c) for c in AXES])
@@ -368,7 +369,7 @@ def root_pairs(root: DataFrame, frames: DataFrame, types: Sequence[str] = tuple(
 
 def degradation_pairs(frames: DataFrame, types: Sequence[str] = tuple(DEGRADATIONS), **override) -> DataFrame:
     """Degraded frames per type, for clips of at least four frames; the original is the input itself."""
-    usable = cut(long_enough(frames).drop("n_frames"))  # read by every type
+    usable = cut(long_enough(frames.select("clip", "frame", "bone", *AXES)))  # read by every type, with the length of the clip
     out = None
     for name in types:
         part = override.get(name, DEGRADATIONS[name])(usable).select("clip", "frame", "bone", *AXES)

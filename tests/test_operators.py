@@ -325,3 +325,13 @@ def test_segments_meet_the_joints_of_their_image_in_one_join(spark):
     out = L.assign_nearest(segments, joints, 64, 64)
     assert {(r.example_id, r.segment): r.region for r in out.where("example_id = 1").collect()} == {(1, 5): 3, (1, 6): 8} and out.count() == 3
     assert plan_of(out).count("Join") == 1
+
+
+def test_degradations_take_the_length_of_a_clip_once(spark):
+    """Frames that carry the length of their clip are not joined with it again, and locked bones meet only the bones they take from."""
+    frames = spark.createDataFrame([(1, f, b, float(f), 0.0, 0.0, 9) for f in range(9) for b in ("hips", "spine")], "clip long, frame int, bone string, rx double, ry double, rz double, n_frames int")
+    assert S.with_length(frames) is frames
+    short = S.decimate_frames(frames).collect()
+    assert sorted((r.frame, r.bone, r.rx) for r in short) == sorted((i, b, 2.0 * i) for i in range(5) for b in ("hips", "spine"))
+    plan = S.lock_to_parent(frames, ["spine"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "= hips)" in plan
