@@ -9,6 +9,7 @@ from maskloom.operators import components as C
 from maskloom.operators import masks as M
 from maskloom.operators import quality as Q
 from maskloom.plans.catalog import query
+from maskloom.session import cut
 
 _IDS = range(1, 22)
 _N = ", ".join(f"sum(CASE WHEN class_id = {i} THEN len ELSE 0 END) AS n_{i}" for i in _IDS)
@@ -275,8 +276,8 @@ def mask_silhouette_reasons(t):
     """The fragment, bleed and coverage rules on run masks with their silhouettes."""
     from maskloom.operators.layers import silhouette_overlap
 
-    runs = t.v_runs
-    overlap = silhouette_overlap(runs, t.v_alpha).withColumn("dataset", F.concat(F.lit("ds"), (F.col("example_id") % 4).cast("string")))
+    runs, alpha = cut(t.v_runs), cut(t.v_alpha)  # read by several rules
+    overlap = silhouette_overlap(runs, alpha).withColumn("dataset", F.concat(F.lit("ds"), (F.col("example_id") % 4).cast("string")))
     rules = Q.MaskRules(min_regions=17, max_single_region=0.2, min_foreground=0.12, max_disconn_per_class=14, max_bg_bleed=0.55, min_silhouette_coverage=0.25)
     out = Q.mask_quality_reasons(runs, rules, C.component_counts(C.label_runs(runs)), overlap, total_pixels=4096)
     return out.withColumns({"fg_ratio": F.round("fg_ratio", 6), "reasons": F.array_join("reasons", "|")})

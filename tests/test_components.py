@@ -95,3 +95,13 @@ def test_surroundings_are_not_fanned_out_before_a_shuffle(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search(r"Aggregate \[[^\]]*[^_]y#", plan), plan  # no cells as keys
     assert out.count() == len(rows)
+
+
+def test_components_are_counted_with_one_exchange(spark):
+    """By mask and class, and then by mask; equal runs and runs that overlap count once."""
+    rows = [("a", 1, 1, 0, 0, 4), ("a", 1, 1, 1, 2, 4), ("a", 1, 1, 5, 0, 2), ("a", 1, 1, 5, 0, 2), ("a", 1, 1, 5, 1, 3), ("a", 1, 2, 9, 0, 1), ("b", 1, 1, 3, 3, 3)]
+    runs = spark.createDataFrame(rows, "dataset string, example_id long, class_id int, y int, x0 int, len int")
+    counts = C.component_counts(C.label_runs(runs, 2))
+    assert sorted(map(tuple, counts.collect())) == [("a", 1, 1, 2), ("a", 1, 2, 1), ("b", 1, 1, 1)]
+    most = C.component_counts(C.label_runs(runs)).groupBy("dataset", "example_id").agg({"components": "max"})
+    assert most._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
