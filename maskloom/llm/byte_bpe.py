@@ -1,12 +1,13 @@
 """Byte-level BPE encoding and decoding (operator 9) with DuckDB recursive queries inside each task.
 
 Spark deals out the texts. In a task the distinct pieces of a batch (matches of the public split pattern) become
-token-position rows; a recursive query joins neighbouring tokens with the merge table and contracts, for each
-piece and round, the leftmost pair of least rank, until no pair is left. Ids go back to text by a join of the id
+token-position rows, linked to the next; a recursive query joins neighbouring tokens with the merge table and contracts,
+for each piece and round, the leftmost pair of least rank, until no pair is left. Ids go back to text by a join of the id
 lists with the vocabulary and an ordered string aggregation, one row per text.
 
-Pieces repeat, so their ids are kept between batches and tasks of a worker, in two stores of about ``KEPT`` pieces: when the young one is full it becomes the old one, and
-what is met again moves on to the next. The result does not depend on it. At the end of a task free memory goes back to the machine, as workers live on. Nothing is shuffled.
+Pieces repeat, so their ids are kept between the batches of a task, in two stores of about ``KEPT`` pieces: when the young one is full it becomes the old one, and
+what is met again moves on to the next. The result does not depend on it. At the end of a task the stores and the database are dropped and free memory goes back to
+the machine, as workers live on and later tasks, of other operators too, need the room. Nothing is shuffled.
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; equal rows give equal results; all
 columns of the input are kept, those named like the added ones are replaced; an empty table gives no rows.
@@ -15,6 +16,7 @@ columns of the input are kept, those named like the added ones are replaced; an
 from __future__ import annotations
 
 import base64
+import functools
 import heapq
 import itertools
 from collections.abc import Iterator
@@ -30,22 +32,28 @@ from maskloom.llm import text as scan
 #: pieces in each of the two stores of a Python worker
 KEPT = 150_000
 #: characters of text handled together, bytes of new pieces per recursive query
-BLOCK_CHARS, PIECE_BYTES = 2_000_000, 500_000
+BLOCK_CHARS, PIECE_BYTES = 2_000_000, 125_000
 #: A piece takes a round for each contraction, so its cost is quadratic. Pieces of more bytes (unbroken runs, as of letters without
 #: a space) are contracted in the same order with a heap instead.
 LONG = 512
 ADDED = ("ids", "decoded")
 
+#: A row knows the token after it and where that ends, so a round needs no window: the least pair of a piece (rank, places of its two
+#: tokens) comes from a hash aggregate, meets the row of its second token, and goes back to the rows of the piece.
 ENCODE_SQL = """
-WITH RECURSIVE s(piece, pos, tok, live) AS (
-  SELECT piece, pos, tok, true FROM start_rows
+WITH RECURSIVE s(piece, pos, tok, after, next_tok, pair, live) AS (
+  SELECT piece, pos, tok, (pos + 1)::USMALLINT, next_tok, (merged::BIGINT << 32) | (pos::BIGINT << 16) | (pos + 1), true
+  FROM start_rows LEFT JOIN merges ON left_tok = tok AND right_tok = next_tok
   UNION ALL
-  SELECT piece, pos, CASE WHEN pos = best & 4294967295 THEN (best >> 32)::INTEGER ELSE tok END, best IS NOT NULL
-  FROM (SELECT piece, pos, tok, prev, min(CASE WHEN merged IS NOT NULL THEN (merged::BIGINT << 32) | pos END) OVER (PARTITION BY piece) AS best
-        FROM (SELECT piece, pos, tok, lag(pos) OVER g AS prev, lead(tok) OVER g AS next_tok
-              FROM s WHERE live WINDOW g AS (PARTITION BY piece ORDER BY pos)) AS p
-        LEFT JOIN merges AS m ON m.left_tok = p.tok AND m.right_tok = p.next_tok) AS q
-  WHERE best IS NULL OR prev IS NULL OR prev <> best & 4294967295)
+  SELECT piece, pos, tok, after, next_tok, CASE WHEN touched THEN (merged::BIGINT << 32) | (pos::BIGINT << 16) | after ELSE pair END, live
+  FROM (SELECT s.piece, pos, CASE WHEN pos = first THEN made ELSE tok END AS tok, CASE WHEN pos = first THEN far ELSE after END AS after,
+               CASE WHEN pos = first THEN far_tok WHEN after = first THEN made ELSE next_tok END AS next_tok,
+               pair, coalesce(pos = first OR after = first, false) AS touched, first IS NOT NULL AS live
+        FROM s LEFT JOIN (SELECT b.piece, (best >> 32)::INTEGER AS made, ((best >> 16) & 65535)::USMALLINT AS first, q.pos AS second, q.after AS far, q.next_tok AS far_tok
+                          FROM (SELECT piece, min(pair) AS best FROM s WHERE pair IS NOT NULL GROUP BY piece) AS b
+                          JOIN s AS q ON q.piece = b.piece AND q.pos = (b.best & 65535)::USMALLINT) AS c ON c.piece = s.piece
+        WHERE s.live AND (second IS NULL OR pos <> second)) AS p
+  LEFT JOIN merges ON left_tok = CASE WHEN touched THEN tok END AND right_tok = next_tok)
 SELECT piece, pos, tok FROM s WHERE NOT live ORDER BY piece, pos
 """
 DECODE_SQL = """
@@ -63,7 +71,6 @@ class Coder:
     """The merge table in an in-process DuckDB, with the pieces met so far."""
 
     def __init__(self, path: str, pattern: str):
-        import duckdb
         import regex
 
         ranks = read_ranks(path)
@@ -72,18 +79,37 @@ class Coder:
         pairs = [
             (ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks
         ]
-        self.merged = {(a, b): r for a, b, r in pairs}
         left, right, merged = (pa.array(x, pa.int32()) for x in zip(*pairs, strict=True))
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
-        self.con.register("given", pa.table({"left_tok": left, "right_tok": right, "merged": merged}))
-        self.con.execute("CREATE TABLE merges AS SELECT * FROM given")
+        self.merges = pa.table({"left_tok": left, "right_tok": right, "merged": merged})
         by_id = sorted((r, t.decode("latin-1")) for t, r in ranks.items())
         if [r for r, _ in by_id] != list(range(len(by_id))):
             raise ValueError("ranks must be 0, 1, 2, ...")
-        self.con.register("given", pa.table({"id": pa.array([r for r, _ in by_id], pa.int32()), "token": [t for _, t in by_id]}))
-        self.con.execute("CREATE TABLE tokens AS SELECT * FROM given")
+        self.tokens = pa.table({"id": pa.array([r for r, _ in by_id], pa.int32()), "token": [t for _, t in by_id]})
+        self.release()
+
+    @functools.cached_property
+    def con(self):
+        import duckdb
+
+        con = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
+        for name in ("merges", "tokens"):
+            con.register("given", getattr(self, name))
+            con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+        return con
+
+    @functools.cached_property
+    def merged(self) -> dict[tuple[int, int], int]:
+        left, right, merged = (self.merges[c].to_pylist() for c in ("left_tok", "right_tok", "merged"))
+        return dict(zip(zip(left, right, strict=True), merged, strict=True))
+
+    def release(self) -> None:
+        """Drop what was met, and the database; both come back when they are needed."""
         self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        if "con" in vars(self):
+            self.con.close()
+            del self.con
+        vars(self).pop("merged", None)
 
     def learn(self, pieces: list[str]) -> None:
         """Encode new pieces, some at a time, and remember their ids as little-endian 32-bit numbers."""
@@ -121,9 +147,12 @@ class Coder:
     def _encode(self, names: list[str], batch: list[bytes]) -> None:
         n = np.fromiter(map(len, batch), np.int64, len(batch))
         data = np.frombuffer(b"".join(batch), np.uint8)
-        begin = np.cumsum(n) - n
+        end = np.cumsum(n)
+        tok, last = self.byte[data], np.zeros(len(data), bool)
+        last[end - 1] = True
         start = pa.table({
-            "piece": np.repeat(np.arange(len(batch), dtype=np.int32), n), "pos": np.arange(len(data)) - np.repeat(begin, n), "tok": self.byte[data],
+            "piece": np.repeat(np.arange(len(batch), dtype=np.int32), n), "pos": (np.arange(len(data)) - np.repeat(end - n, n)).astype(np.uint16),
+            "tok": tok, "next_tok": pa.array(np.append(tok[1:], np.int32(0)), mask=last),
         })
         self.con.register("start_rows", start)
         out = self.con.sql(ENCODE_SQL).to_arrow_table()
@@ -177,19 +206,21 @@ def _blocks(lengths: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
 def _tasks(path: str, pattern: str, kept: list[str], encode: bool, decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, pattern)
-        for batch in batches:
-            source = batch.column("text" if encode else "ids")
-            lengths = np.array([len(x.as_buffer() or b"") if x.is_valid else 0 for x in source], np.int64)
-            for at, end in _blocks(lengths, BLOCK_CHARS):
-                part = batch.slice(at, end - at)
-                columns = {c: part.column(c) for c in kept}
-                ids = own.encode([t or "" for t in part.column("text").to_pylist()]) if encode else [i or b"" for i in part.column("ids").to_pylist()]
-                columns["ids"] = pa.array(ids, pa.binary())
-                if decode:
-                    columns["decoded"] = pa.array(own.decode(ids), pa.binary())
-                yield pa.RecordBatch.from_pydict(columns)
-        own.old = {}
-        scan.release_memory()
+        try:
+            for batch in batches:
+                source = batch.column("text" if encode else "ids")
+                lengths = np.array([len(x.as_buffer() or b"") if x.is_valid else 0 for x in source], np.int64)
+                for at, end in _blocks(lengths, BLOCK_CHARS):
+                    part = batch.slice(at, end - at)
+                    columns = {c: part.column(c) for c in kept}
+                    ids = own.encode([t or "" for t in part.column("text").to_pylist()]) if encode else [i or b"" for i in part.column("ids").to_pylist()]
+                    columns["ids"] = pa.array(ids, pa.binary())
+                    if decode:
+                        columns["decoded"] = pa.array(own.decode(ids), pa.binary())
+                    yield pa.RecordBatch.from_pydict(columns)
+        finally:
+            own.release()
+            scan.release_memory()
 
     return run
 

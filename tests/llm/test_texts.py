@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -51,6 +52,23 @@ def test_bpe_no_rows(spark, make_docs):
     assert byte_bpe.round_trip(make_docs([]), PATH, PATTERN).count() == 0
 
 
+def test_bpe_tasks_leave_nothing_to_the_worker(library):
+    own = byte_bpe.coder(PATH, PATTERN)
+    texts = ["the quick brown fox", "zq" * 400, None]
+    work = byte_bpe._tasks(PATH, PATTERN, [], True, True)
+    for _ in range(2):
+        got = [r for b in work(iter([pa.RecordBatch.from_pydict({"text": texts})])) for r in b.to_pylist()]
+        assert [(r["ids"], r["decoded"]) for r in got] == [(np.array(library.encode_ordinary(t or ""), "<u4").tobytes(), (t or "").encode()) for t in texts]
+        assert not own.known and not own.old and not {"con", "merged"} & set(vars(own))
+
+
+def test_bpe_rounds_have_no_window(library):
+    own = byte_bpe.Coder(PATH, PATTERN)
+    own.encode(["words of a text"])  # registers start_rows
+    plan = own.con.sql("EXPLAIN " + byte_bpe.ENCODE_SQL).fetchall()[0][1].lower()
+    assert "rec cte" in plan and "window" not in plan
+
+
 # 5: mixing
 
 
