@@ -186,59 +186,70 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 "doc": pa.array(np.concatenate([own[r], own]), mask=plain & ~np.concatenate([np.ones(m, bool), known])),
                 "slot": np.concatenate([slot, sizes]).astype(np.int32),
                 "rep": pa.array(np.concatenate([np.zeros(m, np.int64), own[head]]), mask=~np.concatenate([np.zeros(m, bool), copy])),
-                "n": np.zeros(m + n, np.int32),
             })
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (sig, doc): those of buckets with several documents, once for each, with the smallest of the bucket and its size, at most ``LARGE``."""
+    """Rows sorted by sig, a sort by one number: those of buckets with several documents, once for each, with the smallest of the bucket and its size, at most ``LARGE``.
+
+    A bucket of that size leaves in pieces, and has some document of the first piece for the smallest; a document may be in several pieces.
+    """
     kept: list[tuple[np.ndarray, ...]] = []  # the open bucket, as long as it has less than LARGE rows
     known = 0
-    last: tuple[int, int] | None = None  # signature and first document of the open bucket, once its size is settled
-
-    def out(sig, doc, slot, rep, n):
-        return pa.RecordBatch.from_pydict({"sig": sig, "doc": doc, "slot": slot, "rep": rep, "n": n.astype(np.int32)})
+    last: tuple[int, int] | None = None  # signature and a document of the open bucket, once its size is settled
 
-    def closed(sig, doc, slot, settled: tuple[int, int] | None):
+    def closed(settled: tuple[int, int] | None, sig, doc, *more):
         """Rows of whole buckets, but the first may go on from a settled one."""
+
+        def sizes() -> np.ndarray:
+            begin = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])[: len(sig)])
+            return np.diff(np.append(begin, len(sig)))
+
+        on = settled is not None and len(sig) > 0 and sig[0] == settled[0]
+        size = sizes()
+        several = size > 1
+        several[:1] |= on
+        several = np.repeat(several, size)  # most rows are alone, so only the others are sorted by document
+        sig, doc, *more = (x[several] for x in (sig, doc, *more))
+        order = np.lexsort((doc, sig))
+        sig, doc, *more = (x[order] for x in (sig, doc, *more))
         again = np.zeros(len(sig), bool)
         again[1:] = (sig[1:] == sig[:-1]) & (doc[1:] == doc[:-1])
-        sig, doc, slot = sig[~again], doc[~again], slot[~again]
-        new = np.ones(len(sig), bool)
-        new[1:] = sig[1:] != sig[:-1]
-        begin = np.flatnonzero(new)
-        size = np.diff(np.append(begin, len(sig)))
-        rep = doc[begin]
-        if settled is not None and len(sig) and sig[0] == settled[0]:
-            size[0], rep[0] = LARGE, settled[1]
-        size, rep = np.repeat(np.minimum(size, LARGE), np.diff(np.append(begin, len(sig)))), np.repeat(rep, np.diff(np.append(begin, len(sig))))
-        several = size > 1
-        return out(sig[several], doc[several], slot[several], rep[several], size[several])
+        sig, doc, *more = (x[~again] for x in (sig, doc, *more))
+        size = sizes()
+        rep = doc[np.cumsum(size) - size]
+        n = np.minimum(size, LARGE)
+        if on:
+            n[0], rep[0] = LARGE, settled[1]
+        n, rep = np.repeat(n, size), np.repeat(rep, size)
+        several = n > 1
+        found = dict(zip(("sig", "doc", "slot"), (sig, doc, *more))) | {"rep": rep, "n": n.astype(np.int32)}  # noqa: B905
+        return pa.RecordBatch.from_pydict({c: x[several] for c, x in found.items()})
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        sig, doc, slot = (batch.column(c).to_numpy() for c in ("sig", "doc", "slot"))
+        columns = [batch.column(c).to_numpy() for c in ("sig", "doc", "slot") if c in batch.schema.names]
+        sig = columns[0]
         cut = int(np.searchsorted(sig, sig[-1]))  # the last bucket may go on
-        ready = [np.concatenate(x) for x in zip(*kept, (sig[:cut], doc[:cut], slot[:cut]), strict=True)]
         if cut or (kept and kept[0][0][0] != sig[-1]):
-            yield closed(*ready, last)
+            yield closed(last, *[np.concatenate(x) for x in zip(*kept, [c[:cut] for c in columns], strict=True)])
             kept, known = [], 0
         last = last if last is not None and last[0] == sig[-1] else None
-        kept.append((sig[cut:], doc[cut:], slot[cut:]))
+        kept.append(tuple(c[cut:] for c in columns))
         known += len(sig) - cut
         if known >= LARGE or last is not None:
             rows = [np.concatenate(x) for x in zip(*kept, strict=True)]
-            last = last or (int(rows[0][0]), int(rows[1][0]))
-            yield closed(*rows, last)
+            last = last or (int(rows[0][0]), int(rows[1].min()))
+            yield closed(last, *rows)
             kept, known = [], 0
     if kept:
-        yield closed(*[np.concatenate(x) for x in zip(*kept, strict=True)], last)
+        yield closed(last, *[np.concatenate(x) for x in zip(*kept, strict=True)])
 
 
 @scan.frees_memory
 def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by document, without the largest buckets that the spare groups of each document and band allow to leave."""
+    """(sig, doc) of rows sorted by document, without the largest buckets that the spare groups of each document and band allow to leave."""
     carry: pa.Table | None = None
     for batch in itertools.chain(batches, [None]):
         rows = pa.Table.from_batches([batch]) if batch is not None else None
@@ -252,15 +263,17 @@ def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not end:
             continue
         doc, slot = doc[:end], rows["slot"].to_numpy().astype(np.int64)
-        band = np.unique(np.stack([doc, slot & 1]), axis=1, return_inverse=True)[1].ravel()
-        alone = slot >> 1 & 0xFF == ALONE
-        group = np.where(alone, 256 + np.arange(end), slot >> 1 & 0xFF)
-        shared = np.bincount(np.unique(np.stack([band, group]), axis=1)[0])[band]
+        band = np.cumsum(np.concatenate([[0], doc[1:] != doc[:-1]])) * 2 + (slot & 1)
+        several = slot >> 1 & 0xFF
+        alone = several == ALONE
+        groups = np.unique(band[~alone] << 8 | several[~alone]) >> 8
+        count = np.bincount(band)
+        shared = (np.bincount(band[alone], minlength=len(count)) + np.bincount(groups, minlength=len(count)))[band]
         order = np.lexsort((rows["sig"].to_numpy(), -rows["n"].to_numpy().astype(np.int64), band))
         place = np.empty(end, np.int64)
-        place[order] = np.arange(end) - np.searchsorted(band[order], band[order])  # 0 for the largest bucket of a band
+        place[order] = np.arange(end) - np.repeat(np.cumsum(count) - count, count)  # 0 for the largest bucket of a band
         spare = slot >> 9
-        yield from rows.filter(pa.array((shared > spare) & ~(alone & (place < spare)))).to_batches()
+        yield from rows.select(["sig", "doc"]).filter(pa.array((shared > spare) & ~(alone & (place < spare)))).to_batches()
 
 
 @scan.frees_memory
@@ -317,7 +330,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b"), "linked": linked})
 
 
-ROWS = "sig long, doc long, slot int, rep long, n int"
+SENT, SHARED, MEMBERS = "sig long, doc long, slot int, rep long", "sig long, doc long, slot int, rep long, n int", "sig long, doc long, rep long, n int"
 
 
 class Stored:
@@ -380,17 +393,21 @@ def links_and_components(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFra
     """(set size of every row: doc, n_shingles; verified pairs (a, b) that connect all similar documents; component of every document that has a link: node, label)."""
     store = Stored(docs.sparkSession)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = own.mapInArrow(_signature_rows, ROWS)
-    # plain rows, without a signature, are spread by document
-    dealt = rows.repartition(F.coalesce("sig", F.xxhash64("doc"))).sortWithinPartitions("sig", "doc")
-    shared = store.put(dealt.mapInArrow(_bucket_rows, ROWS), "shared")
+    rows = own.mapInArrow(_signature_rows, SENT)
+    # plain rows, without a signature, are spread by document; rows are sorted by one number, which needs no comparisons
+    dealt = rows.repartition(F.coalesce("sig", F.xxhash64("doc"))).sortWithinPartitions("sig")
+    shared = store.put(dealt.mapInArrow(_bucket_rows, SHARED), "shared")
     plain = store.put(shared.where("sig IS NULL"), "plain")
-    sieved = shared.where("sig IS NOT NULL").repartition("doc").sortWithinPartitions("doc").mapInArrow(_sieve, ROWS)
-    members = store.put(sieved.repartition("sig").sortWithinPartitions("sig", "doc").mapInArrow(_bucket_rows, ROWS), "members")
+    sieved = shared.where("sig IS NOT NULL").select("sig", "doc", "slot", "n").repartition("doc").sortWithinPartitions("doc").mapInArrow(_sieve, "sig long, doc long")
+    members = store.put(sieved.repartition("sig").sortWithinPartitions("sig").mapInArrow(_member_rows, MEMBERS), "members")
     store.drop("shared")
-    left = members.where("sig IS NOT NULL").select("sig", "doc")
+    left = members.select("sig", "doc")
+    # a large bucket left in pieces: its smallest document is that of all rows. There are at most as many as LARGE fits into the rows
+    large = members.where(F.col("n") >= LARGE)
+    lowest = F.broadcast(large.groupBy("sig").agg(F.min("doc").alias("rep")))
+    star = members.where(F.col("n") < LARGE).select("doc", "rep").unionByName(large.select("sig", "doc").join(lowest, "sig").select("doc", "rep"))
     pair = (F.least("doc", "rep").alias("a"), F.greatest("doc", "rep").alias("b"))
-    pairs = members.where("sig IS NOT NULL AND doc <> rep").select(*pair).unionByName(plain.where("rep IS NOT NULL").select(*pair)).where("a <> b").distinct()
+    pairs = star.unionByName(plain.where("rep IS NOT NULL").select("doc", "rep")).where("doc <> rep").select(*pair).distinct()
     first = store.put(pairs, "pairs-1")
     checked = _verify(store, first, own, "round-1")
     links = checked.where("linked").select("a", "b")
@@ -479,24 +496,31 @@ def _delta_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @scan.frees_memory
 def _bucket_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Link rows as they are, and the buckets of the signature rows."""
+    """Plain rows as they are, and the buckets of the signature rows."""
     links: list[pa.RecordBatch] = []
 
     def signature_rows() -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sig = batch.column("sig")
             if sig.null_count:
-                links.append(batch.filter(sig.is_null()))
+                plain = batch.filter(sig.is_null())
+                links.append(plain.append_column("n", pa.array(np.zeros(plain.num_rows, np.int32))))
                 batch = batch.filter(sig.is_valid())
             yield batch
 
     for out in _buckets(signature_rows()):
         yield from links
         links.clear()
-        yield out
+        yield out.set_column(3, "rep", pa.nulls(out.num_rows, pa.int64()))
     yield from links
 
 
+@scan.frees_memory
+def _member_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The buckets of the rows that the sieve leaves."""
+    yield from _buckets(batches)
+
+
 @scan.frees_memory
 def _print_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size, band and fingerprint of each set that is not empty."""

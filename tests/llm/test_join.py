@@ -165,6 +165,52 @@ def test_buckets_do_not_depend_on_batch_borders(monkeypatch):
     assert all(run(*cuts) == want for k in (1, 2, 3) for cuts in combinations(range(1, len(sig)), k))
 
 
+def test_buckets_need_no_order_of_documents(monkeypatch):
+    monkeypatch.setattr(ngram_join, "LARGE", 6)
+    rnd = np.random.default_rng(4)
+    sig = np.sort(rnd.integers(0, 60, 150))
+    sig = np.concatenate([sig, np.full(20, 99)])
+    doc = rnd.integers(-20, 20, len(sig))
+    held = {s: sorted(set(doc[sig == s].tolist())) for s in set(sig.tolist())}
+    for size in (1, 3, 7, 50, len(sig)):
+        for slots in (False, True):
+            batch = pa.RecordBatch.from_pydict({"sig": sig, "doc": doc} | ({"slot": np.arange(len(sig), dtype=np.int32)} if slots else {}))
+            got = [r for out in ngram_join._buckets(batch.slice(a, size) for a in range(0, len(sig), size)) for r in out.to_pylist()]
+            found = {}
+            for r in got:
+                found.setdefault(r["sig"], []).append(r)
+            assert {s for s, docs in held.items() if len(docs) > 1} == {s for s, rows in found.items() if rows[0]["n"] < 6 or len(held[s]) > 1}
+            for s, rows in found.items():
+                assert {r["doc"] for r in rows} == set(held[s])
+                if rows[0]["n"] < 6:  # left as a whole
+                    assert [r["doc"] for r in rows] == held[s] and all((r["rep"], r["n"]) == (held[s][0], len(held[s])) for r in rows)
+
+
+def test_signatures_are_sorted_by_one_number(spark, make_docs, monkeypatch):
+    plans = []
+    put = ngram_join.Stored.put
+
+    def noted(self, df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return put(self, df, name)
+
+    monkeypatch.setattr(ngram_join.Stored, "put", noted)
+    ngram_join.links_and_components(make_docs([(i, "a b c d e f g h", "en", "z") for i in range(20)]))
+    for name in ("shared", "members"):
+        plan = next(p for n, p in plans if n == name)
+        order = re.findall(r"Sort \[([^\]]*)\]", plan)
+        assert order and all("," not in o for o in order)
+
+
+
+def test_released_memory_has_no_tables_of_powers():
+    data = np.arange(300, dtype=np.uint8)
+    want = scan.prefix_hash(data)
+    assert scan._powers
+    scan.release_memory()
+    assert not scan._powers and (scan.prefix_hash(data) == want).all()
+
+
 def test_texts_do_not_travel(spark, make_docs):
     """What is shuffled depends on sets and signatures, not on the bytes of the texts, even where no table is broadcast by its size."""
     rnd = random.Random(7)
