@@ -2,7 +2,8 @@
 
 Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of the id; each shard builds its own graph in one task, bounded by the shard's size. An index row holds
 the graph as flat arrays: the vectors, for every level the nodes and a fixed number of neighbour places for each (-1: none). Queries are
-searched in blocks in every shard, and the shards' best are merged by distance and id. Both sides are bounded: a block, an index row.
+searched in blocks in every shard, and the shards' best are merged by distance and id. Both sides are bounded: a block, an index row. They meet in
+pairs of partitions, so no copies of blocks, whose number is queries times shards, are shuffled or broadcast.
 
 Equal vectors are one node, with its smallest ids (as many as can be in one answer), so a vector that a third of the rows share neither spoils a graph nor
 fills an answer with more than it may.
@@ -30,6 +31,8 @@ SHARD_ROWS = 4096
 #: neighbours of a node on upper levels and on the ground level, candidates kept while building and while searching
 M, M0, EF_BUILD, EF_SEARCH = 12, 24, 80, 120
 QUERY_BLOCK = 512
+#: blocks that a task searches in the shards of one partition
+BLOCKS = 16
 #: ids kept for equal vectors: an answer of k and the query's own
 IDS = 11
 INDEX = "shard int, size int, dim int, entry int, vectors binary, ids binary, id_ends binary, nodes binary, level_ends binary, neighbours binary"
@@ -202,7 +205,8 @@ def _unpack(row: dict) -> tuple[Graph, np.ndarray, np.ndarray]:
 def build(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Index rows, one for each shard, of usable vectors."""
     shards = max(1, -(-vectors.count() // shard_rows))
-    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    told = max(shards, int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # so AQE does not merge shards, which are small and slow, into a few tasks
+    dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")).repartition(told, "shard")
 
     def one(key: tuple, rows: pa.Table) -> pa.Table:
         flat = rows["embedding"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
@@ -218,23 +222,22 @@ def search(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         raise ValueError(f"an index keeps {IDS} ids of equal vectors; k must be less")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     one = queries.groupBy(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).alias("block")).agg(F.collect_list(F.struct("vec_id", "embedding")).alias("asked"))
-    last = index.agg(F.max("shard")).first()[0]
-    # every block goes to every shard: blocks repeat, then meet their shard by an equi-join
-    spread = one.select("asked", F.explode(F.sequence(F.lit(0), F.lit(0 if last is None else last))).alias("shard"))
-    found = spread.join(index, "shard")
+    found = index.crossJoin(one.select("asked").coalesce(-(-blocks // BLOCKS)).hint("shuffle_replicate_nl"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard = None
         for batch in batches:
-            for row in batch.to_pylist():
-                graph, ids, ends = _unpack(row)
+            for i in range(batch.num_rows):
+                if (now := batch["shard"][i].as_py()) != shard:  # the blocks of a shard follow each other
+                    shard, (graph, ids, ends) = now, _unpack({c: batch[c][i].as_py() for c in batch.schema.names if c != "asked"})
                 out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
-                for asked in row["asked"]:
+                for asked in batch["asked"][i].as_py():
                     q = np.array(asked["embedding"])
                     nodes = np.array(graph.search(q))
                     far = np.sqrt(((graph.x[nodes] - q) ** 2).sum(axis=1))
                     best: list[tuple[float, int]] = []
-                    for d, i in zip(far.tolist(), nodes.tolist(), strict=True):
-                        best += [(d, int(v)) for v in ids[ends[i - 1] if i else 0 : ends[i]] if v != asked["vec_id"]]
+                    for d, n in zip(far.tolist(), nodes.tolist(), strict=True):
+                        best += [(d, int(v)) for v in ids[ends[n - 1] if n else 0 : ends[n]] if v != asked["vec_id"]]
                     for d, v in heapq.nsmallest(k, best):
                         out["query_id"].append(asked["vec_id"])
                         out["vec_id"].append(v)

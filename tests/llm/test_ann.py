@@ -80,3 +80,15 @@ def test_index_holds_every_vector(spark):
                     reached.add(j)
                     todo.append(j)
         assert len(reached) == r["size"]
+
+
+def test_blocks_are_not_repeated_for_every_shard(spark):
+    """Queries times shards outgrow the driver, and its broadcasts, long before either does."""
+    rnd = np.random.default_rng(6)
+    own = ann.usable(make(spark, [(i, rnd.normal(size=8).tolist()) for i in range(1200)])).cache()
+    index = ann.build(own, 100).cache()
+    assert index.count() == 12
+    found = ann.search(index, own.where("vec_id % 2 = 0"), 10)
+    assert len(found.collect()) == 6000
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan, plan
