@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from maskloom import schemas
 from maskloom.operators import assets as A
+from maskloom.session import cut
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -148,6 +149,8 @@ def plain_png(data: bytes) -> np.ndarray | None:
 BATCH = 100_000
 #: up to so many files of other kinds are read by their names; more are found among all files
 OTHERS = 10_000
+#: partitions of the file source that one task reads
+GATHERED = 32
 
 
 def _runs_of_plain(batches: Iterator[pa.RecordBatch], channel: int, keep_zero: bool) -> Iterator[pa.RecordBatch]:
@@ -173,6 +176,12 @@ def _not_plain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array([plain_png(c.as_py()) is None for c in batch.column("content")], pa.bool_())).select(["origin", "path"])
 
 
+def _gathered(scan: DataFrame) -> DataFrame:
+    """A scan in fewer tasks. The file source puts no more than some 30 files in a partition, however small they are, and a task with Python takes longer to start than to read those."""
+    parts, busy = scan.rdd.getNumPartitions(), 4 * scan.sparkSession.sparkContext.defaultParallelism
+    return scan.coalesce(max(1, min(parts, busy), parts // GATHERED))
+
+
 def _images(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(path).select("image.*")
 
@@ -181,11 +190,13 @@ def scan_rasters_to_runs(spark: SparkSession, path: str, channel: int = 0, keep_
     """Image files below ``path`` to run rows; channel 0 of multi-channel masks, 3 is alpha. What cannot be read is in ``unreadable_rasters``.
 
     Plain PNG masks are decoded in batches; the image source, which takes milliseconds for the smallest file, reads the others only.
+    Files are read by tasks of about a thousand, so the number of tasks stays small beside that of files.
     """
     content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     content = content.select(F.regexp_replace("_metadata.file_path", "^file:/(?!/)", "file:///").alias("origin"), "path", "content")
+    content = _gathered(content)
     runs = content.mapInArrow(lambda it: _runs_of_plain(it, channel, keep_zero), schemas.RUNS)
-    others = content.mapInArrow(_not_plain, "origin string, path string")
+    others = cut(content.mapInArrow(_not_plain, "origin string, path string"))
     names = others.limit(OTHERS + 1).collect()
     if not names:
         return runs

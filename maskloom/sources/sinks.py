@@ -150,4 +150,4 @@ def write_rasters(runs: DataFrame, folder: str, width: int, height: int) -> Data
             yield save(table)
 
     inside = runs.where((F.col("y") < height) & (F.col("x0") + F.col("len") <= width)).select("dataset", "example_id", "y", "x0", "len", "class_id")
-    return cut(dealt(inside, "dataset", "example_id").sortWithinPartitions("dataset", "example_id").mapInArrow(write, "name string, bytes long"))
+    return cut(dealt(inside, "dataset", "example_id").sortWithinPartitions("example_id", "dataset").mapInArrow(write, "name string, bytes long"))

@@ -181,3 +181,12 @@ def test_rasters_read_in_batches_equal_those_of_the_image_source(spark, tmp_path
     monkeypatch.setattr(files, "_images", lambda _, names: seen.append(names) or image.limit(0))
     sinks.write_rasters(spark.createDataFrame([("d", i, y, 0, 3, 1 + y) for i in range(40) for y in range(4)], "dataset string, example_id long, y int, x0 int, len int, class_id int"), str(tmp_path / "new"), 8, 8)
     assert files.scan_rasters_to_runs(spark, str(tmp_path / "new")).count() == 160 and not seen
+
+
+def test_many_small_rasters_are_read_by_few_tasks(spark, tmp_path):
+    """The file source alone deals 2,100 masks to 66 partitions, and a folder of a million to 30,000."""
+    runs = spark.range(2100).selectExpr("'d' AS dataset", "id AS example_id", "0 AS y", "0 AS x0", "2 AS len", "CAST(1 + id % 9 AS INT) AS class_id")
+    sinks.write_rasters(runs, str(tmp_path), 4, 4)
+    got = files.scan_rasters_to_runs(spark, str(tmp_path))
+    assert got.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert got.select("origin").distinct().count() == 2100 and got.agg(F.sum("value")).first()[0] == sum(1 + i % 9 for i in range(2100))
