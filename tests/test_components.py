@@ -105,3 +105,66 @@ def test_components_are_counted_with_one_exchange(spark):
     assert sorted(map(tuple, counts.collect())) == [("a", 1, 1, 2), ("a", 1, 2, 1), ("b", 1, 1, 1)]
     most = C.component_counts(C.label_runs(runs)).groupBy("dataset", "example_id").agg({"components": "max"})
     assert most._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def absorbed(runs, width, height, min_area):
+    """Class of every run (y, x0, len, class) of a mask, with sets of cells."""
+    root = list(range(len(runs)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, (y, x, n, c) in enumerate(runs):
+        for j, (b, z, m, d) in enumerate(runs[:i]):
+            if c == d and (y == b and x <= z + m and z <= x + n or abs(y - b) == 1 and x < z + m and z < x + n):
+                root[find(i)] = find(j)
+    cells = lambda i: {(runs[i][0], x) for x in range(runs[i][1], runs[i][1] + runs[i][2])}
+    over, parts = {}, {}
+    for i in range(len(runs)):
+        parts.setdefault(find(i), []).append(i)
+        for cell in cells(i):
+            over.setdefault(cell, []).append(runs[i][3])
+    out = [r[3] for r in runs]
+    for part in parts.values():
+        if sum(runs[i][2] for i in part) < min_area:
+            own = set().union(*map(cells, part))
+            near = {(y + a, x + b) for y, x in own for a, b in ((1, 0), (-1, 0), (0, 1), (0, -1))} - own
+            votes = {}
+            for cell in near:
+                if 0 <= cell[0] < height and 0 <= cell[1] < width:
+                    for c in over.get(cell, [0]):
+                        votes[c] = votes.get(c, 0) + 1
+            for i in part if votes else []:
+                out[i] = min(votes, key=lambda c: (-votes[c], c))
+    return out
+
+
+@pytest.mark.parametrize(("tile", "min_area"), [(2, 4), (8, 9), (512, 9), (16, 1)])
+def test_absorbed_masks_match_sets_of_cells(spark, tile, min_area):
+    """Frames of many tiles, runs that overlap, repeat, leave the frame or have no place, and masks without a dataset."""
+    rng = np.random.default_rng(tile)
+    masks = [rng.choice(4, (33, 47), p=[0.3, 0.4, 0.2, 0.1]), np.kron(rng.integers(0, 3, (11, 12)), np.ones((3, 4), int)), np.ones((40, 40), int)]
+    rows = [("d" if i else None, *r[1:]) for i, m in enumerate(masks) for r in runs_of(m, i)]
+    for _ in range(120):
+        rows.append(("odd", 9, int(rng.integers(-3, 40)), int(rng.integers(-6, 44)), int(rng.integers(0, 7)), int(rng.integers(1, 4))))
+    rows += rows[-5:] + [("odd", 9, None, 3, 2, 1), ("odd", 9, 3, None, 2, 2), ("odd", 9, 4, 44, None, 3), ("odd", 9, 1, 1, 2, 0)]
+    runs = spark.createDataFrame(rows, "dataset string, example_id int, y int, x0 int, len int, class_id int")
+    want = [(*r, r[5]) for r in rows if None in r[2:5]]
+    for mask in {r[:2] for r in rows}:
+        own = [r for r in rows if r[:2] == mask and None not in r[2:5] and r[5] > 0]
+        want += [(*r, c) for r, c in zip(own, absorbed([r[2:] for r in own], 44, 38, min_area))]
+    got = C.absorb_small_components(runs, 44, 38, min_area, tile)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(str((*r[:5], r[6])) for r in want)
+
+
+def test_absorbing_stores_nothing_and_moves_rows_once(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [r for i in range(4) for r in runs_of(rng.integers(0, 4, (9, 30)), i)]
+    runs = spark.createDataFrame(rows, "dataset string, example_id int, y int, x0 int, len int, class_id int")
+    monkeypatch.setattr(C, "cut", lambda df: pytest.fail("rows are stored"))
+    for tile in (4, 512):
+        out = C.absorb_small_components(runs, 30, 9, min_area=3, tile=tile)
+        assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert out.count() == len(rows)
