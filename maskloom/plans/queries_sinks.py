@@ -108,8 +108,8 @@ def fan_out_published(t):
 def raster_runs(t):
     """Masks as image files, read back as runs; runs that touch come back as one, so their pixels are compared."""
     folder = _folder(t, "rasters")
-    sinks.write_rasters(t.v_runs, folder, 64, 64)
-    runs = files.scan_rasters_to_runs(t.spark, folder)
+    names = sinks.write_rasters(t.v_runs, folder, 64, 64)
+    runs = files.scan_rasters_to_runs(t.spark, folder, names=names)
     name = F.substring_index(F.substring_index("origin", "/", -2), "/", 1), F.substring_index(F.substring_index("origin", "/", -1), ".", 1)
     x = F.col("len") * F.col("x0") + F.floor(F.col("len") * (F.col("len") - 1) / 2)
     return runs.groupBy(name[0].alias("dataset"), name[1].cast("long").alias("example_id"), "y", F.col("value").alias("class_id")).agg(F.sum("len").alias("pixels"), F.sum(x).alias("x_sum"))

@@ -6,6 +6,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
+from urllib.parse import quote
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from maskloom import schemas
 from maskloom.operators import assets as A
 from maskloom.session import cut
+from maskloom.sources.storage import locate, read_bytes
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -151,6 +153,8 @@ BATCH = 100_000
 OTHERS = 10_000
 #: partitions of the file source that one task reads
 GATHERED = 32
+#: bytes of named files that a task holds at once, unless a single one is larger
+HELD = 16 << 20
 
 
 def _runs_of_plain(batches: Iterator[pa.RecordBatch], channel: int, keep_zero: bool) -> Iterator[pa.RecordBatch]:
@@ -182,26 +186,59 @@ def _gathered(scan: DataFrame) -> DataFrame:
     return scan.coalesce(max(1, min(parts, busy), parts // GATHERED))
 
 
+def _origin(path: str) -> str:
+    """An absolute path as Spark's readers tell it."""
+    scheme, rest = re.fullmatch(r"(?s)(?:file:(?://)?(?=/))?(\w[\w+.-]*://[^/]*)?(.*)", path).groups()
+    safe = "/!$&'()*+,;=:@~"
+    return (scheme or "file://") + (quote(rest, safe) if rest.isascii() else "".join(quote(c, safe) if c.isascii() else c for c in rest))
+
+
+def _contents(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Files below a folder from their names."""
+    store, root = locate(folder)
+    found: list[tuple[str, bytes]] = []
+    size = 0
+
+    def held() -> pa.RecordBatch:
+        paths = [f"{folder}/{name}" for name, _ in found]
+        return pa.RecordBatch.from_pydict({"origin": pa.array([_origin(p) for p in paths], pa.string()), "path": pa.array(paths, pa.string()), "content": pa.array([c for _, c in found], pa.binary())})
+
+    for batch in batches:
+        for name in batch.column("name").to_pylist():
+            found.append((name, read_bytes(store, f"{root}/{name}")))
+            size += len(found[-1][1])
+            if size >= HELD:
+                yield held()
+                found, size = [], 0
+    if found:
+        yield held()
+
+
 def _images(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").load(path).select("image.*")
 
 
-def scan_rasters_to_runs(spark: SparkSession, path: str, channel: int = 0, keep_zero: bool = False) -> DataFrame:
+def scan_rasters_to_runs(spark: SparkSession, path: str, channel: int = 0, keep_zero: bool = False, names: DataFrame | None = None) -> DataFrame:
     """Image files below ``path`` to run rows; channel 0 of multi-channel masks, 3 is alpha. What cannot be read is in ``unreadable_rasters``.
 
     Plain PNG masks are decoded in batches; the image source, which takes milliseconds for the smallest file, reads the others only.
-    Files are read by tasks of about a thousand, so the number of tasks stays small beside that of files.
+    Files are read by tasks of about a thousand, so the number of tasks stays small beside that of files. Spark's list of files is held by the
+    driver, some 0.9 KB for each. ``names``, as :func:`sinks.write_rasters` returns them, stand in for it: tasks open the files of their rows.
     """
-    content = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    content = content.select(F.regexp_replace("_metadata.file_path", "^file:/(?!/)", "file:///").alias("origin"), "path", "content")
-    content = _gathered(content)
-    runs = content.mapInArrow(lambda it: _runs_of_plain(it, channel, keep_zero), schemas.RUNS)
-    others = cut(content.mapInArrow(_not_plain, "origin string, path string"))
-    names = others.limit(OTHERS + 1).collect()
-    if not names:
+    if names is None:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        rows = _gathered(listed.select(F.regexp_replace("_metadata.file_path", "^file:/(?!/)", "file:///").alias("origin"), "path", "content"))
+        read = lambda it: it
+    else:
+        rows, folder = names.select("name"), path.rstrip("/")
+        read = lambda it: _contents(it, folder)
+    runs = rows.mapInArrow(lambda it: _runs_of_plain(read(it), channel, keep_zero), schemas.RUNS)
+    others = cut(rows.mapInArrow(lambda it: _not_plain(read(it)), "origin string, path string"))
+    few = others.limit(OTHERS + 1).collect()
+    if not few:
         return runs
-    if len(names) <= OTHERS:
-        img = _images(spark, [re.sub(r"([\[\]{}*?\\,^])", r"\\\1", n.path) for n in names])
+    if len(few) <= OTHERS:
+        img = _images(spark, [re.sub(r"([\[\]{}*?\\,^])", r"\\\1", n.path) for n in few])
     else:
         img = _images(spark, path).join(others.select("origin"), "origin", "left_semi")
     img = img.where("height > 0").select("origin", "height", "width", "nChannels", "data")

@@ -190,3 +190,23 @@ def test_many_small_rasters_are_read_by_few_tasks(spark, tmp_path):
     got = files.scan_rasters_to_runs(spark, str(tmp_path))
     assert got.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
     assert got.select("origin").distinct().count() == 2100 and got.agg(F.sum("value")).first()[0] == sum(1 + i % 9 for i in range(2100))
+
+
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_named_rasters_are_read_without_a_list_of_files(spark, tmp_path, monkeypatch, limit):
+    """Files that are not plain and odd names give the same rows as a scan of the folder."""
+    rnd = np.random.default_rng(2)
+    folder = f"file:{tmp_path}/a b"
+    runs = spark.createDataFrame([(d, i, y, 0, 3, 1 + y) for d in ("d", "é {x}[1]", "50%,+&") for i in range(20) for y in range(4)], "dataset string, example_id long, y int, x0 int, len int, class_id int")
+    names = sinks.write_rasters(runs, folder, 8, 8)
+    for kind in (3, 4):
+        lines = rnd.integers(0, 3, (5, 7), np.uint8)
+        lines[:, 0] = kind
+        (tmp_path / f"a b/d/{kind} [x].png").write_bytes(_png(lines.tobytes(), 6, 5, 0))
+    names = names.select("name").unionByName(spark.createDataFrame([(f"d/{kind} [x].png",) for kind in (3, 4)], "name string"))
+    monkeypatch.setattr(files, "OTHERS", limit)
+    monkeypatch.setattr(files, "HELD", 700)
+    want = files.scan_rasters_to_runs(spark, folder).collect()
+    monkeypatch.setattr(files, "_gathered", lambda scan: pytest.fail("files are listed"))
+    got = files.scan_rasters_to_runs(spark, folder, names=names).collect()
+    assert len(got) > 240 and sorted(map(tuple, got)) == sorted(map(tuple, want))
